@@ -241,7 +241,7 @@ def exact_quantiles(
     for p in probs:
         edges += [max(0.0, p - slack), min(1.0, p + slack)]
     brackets = df.groupBy(*keys).agg(
-        F.percentile_approx(value, [F.lit(e) for e in edges], accuracy).alias("_edges"),
+        F.percentile_approx(value, edges, accuracy).alias("_edges"),
         F.count(value).alias("_total"),
     )
     slots = brackets.select(

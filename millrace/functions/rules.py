@@ -157,7 +157,7 @@ def document_rules(record: Record) -> list[Rule]:
         text = F.col(RAW)[f.name]
         if not isinstance(f.type, T.StringType):
             rules.append(Rule(f.name, "type", text.isNull() | _typed(f).isNotNull()))
-        if f.default is not None and not f.required:
+        if f.default is not None and not f.nullable:
             explicit_null = F.array_contains(KEYS, f.name) & text.isNull()
             rules.append(Rule(f.name, "required", ~F.coalesce(explicit_null, F.lit(False))))
     return rules

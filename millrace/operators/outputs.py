@@ -73,3 +73,13 @@ def ingest_volume(df: DataFrame) -> DataFrame:
         F.min("created_at").alias("first_at"),
         F.max("created_at").alias("last_at"),
     )
+
+
+def ingest_volume_by_partition(df: DataFrame, partition: str = "partition") -> DataFrame:
+    """Rows, bytes, first and last time by source type, topic and log partition."""
+    return df.groupBy("source_type", "topic", partition).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum("size_bytes").alias("bytes"),
+        F.min("created_at").alias("first_at"),
+        F.max("created_at").alias("last_at"),
+    )

@@ -50,7 +50,11 @@ JSON = T.StringType()
 
 @dataclass(frozen=True)
 class Field:
-    """One record field.  ``low``/``high`` are inclusive bounds."""
+    """One record field.  ``low``/``high`` are inclusive bounds.
+
+    A default fills an absent key; ``nullable`` says whether an explicit null
+    is accepted next to a default.
+    """
 
     name: str
     type: T.DataType
@@ -62,6 +66,7 @@ class Field:
     json_object: bool = False
     non_empty: bool = False
     pattern: str | None = None
+    nullable: bool = False
 
 
 @dataclass(frozen=True)
@@ -102,7 +107,7 @@ INGESTION = Record(
         Field("partition", _INT),
         Field("offset", _LONG),
         Field("data", JSON, required=True, json_object=True, non_empty=True),
-        Field("metadata", JSON, default="{}", json_object=True),
+        Field("metadata", JSON, default="{}", json_object=True, nullable=True),
         Field("size_bytes", _LONG, low=0),
         Field("checksum", _STRING),
         *_STAMPS,
@@ -155,7 +160,7 @@ HEALTH_CHECK = Record(
         Field("status", _STRING, required=True, one_of=HEALTH_STATUSES),
         Field("timestamp", _TIME),
         Field("response_time_ms", _DOUBLE, low=0),
-        Field("details", JSON, default="{}", json_object=True),
+        Field("details", JSON, default="{}", json_object=True, nullable=True),
         Field("error_message", _STRING),
     ),
 )

@@ -22,6 +22,10 @@ from millrace.schemas import POLL_RECORDS
 POSITION = ("topic", "partition", "offset")
 _CORRUPT = "_corrupt"
 
+# Times in message bodies keep their microseconds; null fields stay visible.
+_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_BODY = {"ignoreNullFields": "false", "timestampFormat": _TIME_TEXT, "timestampNTZFormat": _TIME_TEXT}
+
 # Offsets are cut into ranges of this many for ordered work on one partition.
 OFFSET_RANGE = 1_000_000
 
@@ -143,7 +147,7 @@ def to_envelope(
     """
     stamp = {"timestamp": iso_text(naive(as_of)), "producer_id": F.lit(producer_id)}
     body = [F.col(c) for c in df.columns if c != key and c not in stamp]
-    value = F.to_json(F.struct(*body, *[c.alias(n) for n, c in stamp.items()]), {"ignoreNullFields": "false"})
+    value = F.to_json(F.struct(*body, *[c.alias(n) for n, c in stamp.items()]), JSON_BODY)
     key_column = F.nullif(F.col(key).cast("string"), F.lit("")) if key else F.lit(None).cast("string")
     envelope = df.select(
         key_column.alias("key"),

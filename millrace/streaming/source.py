@@ -14,10 +14,17 @@ FILES_PER_TRIGGER = 64
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int = FILES_PER_TRIGGER
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = FILES_PER_TRIGGER
 ) -> DataFrame:
-    """Stream the Parquet files of a folder as they arrive."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    """Stream the Parquet files of a folder as they arrive.
+
+    Without ``max_files`` a trigger takes everything that is there, which
+    keeps the batches of an upstream query whole.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def table_stream(

@@ -9,10 +9,9 @@ later time is late: it does not change decisions already made.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -27,14 +26,35 @@ def _sorted(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(by, kind="stable")
 
 
-JOB_OUTPUT = (
-    "job_id string, status string, progress_percentage double, started_us long, completed_us long, "
-    "duration_seconds double, error_message string, timed_out boolean, events long"
-)
-_JOB_STATE = (
+# Absent numbers travel as sentinels: null-free columns keep the many small
+# frames of a state function cheap to build and to join.
+_NEVER = -(2**62)
+_FACTS = (
     "status string, progress_percentage double, started_us long, completed_us long, "
-    "duration_seconds double, error_message string, timed_out boolean, events long, last_us long, last_seq int"
+    "duration_seconds double, error_message string, timed_out boolean, events long"
 )
+_JOB_FACTS = [f.split()[0] for f in _FACTS.split(", ")]
+_JOB_STATE = f"{_FACTS}, last_us long, last_seq int"
+_NEW_JOB = ("pending", 0.0, _NEVER, _NEVER, -1.0, "", False, 0, _NEVER, -1)
+
+
+def _apply_event(job: tuple, us: int, seq: int, event: str, error: str | None, limit_us: int) -> tuple:
+    """The job after one event; an event older than the last one changes nothing."""
+    status, progress, started, completed, duration, message, timed_out, n, last_us, last_seq = job
+    if (us, seq) < (last_us, last_seq):
+        return job
+    if event == "started":
+        status, started, timed_out = "processing", us, False
+    elif event in ("completed", "failed"):
+        status, completed = event, us
+        if event == "completed":
+            progress = 100.0
+        else:
+            message = error or ""
+        if started != _NEVER:
+            duration = (us - started) / 1e6
+            timed_out = us - started > limit_us
+    return status, progress, started, completed, duration, message, timed_out, n + 1, us, seq
 
 
 def job_lifecycle(events: DataFrame, delay: str, limit_seconds: int = JOB_TIMEOUT_SECONDS) -> DataFrame:
@@ -47,49 +67,37 @@ def job_lifecycle(events: DataFrame, delay: str, limit_seconds: int = JOB_TIMEOU
     limit_us = limit_seconds * 1_000_000
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        job: dict[str, Any] = dict.fromkeys(
-            ("status", "progress", "started", "completed", "duration", "error", "timed_out", "events",
-             "last_us", "last_seq")
-        )
-        if state.exists:
-            job = dict(zip(job, state.get))
-        else:
-            job.update(status="pending", progress=0.0, timed_out=False, events=0, last_us=-(2**62), last_seq=-1)
+        job = state.get if state.exists else _NEW_JOB
         if state.hasTimedOut:
-            job["timed_out"] = True
+            job = (*job[:6], True, *job[7:])
         else:
-            for row in _sorted(frames, ["us", "seq"]).itertuples(index=False):
-                if (row.us, row.seq) < (job["last_us"], job["last_seq"]):
-                    continue
-                _apply_event(job, row, limit_us)
-        state.update(tuple(job.values()))
-        if job["status"] == "processing" and not job["timed_out"]:
-            due = (job["started"] + limit_us) // 1000
+            rows = []
+            for f in frames:
+                us = f["ts"].to_numpy().astype("datetime64[us]").astype("int64").tolist()
+                rows += zip(us, f["seq"].tolist(), f["event"].tolist(), f["error_message"].tolist())
+            for row in sorted(rows, key=lambda r: r[:2]):
+                job = _apply_event(job, *row, limit_us)
+        state.update(job)
+        if job[0] == "processing" and not job[6]:
+            due = (job[2] + limit_us) // 1000
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        out = [key[0], *list(job.values())[:8]]
-        frame = pd.DataFrame([out], columns=[f.split()[0] for f in JOB_OUTPUT.split(", ")])
-        yield frame.astype({"started_us": "Int64", "completed_us": "Int64"})
+        yield pd.DataFrame({"job_id": [key[0]], **{n: [v] for n, v in zip(_JOB_FACTS, job)}})
 
-    timed = event_time(events, "ts", delay).withColumn("us", micros("ts"))
-    return timed.groupBy("job_id").applyInPandasWithState(
-        update, JOB_OUTPUT, _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
+    timed = event_time(events, "ts", delay).select("job_id", "ts", "seq", "event", "error_message")
+    changed = timed.groupBy("job_id").applyInPandasWithState(
+        update, f"job_id string, {_FACTS}", _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
 
+    def moment(us: str) -> Column:
+        return F.timestamp_micros(F.nullif(F.col(us), F.lit(_NEVER))).cast("timestamp_ntz")
 
-def _apply_event(job: dict[str, Any], row: Any, limit_us: int) -> None:
-    job.update(last_us=int(row.us), last_seq=int(row.seq), events=job["events"] + 1)
-    if row.event == "started":
-        job.update(status="processing", started=int(row.us), timed_out=False)
-    elif row.event in ("completed", "failed"):
-        job.update(status=row.event, completed=int(row.us))
-        if row.event == "completed":
-            job["progress"] = 100.0
-        else:
-            job["error"] = row.error_message
-        if job["started"] is not None:
-            elapsed = job["completed"] - job["started"]
-            job["duration"] = elapsed / 1e6
-            job["timed_out"] = elapsed > limit_us
+    return changed.select(
+        "job_id", "status", "progress_percentage",
+        moment("started_us").alias("started_at"), moment("completed_us").alias("completed_at"),
+        F.nullif(F.col("duration_seconds"), F.lit(-1.0)).alias("duration_seconds"),
+        F.nullif(F.col("error_message"), F.lit("")).alias("error_message"),
+        "timed_out", "events",
+    )
 
 
 RATE_OUTPUT = "request_id long, client_id string, ts_us long, allowed boolean, remaining long, reset long"
@@ -150,52 +158,51 @@ ALERT_OUTPUT = "metric string, threshold double, action string, at_us long, sinc
 _ALERT_STATE = "first long, last long, length long, peak double"
 
 
-def alert_stream(
-    points: DataFrame, triggers: Sequence[Trigger], delay: str, step_seconds: int = 60
-) -> DataFrame:
+def step_means(points: DataFrame, delay: str, step_seconds: int = 60) -> DataFrame:
+    """Points ``(metric, ts, value)`` averaged per metric and closed time step."""
+    slot = F.window("ts", f"{step_seconds} seconds").alias("_w")
+    steps = event_time(points, "ts", delay).groupBy("metric", slot).agg(F.avg("value").alias("mean"))
+    number = F.floor(F.unix_micros("_w.start") / (step_seconds * 1_000_000)).cast("long")
+    return steps.select("metric", number.alias("step"), "mean")
+
+
+def alert_stream(steps: DataFrame, triggers: Sequence[Trigger], step_seconds: int = 60) -> DataFrame:
     """Open an alert when a breach has lasted long enough, resolve it at its end.
 
-    Points are averaged per metric and step first; the state function sees one
-    row per rule and step.  A step without points ends a breach.
+    ``steps`` is the stream of ``step_means`` rows, read back from the sink
+    they were written to (an aggregation cannot feed a state function within
+    one query).  A rule sees one row per step; a step without points ends a
+    breach.
     """
     step_us = step_seconds * 1_000_000
-    rules = F.broadcast(trigger_table(points.sparkSession, triggers))
-    steps = (
-        event_time(points, "ts", delay)
-        .groupBy("metric", F.window("ts", f"{step_seconds} seconds").alias("_w"))
-        .agg(F.avg("value").alias("mean"))
-    )
-    judged = steps.join(rules, "metric").select(
-        "metric", "op", "threshold", "steps", "mean",
-        F.floor(F.unix_micros("_w.start") / step_us).cast("long").alias("step"),
-        breached(F.col("mean")).alias("breached"),
-    )
+    rules = F.broadcast(trigger_table(steps.sparkSession, triggers))
+    judged = steps.join(rules, "metric").withColumn("breached", breached(F.col("mean")))
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         metric, _, threshold, needed = key
-        run = list(state.get) if state.exists else None
+        run = tuple(state.get) if state.exists else None
         out = []
 
-        def close() -> None:
-            if run is not None and run[2] >= needed:
-                out.append((metric, threshold, "resolve", (run[1] + 1) * step_us, run[0] * step_us, run[2], run[3]))
+        def report(action: str, first: int, last: int, length: int, peak: float) -> None:
+            out.append((metric, threshold, action, (last + 1) * step_us, first * step_us, length, peak))
 
         for row in _sorted(frames, ["step"]).itertuples(index=False):
-            if run is not None and row.step != run[1] + 1:
-                close()
+            if run is not None and (not row.breached or row.step != run[1] + 1):
+                if run[2] >= needed:
+                    report("resolve", *run)
                 run = None
             if not row.breached:
-                close()
-                run = None
                 continue
-            run = [row.step, row.step, 1, row.mean] if run is None else [
-                run[0], row.step, run[2] + 1, max(run[3], row.mean)]
+            if run is None:
+                run = (int(row.step), int(row.step), 1, float(row.mean))
+            else:
+                run = (run[0], int(row.step), run[2] + 1, max(run[3], float(row.mean)))
             if run[2] == needed:
-                out.append((metric, threshold, "open", (row.step + 1) * step_us, run[0] * step_us, run[2], run[3]))
+                report("open", *run)
         if run is None:
             state.remove()
         else:
-            state.update((int(run[0]), int(run[1]), int(run[2]), float(run[3])))
+            state.update(run)
         yield pd.DataFrame(out, columns=[f.split()[0] for f in ALERT_OUTPUT.split(", ")])
 
     return judged.groupBy("metric", "op", "threshold", "steps").applyInPandasWithState(
