@@ -90,8 +90,11 @@ def error_array(rules: Sequence[Rule]) -> Column:
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``validation_errors``."""
-    return df.withColumn(ERRORS, error_array(rules))
+    """Add ``validation_errors``; errors a record already carries stay in front."""
+    found = error_array(rules)
+    if ERRORS in df.columns:
+        found = F.concat(F.coalesce(F.col(ERRORS), F.array().cast("array<string>")), found)
+    return df.withColumn(ERRORS, found)
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

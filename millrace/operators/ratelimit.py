@@ -39,6 +39,11 @@ class AcceptedWindow:
         self.instants = deque(instants or [])
         self.size = sum(n for _, n in self.instants)
 
+    @property
+    def newest(self) -> int:
+        """The last accepted instant; far in the past when there is none."""
+        return self.instants[-1][0] if self.instants else -(2**62)
+
     def offer(self, at_us: int, n: int) -> tuple[int, int]:
         """Offer ``n`` requests at one instant; (requests before, accepted)."""
         oldest = at_us - self.window_us

@@ -1,8 +1,13 @@
 """Keyed state: job life cycle, rate limit, alerts.
 
-Rows reach a state function unordered, so each call sorts the rows of its key
-by time.  A call holds one key's rows of one micro-batch; the trigger's size
-limit bounds them.  A row that arrives in a later batch than a row with a
+A call of a state function costs milliseconds whatever it does, so keys are
+grouped into shards by hash and a call serves all keys of its shard.  A
+shard's state holds only keys that can still matter: what the watermark has
+passed for good is dropped.  More shards mean smaller states.
+
+Rows reach a state function unordered; each call sorts its rows by time.  A
+call holds one shard's rows of one micro-batch, which the trigger's size limit
+bounds.  A row that arrives in a later batch than a row of its key with a
 later time is late: it does not change decisions already made.
 """
 
@@ -22,19 +27,37 @@ from millrace.schemas import JOB_TIMEOUT_SECONDS, RATE_LIMIT_PER_WINDOW, RATE_WI
 from millrace.streaming.source import event_time
 
 
+SHARDS = 256
+# How long a finished job is remembered for events that follow.
+KEEP_FINISHED_SECONDS = 86_400
+
+# Absent numbers travel as sentinels: null-free columns are cheap in pandas.
+_NEVER = -(2**62)
+
+
+def _sharded(df: DataFrame, key: str, shards: int) -> DataFrame:
+    return df.withColumn("_shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+
+
 def _sorted(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(by, kind="stable")
 
 
-# Absent numbers travel as sentinels: null-free columns keep the many small
-# frames of a state function cheap to build and to join.
-_NEVER = -(2**62)
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
 _FACTS = (
     "status string, progress_percentage double, started_us long, completed_us long, "
     "duration_seconds double, error_message string, timed_out boolean, events long"
 )
-_JOB_FACTS = [f.split()[0] for f in _FACTS.split(", ")]
-_JOB_STATE = f"{_FACTS}, last_us long, last_seq int"
+_JOB_OUTPUT = f"job_id string, {_FACTS}"
+_JOB_STATE = (
+    "job_id array<string>, status array<string>, progress_percentage array<double>, "
+    "started_us array<long>, completed_us array<long>, duration_seconds array<double>, "
+    "error_message array<string>, timed_out array<boolean>, events array<long>, "
+    "last_us array<long>, last_seq array<int>"
+)
 _NEW_JOB = ("pending", 0.0, _NEVER, _NEVER, -1.0, "", False, 0, _NEVER, -1)
 
 
@@ -57,35 +80,64 @@ def _apply_event(job: tuple, us: int, seq: int, event: str, error: str | None, l
     return status, progress, started, completed, duration, message, timed_out, n + 1, us, seq
 
 
-def job_lifecycle(events: DataFrame, delay: str, limit_seconds: int = JOB_TIMEOUT_SECONDS) -> DataFrame:
+def job_lifecycle(
+    events: DataFrame,
+    delay: str,
+    limit_seconds: int = JOB_TIMEOUT_SECONDS,
+    keep_seconds: int = KEEP_FINISHED_SECONDS,
+    shards: int = SHARDS,
+) -> DataFrame:
     """State of each job after every batch that changed it.
 
     ``events`` is ``(job_id, ts, event, seq, error_message)``.  A started job
     without a finish is marked ``timed_out`` once the watermark is
-    ``limit_seconds`` past its start.
+    ``limit_seconds`` past its start.  A finished or timed-out job is forgotten
+    ``keep_seconds`` after its last event; events that come later still start
+    a history of their own.
     """
-    limit_us = limit_seconds * 1_000_000
+    limit_us, keep_us = limit_seconds * 1_000_000, keep_seconds * 1_000_000
+
+    def wakes_at(job: tuple) -> int | None:
+        """When, in event time, something happens to the job by itself."""
+        if job[0] == "pending":
+            return None
+        if job[0] == "processing" and not job[6]:
+            return job[2] + limit_us
+        return job[8] + keep_us
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        job = state.get if state.exists else _NEW_JOB
-        if state.hasTimedOut:
-            job = (*job[:6], True, *job[7:])
+        jobs = {row[0]: row[1:] for row in zip(*state.get)} if state.exists else {}
+        changed = set()
+        if not state.hasTimedOut:
+            rows = _sorted(frames, ["us", "seq"])
+            for job_id, *event in zip(rows["job_id"], rows["us"], rows["seq"], rows["event"], rows["error_message"]):
+                jobs[job_id] = _apply_event(jobs.get(job_id, _NEW_JOB), *event, limit_us)
+                changed.add(job_id)
+        out = {job_id: jobs[job_id] for job_id in changed}
+        now_us = state.getCurrentWatermarkMs() * 1000
+        wakes = []
+        for job_id, job in list(jobs.items()):
+            due = wakes_at(job)
+            if due is not None and due < now_us and job[0] == "processing" and not job[6]:
+                job = (*job[:6], True, *job[7:])
+                out[job_id] = jobs[job_id] = job
+                due = wakes_at(job)
+            if due is not None and due < now_us:
+                del jobs[job_id]
+            elif due is not None:
+                wakes.append(due)
+        if jobs:
+            state.update(tuple(list(c) for c in zip(*[(k, *job) for k, job in jobs.items()])))
+            if wakes:
+                state.setTimeoutTimestamp(max(min(wakes), now_us) // 1000 + 1)
         else:
-            rows = []
-            for f in frames:
-                us = f["ts"].to_numpy().astype("datetime64[us]").astype("int64").tolist()
-                rows += zip(us, f["seq"].tolist(), f["event"].tolist(), f["error_message"].tolist())
-            for row in sorted(rows, key=lambda r: r[:2]):
-                job = _apply_event(job, *row, limit_us)
-        state.update(job)
-        if job[0] == "processing" and not job[6]:
-            due = (job[2] + limit_us) // 1000
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"job_id": [key[0]], **{n: [v] for n, v in zip(_JOB_FACTS, job)}})
+            state.remove()
+        if out:
+            yield pd.DataFrame([(k, *job[:8]) for k, job in out.items()], columns=_names(_JOB_OUTPUT))
 
-    timed = event_time(events, "ts", delay).select("job_id", "ts", "seq", "event", "error_message")
-    changed = timed.groupBy("job_id").applyInPandasWithState(
-        update, f"job_id string, {_FACTS}", _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
+    timed = _sharded(event_time(events, "ts", delay), "job_id", shards).withColumn("us", micros("ts"))
+    changed = timed.groupBy("_shard").applyInPandasWithState(
+        update, _JOB_OUTPUT, _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
 
     def moment(us: str) -> Column:
@@ -101,6 +153,7 @@ def job_lifecycle(events: DataFrame, delay: str, limit_seconds: int = JOB_TIMEOU
 
 
 RATE_OUTPUT = "request_id long, client_id string, ts_us long, allowed boolean, remaining long, reset long"
+_RATE_STATE = "client array<string>, stamps array<array<long>>, sizes array<array<long>>"
 
 
 def rate_limit_stream(
@@ -108,50 +161,62 @@ def rate_limit_stream(
     delay: str,
     limit: int = RATE_LIMIT_PER_WINDOW,
     window_seconds: int = RATE_WINDOW_SECONDS,
+    shards: int = SHARDS,
 ) -> DataFrame:
-    """Decide each request as it arrives; state is at most ``limit`` instants.
+    """Decide each request as it arrives; at most ``limit`` instants per client.
 
-    A late request is judged at the newest time its client has been seen.
+    A late request is judged at the newest accepted time of its client.
     """
     window_us = window_seconds * 1_000_000
 
     def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        clients = {}
+        if state.exists:
+            for client, stamps, sizes in zip(*state.get):
+                clients[client] = AcceptedWindow(limit, window_us, list(zip(stamps, sizes)))
+        rows = None
+        if not state.hasTimedOut:
+            rows = _sorted(frames, ["us", "request_id"])
+            allowed, remaining = [], []
+            for client, at in zip(rows["client_id"], rows["us"]):
+                window = clients.get(client)
+                if window is None:
+                    window = clients[client] = AcceptedWindow(limit, window_us)
+                before, accepted = window.offer(max(at, window.newest), 1)
+                allowed.append(bool(accepted))
+                remaining.append(max(0, limit - before - accepted))
+        # Instants the watermark has left a window behind count for nobody.
+        oldest = state.getCurrentWatermarkMs() * 1000 - window_us
+        live = {c: w for c, w in clients.items() if w.newest >= oldest}
+        if live:
+            state.update(
+                (
+                    list(live),
+                    [[int(t) for t, _ in w.instants] for w in live.values()],
+                    [[int(n) for _, n in w.instants] for w in live.values()],
+                )
+            )
+            last = max(w.newest for w in live.values())
+            state.setTimeoutTimestamp((int(last) + window_us) // 1000 + 1)
+        else:
             state.remove()
-            return
-        stamps, sizes = state.get if state.exists else ([], [])
-        window = AcceptedWindow(limit, window_us, list(zip(stamps, sizes)))
-        newest = stamps[-1] if len(stamps) else -(2**62)
-        rows = _sorted(frames, ["us", "request_id"])
-        allowed, remaining = [], []
-        for at in rows["us"]:
-            newest = max(newest, int(at))
-            before, accepted = window.offer(newest, 1)
-            allowed.append(bool(accepted))
-            remaining.append(max(0, limit - before - accepted))
-        state.update(([t for t, _ in window.instants], [n for _, n in window.instants]))
-        # Past this watermark the remembered instants no longer count.
-        state.setTimeoutTimestamp(max(newest // 1000 + window_seconds * 1000, state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame(
-            {
-                "request_id": rows["request_id"],
-                "client_id": key[0],
-                "ts_us": rows["us"],
-                "allowed": allowed,
-                "remaining": remaining,
-                "reset": rows["us"] // 1_000_000 + window_seconds,
-            }
-        )
-
-    timed = (
-        event_time(log, "ts", delay)
-        .withColumn("us", micros("ts"))
-        .withColumn("client_id", F.coalesce("client_id", F.lit(UNKNOWN_CLIENT)))
+        if rows is not None:
+            yield pd.DataFrame(
+                {
+                    "request_id": rows["request_id"],
+                    "client_id": rows["client_id"],
+                    "ts_us": rows["us"],
+                    "allowed": allowed,
+                    "remaining": remaining,
+                    "reset": rows["us"] // 1_000_000 + window_seconds,
+                }
+            )
+
+    named = log.withColumn("client_id", F.coalesce("client_id", F.lit(UNKNOWN_CLIENT)))
+    timed = _sharded(event_time(named, "ts", delay), "client_id", shards).withColumn("us", micros("ts"))
+    return timed.groupBy("_shard").applyInPandasWithState(
+        decide, RATE_OUTPUT, _RATE_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
-    return timed.groupBy("client_id").applyInPandasWithState(
-        decide, RATE_OUTPUT, "stamps array<long>, sizes array<long>", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
 
 
 ALERT_OUTPUT = "metric string, threshold double, action string, at_us long, since_us long, length long, peak double"
@@ -203,7 +268,7 @@ def alert_stream(steps: DataFrame, triggers: Sequence[Trigger], step_seconds: in
             state.remove()
         else:
             state.update(run)
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in ALERT_OUTPUT.split(", ")])
+        yield pd.DataFrame(out, columns=_names(ALERT_OUTPUT))
 
     return judged.groupBy("metric", "op", "threshold", "steps").applyInPandasWithState(
         follow, ALERT_OUTPUT, _ALERT_STATE, "append", GroupStateTimeout.NoTimeout
