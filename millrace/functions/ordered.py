@@ -2,14 +2,20 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
 key with a third of the table decides the run time.  These helpers cut the
-history of a key into buckets of the ordering column, work inside
-``(key, bucket)``, and bring the little that crosses a bucket border (a count,
-a last value, a few rows) along separately.  Only one summary row per
-``(key, bucket)`` is ever ordered by key alone: its number is bounded by the
-time span divided by the bucket width, whatever the number of rows.
-
-``bucket`` must not decrease along the first ordering column.  Pick its width
-so that one bucket of the busiest key fits a task (see ``BUCKET_SECONDS``).
+history of a key into buckets of its order, work inside ``(key, bucket)``, and
+bring the little that crosses a bucket border (a count, a last value, a few
+rows) along separately.  Only one summary row per ``(key, bucket)`` is ever
+ordered by key alone.
+
+Buckets come in two kinds:
+
+* time buckets cost nothing extra and suit data whose times are spread out;
+* ``range_parts`` cuts by row count along the full order, so that even a group
+  of rows with one key and one instant is split.  It writes the rows once to
+  the shared folder, because a cut must not move when a lost task is repeated.
+
+Where only instants matter (as-of joins, time frames), rows of one key and
+instant are combined before they are moved, so copies cannot fill a bucket.
 """
 
 from __future__ import annotations
@@ -21,11 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.scalars import micros, time_bucket
+from millrace.sources.workspace import shared_folder
 
 # 15 minutes: 35,000 summary rows per key and year, and a key that receives
 # 10,000 rows a second still has only 9 million rows in one bucket.
 BUCKET_SECONDS = 900
 
+# Slices of a quantile's bracket (see ``exact_quantiles``).
+SLICES = 4096
+
 _BUCKET = "_bucket"
 
 
@@ -38,22 +48,39 @@ def _attach(rows: DataFrame, summary: DataFrame, names: Sequence[str], how: str
     return rows.join(renamed, condition, how).drop(*[f"_s_{n}" for n in names])
 
 
+def range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "_part") -> DataFrame:
+    """Add ``name``: a number that rises along ``(keys, order)`` and splits the
+    table into parts of similar size, whatever the keys and times look like.
+
+    ``order`` should be total.  The rows are staged as a table, so all later
+    readers see the same cut.
+    """
+    path = shared_folder(df.sparkSession, "range")
+    placed = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    placed.withColumn(name, F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def row_index(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    bucket: Column,
+    bucket: Column | None = None,
     name: str = "row_index",
     descending: bool = False,
 ) -> DataFrame:
     """Add the exact 0-based position of each row inside its key.
 
     Rows are numbered inside ``(keys, bucket)``; the number of rows in earlier
-    buckets comes from counts that are combined before the shuffle.  With
-    ``descending`` the higher bucket comes first.
+    buckets comes from counts that are combined before the shuffle.  ``bucket``
+    must not decrease along ``order`` (not increase, with ``descending``);
+    without one the rows are cut by ``range_parts``.
     """
+    if bucket is None:
+        rows, descending = range_parts(df, keys, order, _BUCKET), False
+    else:
+        rows = df.withColumn(_BUCKET, bucket)
     parts = [*keys, _BUCKET]
-    rows = df.withColumn(_BUCKET, bucket)
     step = F.desc(_BUCKET) if descending else F.asc(_BUCKET)
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -107,7 +134,7 @@ def trailing_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    bucket: Column,
+    bucket: Column | None,
     rows: int,
     aggregates: dict[str, Column],
     chunk_rows: int = 1_000_000,
@@ -134,33 +161,41 @@ def trailing_rows(
     )
 
 
-def trailing_time(
+def trailing_mean(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
+    value: str,
     seconds: int,
-    aggregates: dict[str, Column],
     bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Aggregates over the rows of a key in ``[ts - seconds, ts]``.
+    """Add ``moving_average`` and ``points`` over the key's rows in ``[ts - seconds, ts]``.
 
-    Buckets are at least as wide as the frame; rows that a frame of the next
-    bucket can still reach are copied there.
+    Rows of one instant share their frame, so they are summed first and the
+    frame runs over instants.  Buckets are at least as wide as the frame;
+    instants that a frame of the next bucket can still reach are copied there.
     """
     width = max(bucket_seconds or 0, seconds)
-    rows = df.withColumn("_us", micros(ts)).withColumn("_home", time_bucket(ts, width))
+    instants = (
+        df.groupBy(*keys, ts)
+        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_values"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_us", micros(ts))
+        .withColumn("_home", time_bucket(ts, width))
+    )
     next_start = (F.col("_home") + 1) * F.lit(width * 1_000_000)
     reaches_next = F.col("_us") >= next_start - F.lit(seconds * 1_000_000)
-    copies = rows.withColumn(
+    copies = instants.withColumn(
         _BUCKET,
         F.explode(F.when(reaches_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
     )
     frame = Window.partitionBy(*keys, _BUCKET).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
-    return (
-        copies.withColumns({n: a.over(frame) for n, a in aggregates.items()})
+    means = (
+        copies.withColumn("moving_average", F.sum("_sum").over(frame) / F.nullif(F.sum("_values").over(frame), F.lit(0)))
+        .withColumn("points", F.sum("_rows").over(frame))
         .filter(F.col(_BUCKET) == F.col("_home"))
-        .drop("_us", "_home", _BUCKET)
+        .select(*keys, ts, "moving_average", "points")
     )
+    return _attach(df, means, [*keys, ts])
 
 
 def latest_before(
@@ -175,39 +210,34 @@ def latest_before(
 ) -> DataFrame:
     """As-of join: add the newest point of the same key at or before ``ts``.
 
-    ``probes`` and ``points`` both carry ``key`` and ``ts``.  Inside a bucket a
-    running ``last`` over the union of both sides gives the answer; a probe
-    that precedes every point of its bucket takes the value carried from the
-    last earlier bucket that has one.
+    ``probes`` and ``points`` both carry ``key`` and ``ts``; ``point_order``
+    decides between points of one instant.  Each instant of a key becomes one
+    row; a running ``last`` inside the bucket answers it, or the value carried
+    from the last earlier bucket that has a point.
     """
-    bucket = time_bucket(ts, bucket_seconds)
-    left = probes.select(
-        F.col(key), F.col(ts), F.lit(1).alias("_side"),
-        F.struct(*probes.columns).alias("_probe"),
-    )
-    right = points.select(
-        F.col(key), F.col(ts), F.lit(0).alias("_side"),
-        F.struct(*point_order).alias("_rank"),
-        F.struct(point_value.alias("value")).alias("_point"),
-    )
-    both = right.unionByName(left, allowMissingColumns=True).withColumn(_BUCKET, bucket)
-
-    running = (
-        Window.partitionBy(key, _BUCKET).orderBy(ts, "_side", "_rank").rowsBetween(Window.unboundedPreceding, 0)
+    offered = points.filter(F.col(key).isNotNull()).select(
+        key, ts, F.struct(*point_order).alias("_rank"), F.struct(point_value.alias("value")).alias("_point")
     )
-    answered = both.withColumn("_inside", F.last("_point", ignorenulls=True).over(running)).filter("_side = 1")
-
-    carried = (
-        Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    asked = probes.select(key, ts, F.lit(True).alias("_asked"))
+    instants = (
+        offered.unionByName(asked, allowMissingColumns=True)
+        .groupBy(key, ts)
+        .agg(F.max_by("_point", "_rank").alias("_point"), F.bool_or("_asked").alias("_asked"))
+        .withColumn(_BUCKET, time_bucket(ts, bucket_seconds))
     )
+    inside = Window.partitionBy(key, _BUCKET).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    answered = instants.withColumn("_inside", F.last("_point", ignorenulls=True).over(inside)).filter("_asked")
+
+    earlier = Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     borders = (
-        both.groupBy(key, _BUCKET)
-        .agg(F.max_by("_point", F.when(F.col("_side") == 0, F.struct(ts, "_rank"))).alias("_last"))
-        .select(key, _BUCKET, F.last("_last", ignorenulls=True).over(carried).alias("_carried"))
+        instants.groupBy(key, _BUCKET)
+        .agg(F.max_by("_point", F.when(F.col("_point").isNotNull(), F.col(ts))).alias("_last"))
+        .select(key, _BUCKET, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     )
-    return _attach(answered, borders, [key, _BUCKET], "left").select(
-        "_probe.*", F.coalesce(F.col("_inside.value"), F.col("_carried.value")).alias(name)
+    answers = _attach(answered, borders, [key, _BUCKET], "left").select(
+        key, ts, F.coalesce("_inside", "_carried")["value"].alias(name)
     )
+    return _attach(probes, answers, [key, ts], "left")
 
 
 def runs(
@@ -261,21 +291,31 @@ def exact_quantiles(
     )
     slots = slots.select(*keys, "_total", "_slot.*")
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    near = _attach(counted, slots, list(keys)).filter(F.col(value) <= F.col("high"))
-    below = near.groupBy(*keys, "p").agg(
-        F.coalesce(F.sum(F.when(F.col(value) < F.col("low"), F.col("_n"))), F.lit(0)).alias("_below")
-    )
-    inside = near.filter(F.col(value) >= F.col("low"))
-    running = (
-        Window.partitionBy(*keys, "p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = _attach(inside, below, [*keys, "p"]).withColumn(
-        "_upto", F.col("_below") + F.sum("_n").over(running)
+    # Inside a bracket the values fall into SLICES slices; the slice that holds
+    # the target is found by counts and only its values are ranked one by one.
+    width = F.col("high") - F.col("low")
+    slice_ = F.floor((F.col(value) - F.col("low")) / width * SLICES)
+    known = (F.col(value) >= F.col("low")) & (width > 0) & (width < float("inf"))
+    near = (
+        _attach(counted, slots, list(keys))
+        .filter(F.col(value) <= F.col("high"))
+        .withColumn("_slice", F.when(F.col(value) < F.col("low"), -1).when(known, slice_).otherwise(0).cast("long"))
     )
+    parts = [*keys, "p"]
     target = F.greatest(F.ceil(F.col("p") * F.col("_total")), F.lit(1))
+    upto = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        near.groupBy(*parts, "_total", "_slice")
+        .agg(F.sum("_n").alias("_m"))
+        .withColumn("_before", F.sum("_m").over(upto) - F.col("_m"))
+        .filter((F.col("_before") < target) & (F.col("_before") + F.col("_m") >= target))
+        .select(*parts, "_slice", "_before")
+    )
+    running = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranked.filter(F.col("_upto") >= target)
-        .groupBy(*keys, "p")
+        _attach(near, found, [*parts, "_slice"])
+        .withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
+        .filter(F.col("_upto") >= target)
+        .groupBy(*parts)
         .agg(F.min(value).alias("quantile"))
     )
-

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.scalars import is_filled_object
+from millrace.functions.scalars import is_filled_object, with_once
 from millrace.schemas import Field, Record
 
 ERRORS = "validation_errors"
@@ -86,7 +86,9 @@ def rules_for(record: Record, prefix: str = "", only: Sequence[str] | None = Non
 def error_array(rules: Sequence[Rule]) -> Column:
     """The labels of the failed rules, in rule order."""
     checks = [F.when(F.coalesce(r.passes, F.lit(False)), None).otherwise(r.label) for r in rules]
-    return F.filter(F.array(*checks), lambda e: e.isNotNull())
+    # Labels are distinct, so a set difference drops the nulls and nothing else;
+    # unlike a lambda it is compiled.
+    return F.array_except(F.array(*checks), F.array(F.lit(None).cast("string")))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -94,7 +96,7 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     found = error_array(rules)
     if ERRORS in df.columns:
         found = F.concat(F.coalesce(F.col(ERRORS), F.array().cast("array<string>")), found)
-    return df.withColumn(ERRORS, found)
+    return with_once(df, ERRORS, found)
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
@@ -110,13 +112,14 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
 # --- JSON documents -------------------------------------------------------
 
 
-def parse_documents(df: DataFrame, doc: str, record: Record) -> DataFrame:
-    """Parse JSON text once into ``_raw`` (text per field) and ``_keys``.
+def parse_documents(df: DataFrame, doc: str) -> DataFrame:
+    """Parse JSON text once into ``_raw``, a map from key to text.
 
-    ``_keys`` keeps apart what ``_raw`` cannot: an absent key and a null value.
+    A map keeps apart what a struct cannot: an absent key and a null value.
+    Nested values stay JSON text.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in record.fields])
-    return df.withColumn(KEYS, F.json_object_keys(F.col(doc))).withColumn(RAW, F.from_json(F.col(doc), texts))
+    raw = with_once(df, RAW, F.from_json(F.col(doc), T.MapType(T.StringType(), T.StringType())))
+    return raw.withColumn(KEYS, F.map_keys(RAW))
 
 
 def _typed(f: Field) -> Column:
@@ -168,6 +171,6 @@ def document_rules(record: Record) -> list[Rule]:
 
 def validate_documents(df: DataFrame, doc: str, record: Record) -> DataFrame:
     """Parse, type and check JSON documents; adds the fields and the errors."""
-    typed = typed_documents(parse_documents(df, doc, record), record)
+    typed = typed_documents(parse_documents(df, doc), record)
     rules = document_rules(record) + rules_for(record)
     return validate(typed, rules).drop(KEYS, RAW)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -80,3 +80,15 @@ def page_count(total: Column, size: int) -> Column:
 
 def client_consumer_id(client: Column | str, consumer: Column | str) -> Column:
     return F.concat_ws("-", col(client), col(consumer))
+
+
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed exactly once per row.
+
+    A filter on a plain computed column is pushed below the projection and
+    takes a copy of the whole expression along, once per reference; a parse
+    would then run many times for each row.  Nothing is copied through the
+    output of a generator, and filters on other columns still pass it.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))

@@ -13,8 +13,8 @@ from millrace.functions.ordered import (
     exact_quantiles,
     latest_before,
     runs,
+    trailing_mean,
     trailing_rows,
-    trailing_time,
 )
 from millrace.functions.scalars import time_bucket
 from millrace.operators.requests import cumulative_histogram
@@ -155,24 +155,23 @@ def alert_current_values(
 
 
 def moving_average_rows(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, rows: int, chunk_rows: int = 1_000_000,
-    bucket_seconds: int = BUCKET_SECONDS,
+    df: DataFrame, key: str, ts: str, tie: str, value: str, rows: int,
+    chunk_rows: int = 1_000_000, bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Mean of the current and the preceding ``rows - 1`` values of the key."""
-    return trailing_rows(
-        df, [key], [F.col(ts), F.col(tie)], time_bucket(ts, bucket_seconds), rows,
-        {"moving_average": F.avg(value)}, chunk_rows,
-    )
+    """Mean of the current and the preceding ``rows - 1`` values of the key.
+
+    ``bucket_seconds`` numbers the rows by time buckets instead of staging them.
+    """
+    bucket = time_bucket(ts, bucket_seconds) if bucket_seconds else None
+    order = [F.col(ts), F.col(tie)]
+    return trailing_rows(df, [key], order, bucket, rows, {"moving_average": F.avg(value)}, chunk_rows)
 
 
 def moving_average_range(
     df: DataFrame, key: str, ts: str, value: str, seconds: int, bucket_seconds: int | None = None
 ) -> DataFrame:
     """Mean of the key's values in the last ``seconds``, the current row included."""
-    return trailing_time(
-        df, [key], ts, seconds,
-        {"moving_average": F.avg(value), "points": F.count(F.lit(1))}, bucket_seconds,
-    )
+    return trailing_mean(df, [key], ts, value, seconds, bucket_seconds)
 
 
 def label_key(labels: Column | str) -> Column:

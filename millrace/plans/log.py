@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.rules import ERRORS, Rule
-from millrace.functions.scalars import time_bucket
 from millrace.plans import records
 from millrace.plans.records import AS_OF, ctes
 from millrace.plans.registry import query
@@ -143,8 +142,7 @@ def produce_batch(spark, folder):
                 F.concat(F.lit("key-"), F.col("i").cast("string")).alias("message_key"))
     )
     sent = log.to_batch_envelope(
-        rows, "data.ingestion", "client-1", AS_OF, ["source_type"], [F.col("created_at"), F.col("id")],
-        time_bucket("created_at", 6 * 3600), keys,
+        rows, "data.ingestion", "client-1", AS_OF, ["source_type"], [F.col("created_at"), F.col("id")], keys
     )
     read = F.from_json("value", "id long, source_type string, batch_index long")
     return sent.withColumn("m", read).select("m.*", F.col("key").alias("msg_key"))

@@ -27,7 +27,7 @@ from millrace.schemas import INGESTION, METRIC_NAME_PATTERN, SYSTEM_METRICS
 def _failures(spark, folder, rules: list[Rule]):
     """(doc_key, error) for every rule an incoming document fails."""
     docs = typed_documents(
-        parse_documents(records.ingest_documents(spark, folder), "doc", INGESTION), INGESTION
+        parse_documents(records.ingest_documents(spark, folder), "doc"), INGESTION
     )
     return validate(docs, rules).select("doc_key", F.explode(ERRORS).alias("error"))
 

@@ -118,7 +118,7 @@ def job_lookup(spark, folder):
 from job_documents""",
 )
 def defaults_filled(spark, folder):
-    docs = typed_documents(parse_documents(records.job_documents(spark, folder), "doc", JOB), JOB)
+    docs = typed_documents(parse_documents(records.job_documents(spark, folder), "doc"), JOB)
     nulls = [r for r in document_rules(JOB) if r.name == "required"]
     return validate(docs, nulls).select(
         "doc_key", "job_id", "status", "progress_percentage", "retry_count", "max_retries",

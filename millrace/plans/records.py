@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.ordered import row_index
+from millrace.functions.ordered import BUCKET_SECONDS, row_index
 from millrace.functions.scalars import iso_text, naive, seconds_between, time_bucket
 from millrace.sources.tables import load
 
@@ -67,7 +67,7 @@ def envelope(spark: SparkSession, folder: str) -> DataFrame:
         F.col("created_at").alias("timestamp"),
     )
     order = [F.col("timestamp"), F.col("id")]
-    return row_index(messages, ["topic", "partition"], order, time_bucket("timestamp", 6 * 3600), "offset")
+    return row_index(messages, ["topic", "partition"], order, time_bucket("timestamp", BUCKET_SECONDS), "offset")
 
 
 def jobs(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.scalars import naive, time_bucket
+from millrace.functions.scalars import naive
 from millrace.plans import records
 from millrace.plans.records import AS_OF, ctes
 from millrace.plans.registry import query
@@ -242,7 +242,7 @@ from ingestion""",
 def batch_assign(spark, folder):
     rows = records.ingestion(spark, folder).select("id", "part_id", "created_at")
     order = [F.col("created_at"), F.col("id")]
-    out = tables.assign_batches(rows, ["part_id"], order, time_bucket("created_at", 6 * 3600), 100)
+    out = tables.assign_batches(rows, ["part_id"], order, 100)
     return out.select("id", "part_id", "batch_id")
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions.ordered import row_index
-from millrace.functions.rules import ERRORS, Rule, error_array
-from millrace.functions.scalars import iso_text, naive
+from millrace.functions.rules import ERRORS, Rule, validate
+from millrace.functions.scalars import iso_text, naive, with_once
 from millrace.schemas import POLL_RECORDS
 
 POSITION = ("topic", "partition", "offset")
@@ -65,12 +65,10 @@ def decode(envelope: DataFrame, schema: T.StructType) -> DataFrame:
     text = F.nullif(F.col("value").cast("string"), F.lit(""))
     key = F.nullif(F.col("key").cast("string"), F.lit(""))
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = F.from_json(F.col("value"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     fields = [F.col("_parsed")[f.name].alias(f.name) for f in schema.fields]
     return (
-        envelope.withColumn("key", key)
-        .withColumn("value", text)
-        .withColumn("_parsed", parsed)
+        with_once(envelope.withColumn("key", key).withColumn("value", text), "_parsed", parsed)
         .withColumn("message", F.struct(*fields))
         .withColumn(_CORRUPT, F.col("_parsed")[_CORRUPT])
         .drop("_parsed")
@@ -84,7 +82,7 @@ def judge(envelope: DataFrame, schema: T.StructType, rules: Sequence[Rule]) -> D
     """
     decoded = decode(envelope, schema)
     readable = Rule("value", "json", F.col("value").isNotNull() & F.col(_CORRUPT).isNull())
-    return decoded.withColumn(ERRORS, error_array([readable, *rules])).drop(_CORRUPT)
+    return validate(decoded, [readable, *rules]).drop(_CORRUPT)
 
 
 def consume(
@@ -166,8 +164,8 @@ def to_batch_envelope(
     as_of: datetime,
     batch: Sequence[str],
     order: Sequence[Column],
-    bucket: Column,
     keys: DataFrame | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """As ``to_envelope`` with a 0-based ``batch_index`` inside each batch.
 

@@ -154,7 +154,7 @@ def purge_partitions(
 
 
 def assign_batches(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, size: int = BATCH_SIZE
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int = BATCH_SIZE, bucket: Column | None = None
 ) -> DataFrame:
     """Add ``batch_id``: consecutive groups of ``size`` rows inside each key."""
     indexed = row_index(df, keys, order, bucket, "_index")

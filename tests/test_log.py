@@ -75,10 +75,10 @@ def test_batch_keys(spark):
         "at", F.timestamp_seconds("i").cast("timestamp_ntz")
     )
     keys = spark.createDataFrame([("b", i, f"k{i}") for i in range(3)], "batch string, batch_index long, message_key string")
-    out = log.to_batch_envelope(df, "t", "c", AS_OF, ["batch"], [F.col("at")], time_bucket("at", 2), keys)
+    out = log.to_batch_envelope(df, "t", "c", AS_OF, ["batch"], [F.col("at")], keys)
     got = {json.loads(r.value)["batch_index"]: r.key for r in out.collect()}
     assert got == {0: "k0", 1: "k1", 2: "k2", 3: None, 4: None}
-    plain = log.to_batch_envelope(df, "t", "c", AS_OF, ["batch"], [F.col("at")], time_bucket("at", 2))
+    plain = log.to_batch_envelope(df, "t", "c", AS_OF, ["batch"], [F.col("at")], bucket=time_bucket("at", 2))
     assert sorted(json.loads(r.value)["batch_index"] for r in plain.collect()) == [0, 1, 2, 3, 4]
 
 

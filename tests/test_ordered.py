@@ -40,9 +40,10 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("width", [60, 700, 10**6])
+@pytest.mark.parametrize("width", [60, 700, 10**6, None])
 def test_row_index(df, rows, width):
-    out = ordered.row_index(df, ["k"], [F.col("ts"), F.col("id")], time_bucket("ts", width))
+    bucket = time_bucket("ts", width) if width else None
+    out = ordered.row_index(df, ["k"], [F.col("ts"), F.col("id")], bucket)
     got = {r.id: r.row_index for r in out.collect()}
     assert got == {r[0]: i for g in by_key(rows).values() for i, r in enumerate(g)}
 
@@ -84,15 +85,25 @@ def test_trailing_rows(df, rows, n, chunk):
 
 
 @pytest.mark.parametrize("seconds,width", [(60, None), (60, 3600), (900, 900)])
-def test_trailing_time(df, rows, seconds, width):
-    out = ordered.trailing_time(df, ["k"], "ts", seconds, {"n": F.count(F.lit(1)), "s": F.sum("value")}, width)
-    got = {r.id: (r.n, r.s) for r in out.collect()}
-    want = {}
+def test_trailing_mean(df, rows, seconds, width):
+    out = ordered.trailing_mean(df, ["k"], "ts", "value", seconds, width)
+    got = {r.id: (r.points, r.moving_average) for r in out.collect()}
+    assert len(got) == len(rows)
     for g in by_key(rows).values():
         for r in g:
             frame = [x[3] for x in g if r[2] - timedelta(seconds=seconds) <= x[2] <= r[2]]
-            want[r[0]] = (len(frame), sum(frame))
-    assert got == want
+            assert got[r[0]] == (len(frame), pytest.approx(sum(frame) / len(frame)))
+
+
+def test_range_parts_split_a_hot_instant(spark):
+    """One key and one instant hold every row; the parts are still even."""
+    df = spark.range(8000).select("id", F.lit("k").alias("k"), F.lit(START).cast("timestamp_ntz").alias("ts"))
+    parts = ordered.range_parts(df.repartition(4), ["k"], [F.col("ts"), F.col("id")]).groupBy("_part").agg(
+        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
+    )
+    rows = sorted(parts.collect(), key=lambda r: r._part)
+    assert sum(r.n for r in rows) == 8000
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
 
 
 @pytest.mark.parametrize("width", [60, 900, 10**6])
