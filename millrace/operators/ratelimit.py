@@ -59,8 +59,7 @@ class AcceptedWindow:
 
 def _runs(moments: DataFrame, limit: int, window_us: int) -> DataFrame:
     """Give each instant its run; a run's first slot may only warm up the state."""
-    slotted = moments.withColumn("_slot", F.floor(F.col("_us") / window_us).cast("long"))
-    slots = slotted.groupBy("_client", "_slot").agg(F.sum("n").alias("_load"))
+    slots = moments.groupBy("_client", "_slot").agg(F.sum("n").alias("_load"))
     by_client = Window.partitionBy("_client").orderBy("_slot")
     follows = F.coalesce(F.lag("_slot").over(by_client) == F.col("_slot") - 1, F.lit(False))
     previous = F.when(follows, F.lag("_load").over(by_client)).otherwise(0)
@@ -81,7 +80,7 @@ def _runs(moments: DataFrame, limit: int, window_us: int) -> DataFrame:
     homes = numbered.select("_client", "_slot", F.explode(placed).alias("_h")).select(
         "_client", "_slot", "_h.run", "_h.answer"
     )
-    return slotted.join(homes, ["_client", "_slot"]).drop("_slot")
+    return moments.join(homes, ["_client", "_slot"]).drop("_slot")
 
 
 def _walk(limit: int, window_us: int):
@@ -113,7 +112,8 @@ def rate_limit(
 
     Requests of one instant are decided in ``tie`` order; ``tie`` is unique.
     ``remaining`` is what is left after the request, ``reset`` the epoch second
-    one window later.  The limit is global per client.
+    one window later.  The limit is global per client.  A request without a
+    time cannot be judged and is not allowed.
     """
     if limit < 1 or window_seconds < 1:
         raise ValueError("limit and window must be positive")
@@ -121,7 +121,14 @@ def rate_limit(
     requests = log.withColumn("_client", F.coalesce(F.col(client), F.lit(UNKNOWN_CLIENT))).withColumn(
         "_us", micros(ts)
     )
-    moments = requests.groupBy("_client", "_us").agg(F.count(F.lit(1)).alias("n"))
+    # Grouped by the slot as well, so that both uses below share one shuffle.
+    slot = F.floor(F.col("_us") / window_us).cast("long")
+    moments = (
+        requests.select("_client", "_us", slot.alias("_slot"))
+        .filter(F.col("_slot").isNotNull() & F.col("_us").isNotNull())
+        .groupBy("_client", "_us", "_slot")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     decided = (
         _runs(moments, limit, window_us)
         .select("_client", "run", "_us", "n", "answer")

@@ -260,7 +260,8 @@ def alert_matrix(spark, folder):
 @query(
     "alert_asof_metric",
     """with points as (
-select event_id as id, user_id, value, ts from events where event_type <> 'error'),
+select user_id, ts, arg_max(value, event_id) as value from events where event_type <> 'error'
+group by user_id, ts),
 a as (select event_id as id, user_id, ts as created_at from events where event_type = 'error')
 select a.id, 'user_' || cast(a.user_id as varchar) as metric_name, a.created_at, p.value as current_value
 from a asof left join points p on a.user_id = p.user_id and a.created_at >= p.ts""",

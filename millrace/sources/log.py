@@ -100,12 +100,13 @@ def consume(
     if not max_messages:
         return good, bad
     taken = good.orderBy(*POSITION).limit(max_messages)
-    end = taken.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.struct(*POSITION)).alias("last"),
-    ).select(F.when(F.col("n") >= max_messages, F.col("last")).alias("last"))
-    stop = end.scalar()
-    return taken, bad.filter(stop.isNull() | (F.struct(*POSITION) <= stop))
+    end = taken.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*POSITION)).alias("last")).collect()[0]
+    if end.n < max_messages:
+        return good, bad
+    # One position, known now: both sides read the log only up to it.
+    position = F.struct(*[F.lit(v).alias(n) for n, v in zip(POSITION, end.last)])
+    seen = (F.col("topic") <= end.last[0]) & (F.struct(*POSITION) <= position)
+    return good.filter(seen).orderBy(*POSITION).limit(max_messages), bad.filter(seen)
 
 
 def consume_counts(judged: DataFrame) -> DataFrame:
