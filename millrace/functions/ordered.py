@@ -21,6 +21,7 @@ instant are combined before they are moved, so copies cannot fill a bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ from millrace.sources.workspace import shared_folder
 # 10,000 rows a second still has only 9 million rows in one bucket.
 BUCKET_SECONDS = 900
 
+# Pieces counted per step of ``seek_descending``; also the rows it collects.
+SEEK_CUTS = 1000
+
 # Slices of a quantile's bracket (see ``exact_quantiles``).
 SLICES = 4096
 
@@ -96,38 +100,40 @@ def row_index(
     )
 
 
-def index_slice(
-    df: DataFrame,
-    order: Sequence[Column],
-    bucket: Column,
-    first: int,
-    size: int,
-    descending: bool = False,
-) -> DataFrame:
-    """Rows ``first .. first+size-1`` of the whole table under ``order``.
+def seek_descending(df: DataFrame, order: Column, skip: int, enough: int) -> tuple[int, int] | None:
+    """Where the row after the ``skip`` highest values of ``order`` lies.
+
+    Returns ``(high, rest)``: the wanted row is number ``rest`` among the rows
+    with ``order <= high``; ``rest`` is below ``enough`` unless more than
+    ``enough`` rows share one value.  None when there are not that many rows.
 
-    Only the buckets that overlap the slice are numbered; everything before
-    them is skipped by count.  The cost does not depend on how deep the slice
-    lies, unlike ``offset``, which keeps ``first + size`` rows in one task.
+    ``order`` is a long.  Its range is cut into ``SEEK_CUTS`` pieces, the
+    pieces are counted, and the one that holds the row is cut again: a few
+    counts over ever smaller ranges, whatever the depth or the distribution.
     """
-    rows = df.withColumn(_BUCKET, bucket)
-    step = F.desc(_BUCKET) if descending else F.asc(_BUCKET)
-    earlier = Window.partitionBy(F.lit(0)).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
-        rows.groupBy(_BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(_BUCKET, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-        .filter((F.col("_start") < first + size) & (F.col("_start") + F.col("_n") > first))
-        .drop("_n")
-    )
-    inside = _attach(rows, wanted, [_BUCKET])
-    position = F.col("_start") + F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order)) - 1
-    return (
-        inside.withColumn("_position", position)
-        .filter((F.col("_position") >= first) & (F.col("_position") < first + size))
-        .drop(_BUCKET, "_start")
-        .withColumnRenamed("_position", "row_index")
-    )
+    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).collect()[0]
+    low, high = ends.low, ends.high
+    if low is None:
+        return None
+    while True:
+        width = (high - low) // SEEK_CUTS + 1
+        piece = F.floor((order - F.lit(low)) / F.lit(width)).cast("long")
+        counts = (
+            df.filter((order >= F.lit(low)) & (order <= F.lit(high)))
+            .groupBy(piece.alias("piece"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("piece"))
+            .collect()
+        )
+        for row in counts:
+            if skip < row.n:
+                break
+            skip -= row.n
+        else:
+            return None
+        low, high = low + row.piece * width, min(high, low + (row.piece + 1) * width - 1)
+        if row.n <= enough or low == high:
+            return high, skip
 
 
 def trailing_rows(
@@ -161,40 +167,66 @@ def trailing_rows(
     )
 
 
-def trailing_mean(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    value: str,
-    seconds: int,
-    bucket_seconds: int | None = None,
-) -> DataFrame:
+def _frame_steps(total_us: int) -> int:
+    """Into how many equal buckets a time frame is cut: each at most
+    ``BUCKET_SECONDS`` wide, and at least eight."""
+    fewest = max(8, -(-total_us // (BUCKET_SECONDS * 1_000_000)))
+    return next(k for k in count(fewest) if total_us % k == 0)
+
+
+def trailing_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, seconds: int) -> DataFrame:
     """Add ``moving_average`` and ``points`` over the key's rows in ``[ts - seconds, ts]``.
 
-    Rows of one instant share their frame, so they are summed first and the
-    frame runs over instants.  Buckets are at least as wide as the frame;
-    instants that a frame of the next bucket can still reach are copied there.
+    A sliding frame adds up every row of every frame again and needs the key's
+    history in one task.  Here rows of one instant are summed first, the frame
+    is a whole number of buckets long, and a frame's sum has three parts: the
+    instant's own bucket up to the instant, the whole buckets before it, and
+    the end of the bucket in which the frame begins.  Each part is a running
+    sum inside ``(keys, bucket)`` or over bucket totals.
     """
-    width = max(bucket_seconds or 0, seconds)
+    total_us = seconds * 1_000_000
+    steps = _frame_steps(total_us)
+    width = total_us // steps
+    sums = ["_sum", "_values", "_rows"]
+    parts = [*keys, _BUCKET]
     instants = (
         df.groupBy(*keys, ts)
         .agg(F.sum(value).alias("_sum"), F.count(value).alias("_values"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_us", micros(ts))
-        .withColumn("_home", time_bucket(ts, width))
+        .withColumn("_at", micros(ts))
+        .withColumn(_BUCKET, F.floor(F.col("_at") / F.lit(width)).cast("long"))
     )
-    next_start = (F.col("_home") + 1) * F.lit(width * 1_000_000)
-    reaches_next = F.col("_us") >= next_start - F.lit(seconds * 1_000_000)
-    copies = instants.withColumn(
-        _BUCKET,
-        F.explode(F.when(reaches_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
+    # Each instant stands in its own bucket, and its frame's begin in an earlier one.
+    here = F.struct("_at", _BUCKET, F.lit(0).alias("_side"), *sums)
+    begin = F.struct(
+        (F.col("_at") - F.lit(total_us)).alias("_at"), (F.col(_BUCKET) - F.lit(steps)).alias(_BUCKET),
+        F.lit(1).alias("_side"), *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in sums],
+    )
+    both = instants.select(*keys, ts, F.explode(F.array(here, begin)).alias("_e")).select(*keys, ts, "_e.*")
+    so_far = Window.partitionBy(*parts).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    to_end = Window.partitionBy(*parts).orderBy(F.desc("_at"), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    edges = both.select(
+        *keys, ts, _BUCKET, "_side",
+        *[F.when(F.col("_side") == 0, F.sum(c).over(so_far)).otherwise(F.sum(c).over(to_end)).alias(c) for c in sums],
+    )
+    between = Window.partitionBy(*keys).orderBy(_BUCKET).rangeBetween(-(steps - 1), -1)
+    wholes = (
+        instants.groupBy(*parts)
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .select(*parts, *[F.sum(c).over(between).alias(f"{c}_whole") for c in sums])
     )
-    frame = Window.partitionBy(*keys, _BUCKET).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
-    means = (
-        copies.withColumn("moving_average", F.sum("_sum").over(frame) / F.nullif(F.sum("_values").over(frame), F.lit(0)))
-        .withColumn("points", F.sum("_rows").over(frame))
-        .filter(F.col(_BUCKET) == F.col("_home"))
-        .select(*keys, ts, "moving_average", "points")
+    whole = [F.when(F.col("_side") == 0, F.col(f"{c}_whole")) for c in sums]
+    pieces = _attach(edges, wholes, parts, "left").select(
+        *keys, ts, *[(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(w, F.lit(0))).alias(c) for c, w in zip(sums, whole)]
     )
+    means = (
+        pieces.groupBy(*keys, ts)
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .select(
+            *keys, ts,
+            (F.col("_sum") / F.nullif(F.col("_values"), F.lit(0))).alias("moving_average"),
+            F.col("_rows").cast("long").alias("points"),
+        )
+    )
     return _attach(df, means, [*keys, ts])
 
 

@@ -167,11 +167,9 @@ def moving_average_rows(
     return trailing_rows(df, [key], order, bucket, rows, {"moving_average": F.avg(value)}, chunk_rows)
 
 
-def moving_average_range(
-    df: DataFrame, key: str, ts: str, value: str, seconds: int, bucket_seconds: int | None = None
-) -> DataFrame:
+def moving_average_range(df: DataFrame, key: str, ts: str, value: str, seconds: int) -> DataFrame:
     """Mean of the key's values in the last ``seconds``, the current row included."""
-    return trailing_mean(df, [key], ts, value, seconds, bucket_seconds)
+    return trailing_mean(df, [key], ts, value, seconds)
 
 
 def label_key(labels: Column | str) -> Column:

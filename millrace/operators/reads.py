@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.ordered import BUCKET_SECONDS, index_slice
-from millrace.functions.scalars import minus, naive, page_count, time_bucket
+from millrace.functions.ordered import seek_descending
+from millrace.functions.scalars import micros, minus, naive, page_count
 from millrace.schemas import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE, MAX_REQUEST_BYTES, MAX_WINDOW_HOURS, METRIC_READ_CAP
 
-# Up to this many rows a page is one top-k; deeper pages seek by bucket counts.
+# Up to this many rows a page is one top-k; deeper pages are found by counting.
 TOP_K_ROWS = 10_000
 
 
@@ -88,12 +88,12 @@ def page(
     pred: Column | None = None,
     ts: str = "created_at",
     tie: str = "id",
-    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
-    """One page, newest first.
+    """One page, newest first; ``tie`` is a whole number.
 
-    Near pages are a top-k of ``offset + size`` rows.  Deep pages would make
-    that top-k large, so they skip whole time buckets by their counts.
+    Near pages are a top-k of ``offset + size`` rows.  A deep page would make
+    that top-k large, so its place is found by counting first, and only rows
+    from there on are read and ordered.
     """
     check_page(number, size)
     first = (number - 1) * size
@@ -101,8 +101,18 @@ def page(
     order = [F.desc(ts), F.desc(tie)]
     if first + size <= TOP_K_ROWS:
         return rows.orderBy(*order).offset(first).limit(size)
-    found = index_slice(rows, order, time_bucket(ts, bucket_seconds), first, size, descending=True)
-    return found.drop("row_index").orderBy(*order)
+    timed = rows.filter(F.col(ts).isNotNull())
+    place = seek_descending(timed, micros(ts), first, TOP_K_ROWS)
+    if place is None:
+        return rows.limit(0)
+    high, rest = place
+    at = naive(datetime(1970, 1, 1) + timedelta(microseconds=high))
+    bound = F.col(ts) <= at
+    if rest >= TOP_K_ROWS:
+        # More rows than that share one instant: go on by the tie-break.
+        last, rest = seek_descending(timed.filter(F.col(ts) == at), F.col(tie), rest, TOP_K_ROWS)
+        bound = bound & ((F.col(ts) < at) | (F.col(tie) <= F.lit(last)))
+    return timed.filter(bound).orderBy(*order).offset(rest).limit(size)
 
 
 def page_after(

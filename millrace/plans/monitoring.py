@@ -275,7 +275,7 @@ def alert_asof_metric(spark, folder):
     alerts = events.filter(is_error).select(
         "id", name.alias("metric_name"), "created_at", F.lit(None).cast("double").alias("current_value")
     )
-    return metric_ops.alert_current_values(alerts, points, bucket_seconds=86400)
+    return metric_ops.alert_current_values(alerts, points)
 
 
 _RULES = (

@@ -198,8 +198,8 @@ def page_alerts(spark, folder):
 
 @query("page_deep", _page_sql("jobs", JOB_ROW, "true", 120, 100))
 def page_deep(spark, folder):
-    """Beyond the top-k limit: found by bucket counts."""
-    return reads.page(records.jobs(spark, folder).select(*JOB_COLUMNS), 120, 100, bucket_seconds=86400)
+    """Beyond the top-k limit: found by counting."""
+    return reads.page(records.jobs(spark, folder).select(*JOB_COLUMNS), 120, 100)
 
 
 @query(

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import ordered
-from millrace.functions.scalars import time_bucket
+from millrace.functions.scalars import micros, time_bucket
 
 START = datetime(2024, 1, 1)
 
@@ -61,14 +61,19 @@ def test_row_index_null_key(spark):
     assert {r.id: r.row_index for r in out.collect()} == {i: i for i in range(10)}
 
 
-@pytest.mark.parametrize("first,size", [(0, 10), (1234, 100), (2990, 50), (5000, 10)])
-def test_index_slice_descending(df, rows, first, size):
-    out = ordered.index_slice(
-        df, [F.desc("ts"), F.desc("id")], time_bucket("ts", 300), first, size, descending=True
-    )
-    got = [r.id for r in sorted(out.collect(), key=lambda r: r.row_index)]
-    want = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]), reverse=True)]
-    assert got == want[first : first + size]
+@pytest.mark.parametrize("skip", [0, 1234, 2999, 5000])
+@pytest.mark.parametrize("enough", [1, 50, 10_000])
+def test_seek_descending(df, rows, skip, enough, monkeypatch):
+    monkeypatch.setattr(ordered, "SEEK_CUTS", 7)
+    place = ordered.seek_descending(df, micros("ts"), skip, enough)
+    values = sorted((int((r[2] - datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for r in rows), reverse=True)
+    if skip >= len(values):
+        assert place is None
+        return
+    high, rest = place
+    below = [v for v in values if v <= high]
+    assert len(values) - len(below) + rest == skip
+    assert below[rest] == values[skip]
 
 
 @pytest.mark.parametrize("n,chunk", [(1, 10), (4, 5), (10, 10), (25, 7)])
@@ -84,9 +89,9 @@ def test_trailing_rows(df, rows, n, chunk):
     assert got == want
 
 
-@pytest.mark.parametrize("seconds,width", [(60, None), (60, 3600), (900, 900)])
-def test_trailing_mean(df, rows, seconds, width):
-    out = ordered.trailing_mean(df, ["k"], "ts", "value", seconds, width)
+@pytest.mark.parametrize("seconds", [1, 60, 900, 5000, 100_000])
+def test_trailing_mean(df, rows, seconds):
+    out = ordered.trailing_mean(df, ["k"], "ts", "value", seconds)
     got = {r.id: (r.points, r.moving_average) for r in out.collect()}
     assert len(got) == len(rows)
     for g in by_key(rows).values():
@@ -95,14 +100,25 @@ def test_trailing_mean(df, rows, seconds, width):
             assert got[r[0]] == (len(frame), pytest.approx(sum(frame) / len(frame)))
 
 
+def test_trailing_mean_skips_null_values(spark):
+    data = [("a", START, None), ("a", START + timedelta(seconds=1), 4.0), ("b", START, None)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, v double")
+    got = {(r.k, r.ts): (r.moving_average, r.points) for r in ordered.trailing_mean(df, ["k"], "ts", "v", 60).collect()}
+    assert got == {("a", START): (None, 1), ("a", START + timedelta(seconds=1)): (4.0, 2), ("b", START): (None, 1)}
+
+
 def test_range_parts_split_a_hot_instant(spark):
     """One key and one instant hold every row; the parts are still even."""
     df = spark.range(8000).select("id", F.lit("k").alias("k"), F.lit(START).cast("timestamp_ntz").alias("ts"))
-    parts = ordered.range_parts(df.repartition(4), ["k"], [F.col("ts"), F.col("id")]).groupBy("_part").agg(
-        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = ordered.range_parts(df.repartition(4), ["k"], [F.col("ts"), F.col("id")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = cut.groupBy("_part").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
     rows = sorted(parts.collect(), key=lambda r: r._part)
-    assert sum(r.n for r in rows) == 8000
+    assert sum(r.n for r in rows) == 8000 and len(rows) == 8
+    assert max(r.n for r in rows) < 2000
     assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
 
 

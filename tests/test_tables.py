@@ -172,6 +172,14 @@ def test_deep_page_equals_top_k(numbers, monkeypatch):
     near = [r.id for r in reads.page(numbers, 4, 10).collect()]
     monkeypatch.setattr(reads, "TOP_K_ROWS", 5)
     assert [r.id for r in reads.page(numbers, 4, 10).collect()] == near == list(range(69, 59, -1))
+    assert reads.page(numbers, 11, 10).count() == 0
+    assert reads.page(numbers.filter("id < 0"), 2, 10).count() == 0
+    instant = numbers.withColumn("created_at", F.lit(AS_OF).cast("timestamp_ntz"))
+    assert [r.id for r in reads.page(instant, 4, 10).collect()] == near
+    mixed = numbers.withColumn("created_at", F.when(F.col("id") < 50, F.lit(AS_OF).cast("timestamp_ntz")).otherwise(F.col("created_at")))
+    want = [r.id for r in sorted(mixed.collect(), key=lambda r: (r.created_at, r.id), reverse=True)]
+    got = [r.id for n in range(1, 11) for r in reads.page(mixed, n, 10).collect()]
+    assert got == want
 
 
 def test_field_absent(spark):
