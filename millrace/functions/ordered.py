@@ -263,8 +263,13 @@ def latest_before(
     earlier = Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     borders = (
         instants.groupBy(key, _BUCKET)
-        .agg(F.max_by("_point", F.when(F.col("_point").isNotNull(), F.col(ts))).alias("_last"))
-        .select(key, _BUCKET, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+        .agg(
+            F.max_by("_point", F.when(F.col("_point").isNotNull(), F.col(ts))).alias("_last"),
+            F.bool_or("_asked").alias("_asked"),
+        )
+        .select(key, _BUCKET, "_asked", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+        .filter("_asked")
+        .drop("_asked")
     )
     answers = _attach(answered, borders, [key, _BUCKET], "left").select(
         key, ts, F.coalesce("_inside", "_carried")["value"].alias(name)

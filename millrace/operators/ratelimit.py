@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,19 +84,40 @@ def _runs(moments: DataFrame, limit: int, window_us: int) -> DataFrame:
     return moments.join(homes, ["_client", "_slot"]).drop("_slot")
 
 
+def _decide(window: AcceptedWindow, at: np.ndarray, n: np.ndarray, before: np.ndarray, accepted: np.ndarray) -> None:
+    """Fill in the decisions of consecutive instants of one run.
+
+    While the window is full nothing can be accepted before its oldest
+    instant leaves, so a saturated stretch is crossed in jumps.
+    """
+    i, end = 0, len(at)
+    while i < end:
+        before[i], accepted[i] = window.offer(int(at[i]), int(n[i]))
+        i += 1
+        if window.size >= window.limit and i < end:
+            free = window.instants[0][0] + window.window_us
+            if at[i] <= free:
+                full = i + int(np.searchsorted(at[i:], free, side="right"))
+                before[i:full] = window.limit
+                i = full
+
+
 def _walk(limit: int, window_us: int):
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, window = None, None
         for batch in batches:
-            before, accepted = [], []
-            for client, run, at, n in zip(batch["_client"], batch["run"], batch["_us"], batch["n"]):
-                if (client, run) != current:
-                    current, window = (client, run), AcceptedWindow(limit, window_us)
-                b, a = window.offer(at, n)
-                before.append(b)
-                accepted.append(a)
+            at, n = batch["_us"].to_numpy(), batch["n"].to_numpy()
+            clients, numbers = batch["_client"].to_numpy(), batch["run"].to_numpy()
+            before, accepted = np.zeros(len(at), "int64"), np.zeros(len(at), "int64")
+            changes = (clients[1:] != clients[:-1]) | (numbers[1:] != numbers[:-1])
+            starts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(at)]
+            for low, high in zip(starts, starts[1:]):
+                if high > low:
+                    if (clients[low], numbers[low]) != current:
+                        current, window = (clients[low], numbers[low]), AcceptedWindow(limit, window_us)
+                    _decide(window, at[low:high], n[low:high], before[low:high], accepted[low:high])
             out = batch[["_client", "_us"]].assign(before=before, accepted=accepted)
-            yield out[batch["answer"]]
+            yield out[batch["answer"] & (accepted > 0)]
 
     return walk
 
