@@ -181,8 +181,8 @@ def trailing_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, secon
     history in one task.  Here rows of one instant are summed first, the frame
     is a whole number of buckets long, and a frame's sum has three parts: the
     instant's own bucket up to the instant, the whole buckets before it, and
-    the end of the bucket in which the frame begins.  Each part is a running
-    sum inside ``(keys, bucket)`` or over bucket totals.
+    the end of the bucket in which the frame begins.  The first and the last
+    come from one running sum inside ``(keys, bucket)``.
     """
     total_us = seconds * 1_000_000
     steps = _frame_steps(total_us)
@@ -195,29 +195,32 @@ def trailing_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, secon
         .withColumn("_at", micros(ts))
         .withColumn(_BUCKET, F.floor(F.col("_at") / F.lit(width)).cast("long"))
     )
-    # Each instant stands in its own bucket, and its frame's begin in an earlier one.
-    here = F.struct("_at", _BUCKET, F.lit(0).alias("_side"), *sums)
+    # Each instant stands in its own bucket, and its frame's begin in an earlier
+    # one; a begin sorts before an instant of the same time, which it includes.
+    here = F.struct("_at", _BUCKET, F.lit(1).alias("_side"), *sums)
     begin = F.struct(
         (F.col("_at") - F.lit(total_us)).alias("_at"), (F.col(_BUCKET) - F.lit(steps)).alias(_BUCKET),
-        F.lit(1).alias("_side"), *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in sums],
+        F.lit(0).alias("_side"), *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in sums],
     )
     both = instants.select(*keys, ts, F.explode(F.array(here, begin)).alias("_e")).select(*keys, ts, "_e.*")
     so_far = Window.partitionBy(*parts).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    to_end = Window.partitionBy(*parts).orderBy(F.desc("_at"), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    edges = both.select(
-        *keys, ts, _BUCKET, "_side",
-        *[F.when(F.col("_side") == 0, F.sum(c).over(so_far)).otherwise(F.sum(c).over(to_end)).alias(c) for c in sums],
-    )
+    edges = both.select(*keys, ts, _BUCKET, "_side", *[F.sum(c).over(so_far).alias(c) for c in sums])
     between = Window.partitionBy(*keys).orderBy(_BUCKET).rangeBetween(-(steps - 1), -1)
     wholes = (
         instants.groupBy(*parts)
         .agg(*[F.sum(c).alias(c) for c in sums])
-        .select(*parts, *[F.sum(c).over(between).alias(f"{c}_whole") for c in sums])
-    )
-    whole = [F.when(F.col("_side") == 0, F.col(f"{c}_whole")) for c in sums]
-    pieces = _attach(edges, wholes, parts, "left").select(
-        *keys, ts, *[(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(w, F.lit(0))).alias(c) for c, w in zip(sums, whole)]
+        .select(
+            *parts,
+            *[F.col(c).alias(f"{c}_own") for c in sums],
+            *[F.sum(c).over(between).alias(f"{c}_whole") for c in sums],
+        )
     )
+
+    def piece(c: str) -> Column:
+        part, own, whole = (F.coalesce(F.col(n), F.lit(0)) for n in (c, f"{c}_own", f"{c}_whole"))
+        return F.when(F.col("_side") == 1, part + whole).otherwise(own - part).alias(c)
+
+    pieces = _attach(edges, wholes, parts, "left").select(*keys, ts, *[piece(c) for c in sums])
     means = (
         pieces.groupBy(*keys, ts)
         .agg(*[F.sum(c).alias(c) for c in sums])

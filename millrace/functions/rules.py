@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import is_filled_object, with_once
-from millrace.schemas import Field, Record
+from millrace.schemas import ID_PATTERN, Field, Record
 
 ERRORS = "validation_errors"
 KEYS = "_keys"
@@ -109,6 +109,11 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     return checked.filter(F.size(ERRORS) == 0), checked.filter(F.size(ERRORS) > 0)
 
 
+def id_rules(column: str) -> list[Rule]:
+    """A text id must be present and well formed; for commands on single records."""
+    return [required(column, F.col(column)), matches(column, F.col(column), ID_PATTERN)]
+
+
 # --- JSON documents -------------------------------------------------------
 
 

@@ -17,11 +17,13 @@ from millrace.functions.rules import (
     validate,
     validate_documents,
 )
+from millrace.functions import scalars as sc
 from millrace.operators import outputs as output_ops
 from millrace.plans import records
 from millrace.plans.records import ctes
 from millrace.plans.registry import query
 from millrace.schemas import INGESTION, METRIC_NAME_PATTERN, SYSTEM_METRICS
+from millrace.sources.tables import load
 
 
 def _failures(spark, folder, rules: list[Rule]):
@@ -264,3 +266,33 @@ from ingestion group by source_type, topic, part_id""",
 )
 def ingest_volume_partition(spark, folder):
     return output_ops.ingest_volume_by_partition(records.ingestion(spark, folder), "part_id")
+
+
+@query(
+    "scalars",
+    """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as iso, epoch_us(ts) // 1000000 as epoch_seconds,
+  (epoch_us(ts) - epoch_us(timestamp '2024-01-01 00:00:00')) / 1e6 as since_start,
+  round(value * 1000, 2) as ms, coalesce(nullif(case when user_id % 3 = 0 then '' else event_type end, ''), 'none') as kind,
+  cast(ceil(event_id / 20.0) as bigint) as pages, greatest(0, 50 - user_id) as remaining,
+  'client-' || cast(user_id as varchar) as consumer, octet_length(encode(props)) as n_bytes,
+  list_contains(json_keys(props), 'k') as has_k, len(json_keys(props)) > 0 as filled
+from events""",
+)
+def scalars(spark, folder):
+    """The scalar functions, over every event."""
+    events = load(spark, folder, "events")
+    kind = F.when(F.col("user_id") % 3 == 0, "").otherwise(F.col("event_type"))
+    return events.select(
+        "event_id",
+        sc.iso_text("ts").alias("iso"),
+        sc.epoch_seconds("ts").alias("epoch_seconds"),
+        sc.seconds_between(sc.naive("2024-01-01 00:00:00"), "ts").alias("since_start"),
+        sc.round_ms("value").alias("ms"),
+        sc.or_default(kind, "none").alias("kind"),
+        sc.page_count(F.col("event_id"), 20).alias("pages"),
+        F.greatest(F.lit(0), 50 - F.col("user_id")).alias("remaining"),
+        sc.client_consumer_id(F.lit("client"), F.col("user_id").cast("string")).alias("consumer"),
+        F.octet_length("props").cast("long").alias("n_bytes"),
+        sc.has_key("props", "k").alias("has_k"),
+        sc.is_filled_object("props").alias("filled"),
+    )

@@ -206,6 +206,28 @@ def incremental_extract(spark, folder):
     return tables.changed_since(rows, datetime(1997, 6, 1), datetime(1997, 9, 1))
 
 
+@query(
+    "extract_chain",
+    ctes("jobs")
+    + """select id, status, updated_at, 'full' as kind from jobs where created_at <= timestamp '1997-06-01 00:00:00'
+union all
+select id, status, updated_at, 'increment' from jobs
+where coalesce(updated_at, created_at) > timestamp '1997-06-01 00:00:00'
+  and coalesce(updated_at, created_at) <= timestamp '1997-09-01 00:00:00'""",
+)
+def extract_chain(spark, folder):
+    """A full extract, then an increment that starts at the mark it left."""
+    rows = records.jobs(spark, folder).select("id", "status", "created_at", "updated_at")
+    root = shared_folder(spark, "extract")
+    full = tables.extract(spark, {"jobs": rows}, root, datetime(1997, 6, 1))
+    increment = tables.extract(spark, {"jobs": rows}, root, datetime(1997, 9, 1))
+    parts = [
+        spark.read.parquet(f"{path}/jobs").withColumn("kind", F.lit(kind))
+        for path, kind in ((full, "full"), (increment, "increment"))
+    ]
+    return parts[0].unionByName(parts[1]).drop("created_at")
+
+
 @query(
     "retention",
     ctes("ingestion")

@@ -56,6 +56,28 @@ def kafka_options(
     return options
 
 
+KAFKA_COLUMNS = ("key", "value", "topic", "partition")
+
+
+def kafka_sink(envelope: DataFrame, servers: str):
+    """A batch writer of envelope rows to Kafka; call ``save()`` on it."""
+    return (
+        envelope.select(*[c for c in KAFKA_COLUMNS if c in envelope.columns])
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+    )
+
+
+def kafka_stream_sink(envelope: DataFrame, servers: str, checkpoint: str):
+    """A stream writer of envelope rows to Kafka; call ``start()`` on it."""
+    return (
+        envelope.select(*[c for c in KAFKA_COLUMNS if c in envelope.columns])
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("checkpointLocation", checkpoint)
+    )
+
+
 def decode(envelope: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse ``value`` (JSON text or bytes) into ``message``; key as text.
 

@@ -29,9 +29,18 @@ def with_record_id(df: DataFrame, key_columns: Sequence[str], name: str = "id")
     return df.withColumn(name, F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 24))
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    """Append rows to a table, one or many."""
+def text_ids(df: DataFrame, *names: str) -> DataFrame:
+    """Ids as text, as readers get them."""
+    return df.withColumns({n: F.col(n).cast("string") for n in names or ("id",)})
+
+
+def append(
+    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, max_records: int | None = None
+) -> None:
+    """Append rows to a table, one or many; ``max_records`` bounds a file's rows."""
     writer = df.write.mode("append")
+    if max_records:
+        writer = writer.option("maxRecordsPerFile", max_records)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -131,6 +140,33 @@ def changed_since(df: DataFrame, last_mark: datetime, as_of: datetime) -> DataFr
     return df.filter((changed > naive(last_mark)) & (changed <= naive(as_of)))
 
 
+MARKS = "_marks"
+
+
+def last_mark(spark: SparkSession, root: str) -> datetime | None:
+    """The time up to which the extracts below ``root`` are complete."""
+    target, fs = _filesystem(spark, f"{root}/{MARKS}")
+    if not fs.exists(target):
+        return None
+    return spark.read.parquet(f"{root}/{MARKS}").agg(F.max("mark")).collect()[0][0]
+
+
+def extract(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of: datetime) -> str:
+    """Dump what changed since the last extract, everything the first time.
+
+    The mark is written after the data, so a failed extract is simply run again.
+    """
+    mark = last_mark(spark, root)
+    if mark is not None:
+        tables = {name: changed_since(df, mark, as_of) for name, df in tables.items()}
+    else:
+        tables = {name: df.filter(F.col("created_at") <= naive(as_of)) for name, df in tables.items()}
+    folder = snapshot(tables, root, as_of)
+    marks = spark.range(1).select(naive(as_of).alias("mark"))
+    marks.coalesce(1).write.mode("append").parquet(f"{root}/{MARKS}")
+    return folder
+
+
 def retained(df: DataFrame, ts: str, as_of: datetime, days: int = RETENTION_DAYS) -> DataFrame:
     """Rows not older than ``days`` at ``as_of``."""
     return df.filter(F.col(ts) >= minus(naive(as_of), days=days))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.rules import id_rules, quarantine
 from millrace.operators import alerts, algorithms, health, mutations, reads
 from millrace.operators import metrics as metric_ops
 from millrace.operators import requests as request_ops
@@ -263,3 +264,29 @@ def test_algorithms(spark, numbers):
     assert {r.id: r.moving_average for r in out.collect()}[10] == 9.5
     out = algorithms.run(rows, {"algorithm": "moving_average", "window_seconds": 120})
     assert {r.id: r.moving_average for r in out.collect()}[10] == 9.0
+
+
+def test_extract_can_be_repeated(spark, numbers):
+    rows = numbers.withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    root = shared_folder(spark, "x")
+    assert tables.last_mark(spark, root) is None
+    middle, end = datetime(1970, 1, 1, 0, 49), datetime(1970, 1, 2)
+    for _ in range(2):
+        tables.snapshot({"n": rows}, root, end)  # a run that died before its mark
+    full = tables.extract(spark, {"n": rows}, root, middle)
+    assert spark.read.parquet(f"{full}/n").count() == 50 and tables.last_mark(spark, root) == middle
+    rest = tables.extract(spark, {"n": rows}, root, end)
+    assert spark.read.parquet(f"{rest}/n").count() == 50 and tables.last_mark(spark, root) == end
+
+
+def test_append_bounds_files(spark, numbers):
+    path = shared_folder(spark, "t")
+    tables.append(numbers.coalesce(1), path, max_records=30)
+    assert sum(f.endswith(".parquet") for f in os.listdir(path)) == 4
+    assert dict(tables.text_ids(numbers).dtypes)["id"] == "string"
+
+
+def test_id_rules(spark):
+    df = spark.createDataFrame([("0" * 24,), ("nope",), (None,)], "alert_id string")
+    good, bad = quarantine(df, id_rules("alert_id"))
+    assert good.count() == 1 and bad.count() == 2
