@@ -304,7 +304,7 @@ def exact_quantiles(
     ``percentile`` keeps every distinct value of a group in one task.  Here a
     sketch of fixed size first brackets each quantile (its rank error is at
     most ``n / accuracy``); then only the distinct values inside the brackets
-    are ranked, with everything below them counted, not moved.
+    are moved and ranked, with everything below them counted.
     """
     slack = 2.0 / accuracy
     edges = []
@@ -330,18 +330,21 @@ def exact_quantiles(
         ).alias("_slot"),
     )
     slots = slots.select(*keys, "_total", "_slot.*")
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     # Inside a bracket the values fall into SLICES slices; the slice that holds
     # the target is found by counts and only its values are ranked one by one.
+    # Values below a bracket are one group, so they are counted before the shuffle.
+    parts = [*keys, "p"]
     width = F.col("high") - F.col("low")
     slice_ = F.floor((F.col(value) - F.col("low")) / width * SLICES)
-    known = (F.col(value) >= F.col("low")) & (width > 0) & (width < float("inf"))
+    known = (width > 0) & (width < float("inf"))
     near = (
-        _attach(counted, slots, list(keys))
+        _attach(df.filter(F.col(value).isNotNull()).select(*keys, value), slots, list(keys))
         .filter(F.col(value) <= F.col("high"))
         .withColumn("_slice", F.when(F.col(value) < F.col("low"), -1).when(known, slice_).otherwise(0).cast("long"))
+        .withColumn(value, F.when(F.col("_slice") >= 0, F.col(value)))
+        .groupBy(*parts, "_total", "_slice", value)
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    parts = [*keys, "p"]
     target = F.greatest(F.ceil(F.col("p") * F.col("_total")), F.lit(1))
     upto = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
     found = (

@@ -6,6 +6,7 @@ twins; ``ctes`` joins those a query needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,9 @@ from millrace.functions.ordered import BUCKET_SECONDS, row_index
 from millrace.functions.scalars import iso_text, naive, seconds_between, time_bucket
 from millrace.sources.tables import load
 
+# How a derivation gets a table: as a batch (``load``) or as a stream.
+Reader = Callable[[SparkSession, str, str], DataFrame]
+
 AS_OF = datetime(2024, 1, 31)
 PARTITIONS = 12
 
@@ -70,7 +74,7 @@ def envelope(spark: SparkSession, folder: str) -> DataFrame:
     return row_index(messages, ["topic", "partition"], order, time_bucket("timestamp", BUCKET_SECONDS), "offset")
 
 
-def jobs(spark: SparkSession, folder: str) -> DataFrame:
+def jobs(spark: SparkSession, folder: str, read: Reader = load) -> DataFrame:
     k = F.col("k")
     state = F.col("o_orderstatus")
     status = (
@@ -81,7 +85,7 @@ def jobs(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("processing")
     )
     base = (
-        load(spark, folder, "orders")
+        read(spark, folder, "orders")
         .withColumnRenamed("o_orderkey", "k")
         .select(
             k,
@@ -118,9 +122,9 @@ def jobs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def job_events(spark: SparkSession, folder: str) -> DataFrame:
+def job_events(spark: SparkSession, folder: str, read: Reader = load) -> DataFrame:
     """(job_id, ts, event, seq, error_message), one row per change of a job."""
-    source = jobs(spark, folder)
+    source = jobs(spark, folder, read)
     changes = F.array(
         F.struct(F.col("created_at").alias("ts"), F.lit("created").alias("event"), F.lit(0).alias("seq"),
                  F.lit(None).cast("string").alias("error_message")),
@@ -204,9 +208,9 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def request_log(spark: SparkSession, folder: str) -> DataFrame:
+def request_log(spark: SparkSession, folder: str, read: Reader = load) -> DataFrame:
     kind = F.col("event_type")
-    return load(spark, folder, "events").select(
+    return read(spark, folder, "events").select(
         F.col("event_id").alias("request_id"),
         "ts",
         text("user_id").alias("client_id"),

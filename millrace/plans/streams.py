@@ -17,28 +17,6 @@ from millrace.sources.workspace import shared_folder
 from millrace.streaming import ingest, rollups, source, state
 
 
-class _Streamed:
-    """Reads the record derivations' tables as streams instead of batches.
-
-    The derivations only call ``spark.read.parquet(path)``.
-    """
-
-    def __init__(self, spark, folder):
-        self._spark, self._folder = spark, folder
-
-    @property
-    def read(self):
-        return self
-
-    def parquet(self, path):
-        name = path[len(self._folder) + 1 : -len(".parquet")]
-        return source.table_stream(self._spark, self._folder, name)
-
-
-def streamed(derive, spark, folder):
-    return derive(_Streamed(spark, folder), folder)
-
-
 def _naive(df, *columns):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
@@ -147,7 +125,7 @@ group by window_start"""
 
 
 def _rolled(spark, folder, window, slide=None):
-    stream = rollups.rolling_stream(streamed(records.request_log, spark, folder), window, "10 minutes", slide)
+    stream = rollups.rolling_stream(records.request_log(spark, folder, source.table_stream), window, "10 minutes", slide)
     base = shared_folder(spark, "rollup")
     source.drain(ingest.file_writer(stream, f"{base}/out", f"{base}/checkpoint"))
     rows = _naive(spark.read.parquet(f"{base}/out"), "window_start", "window_end")
@@ -177,7 +155,7 @@ from jobs, (select max(t) - interval 1 hour as mark
   from (select greatest(created_at, started_at, completed_at) as t from jobs))""",
 )
 def stream_jobs(spark, folder):
-    events = streamed(records.job_events, spark, folder)
+    events = records.job_events(spark, folder, source.table_stream)
     base = shared_folder(spark, "jobs")
     lifecycle = state.job_lifecycle(events, "1 hour")
     source.drain(ingest.batch_writer(lifecycle, f"{base}/out", f"{base}/checkpoint", "update"))
@@ -188,7 +166,7 @@ def stream_jobs(spark, folder):
 
 @query("stream_rate_limit", RATE_SQL)
 def stream_rate_limit(spark, folder):
-    log = streamed(records.request_log, spark, folder).select("request_id", "client_id", "ts")
+    log = records.request_log(spark, folder, source.table_stream).select("request_id", "client_id", "ts")
     base = shared_folder(spark, "rate")
     decided = state.rate_limit_stream(log, "1 day", limit=3, window_seconds=86400)
     source.drain(ingest.file_writer(decided, f"{base}/out", f"{base}/checkpoint"))
@@ -230,7 +208,7 @@ select metric, threshold, 'resolve', make_timestamp((last + 1) * 3600000000),
 from islands where last < (select max(step) from closed c where c.metric = islands.metric)""",
 )
 def stream_alerts(spark, folder):
-    points = request_points(streamed(records.request_log, spark, folder))
+    points = request_points(records.request_log(spark, folder, source.table_stream))
     base = shared_folder(spark, "alerts")
     steps = state.step_means(points, "10 minutes", step_seconds=3600)
     source.drain(ingest.file_writer(steps, f"{base}/steps", f"{base}/checkpoint-steps"))
@@ -253,8 +231,8 @@ where completed_at is not null and duration_seconds <= 600""",
 )
 def stream_join(spark, folder):
     """Starts and finishes of jobs as two streams, matched within ten minutes."""
-    starts = streamed(records.jobs, spark, folder).select("job_id", "started_at")
-    ends = streamed(records.jobs, spark, folder).select("job_id", F.col("completed_at").alias("output_at"))
+    starts = records.jobs(spark, folder, source.table_stream).select("job_id", "started_at")
+    ends = records.jobs(spark, folder, source.table_stream).select("job_id", F.col("completed_at").alias("output_at"))
     base = shared_folder(spark, "join")
     joined = rollups.outputs_of_jobs(
         starts.filter("started_at is not null"), ends.filter("output_at is not null"), "2 hours", 600

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from millrace.functions.ordered import row_index
+from millrace.functions.ordered import row_index, seek_descending
 from millrace.functions.rules import ERRORS, Rule, validate
 from millrace.functions.scalars import iso_text, naive, with_once
 from millrace.schemas import POLL_RECORDS
@@ -26,6 +26,9 @@ _CORRUPT = "_corrupt"
 _TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_BODY = {"ignoreNullFields": "false", "timestampFormat": _TIME_TEXT, "timestampNTZFormat": _TIME_TEXT}
 
+# Up to this many messages a capped consumption is one top-k.
+TOP_K_MESSAGES = 10_000
+
 # Offsets are cut into ranges of this many for ordered work on one partition.
 OFFSET_RANGE = 1_000_000
 
@@ -121,14 +124,44 @@ def consume(
     bad = judged.filter(F.size(ERRORS) > 0)
     if not max_messages:
         return good, bad
-    taken = good.orderBy(*POSITION).limit(max_messages)
-    end = taken.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*POSITION)).alias("last")).collect()[0]
-    if end.n < max_messages:
+    end = _position_of(good, max_messages)
+    if end is None:
         return good, bad
-    # One position, known now: both sides read the log only up to it.
-    position = F.struct(*[F.lit(v).alias(n) for n, v in zip(POSITION, end.last)])
-    seen = (F.col("topic") <= end.last[0]) & (F.struct(*POSITION) <= position)
-    return good.filter(seen).orderBy(*POSITION).limit(max_messages), bad.filter(seen)
+    # The position is known now, so both sides read the log only up to it.
+    last, copies = end
+    here = F.struct(*[F.lit(v).cast(judged.schema[n].dataType).alias(n) for n, v in zip(POSITION, last)])
+    before = (F.col("topic") <= last[0]) & (F.struct(*POSITION) < here)
+    at = F.struct(*POSITION) == here
+    return good.filter(before).unionByName(good.filter(at).limit(copies)), bad.filter(before)
+
+
+def _position_of(good: DataFrame, n: int) -> tuple[tuple, int] | None:
+    """Position of the ``n``-th message and how many of its copies belong to the
+    first ``n``; None if there are fewer.
+
+    A small ``n`` is a top-k.  For a large one the partition is found by counts
+    and the offset in it by counts of ever smaller ranges.
+    """
+    if n <= TOP_K_MESSAGES:
+        taken = good.select(*POSITION).orderBy(*POSITION).limit(n)
+        end = (
+            taken.groupBy(*POSITION)
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .agg(F.sum("copies").alias("n"), F.max(F.struct(*POSITION, "copies")).alias("last"))
+            .collect()[0]
+        )
+        return (tuple(end.last[:3]), end.last.copies) if end.n == n else None
+    counts = good.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).orderBy("topic", "partition")
+    skip = n - 1
+    for row in counts.collect():
+        if skip < row.n:
+            break
+        skip -= row.n
+    else:
+        return None
+    inside = good.filter((F.col("topic") == row.topic) & (F.col("partition") == row.partition))
+    negative, rest = seek_descending(inside, -F.col("offset"), skip, 0)
+    return (row.topic, row.partition, -negative), rest + 1
 
 
 def consume_counts(judged: DataFrame) -> DataFrame:

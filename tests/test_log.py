@@ -49,6 +49,22 @@ def test_cap_beyond_the_end_reads_everything(spark):
     assert offsets(good) == [0] and offsets(bad) == [1]
 
 
+@pytest.mark.parametrize("top_k", [0, 10_000])
+@pytest.mark.parametrize("cap", [1, 2, 5, 6, 7, 9, 100])
+def test_cap_over_partitions_and_copies(spark, monkeypatch, top_k, cap):
+    """The same answer from the top-k and from counting; offset 3 of partition 1 comes three times."""
+    monkeypatch.setattr(log, "TOP_K_MESSAGES", top_k)
+    spec = [(0, 0, 1), (0, 1, None), (0, 2, 2), (1, 0, 3), (1, 1, None), (1, 3, 4), (1, 3, 4), (1, 3, 4), (1, 7, None),
+            (2, 0, 5)]
+    rows = [("k", "bad" if n is None else f'{{"n":{n}}}', "t", p, o, datetime(2024, 1, 1)) for p, o, n in spec]
+    good, bad = log.consume(spark.createDataFrame(rows, ENVELOPE), PAYLOAD, rules(), cap)
+    fine = [(p, o) for p, o, n in spec if n is not None]
+    taken = fine[:cap]
+    stop = taken[-1] if len(fine) >= cap else (9, 9)
+    assert sorted((r.partition, r.offset) for r in good.collect()) == taken
+    assert sorted((r.partition, r.offset) for r in bad.collect()) == [(p, o) for p, o, n in spec if n is None and (p, o) < stop]
+
+
 def test_decode_bytes_and_empty(spark):
     rows = [(bytearray(b"key"), bytearray(b'{"n":7}')), (bytearray(b""), bytearray(b""))]
     df = spark.createDataFrame(rows, "key binary, value binary")
