@@ -84,8 +84,10 @@ def _runs(moments: DataFrame, limit: int, window_us: int) -> DataFrame:
     return moments.join(homes, ["_client", "_slot"]).drop("_slot")
 
 
-def _decide(window: AcceptedWindow, at: np.ndarray, n: np.ndarray, before: np.ndarray, accepted: np.ndarray) -> None:
-    """Fill in the decisions of consecutive instants of one run.
+def decide_run(
+    window: AcceptedWindow, at: np.ndarray, n: np.ndarray, before: np.ndarray, accepted: np.ndarray
+) -> None:
+    """Fill in the decisions of consecutive instants of one client.
 
     While the window is full nothing can be accepted before its oldest
     instant leaves, so a saturated stretch is crossed in jumps.
@@ -115,7 +117,7 @@ def _walk(limit: int, window_us: int):
                 if high > low:
                     if (clients[low], numbers[low]) != current:
                         current, window = (clients[low], numbers[low]), AcceptedWindow(limit, window_us)
-                    _decide(window, at[low:high], n[low:high], before[low:high], accepted[low:high])
+                    decide_run(window, at[low:high], n[low:high], before[low:high], accepted[low:high])
             out = batch[["_client", "_us"]].assign(before=before, accepted=accepted)
             yield out[batch["answer"] & (accepted > 0)]
 

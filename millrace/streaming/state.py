@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.scalars import micros
 from millrace.operators.metrics import Trigger, breached, trigger_table
-from millrace.operators.ratelimit import UNKNOWN_CLIENT, AcceptedWindow
+from millrace.operators.ratelimit import UNKNOWN_CLIENT, AcceptedWindow, decide_run
 from millrace.schemas import JOB_TIMEOUT_SECONDS, RATE_LIMIT_PER_WINDOW, RATE_WINDOW_SECONDS
 from millrace.streaming.source import event_time
 
@@ -176,15 +177,17 @@ def rate_limit_stream(
                 clients[client] = AcceptedWindow(limit, window_us, list(zip(stamps, sizes)))
         rows = None
         if not state.hasTimedOut:
-            rows = _sorted(frames, ["us", "request_id"])
-            allowed, remaining = [], []
-            for client, at in zip(rows["client_id"], rows["us"]):
-                window = clients.get(client)
-                if window is None:
-                    window = clients[client] = AcceptedWindow(limit, window_us)
-                before, accepted = window.offer(max(at, window.newest), 1)
-                allowed.append(bool(accepted))
-                remaining.append(max(0, limit - before - accepted))
+            rows = pd.concat(list(frames), ignore_index=True)
+            codes, names = pd.factorize(rows["client_id"])
+            order = np.lexsort((rows["request_id"], rows["us"], codes))
+            rows, codes = rows.iloc[order], codes[order]
+            at = rows["us"].to_numpy()
+            one, before, accepted = np.ones(len(at), "int64"), np.zeros(len(at), "int64"), np.zeros(len(at), "int64")
+            starts = [*np.searchsorted(codes, np.arange(len(names))).tolist(), len(at)]
+            for name, low, high in zip(names, starts, starts[1:]):
+                window = clients.setdefault(name, AcceptedWindow(limit, window_us))
+                part = slice(low, high)
+                decide_run(window, np.maximum(at[part], window.newest), one[part], before[part], accepted[part])
         # Instants the watermark has left a window behind count for nobody.
         oldest = state.getCurrentWatermarkMs() * 1000 - window_us
         live = {c: w for c, w in clients.items() if w.newest >= oldest}
@@ -206,8 +209,8 @@ def rate_limit_stream(
                     "request_id": rows["request_id"],
                     "client_id": rows["client_id"],
                     "ts_us": rows["us"],
-                    "allowed": allowed,
-                    "remaining": remaining,
+                    "allowed": accepted > 0,
+                    "remaining": np.maximum(0, limit - before - accepted),
                     "reset": rows["us"] // 1_000_000 + window_seconds,
                 }
             )
