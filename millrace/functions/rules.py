@@ -157,8 +157,9 @@ def typed_documents(df: DataFrame, record: Record) -> DataFrame:
 
 
 def document_rules(record: Record) -> list[Rule]:
-    """Rules on the JSON shape: readable, no unknown keys, convertible values,
-    no explicit null where the record has a non-null default."""
+    """Rules on the JSON shape, for the output of ``typed_documents``: readable,
+    no unknown keys, convertible values, no explicit null where the record has
+    a non-null default."""
     allowed = F.array(*[F.lit(n) for n in record.field_names])
     rules = [
         Rule("document", "json", F.col(KEYS).isNotNull()),
@@ -167,7 +168,7 @@ def document_rules(record: Record) -> list[Rule]:
     for f in record.fields:
         text = F.col(RAW)[f.name]
         if not isinstance(f.type, T.StringType):
-            rules.append(Rule(f.name, "type", text.isNull() | _typed(f).isNotNull()))
+            rules.append(Rule(f.name, "type", text.isNull() | F.col(f.name).isNotNull()))
         if f.default is not None and not f.nullable:
             explicit_null = F.array_contains(KEYS, f.name) & text.isNull()
             rules.append(Rule(f.name, "required", ~F.coalesce(explicit_null, F.lit(False))))

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="millrace-")
+
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that all executors can reach.
@@ -14,10 +22,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
     fall back to a temporary folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(SETTING, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+            raise ValueError(f"set {SETTING} to a folder shared by all executors")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -10,10 +10,7 @@ sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from checker import session
 
-    s = session()
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return s
+    return session()
