@@ -152,7 +152,8 @@ def retry_schedule(spark, folder):
     ctes("jobs")
     + """select job_id, status, elapsed_seconds from (
   select job_id, status,
-    round((epoch_us(coalesce(completed_at, timestamp '2024-01-31 00:00:00')) - epoch_us(started_at)) / 1e6, 3) as elapsed_seconds
+    round((epoch_us(coalesce(completed_at, timestamp '2024-01-31 00:00:00')) - epoch_us(started_at)) / 1e6, 3)
+      as elapsed_seconds
   from jobs) where elapsed_seconds > 300""",
 )
 def jobs_timed_out(spark, folder):

@@ -136,8 +136,9 @@ from indexed""",
 def produce_batch(spark, folder):
     """One batch per source type; keys are given for its first hundred messages."""
     rows = records.ingestion(spark, folder).select("id", "source_type", "created_at")
+    first_hundred = F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i")
     keys = (
-        rows.select("source_type").distinct().select("source_type", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i"))
+        rows.select("source_type").distinct().select("source_type", first_hundred)
         .select("source_type", F.col("i").cast("long").alias("batch_index"),
                 F.concat(F.lit("key-"), F.col("i").cast("string")).alias("message_key"))
     )

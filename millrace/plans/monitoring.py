@@ -122,7 +122,8 @@ buckets as ("""
     + _bucket_rows("name, label_slot", "value", "h", _ROLLUP_BOUNDS)
     + """),
 rolled as (
-select name, label_slot, 'total' as stat, sum(value) as value from slots where type = 'counter' group by name, label_slot
+select name, label_slot, 'total' as stat, sum(value) as value from slots where type = 'counter'
+group by name, label_slot
 union all
 select name, label_slot, 'last', arg_max(value, (created_at, id)) from slots where type = 'gauge'
 group by name, label_slot

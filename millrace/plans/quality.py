@@ -272,7 +272,8 @@ def ingest_volume_partition(spark, folder):
     "scalars",
     """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as iso, epoch_us(ts) // 1000000 as epoch_seconds,
   (epoch_us(ts) - epoch_us(timestamp '2024-01-01 00:00:00')) / 1e6 as since_start,
-  round(value * 1000, 2) as ms, coalesce(nullif(case when user_id % 3 = 0 then '' else event_type end, ''), 'none') as kind,
+  round(value * 1000, 2) as ms,
+  coalesce(nullif(case when user_id % 3 = 0 then '' else event_type end, ''), 'none') as kind,
   cast(ceil(event_id / 20.0) as bigint) as pages, greatest(0, 50 - user_id) as remaining,
   'client-' || cast(user_id as varchar) as consumer, octet_length(encode(props)) as n_bytes,
   list_contains(json_keys(props), 'k') as has_k, len(json_keys(props)) > 0 as filled

@@ -125,7 +125,8 @@ group by window_start"""
 
 
 def _rolled(spark, folder, window, slide=None):
-    stream = rollups.rolling_stream(records.request_log(spark, folder, source.table_stream), window, "10 minutes", slide)
+    log = records.request_log(spark, folder, source.table_stream)
+    stream = rollups.rolling_stream(log, window, "10 minutes", slide)
     base = shared_folder(spark, "rollup")
     source.drain(ingest.file_writer(stream, f"{base}/out", f"{base}/checkpoint"))
     rows = _naive(spark.read.parquet(f"{base}/out"), "window_start", "window_end")
