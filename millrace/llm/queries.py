@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, sharding
+from millrace.llm import bpe, language, quality, sharding
+from millrace.llm.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,27 @@ def op9_sharding(spark, folder):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_register
+def op4_language(spark, folder):
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    model = language.learn(docs.filter(~F.col("held_out")))
+    found = language.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score", F.size("language.spans").alias("n_spans"))
+
+
+@_register
+def op8_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    measured = staged(quality.measures(docs), "measures")
+    cutoffs = quality.thresholds(measured, table(spark, folder, "labels"), ["lang"])
+    judged = quality.verdicts(measured, cutoffs, ["lang"])
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & (F.size("rejected_by") == 0)).alias("kept"),
+        "rejected_by",
+    )
