@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, quality, sharding
+from millrace.llm import bpe, language, licenses, quality, sharding, toxicity
 from millrace.llm.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,19 @@ def op8_quality(spark, folder):
         (~failed & (F.size("rejected_by") == 0)).alias("kept"),
         "rejected_by",
     )
+
+
+@_register
+def op1_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(
+        F.max(1 - F.col("quality")).alias("junk"), F.max("toxic").alias("toxic")
+    )
+    chain = toxicity.learn(docs.join(labels, "doc_id"), ["junk", "toxic"])
+    return toxicity.score(docs, chain).withColumn("is_toxic", F.col("p_toxic") >= 0.5)
+
+
+@_register
+def op6_licenses(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.learn(docs))
