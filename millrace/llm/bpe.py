@@ -342,7 +342,8 @@ def encode(
             flush()
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(values or [pa.array([], pa.int32())]))
 
-    return df.withColumn(ids, encoded(df[text].cast("binary")))
+    # Marked so that Spark does not encode once more for each use of the result.
+    return df.withColumn(ids, encoded.asNondeterministic()(df[text].cast("binary")))
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
