@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, quality, sharding, toxicity
+from millrace.llm import bpe, decontaminate, fixity, language, licenses, quality, sharding, toxicity
 from millrace.llm.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,54 @@ def op1_toxicity(spark, folder):
 def op6_licenses(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licenses.scan(docs, licenses.learn(docs))
+
+
+@_register
+def op5_decontamination(spark, folder):
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of ``pages`` with a byte changed, the end cut off or the record lost here and there."""
+    at = F.col("page_id")
+    html = (
+        F.when(at % 97 == 13, F.concat(F.lit("?"), F.substr("html", F.lit(2))))
+        .when(at % 89 == 7, F.substr("html", F.lit(1), F.length("html") - 5))
+        .otherwise(F.col("html"))
+    )
+    return pages.filter("page_id % 83 <> 5").withColumn("html", html)
+
+
+@_register
+def op7_fixity(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return fixity.audit(pages, damaged(pages))
+
+
+ORACLES["op7_fixity"] = """
+with page as (
+  select page_id, url, html, false as replica from pages
+  union all
+  select page_id, url, case when page_id % 97 = 13 then '?' || substr(html, 2)
+                            when page_id % 89 = 7 then substr(html, 1, length(html) - 5) else html end, true
+  from pages where page_id % 83 <> 5
+), record as (
+  select page_id, replica, page_id // 1000 as archive,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html)
+    || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) as body
+  from page
+), leaf as (
+  select page_id, replica, archive, sha256(body) as digest,
+    cast(coalesce(sum(strlen(body)) over (partition by replica, archive order by page_id
+      rows between unbounded preceding and 1 preceding), 0) as bigint) as at
+  from record
+)
+select a.archive, a.page_id, cast(1 as integer) as nth,
+  case when b.page_id is null then 'missing' when a.digest <> b.digest then 'corrupt' else 'moved' end as verdict,
+  a.at as "offset", b.at as replica_offset, a.digest, b.digest as replica_digest
+from (from leaf where not replica) a left join (from leaf where replica) b using (page_id)
+where b.page_id is null or a.digest <> b.digest or a.at <> b.at
+"""
