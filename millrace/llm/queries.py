@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, fixity, language, licenses, quality, sharding, toxicity
+from millrace.llm import bpe, decontaminate, fixity, jaccard, language, licenses, quality, sharding, toxicity
 from millrace.llm.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ select a.archive, a.page_id, cast(1 as integer) as nth,
 from (from leaf where not replica) a left join (from leaf where replica) b using (page_id)
 where b.page_id is null or a.digest <> b.digest or a.at <> b.at
 """
+
+
+@_register
+def op2_jaccard(spark, folder):
+    return jaccard.similar(table(spark, folder, "documents"))
