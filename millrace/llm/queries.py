@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, fixity, jaccard, language, licenses, quality, sharding, toxicity
+from millrace.llm import (
+    bpe, decontaminate, fixity, jaccard, language, licenses, quality, sharding, substrings, toxicity,
+)
 from millrace.llm.store import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +151,8 @@ where b.page_id is null or a.digest <> b.digest or a.at <> b.at
 @_register
 def op2_jaccard(spark, folder):
     return jaccard.similar(table(spark, folder, "documents"))
+
+
+@_register
+def op10_substrings(spark, folder):
+    return substrings.kept_words(table(spark, folder, "documents"))
