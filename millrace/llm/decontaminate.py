@@ -224,6 +224,17 @@ def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int,
                 yield offset + t, item, distance, b - int(found.first[t]), e - b
 
 
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[Index]:
+    """Indexes of the items, about ``BLOCK_WORDS`` words in each."""
+    items = named(benchmark, item_id, item_text).toDF("item", "text")
+    size = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+    blocks = max(1, -(-int(size) // BLOCK_WORDS))
+    for block in range(blocks):
+        mine = F.pmod(F.coalesce(F.xxhash64("text"), F.lit(0)), F.lit(blocks)) == block
+        part = items.filter(mine).orderBy("item").collect()
+        yield build([r.item for r in part], [r.text for r in part])
+
+
 def matches(
     df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -232,19 +243,15 @@ def matches(
     The documents are read once for each block of items; a benchmark of up to ``BLOCK_WORDS`` is one block.
     """
     rows = named(df, doc_id, text)
-    items = named(benchmark, item_id, item_text).toDF("item", "text")
-    size = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(size) // BLOCK_WORDS))
-    key, own = rows.schema[doc_id].dataType.simpleString(), items.schema["item"].dataType.simpleString()
-    schema = f"`{doc_id}` {key}, `{item_id}` {own}, distance int, first_word bigint, n_words int"
+    key = rows.schema[doc_id].dataType.simpleString()
+    own = benchmark.select(benchmark[item_id])
+    kind = own.limit(0).toArrow().schema.field(0).type
+    schema = f"`{doc_id}` {key}, `{item_id}` {own.dtypes[0][1]}, distance int, first_word bigint, n_words int"
     out = None
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item").collect()
-        index = build([r.item for r in part], [r.text for r in part])
+    for index in _blocks(benchmark, item_id, item_text):
         shared = df.sparkSession.sparkContext.broadcast(index)
-        kind = items.select("item").limit(0).toArrow().schema.field(0).type
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, kind=kind) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index: Index = shared.value
             for batch in batches:
                 found = list(search(index, batch.column(1)))
@@ -263,3 +270,23 @@ def matches(
         found = rows.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def without_matches(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``df`` in whose text no item occurs."""
+    for index in _blocks(benchmark, item_id, item_text):
+        df = df.filter(_clean(df.sparkSession.sparkContext.broadcast(index))(df[text]))
+    return df
+
+
+def _clean(shared):
+    """A function that tells the texts in which no item of the broadcast index occurs."""
+
+    @F.arrow_udf("boolean")
+    def clean(column: pa.Array) -> pa.Array:
+        out = np.ones(len(column), bool)
+        for row, *_ in search(shared.value, column):
+            out[row] = False
+        return pa.array(out)
+
+    return clean

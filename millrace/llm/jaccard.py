@@ -12,7 +12,8 @@ becomes a row, and no link is lost.
 
 Rules: words are runs outside U+0020 and U+0009 to U+000D, unchanged; a text with fewer words
 than an n-gram has its whole word sequence as the only one; a text without words (null, empty) is
-alone in its class; similarity of the threshold counts as linked; repeated rows are copies.
+alone in its class, and so is a row without an id; similarity of the threshold counts as linked;
+repeated rows are copies.
 """
 
 from __future__ import annotations
@@ -274,7 +275,7 @@ def similar(
     ids = staged(sketches(df, doc_id, text, size), "sketches")
     firsts = [F.first(f"p{d}").alias(f"p{d}") for d in DEPTHS]  # equal for equal keys
     classes = staged(
-        ids.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *firsts),
+        ids.filter("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *firsts),
         "classes",
     )
     texts = named(df, doc_id, text).toDF("id", "text")
@@ -307,7 +308,7 @@ def similar(
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
     )
     return (
-        ids.select("id", "key")
+        ids.select("id", F.when(F.col("id").isNotNull(), F.col("key")).alias("key"))
         .join(placed, "key", "left")
         .select(
             F.col("id").alias(doc_id),
@@ -316,3 +317,11 @@ def similar(
             F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         )
     )
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each class, the one of the least id; rows without an id stay."""
+    found = similar(df, doc_id, text).filter(F.col(doc_id) > F.col("class_id")).select(F.col(doc_id).alias("__id")).distinct()
+    left = df.join(found, df[doc_id] == found["__id"], "left_anti")
+    # Equal rows of one id.
+    return left.filter(left[doc_id].isNotNull()).dropDuplicates([doc_id, text]).unionByName(left.filter(left[doc_id].isNull()))

@@ -6,7 +6,7 @@ words with a price for every switch labels spans; the language with most letters
 
 Rules: null text, and text without a letter, is ``und`` with score 0; a word in a script that no
 learned language uses says nothing; a text of only such words gets the most frequent language;
-ties go to the more frequent language, then by name.
+ties go to the more frequent language, then by name; without any labelled text all is ``und``.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     languages = [r.lang for r in sizes]
     if not languages:
-        raise ValueError("no labelled text")
+        return Model([], np.zeros((BUCKETS, 0), np.float32), {})
     number = {lang: i for i, lang in enumerate(languages)}
     share = F.create_map(*[x for r in sizes for x in (F.lit(r.lang), F.lit(min(1.0, TRAIN_TEXTS / r["count"])))])
     unit = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
@@ -220,6 +220,8 @@ class Labeller:
 
     def label(self, texts: list[str]) -> tuple[list[str], list[float], list[list[dict]]]:
         number = self.number
+        if not self.model.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [[] for _ in texts]
         if len(number) > MEMO:
             number.clear()
             self.scores, self.letters = self.scores[:0], self.letters[:0]

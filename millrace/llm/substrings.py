@@ -313,3 +313,53 @@ def kept_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window
         F.when(F.col("is_copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("is_copy"), F.lit(_EMPTY)).otherwise(F.coalesce("kept", "sha256")).alias("kept_sha256"),
     )
+
+
+def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``df`` with the repeated words cut out of ``text``, and without the rows that lose all their words.
+
+    A word goes with the blanks behind it; rows that lose nothing keep their text as it is.
+    """
+    docs, cut = repeats(df, doc_id, text, window)
+    none = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>")
+    marks = (
+        docs.filter("is_copy").select("id", "digest", none.alias("spans")).distinct()
+        .unionByName(cut.select("id", "digest", "spans").dropDuplicates(["id", "digest"]))
+        .groupBy("id").agg(F.collect_list(F.struct("digest", "spans")).alias("__marks"))  # one for each text of an id
+        .withColumnRenamed("id", "__id")
+    )
+    marked = df.join(marks, df[doc_id] == marks["__id"], "left").drop("__id")
+
+    @F.arrow_udf("string")
+    def left(column: pa.Array, marks: pa.Array) -> pa.Array:
+        out: list[str | None] = column.to_pylist()
+        todo = [i for i, m in enumerate(marks) if m.is_valid]
+        some = column.take(pa.array(todo, pa.int64()))
+        for begin, end, found in W.blocks(some):
+            for i in range(end - begin):
+                digest = _digest(found, i)
+                for mark in marks[todo[begin + i]].as_py():
+                    if mark["digest"] == digest:
+                        out[todo[begin + i]] = _without(found, i, mark["spans"])
+        return pa.array(out, pa.string())
+
+    gone = F.col("__marks").isNotNull() & F.col("__left").isNull()
+    cuts = marked.withColumn("__left", F.when(F.col("__marks").isNull(), F.col(text)).otherwise(left(F.col(text), F.col("__marks"))))
+    return cuts.filter(~gone).withColumn(text, F.col("__left")).select(*df.columns)
+
+
+def _without(found: W.Words, text: int, spans: list[dict] | None) -> str | None:
+    """A text without its repeated words; None if no word is left.  No spans: the text is a copy."""
+    if spans is None:
+        return None
+    b, e = int(found.first[text]), int(found.first[text + 1])
+    keep = np.flatnonzero(~_dropped(found, text, spans)) + b
+    if not len(keep):
+        return None
+    low, high = int(found.offsets[text]), int(found.offsets[text + 1])
+    stop = np.append(found.starts[b + 1 : e], high)  # where the blanks behind each word end
+    parts = [found.data[low : found.starts[b]].tobytes()]
+    cuts = np.flatnonzero(np.diff(keep) > 1) + 1
+    for p, q in zip(np.append(0, cuts), np.append(cuts, len(keep))):
+        parts.append(found.data[found.starts[keep[p]] : stop[keep[q - 1] - b]].tobytes())
+    return b"".join(parts).decode("utf-8", "replace")
