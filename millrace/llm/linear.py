@@ -26,7 +26,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    rows: Rows, dense: np.ndarray, target: np.ndarray, width: int, penalty: float, steps: int = 60
+    rows: Rows, dense: np.ndarray, target: np.ndarray, width: int, penalty: float, steps: int = 250
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """``(sparse weights, dense weights, bias)`` by accelerated gradient steps with a diagonal bound on the curvature."""
     n = max(1, rows.count)

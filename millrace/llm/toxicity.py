@@ -15,13 +15,13 @@ equal texts get equal scores.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linear import Rows, fit, sigmoid
@@ -59,28 +59,42 @@ class Link:
     bias: float
 
 
-def _telling(bags: list[set[str]], target: np.ndarray) -> list[str]:
-    """The words whose presence is associated with the target, most telling first."""
-    n, positives = len(bags), float(target.sum())
-    if not 0 < positives < n:
-        return []
-    here, there = Counter(), Counter()
-    for bag, y in zip(bags, target):
-        (here if y else there).update(bag)
-    found = []
-    for word in here:
-        a, b = here[word], there[word]
-        if a + b < LEAST_DOCUMENTS:
-            continue
-        expected = (a + b) * positives / n
-        chi2 = (a - expected) ** 2 * n / (expected * (n - a - b) * (1 - positives / n) + 1e-9)
-        if chi2 >= LEAST_CHI2:
-            found.append((-chi2, word))
-    return [w for _, w in sorted(found)[:FEATURES]]
-
-
-def _fit_link(category: str, bags: list[set[str]], before: np.ndarray, target: np.ndarray) -> Link:
-    vocabulary = _telling(bags, target)
+def _chi2(docs: Column, hits: Column, total: Column, positives: Column) -> Column:
+    """Association of a word with a category; 0 for rare words."""
+    expected = docs * positives / total
+    value = (hits - expected) ** 2 * total / (expected * (total - docs) * (1 - positives / total) + 1e-9)
+    told = (docs >= LEAST_DOCUMENTS) & (positives > 0) & (positives < total)
+    return F.when(told, value).otherwise(0.0)
+
+
+def _telling(bags: DataFrame, categories: list[str]) -> pd.DataFrame:
+    """Words that tell a category apart, with their association in all folds but one (``c<category>_<fold>``) and in all (``_all``).
+
+    ``bags`` has ``fold, words`` and a 0/1 column for each category.  Counted in Spark; at most
+    ``FEATURES`` words for each category and choice of folds come to the driver.
+    """
+    folds = range(FOLDS)
+    flags = [F.when(F.col("fold") == k, 1).otherwise(0).alias(f"n{k}") for k in folds]
+    flags += [F.when(F.col("fold") == k, F.col(c)).otherwise(0).alias(f"p{i}_{k}") for i, c in enumerate(categories) for k in folds]
+    counted = bags.select("words", *flags)
+    names = [n for n in counted.columns if n != "words"]
+    sums = [F.sum(n).cast("double").alias(n) for n in names]
+    totals = counted.agg(*sums).first()
+    words = counted.select(F.explode("words").alias("word"), *names).groupBy("word").agg(*sums)
+    scores = []
+    for i, _ in enumerate(categories):
+        for left in (*folds, "all"):
+            used = [k for k in folds if k != left]
+            docs, hits = (sum(F.col(f"{x}{k}") for k in used) for x in ("n", f"p{i}_"))
+            total, positives = (sum(totals[f"{x}{k}"] or 0.0 for k in used) for x in ("n", f"p{i}_"))
+            scores.append(_chi2(docs, hits, F.lit(max(total, 1.0)), F.lit(positives)).alias(f"c{i}_{left}"))
+    scored = words.select("word", *scores)
+    marks = scored.columns[1:]
+    scored = scored.filter(F.greatest(*marks) >= LEAST_CHI2)
+    return scored.orderBy(F.greatest(*marks).desc(), "word").limit(len(marks) * FEATURES).toPandas()
+
+
+def _fit_link(category: str, vocabulary: list[str], bags: list[set[str]], before: np.ndarray, target: np.ndarray) -> Link:
     number = {w: i for i, w in enumerate(vocabulary)}
     rows = Rows([np.array(sorted(number[w] for w in bag if w in number), np.int64) for bag in bags])
     weights, earlier, bias = fit(rows, before, target, len(vocabulary), PENALTY)
@@ -99,44 +113,43 @@ def learn(labelled: DataFrame, categories: list[str], doc_id: str = "doc_id", te
     rows = named(labelled, doc_id, text, *categories)
     total = rows.count()
     unit = F.pmod(F.xxhash64(rows[doc_id], F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
-    sample = rows.filter(unit < min(1.0, TRAIN_DOCUMENTS / max(total, 1))).select(text, *categories)
-
-    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [sorted(_words(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.list_(pa.string())), *batch.columns[1:]], ["words", *categories]
-            )
-
+    sample = rows.filter(unit < min(1.0, TRAIN_DOCUMENTS / max(total, 1)))
+    fold = F.pmod(F.coalesce(F.xxhash64(text, F.lit(29)), F.lit(0)), F.lit(FOLDS)).cast("int")  # copies share a fold
     targets = [F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in categories]
-    found = sample.select(text, *targets).mapInArrow(
-        bag, "words array<string>, " + ", ".join(f"`{c}` int" for c in categories)
-    )
-    # Only words that occur often enough in the sample come to the driver.
-    counted = found.withColumn("id", F.monotonically_increasing_id()).persist()
-    try:
-        common = (
-            counted.select(F.explode("words").alias("word")).groupBy("word").count().filter(F.col("count") >= LEAST_DOCUMENTS)
-        )
-        pairs = counted.select("id", F.explode("words").alias("word")).join(common, "word")
-        bags = pairs.groupBy("id").agg(F.collect_list("word").alias("words"))
-        kept = counted.drop("words").join(bags, "id", "left").drop("id").toPandas()
-    finally:
-        counted.unpersist()
-    order = sorted(range(len(kept)), key=lambda i: sorted(w) if (w := kept.words[i]) is not None else [])
-    kept = kept.iloc[order].reset_index(drop=True)
-    sets = [set(w) if w is not None else set() for w in kept.words]
-    fold = np.arange(len(sets)) % FOLDS
+    sample = sample.select(text, fold.alias("fold"), *targets)
+
+    def bags(only: frozenset[str] | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                words = [_words(t) for t in batch.column(0).to_pylist()]
+                words = [sorted(w if only is None else w & only) for w in words]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), *batch.columns[1:]], names)
+
+        names = ["words", "fold", *categories]
+        return sample.mapInArrow(run, "words array<string>, fold int, " + ", ".join(f"`{c}` int" for c in categories))
+
+    telling = _telling(bags(None), categories)
+    kept = bags(frozenset(telling.word)).toPandas()  # a few words of each sampled document
+    kept["words"] = [tuple(w) for w in kept.words]
+    kept = kept.sort_values(["words", "fold", *categories], kind="stable").reset_index(drop=True)
+    sets = [set(w) for w in kept.words]
+    folds = kept.fold.to_numpy()
     before = np.zeros((len(sets), 0))
     chain: list[Link] = []
-    for category in categories:
+    for i, category in enumerate(categories):
+
+        def vocabulary(left, i=i) -> list[str]:
+            mark = telling[f"c{i}_{left}"]
+            found = telling[mark >= LEAST_CHI2].sort_values([f"c{i}_{left}", "word"], ascending=[False, True])
+            return found.word.head(FEATURES).tolist()
+
         target = kept[category].to_numpy(float)
-        chain.append(_fit_link(category, sets, before, target))
+        chain.append(_fit_link(category, vocabulary("all"), sets, before, target))
         unseen = np.zeros(len(sets))
         for k in range(FOLDS):
-            train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            link = _fit_link(category, [sets[i] for i in train], before[train], target[train])
-            unseen[test] = _apply(link, [sets[i] for i in test], before[test])
+            train, test = np.flatnonzero(folds != k), np.flatnonzero(folds == k)
+            link = _fit_link(category, vocabulary(k), [sets[j] for j in train], before[train], target[train])
+            unseen[test] = _apply(link, [sets[j] for j in test], before[test])
         before = np.column_stack([before, _logit(unseen)])
     return chain
 
