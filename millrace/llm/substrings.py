@@ -101,8 +101,13 @@ def scan(df: DataFrame, window: int) -> DataFrame:
     return df.mapInArrow(run, f"id {kind}, digest binary, n_words bigint, sha256 string, anchors array<bigint>")
 
 
-def _runs(found: W.Words, window: int, wanted: list[list[int]]) -> Iterator[tuple[int, int, int, int]]:
-    """``(text, anchor, first window, end window)`` of the runs of windows with a wanted least hash."""
+def _runs(
+    found: W.Words, window: int, wanted: list[list[int]], digests: list[bytes]
+) -> Iterator[tuple[int, int, int, int]]:
+    """``(text, anchor, first window, end window)`` of the runs of windows with a wanted least hash.
+
+    A text that is not the one of its digest is another row of the same id and has none.
+    """
     at, least = _least(found, window)
     if not len(at):
         return
@@ -112,7 +117,7 @@ def _runs(found: W.Words, window: int, wanted: list[list[int]]) -> Iterator[tupl
     end = np.append(new[1:], len(at))
     cut = np.searchsorted(text[new], np.arange(len(found.first)))
     for i, own in enumerate(wanted):
-        if not own:
+        if not own or not _own(found, i, digests[i]):
             continue
         b, e = cut[i], cut[i + 1]
         for r in (b + np.flatnonzero(np.isin(least[new[b:e]], np.array(own, np.int64)))).tolist():
@@ -128,11 +133,11 @@ def _segments(docs: DataFrame, window: int, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(3).to_pylist()
+            digests, wanted = batch.column(1).to_pylist(), batch.column(3).to_pylist()
             for begin, end, found in W.blocks(batch.column(2)):
                 symbols = found.hashes()
                 rows, shard, first, data = [], [], [], []
-                for i, anchor, a, b in _runs(found, window, wanted[begin:end]):
+                for i, anchor, a, b in _runs(found, window, wanted[begin:end], digests[begin:end]):
                     rows.append(begin + i)
                     shard.append(anchor % shards)
                     first.append(a - int(found.first[i]))
@@ -203,10 +208,10 @@ def _hot_repeats(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(3).to_pylist()
+            digests, wanted = batch.column(1).to_pylist(), batch.column(3).to_pylist()
             for begin, end, found in W.blocks(batch.column(2)):
                 keys = [W.ngrams(found.hashes(seed), window, seed).astype(np.int64) for seed in (0, 1)]
-                for i, _, a, b in _runs(found, window, wanted[begin:end]):
+                for i, _, a, b in _runs(found, window, wanted[begin:end], digests[begin:end]):
                     n, own = b - a, pa.array([begin + i] * (b - a), pa.int64())
                     first = np.arange(a, b) - int(found.first[i])
                     yield pa.RecordBatch.from_arrays(
@@ -254,13 +259,12 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             F.collect_list(F.when(is_hot, F.col("anchor"))).alias("hot"),
         )
     )
-    marked = rows.join(wanted, "id")
-    # Another row of the same id may have other words; its digest tells.
-    candidates = staged(marked, "candidates")
+    candidates = staged(rows.join(wanted, "id"), "candidates")
     found = _repeats(_segments(candidates, window, shards), window)
     if (size[1] or 0) > HOT_DOCUMENTS:
         found = found.unionByName(_hot_repeats(candidates, window))
     spans = found.groupBy("id", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # of one text
+    # Another row of the same id may have other words; users compare the digest.
     return docs, candidates.drop("shared", "hot").join(spans, ["id", "digest"])
 
 
