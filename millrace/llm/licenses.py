@@ -2,8 +2,8 @@
 
 A paragraph is a line.  Its features are the word n-grams (1 to 3) that occur in the templates;
 logistic regressions say whether it is a licence notice at all and which family it names.  They
-are trained on varied templates and on corpus paragraphs that share words, but no phrase, with
-them.  A notice is given a family only if the family's probability passes a bound calibrated on
+are trained on varied templates, on corpus paragraphs that share words, but no phrase, with them,
+and on their words out of order.  A notice is given a family only if the family's probability passes a bound calibrated on
 families held out one at a time, and its phrases agree with a template of that family; otherwise
 it is ``unknown``.
 
@@ -209,9 +209,13 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     pick = random.Random(11)
     noise = [f"word{i}" for i in range(50)] + [w for _, t in flat for w in t.split()]
     varied = [(k, _varied(t, noise, pick)) for k, t in flat for _ in range(VARIANTS)] + flat
+    # The templates' words out of order: words alone are no notice.
+    bare = [w for _, t in flat for w in t.split()]
+    mixed = [" ".join(pick.sample(bare, pick.randrange(1, 16))) for _ in range(len(flat) * VARIANTS)]
+    lists += [np.searchsorted(known, g) for g in _grams_of(mixed, known)]
+    negatives = len(lists)
     lists += [np.searchsorted(known, g) for g in _grams_of([t for _, t in varied], known)]
-    lists += [np.zeros(0, np.int64)] * 20  # paragraphs without any of the grams
-    target = np.array([-1] * (len(lists) - len(varied) - 20) + [k for k, _ in varied] + [-1] * 20)
+    target = np.array([-1] * negatives + [k for k, _ in varied])
     notice, family = _fit_all(lists, target, len(families), len(known))
 
     # How sure the others are of a family that they were not shown: each is held out in turn.

@@ -28,9 +28,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(
     rows: Rows, dense: np.ndarray, target: np.ndarray, width: int, penalty: float, steps: int = 250
 ) -> tuple[np.ndarray, np.ndarray, float]:
-    """``(sparse weights, dense weights, bias)`` by accelerated gradient steps with a diagonal bound on the curvature."""
-    n = max(1, rows.count)
-    k = dense.shape[1]
+    """``(sparse weights, dense weights, bias)`` by accelerated gradient steps with a diagonal bound on the curvature.
+
+    Without rows everything is 0.
+    """
+    n, k = rows.count, dense.shape[1]
+    if not n:
+        return np.zeros(width), np.zeros(k), 0.0
     each = np.maximum(np.bincount(rows.row, minlength=rows.count), 1).astype(float)
     # The Hessian lies below diag(sum of each column's squares times the row's features) / 4.
     reach = each + np.abs(dense).sum(axis=1) + 1
