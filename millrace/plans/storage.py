@@ -338,3 +338,51 @@ def table_delete(spark, folder):
     old = (F.col("created_at") < naive(datetime(2024, 1, 5, 12))) | (F.col("severity") == "info")
     tables.delete_from_table(spark, path, "dt", old)
     return spark.read.parquet(path)
+
+
+_ODD = """case severity when 'warning' then 'x:y' when 'error' then 'a/b' when 'critical' then 'c d+e%' end"""
+
+
+def _odd_alerts(spark, folder) -> str:
+    """Partitioned by a column with nulls and names that are escaped on disk."""
+    path = shared_folder(spark, "odd")
+    rows = records.alerts(spark, folder).select("id", "service", F.expr(_ODD).alias("part"), "resolved_at")
+    rows.write.partitionBy("part").parquet(path)
+    return path
+
+
+@query(
+    "table_update_null",
+    ctes("alerts")
+    + f"""select id, case when resolved_at is null then 'open' else service end as service, {_ODD} as part,
+  coalesce(resolved_at, timestamp '2024-01-31 00:00:00') as resolved_at from alerts""",
+)
+def table_update_null(spark, folder):
+    """On disk: matching rows of null and escaped partitions change too."""
+    path = _odd_alerts(spark, folder)
+    sets = {"resolved_at": naive(AS_OF), "service": F.lit("open")}
+    tables.update_table(spark, path, "part", F.col("resolved_at").isNull(), sets)
+    return spark.read.parquet(path)
+
+
+@query(
+    "table_delete_odd",
+    ctes("alerts")
+    + f"""select id, service, {_ODD} as part, resolved_at from alerts
+where not (coalesce(severity in ('warning', 'error'), false) or resolved_at is null)""",
+)
+def table_delete_odd(spark, folder):
+    """On disk: two escaped partitions go as a whole, the others in part."""
+    path = _odd_alerts(spark, folder)
+    gone = F.col("part").isin("x:y", "a/b") | F.col("resolved_at").isNull()
+    tables.delete_from_table(spark, path, "part", gone)
+    return spark.read.parquet(path)
+
+
+@query(
+    "text_ids",
+    ctes("ingestion") + "select cast(id as varchar(20)) as id, source_id, cast(part_id as varchar(20)) as part_id from ingestion",
+)
+def text_ids(spark, folder):
+    rows = records.ingestion(spark, folder).select("id", "source_id", "part_id")
+    return tables.text_ids(rows, "id", "part_id")

@@ -160,7 +160,8 @@ def extract(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of:
     if mark is not None:
         tables = {name: changed_since(df, mark, as_of) for name, df in tables.items()}
     else:
-        tables = {name: df.filter(F.col("created_at") <= naive(as_of)) for name, df in tables.items()}
+        made = F.coalesce(F.col("created_at"), F.col("updated_at"))  # without either, in no later extract
+        tables = {name: df.filter((made <= naive(as_of)) | made.isNull()) for name, df in tables.items()}
     folder = snapshot(tables, root, as_of)
     marks = spark.range(1).select(naive(as_of).alias("mark"))
     marks.coalesce(1).write.mode("append").parquet(f"{root}/{MARKS}")
@@ -197,37 +198,57 @@ def assign_batches(
     return indexed.withColumn("batch_id", F.floor(F.col("_index") / size).cast("long")).drop("_index")
 
 
-def _touched(df: DataFrame, partition: str, pred: Column) -> list:
-    """Partition values with at least one matching row (one per date at most)."""
-    return [r[0] for r in df.filter(pred).select(partition).distinct().collect()]
+def _folder() -> Column:
+    """The name of the partition folder that a row was read from, as it is on disk."""
+    address = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # a plus is no blank here
+    return F.regexp_extract(F.url_decode(address), "([^/]+)/[^/]+$", 1)
 
 
-def _rewrite(spark: SparkSession, changed: DataFrame, path: str, partition: str) -> DataFrame:
+def _folders(df: DataFrame) -> list[str]:
+    """Partition folders that hold rows of ``df``; at most those that the table's file listing has on the driver anyway."""
+    return [r[0] for r in df.select(_folder().alias("folder")).distinct().collect()]
+
+
+def _rewrite(spark: SparkSession, changed: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions present in ``changed``, others stay untouched.
 
     The new rows are written aside first, so the table is never read and
     overwritten by one job and a failed run can be repeated.
     """
-    staged = shared_folder(spark, "rewrite")
-    changed.write.partitionBy(partition).parquet(staged)
-    fresh = spark.read.schema(changed.schema).parquet(staged)
+    aside = shared_folder(spark, "rewrite")
+    changed.write.partitionBy(partition).parquet(aside)
     (
-        fresh.write.mode("overwrite")
+        spark.read.schema(changed.schema)
+        .parquet(aside)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    return fresh
+    _delete(spark, aside)
+
+
+def _touched(spark: SparkSession, path: str, pred: Column) -> tuple[DataFrame, list[str]]:
+    """The rows of the partitions that hold a matching row, read from their folders only, and the folders."""
+    table = spark.read.parquet(path)
+    folders = _folders(table.filter(pred))
+    if not folders:
+        return table.limit(0), folders
+    rows = spark.read.schema(table.schema).option("basePath", path)
+    return rows.parquet(*[f"{path}/{f}" for f in folders]), folders
 
 
 def update_table(
     spark: SparkSession, path: str, partition: str, pred: Column, sets: dict[str, Column]
 ) -> None:
-    """Update matching rows of a partitioned table, rewriting touched partitions only."""
-    table = spark.read.parquet(path)
-    values = _touched(table, partition, pred)
-    if values:
-        touched = table.filter(F.col(partition).isin(values))
+    """Update matching rows of a partitioned table, rewriting touched partitions only.
+
+    The partition column itself cannot be set: rows do not move between partitions.
+    """
+    if partition in sets:
+        raise ValueError(f"{partition} is the partition column")
+    touched, folders = _touched(spark, path, pred)
+    if folders:
         _rewrite(spark, update_where(touched, pred, sets), path, partition)
 
 
@@ -237,16 +258,16 @@ def delete_from_table(spark: SparkSession, path: str, partition: str, pred: Colu
     A partition that loses all its rows is dropped: a dynamic overwrite alone
     would leave it as it was.
     """
-    table = spark.read.parquet(path)
-    values = _touched(table, partition, pred)
-    if not values:
+    touched, folders = _touched(spark, path, pred)
+    if not folders:
         return
-    kept = delete_where(table.filter(F.col(partition).isin(values)), pred)
-    fresh = _rewrite(spark, kept, path, partition)
-    left = {str(r[0]) for r in fresh.select(partition).distinct().collect()}
-    for value in values:
-        if str(value) not in left:
-            _delete(spark, f"{path}/{partition}={value}")
+    kept = delete_where(touched, pred)
+    left = set(_folders(kept))
+    if left:
+        _rewrite(spark, kept, path, partition)
+    for folder in folders:
+        if folder not in left:
+            _delete(spark, f"{path}/{folder}")
 
 
 def compact(spark: SparkSession, path: str, target: str, partition: str, sort_by: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -24,7 +25,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get(SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):  # one process; not local-cluster
             raise ValueError(f"set {SETTING} to a folder shared by all executors")
         base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
