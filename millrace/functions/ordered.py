@@ -182,7 +182,8 @@ def trailing_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, secon
     is a whole number of buckets long, and a frame's sum has three parts: the
     instant's own bucket up to the instant, the whole buckets before it, and
     the end of the bucket in which the frame begins.  The first and the last
-    come from one running sum inside ``(keys, bucket)``.
+    come from running sums inside ``(keys, bucket)``, one in each direction, so
+    nothing outside the frame (a NaN, a huge value) ever enters its sum.
     """
     total_us = seconds * 1_000_000
     steps = _frame_steps(total_us)
@@ -203,22 +204,25 @@ def trailing_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, secon
         F.lit(0).alias("_side"), *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in sums],
     )
     both = instants.select(*keys, ts, F.explode(F.array(here, begin)).alias("_e")).select(*keys, ts, "_e.*")
-    so_far = Window.partitionBy(*parts).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    edges = both.select(*keys, ts, _BUCKET, "_side", *[F.sum(c).over(so_far).alias(c) for c in sums])
+    upto = Window.partitionBy(*parts).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    since = Window.partitionBy(*parts).orderBy(F.desc("_at"), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0)
+    running = [
+        F.when(F.col("_side") == 1, F.sum(c).over(upto)).otherwise(F.sum(c).over(since)).alias(c) for c in sums
+    ]
+    edges = both.select(*keys, ts, _BUCKET, "_side", *running)
     between = Window.partitionBy(*keys).orderBy(_BUCKET).rangeBetween(-(steps - 1), -1)
     wholes = (
         instants.groupBy(*parts)
         .agg(*[F.sum(c).alias(c) for c in sums])
         .select(
             *parts,
-            *[F.col(c).alias(f"{c}_own") for c in sums],
             *[F.sum(c).over(between).alias(f"{c}_whole") for c in sums],
         )
     )
 
     def piece(c: str) -> Column:
-        part, own, whole = (F.coalesce(F.col(n), F.lit(0)) for n in (c, f"{c}_own", f"{c}_whole"))
-        return F.when(F.col("_side") == 1, part + whole).otherwise(own - part).alias(c)
+        part, whole = (F.coalesce(F.col(n), F.lit(0)) for n in (c, f"{c}_whole"))
+        return F.when(F.col("_side") == 1, part + whole).otherwise(part).alias(c)
 
     pieces = _attach(edges, wholes, parts, "left").select(*keys, ts, *[piece(c) for c in sums])
     means = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.ordered import trailing_mean
 from millrace.functions.scalars import minus, naive
 from millrace.operators import alerts as alert_ops
 from millrace.operators import algorithms, health
@@ -14,6 +15,7 @@ from millrace.operators.ratelimit import rate_limit
 from millrace.plans import records
 from millrace.plans.records import AS_OF, ctes
 from millrace.plans.registry import query
+from millrace.sources.tables import load
 
 
 @query(
@@ -374,6 +376,37 @@ def moving_avg_range(spark, folder):
     )
 
 
+_WILD = """case when event_id % 97 = 0 then cast('nan' as double) when event_id % 89 = 0 then cast('infinity' as double)
+  when event_id % 83 = 0 then 1e17 else value end"""
+
+
+@query(
+    "moving_avg_range_wild",
+    f"""select id, points, case when isnan(mean) then 'nan' when isinf(mean) then 'inf' else 'finite' end as kind,
+  case when isnan(mean) or isinf(mean) then null when mean > 1e10 then round(mean / 1e12, 3) else round(mean, 6) end as mean
+from (select event_id as id, avg({_WILD}) over w as mean, count(*) over w as points from events
+window w as (partition by user_id order by ts range between interval 1 day preceding and current row))""",
+)
+def moving_avg_range_wild(spark, folder):
+    """NaN, infinity and huge values touch only the frames they are in."""
+    rows = load(spark, folder, "events").select(
+        F.col("event_id").alias("id"), "user_id", "ts", F.expr(_WILD).alias("value")
+    )
+    out = trailing_mean(rows, ["user_id"], "ts", "value", 86400)
+    mean = F.col("moving_average")
+    infinite = mean == float("inf")
+    return out.select(
+        "id",
+        "points",
+        F.when(F.isnan(mean), "nan").when(infinite, "inf").otherwise("finite").alias("kind"),
+        F.when(F.isnan(mean) | infinite, None)
+        .when(mean > 1e10, F.round(mean / 1e12, 3))
+        .otherwise(F.round(mean, 6))
+        .cast("double")
+        .alias("mean"),
+    )
+
+
 RATE_SQL = (
     ctes("request_log", recursive=True)
     + """,
