@@ -21,22 +21,20 @@ instant are combined before they are moved, so copies cannot fill a bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.scalars import micros, time_bucket
+from millrace.functions.scalars import micros, naive, time_bucket
 from millrace.sources.workspace import shared_folder
 
 # 15 minutes: 35,000 summary rows per key and year, and a key that receives
 # 10,000 rows a second still has only 9 million rows in one bucket.
 BUCKET_SECONDS = 900
 
-# Pieces counted per step of ``seek_descending``; also the rows it collects.
-SEEK_CUTS = 1000
-
 # Slices of a quantile's bracket (see ``exact_quantiles``).
 SLICES = 4096
 
@@ -100,40 +98,82 @@ def row_index(
     )
 
 
-def seek_descending(df: DataFrame, order: Column, skip: int, enough: int) -> tuple[int, int] | None:
-    """Where the row after the ``skip`` highest values of ``order`` lies.
+# Keys sampled and bounds counted per step of ``seek_key``.
+SEEK_SAMPLE = 4096
+SEEK_BOUNDS = 64
+
+
+class KeyRange:
+    """Rows ordered by ``(first, second)``, nulls lowest, between a bound that is in and a lower one that is not."""
+
+    def __init__(self, df: DataFrame, first: str, second: str, high: tuple | None = None, low: tuple | None = None):
+        self.df, self.first, self.second, self.high, self.low = df, first, second, high, low
+        self.key = F.struct(F.col(first), F.col(second))
+
+    def literal(self, bound: tuple) -> Column:
+        return F.struct(*[self.value(c, v).alias(c) for c, v in zip((self.first, self.second), bound)])
 
-    Returns ``(high, rest)``: the wanted row is number ``rest`` among the rows
-    with ``order <= high``; ``rest`` is below ``enough`` unless more than
-    ``enough`` rows share one value.  None when there are not that many rows.
+    def value(self, column: str, value) -> Column:
+        plain = naive(value) if isinstance(value, datetime) else F.lit(value)
+        return plain.cast(self.df.schema[column].dataType)
 
-    ``order`` is a long.  Its range is cut into ``SEEK_CUTS`` pieces, the
-    pieces are counted, and the one that holds the row is cut again: a few
-    counts over ever smaller ranges, whatever the depth or the distribution.
+    def rows(self) -> DataFrame:
+        """The first column's bounds are plain comparisons with literals, so they reach the file scan."""
+        out, first = self.df, F.col(self.first)
+        if self.high is not None:
+            top = self.value(self.first, self.high[0])
+            out = out.filter(first.isNull() if self.high[0] is None else (first <= top) | first.isNull())
+            out = out.filter(self.key <= self.literal(self.high))
+        if self.low is not None:
+            if self.low[0] is not None:
+                out = out.filter(first >= self.value(self.first, self.low[0]))
+            out = out.filter(self.key > self.literal(self.low))
+        return out
+
+
+def seek_key(df: DataFrame, first: str, second: str, skip: int, take: int, enough: int) -> tuple[DataFrame, int]:
+    """Rows among which the wanted ones, ``skip`` to ``skip + take`` in descending order, are a small top-k.
+
+    Returns ``(rows, rest)``: the wanted rows follow after ``rest`` others, which are at most
+    ``enough`` unless that many rows share one key.  While there are more, a bounded sample of keys
+    cuts the range into pieces, the pieces are counted, and the one that holds the place is cut
+    again.  Keys may be of any type that has an order.
     """
-    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).collect()[0]
-    low, high = ends.low, ends.high
-    if low is None:
-        return None
-    while True:
-        width = (high - low) // SEEK_CUTS + 1
-        piece = F.floor((order - F.lit(low)) / F.lit(width)).cast("long")
-        counts = (
-            df.filter((order >= F.lit(low)) & (order <= F.lit(high)))
-            .groupBy(piece.alias("piece"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("piece"))
-            .collect()
-        )
-        for row in counts:
-            if skip < row.n:
-                break
-            skip -= row.n
-        else:
-            return None
-        low, high = low + row.piece * width, min(high, low + (row.piece + 1) * width - 1)
-        if row.n <= enough or low == high:
-            return high, skip
+
+    def order(key: tuple) -> tuple:
+        return tuple((v is not None, v if v is not None else 0) for v in key)
+
+    place, rest, stuck = KeyRange(df, first, second), skip, 0
+    n = df.count() if skip > enough else 0
+    bottom = None
+    while rest > enough and n > enough and stuck < 3:
+        rows = place.rows()
+        unit = F.pmod(F.xxhash64(first, second, F.lit(stuck + rest)), F.lit(1 << 30)) / float(1 << 30)
+        drawn = rows.filter(unit < SEEK_SAMPLE / n).select(first, second).distinct().limit(4 * SEEK_SAMPLE).collect()
+        keys = sorted((tuple(r) for r in drawn), key=order)
+        bounds = keys[:: max(1, len(keys) // SEEK_BOUNDS)]
+        below = F.size(F.filter(F.array(*map(place.literal, bounds)), lambda b: b < place.key)) if bounds else F.lit(0)
+        counts = dict(rows.groupBy(below.alias("piece")).count().collect())
+        piece = len(bounds)
+        while piece >= 0 and rest >= counts.get(piece, 0):
+            rest -= counts.get(piece, 0)
+            piece -= 1
+        if piece < 0:
+            return df.limit(0), 0
+        stuck = stuck + 1 if counts[piece] == n else 0
+        # Below the piece, as far as the wanted rows reach.
+        held, lowest = counts[piece], piece
+        while held < rest + take and lowest > 0:
+            lowest -= 1
+            held += counts.get(lowest, 0)
+        bottom = bounds[lowest - 1] if held >= rest + take and lowest > 0 else place.low if held >= rest + take else None
+        n = counts[piece]
+        place = KeyRange(
+            df, first, second,
+            bounds[piece] if piece < len(bounds) else place.high,
+            bounds[piece - 1] if piece > 0 else place.low,
+        )
+    return KeyRange(df, first, second, place.high, bottom).rows(), rest
 
 
 def trailing_rows(

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.ordered import seek_descending
-from millrace.functions.scalars import micros, minus, naive, page_count
+from millrace.functions.ordered import seek_key
+from millrace.functions.scalars import minus, naive, page_count
 from millrace.schemas import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE, MAX_REQUEST_BYTES, MAX_WINDOW_HOURS, METRIC_READ_CAP
 
-# Up to this many rows a page is one top-k; deeper pages are found by counting.
-TOP_K_ROWS = 10_000
+# Rows before a page that are ordered with it; more are skipped by counting.
+TOP_ROWS = 10_000
 
 
 def equal_to(**values: Any) -> Column | None:
@@ -89,30 +89,14 @@ def page(
     ts: str = "created_at",
     tie: str = "id",
 ) -> DataFrame:
-    """One page, newest first; ``tie`` is a whole number.
+    """One page, newest first, rows without a time last; ``tie`` may be of any type that has an order.
 
-    Near pages are a top-k of ``offset + size`` rows.  A deep page would make
-    that top-k large, so its place is found by counting first, and only rows
-    from there on are read and ordered.
+    A page is a top-k of the rows up to its end.  So that the k stays small
+    however deep the page lies, its place is first narrowed down by counting.
     """
     check_page(number, size)
-    first = (number - 1) * size
-    rows = where(df, pred)
-    order = [F.desc(ts), F.desc(tie)]
-    if first + size <= TOP_K_ROWS:
-        return rows.orderBy(*order).offset(first).limit(size)
-    timed = rows.filter(F.col(ts).isNotNull())
-    place = seek_descending(timed, micros(ts), first, TOP_K_ROWS)
-    if place is None:
-        return rows.limit(0)
-    high, rest = place
-    at = naive(datetime(1970, 1, 1) + timedelta(microseconds=high))
-    bound = F.col(ts) <= at
-    if rest >= TOP_K_ROWS:
-        # More rows than that share one instant: go on by the tie-break.
-        last, rest = seek_descending(timed.filter(F.col(ts) == at), F.col(tie), rest, TOP_K_ROWS)
-        bound = bound & ((F.col(ts) < at) | (F.col(tie) <= F.lit(last)))
-    return timed.filter(bound).orderBy(*order).offset(rest).limit(size)
+    rows, rest = seek_key(where(df, pred), ts, tie, (number - 1) * size, size, TOP_ROWS)
+    return rows.orderBy(F.desc_nulls_last(ts), F.desc_nulls_last(tie)).offset(rest).limit(size)
 
 
 def page_after(

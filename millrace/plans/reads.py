@@ -202,6 +202,38 @@ def page_deep(spark, folder):
     return reads.page(records.jobs(spark, folder).select(*JOB_COLUMNS), 120, 100)
 
 
+_NO_TIME = "case when id % 5 = 0 then null else created_at end"
+
+
+@query(
+    "page_deep_null_ts",
+    ctes("jobs")
+    + f"""select id, job_id, {_NO_TIME} as created_at from jobs
+order by created_at desc nulls last, id desc limit 100 offset 12400""",
+)
+def page_deep_null_ts(spark, folder):
+    """Rows without a time come last, at every depth."""
+    rows = records.jobs(spark, folder).select("id", "job_id", F.expr(_NO_TIME).alias("created_at"))
+    return reads.page(rows, 125, 100)
+
+
+_ONE_TIME = "case when id % 10 = 0 then created_at else timestamp_ntz'2024-01-01 00:00:00' end"
+
+
+@query(
+    "page_deep_text_id",
+    ctes("jobs")
+    + f"""select job_id as id, status, {_ONE_TIME.replace('_ntz', ' ')} as created_at from jobs
+order by created_at desc, job_id desc limit 100 offset 11900""",
+)
+def page_deep_text_id(spark, folder):
+    """Most rows share one instant; their ids are text."""
+    rows = records.jobs(spark, folder).select(
+        F.col("job_id").alias("id"), "status", F.expr(_ONE_TIME).alias("created_at")
+    )
+    return reads.page(rows, 120, 100)
+
+
 @query(
     "page_keyset",
     ctes("ingestion")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from millrace.functions.ordered import row_index, seek_descending
+from millrace.functions.ordered import row_index
 from millrace.functions.rules import ERRORS, Rule, validate
 from millrace.functions.scalars import iso_text, naive, with_once
 from millrace.schemas import POLL_RECORDS
@@ -26,8 +26,8 @@ _CORRUPT = "_corrupt"
 _TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_BODY = {"ignoreNullFields": "false", "timestampFormat": _TIME_TEXT, "timestampNTZFormat": _TIME_TEXT}
 
-# Up to this many messages a capped consumption is one top-k.
-TOP_K_MESSAGES = 10_000
+# A capped consumption parses messages of one log partition in stretches of at least so many.
+STRETCH = 10_000
 
 # Offsets are cut into ranges of this many for ordered work on one partition.
 OFFSET_RANGE = 1_000_000
@@ -37,13 +37,16 @@ def kafka_options(
     servers: str,
     topics: Sequence[str],
     start: str = "earliest",
-    max_per_trigger: int = POLL_RECORDS,
+    max_per_trigger: int | None = None,
     group_id: str | None = None,
+    poll_records: int = POLL_RECORDS,
 ) -> dict[str, str]:
     """Options of ``readStream.format("kafka")``.
 
-    Offsets live in the stream's checkpoint; the group id is only a prefix for
-    the consumer groups Spark creates.
+    ``poll_records`` is what one fetch of a consumer returns at most; a
+    micro-batch is many fetches and has no limit unless ``max_per_trigger``
+    sets one.  Offsets live in the stream's checkpoint; the group id is only a
+    prefix for the consumer groups Spark creates.
     """
     if not topics:
         raise ValueError("at least one topic is needed")
@@ -51,9 +54,11 @@ def kafka_options(
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": start,
-        "maxOffsetsPerTrigger": str(max_per_trigger),
+        "kafka.max.poll.records": str(poll_records),
         "failOnDataLoss": "true",
     }
+    if max_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if group_id:
         options["groupIdPrefix"] = group_id
     return options
@@ -124,44 +129,69 @@ def consume(
     bad = judged.filter(F.size(ERRORS) > 0)
     if not max_messages:
         return good, bad
-    end = _position_of(good, max_messages)
+    end = _position_of(envelope, good, max_messages)
     if end is None:
         return good, bad
     # The position is known now, so both sides read the log only up to it.
     last, copies = end
     here = F.struct(*[F.lit(v).cast(judged.schema[n].dataType).alias(n) for n, v in zip(POSITION, last)])
-    before = (F.col("topic") <= last[0]) & (F.struct(*POSITION) < here)
-    at = F.struct(*POSITION) == here
+    first = F.col("topic").isNull() if last[0] is None else (F.col("topic") <= last[0]) | F.col("topic").isNull()
+    before = first & (F.struct(*POSITION) < here)
+    at = F.col("topic").eqNullSafe(last[0]) & F.col("partition").eqNullSafe(last[1]) & (F.col("offset") == last[2])
     return good.filter(before).unionByName(good.filter(at).limit(copies)), bad.filter(before)
 
 
-def _position_of(good: DataFrame, n: int) -> tuple[tuple, int] | None:
-    """Position of the ``n``-th message and how many of its copies belong to the
-    first ``n``; None if there are fewer.
+def _position_of(envelope: DataFrame, good: DataFrame, n: int) -> tuple[tuple, int] | None:
+    """Position of the ``n``-th good message and how many of its copies belong to the first ``n``; None if there are fewer.
 
-    A small ``n`` is a top-k.  For a large one the partition is found by counts
-    and the offset in it by counts of ever smaller ranges.
+    Messages are counted without parsing them.  Log partitions that cannot hold
+    the end are judged together; the others in stretches of as many messages as
+    are still missing, so nothing far behind the end is parsed.
     """
-    if n <= TOP_K_MESSAGES:
-        taken = good.select(*POSITION).orderBy(*POSITION).limit(n)
-        end = (
-            taken.groupBy(*POSITION)
-            .agg(F.count(F.lit(1)).alias("copies"))
-            .agg(F.sum("copies").alias("n"), F.max(F.struct(*POSITION, "copies")).alias("last"))
-            .collect()[0]
-        )
-        return (tuple(end.last[:3]), end.last.copies) if end.n == n else None
-    counts = good.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).orderBy("topic", "partition")
-    skip = n - 1
-    for row in counts.collect():
-        if skip < row.n:
-            break
-        skip -= row.n
-    else:
-        return None
-    inside = good.filter((F.col("topic") == row.topic) & (F.col("partition") == row.partition))
-    negative, rest = seek_descending(inside, -F.col("offset"), skip, 0)
-    return (row.topic, row.partition, -negative), rest + 1
+    sizes = envelope.groupBy("topic", "partition").agg(
+        F.count("offset").alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high")
+    ).collect()  # one row for each log partition
+    sizes.sort(key=lambda r: (r.topic is not None, r.topic or "", r.partition is not None, r.partition or 0))
+
+    i = 0
+    while i < len(sizes):
+        whole = None
+        held, begin = 0, i
+        while i < len(sizes) and held + sizes[i].n < n:
+            held += sizes[i].n
+            mine = F.col("topic").eqNullSafe(sizes[i].topic) & F.col("partition").eqNullSafe(sizes[i].partition)
+            whole = mine if whole is None else whole | mine
+            i += 1
+        if i > begin:
+            n -= good.filter(whole).count()
+            continue
+        part = sizes[i]
+        mine = F.col("topic").eqNullSafe(part.topic) & F.col("partition").eqNullSafe(part.partition)
+        found, n = _offset_of(good.filter(mine), part.low, part.high, n)
+        if found is not None:
+            return (part.topic, part.partition, found), n
+        i += 1
+    return None
+
+
+def _offset_of(good: DataFrame, low: int, high: int, n: int) -> tuple[int | None, int]:
+    """Offset of the ``n``-th good message of a log partition and its rank among the copies there; or None and what is missing."""
+    offset, width = F.col("offset"), max(n, STRETCH)
+    while low <= high:
+        stretch = good.filter((offset >= low) & (offset < low + width))
+        held = stretch.agg(F.count("offset").alias("n")).first().n
+        if held >= n:
+            # About as many as are missing: the end lies few messages from one side, or they are few.
+            if held - n < n:
+                ends = stretch.select("offset").orderBy(F.desc("offset")).limit(held - n + 1).agg(F.min("offset"))
+            else:
+                ends = stretch.select("offset").orderBy("offset").limit(n).agg(F.max("offset"))
+            found = ends.first()[0]
+            return found, n - stretch.filter(offset < found).count()
+        n -= held
+        low += width
+        width = max(n, STRETCH, 2 * width if not held else 0)  # hurry over a gap
+    return None, n
 
 
 def consume_counts(judged: DataFrame) -> DataFrame:

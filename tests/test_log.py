@@ -53,7 +53,7 @@ def test_cap_beyond_the_end_reads_everything(spark):
 @pytest.mark.parametrize("cap", [1, 2, 5, 6, 7, 9, 100])
 def test_cap_over_partitions_and_copies(spark, monkeypatch, top_k, cap):
     """The same answer from the top-k and from counting; offset 3 of partition 1 comes three times."""
-    monkeypatch.setattr(log, "TOP_K_MESSAGES", top_k)
+    monkeypatch.setattr(log, "STRETCH", top_k)
     spec = [(0, 0, 1), (0, 1, None), (0, 2, 2), (1, 0, 3), (1, 1, None), (1, 3, 4), (1, 3, 4), (1, 3, 4), (1, 7, None),
             (2, 0, 5)]
     rows = [("k", "bad" if n is None else f'{{"n":{n}}}', "t", p, o, datetime(2024, 1, 1)) for p, o, n in spec]
@@ -121,7 +121,7 @@ def test_kafka_options():
     options = log.kafka_options("host:9092", ["a", "b"], group_id="g")
     assert options == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "500", "failOnDataLoss": "true", "groupIdPrefix": "g",
+        "kafka.max.poll.records": "500", "failOnDataLoss": "true", "groupIdPrefix": "g",
     }
     with pytest.raises(ValueError):
         log.kafka_options("host:9092", [])

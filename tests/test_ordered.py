@@ -61,19 +61,27 @@ def test_row_index_null_key(spark):
     assert {r.id: r.row_index for r in out.collect()} == {i: i for i in range(10)}
 
 
-@pytest.mark.parametrize("skip", [0, 1234, 2999, 5000])
+@pytest.mark.parametrize("skip", [0, 1234, 2990, 5000])
 @pytest.mark.parametrize("enough", [1, 50, 10_000])
-def test_seek_descending(df, rows, skip, enough, monkeypatch):
-    monkeypatch.setattr(ordered, "SEEK_CUTS", 7)
-    place = ordered.seek_descending(df, micros("ts"), skip, enough)
-    values = sorted((int((r[2] - datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for r in rows), reverse=True)
-    if skip >= len(values):
-        assert place is None
-        return
-    high, rest = place
-    below = [v for v in values if v <= high]
-    assert len(values) - len(below) + rest == skip
-    assert below[rest] == values[skip]
+def test_seek_key(df, rows, skip, enough, monkeypatch):
+    """Null times last, text ids, many rows on one instant: at every depth the rows of a full sort."""
+    monkeypatch.setattr(ordered, "SEEK_SAMPLE", 200)
+    monkeypatch.setattr(ordered, "SEEK_BOUNDS", 7)
+    ts = F.when(F.col("id") % 3 == 0, F.lit(START)).when(F.col("id") % 3 == 1, F.col("ts")).cast("timestamp_ntz")
+    odd = df.select(ts.alias("ts"), F.concat(F.lit("x"), "id").alias("tie"))
+    found, rest = ordered.seek_key(odd, "ts", "tie", skip, 10, enough)
+    got = [tuple(r) for r in found.orderBy(F.desc_nulls_last("ts"), F.desc("tie")).offset(rest).limit(10).collect()]
+    want = sorted((tuple(r) for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or START, r[1]), reverse=True)
+    assert got == want[skip : skip + 10] and rest <= max(skip, 0) and (rest <= enough or skip >= len(want))
+
+
+def test_seek_bounds_reach_the_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordered, "SEEK_SAMPLE", 200)
+    rows = [(START + timedelta(seconds=i), i) for i in range(2000)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, id long").write.parquet(str(tmp_path / "t"))
+    found, _ = ordered.seek_key(spark.read.parquet(str(tmp_path / "t")), "ts", "id", 900, 10, 20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(ts" in plan and "GreaterThanOrEqual(ts" in plan
 
 
 @pytest.mark.parametrize("n,chunk", [(1, 10), (4, 5), (10, 10), (25, 7)])

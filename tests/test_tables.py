@@ -171,7 +171,7 @@ def test_keyset_pages_cover_everything(numbers):
 
 def test_deep_page_equals_top_k(numbers, monkeypatch):
     near = [r.id for r in reads.page(numbers, 4, 10).collect()]
-    monkeypatch.setattr(reads, "TOP_K_ROWS", 5)
+    monkeypatch.setattr(reads, "TOP_ROWS", 5)
     assert [r.id for r in reads.page(numbers, 4, 10).collect()] == near == list(range(69, 59, -1))
     assert reads.page(numbers, 11, 10).count() == 0
     assert reads.page(numbers.filter("id < 0"), 2, 10).count() == 0
