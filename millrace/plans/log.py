@@ -71,6 +71,32 @@ def consume_bounded(spark, folder):
     return named(both).select("topic", "part_id", "log_offset", F.col("message.k").alias("k"), "good")
 
 
+def _refuse_sevens(message: dict) -> None:
+    if message["k"] % 7 == 0:
+        raise ValueError(f"{message['k']} is not wanted")
+
+
+@query(
+    "consume_handler",
+    ctes("envelope")
+    + f""",
+{_SPOILT_SQL},
+done as (select *, good and k % 7 <> 0 as fine from judged),
+counted as (select *, count(*) filter (where fine) over (order by topic, part_id, log_offset) as taken from done)
+select topic, part_id, log_offset, k, fine as good, case when good and not fine
+  then 'handler: ValueError: ' || cast(k as varchar) || ' is not wanted' end as failure from counted
+where (fine and taken <= 1500) or (not fine and taken < 1500)""",
+)
+def consume_handler(spark, folder):
+    """Messages that the handler fails on are set aside and do not count towards the cap."""
+    good, bad = log.consume(spoilt_envelope(spark, folder), PAYLOAD, payload_rules(), 1500, _refuse_sevens)
+    both = good.withColumn("good", F.lit(True)).unionByName(bad.withColumn("good", F.lit(False)))
+    failure = F.get(F.filter(ERRORS, lambda e: e.startswith("handler")), 0)
+    return named(both).select(
+        "topic", "part_id", "log_offset", F.col("message.k").alias("k"), "good", failure.alias("failure")
+    )
+
+
 @query(
     "consume_counts",
     ctes("envelope")

@@ -224,6 +224,72 @@ def stream_alerts(spark, folder):
     )
 
 
+_SILENT_RULES = (Trigger("early", ">", 5.0, 2), Trigger("whole", ">", 30.0, 3))
+
+
+@query(
+    "stream_alerts_silent",
+    """with points as (
+select 'whole' as metric, ts, value from events
+union all
+select 'early', ts, value from events where ts < timestamp '2024-01-12 00:00:00'),
+steps as (
+select metric, epoch_us(ts) // 3600000000 as step, avg(value) as mean from points group by all),
+closed as (
+select *, case when metric = 'early' then 2 else 3 end as need, case when metric = 'early' then 5e0 else 30e0 end as threshold
+from steps where (step + 1) * 3600000000 <= (select epoch_us(max(ts)) from events) - 600000000),
+hits as (
+select *, step - row_number() over (partition by metric order by step) as island from closed where mean > threshold),
+islands as (
+select metric, need, min(step) as first, max(step) as last, count(*) as length
+from hits group by metric, need, island having count(*) >= need)
+select metric, 'open' as action, make_timestamp((first + need) * 3600000000) as at from islands
+union all
+select metric, 'resolve', make_timestamp((last + 1) * 3600000000) from islands
+where last < (select max(step) from closed c where c.metric = islands.metric)
+  or last + 4 <= (select max(step) from closed)""",
+)
+def stream_alerts_silent(spark, folder):
+    """A metric that falls silent while another goes on is resolved."""
+    events = source.table_stream(spark, folder, "events")
+    point = F.struct(F.lit("whole").alias("metric"), "ts", "value")
+    early = F.when(F.col("ts") < "2024-01-12", F.struct(F.lit("early").alias("metric"), "ts", "value"))
+    points = events.select(F.inline(F.array_compact(F.array(point, early))))
+    base = shared_folder(spark, "silent")
+    steps = state.step_means(points, "10 minutes", step_seconds=3600)
+    source.drain(ingest.file_writer(steps, f"{base}/steps", f"{base}/checkpoint-steps"))
+    closed = source.file_stream(spark, f"{base}/steps", steps.schema, max_files=None)
+    alerts = state.alert_stream(closed, _SILENT_RULES, step_seconds=3600)
+    source.drain(ingest.file_writer(alerts, f"{base}/out", f"{base}/checkpoint"))
+    at = F.timestamp_micros("at_us").cast("timestamp_ntz")
+    return spark.read.parquet(f"{base}/out").select("metric", "action", at.alias("at"))
+
+
+_NO_TIME = "case when event_id % 50 = 0 then null else ts end"
+
+
+@query(
+    "stream_rate_limit_nulls",
+    f"""select event_id as request_id, cast(user_id as varchar(20)) as client_id, ts is null as untimed,
+  ts is not null and n <= 100000 as allowed
+from (select *, count(*) over (partition by user_id order by ts) as n
+  from (select event_id, user_id, {_NO_TIME} as ts from events))""",
+)
+def stream_rate_limit_nulls(spark, folder):
+    """Requests without a time are answered, and do not end the stream."""
+    events = source.table_stream(spark, folder, "events")
+    log = events.select(
+        F.col("event_id").alias("request_id"),
+        F.col("user_id").cast("string").alias("client_id"),
+        F.expr(_NO_TIME).alias("ts"),
+    )
+    base = shared_folder(spark, "rate-nulls")
+    decided = state.rate_limit_stream(log, "1 day", limit=100_000, window_seconds=86400)
+    source.drain(ingest.file_writer(decided, f"{base}/out", f"{base}/checkpoint"))
+    rows = spark.read.parquet(f"{base}/out")
+    return rows.select("request_id", "client_id", F.col("ts_us").isNull().alias("untimed"), "allowed")
+
+
 @query(
     "stream_join",
     ctes("jobs")

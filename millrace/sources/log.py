@@ -6,9 +6,11 @@ The envelope has the columns of Spark's Kafka source: ``key``, ``value``,
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,16 +117,48 @@ def judge(envelope: DataFrame, schema: T.StructType, rules: Sequence[Rule]) -> D
     return validate(decoded, [readable, *rules]).drop(_CORRUPT)
 
 
+def handled(judged: DataFrame, handler: Callable[[dict], object]) -> DataFrame:
+    """Run ``handler`` on the message of every good row; what it raises joins the row's errors.
+
+    The handler gets the parsed JSON object.  A failure stops neither its batch
+    nor the job, and the row no longer counts as good.  A task that is run
+    again calls the handler again, so it should bear repetition.
+    """
+
+    @F.pandas_udf("string")
+    def failure(values: pd.Series) -> pd.Series:
+        def call(text: str | None) -> str | None:
+            if text is None:
+                return None
+            try:
+                handler(json.loads(text))
+            except Exception as e:  # whatever the user's code raises
+                return f"handler: {type(e).__name__}: {e}"
+            return None
+
+        return values.map(call).astype(object)
+
+    good = F.when(F.size(ERRORS) == 0, F.col("value"))
+    marked = judged.withColumn("_failure", failure.asNondeterministic()(good))
+    return marked.withColumn(ERRORS, F.concat(ERRORS, F.array_compact(F.array("_failure")))).drop("_failure")
+
+
 def consume(
-    envelope: DataFrame, schema: T.StructType, rules: Sequence[Rule], max_messages: int | None = None
+    envelope: DataFrame,
+    schema: T.StructType,
+    rules: Sequence[Rule],
+    max_messages: int | None = None,
+    handler: Callable[[dict], object] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) messages.
+    """(good, bad) messages; with a ``handler``, those it fails on are bad.
 
     A bad message never stops consumption and does not count towards
     ``max_messages``; 0 or None means no cap.  With a cap, reading stops at the
     last good message taken, so later bad ones are not seen.
     """
     judged = judge(envelope, schema, rules)
+    if handler:
+        judged = handled(judged, handler)
     good = judged.filter(F.size(ERRORS) == 0)
     bad = judged.filter(F.size(ERRORS) > 0)
     if not max_messages:

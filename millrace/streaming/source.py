@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from millrace.schemas import CHECKPOINT_SECONDS
 
@@ -62,11 +62,32 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows dropped for lying behind the watermark, over the recent progress."""
-    return sum(
-        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that streams drop for lying behind the watermark, over their whole life.
+
+    Register it before the queries start: ``spark.streams.addListener(LateRows())``.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        rows = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + rows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.id), 0)
 
 
 def batch_folder(path: str, batch_id: int) -> str:

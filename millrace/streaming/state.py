@@ -29,8 +29,12 @@ from millrace.streaming.source import event_time
 
 
 SHARDS = 256
-# How long a finished job is remembered for events that follow.
+# How long a finished job is remembered for events that follow, and one that was never started.
 KEEP_FINISHED_SECONDS = 86_400
+KEEP_PENDING_SECONDS = 7 * 86_400
+
+# Steps by which the other metrics must be ahead before one without points counts as silent.
+SILENT_STEPS = 2
 
 # Absent numbers travel as sentinels: null-free columns are cheap in pandas.
 _NEVER = -(2**62)
@@ -40,6 +44,11 @@ def _sharded(df: DataFrame, key: str, shards: int) -> DataFrame:
     return df.withColumn("_shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
 
 
+def without_time(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """Rows that no stateful operator can place; for the dead letters."""
+    return events.filter(F.col(ts).isNull())
+
+
 def _sorted(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(by, kind="stable")
 
@@ -87,21 +96,24 @@ def job_lifecycle(
     limit_seconds: int = JOB_TIMEOUT_SECONDS,
     keep_seconds: int = KEEP_FINISHED_SECONDS,
     shards: int = SHARDS,
+    keep_pending_seconds: int = KEEP_PENDING_SECONDS,
 ) -> DataFrame:
     """State of each job after every batch that changed it.
 
     ``events`` is ``(job_id, ts, event, seq, error_message)``.  A started job
     without a finish is marked ``timed_out`` once the watermark is
     ``limit_seconds`` past its start.  A finished or timed-out job is forgotten
-    ``keep_seconds`` after its last event; events that come later still start
-    a history of their own.
+    ``keep_seconds`` after its last event, a pending one ``keep_pending_seconds``
+    after it; events that come later still start a history of their own.  Events
+    without a time have no place in a history: they are left out here, and
+    ``without_time`` gives them to whoever keeps the dead letters.
     """
-    limit_us, keep_us = limit_seconds * 1_000_000, keep_seconds * 1_000_000
+    limit_us, keep_us, wait_us = (n * 1_000_000 for n in (limit_seconds, keep_seconds, keep_pending_seconds))
 
-    def wakes_at(job: tuple) -> int | None:
+    def wakes_at(job: tuple) -> int:
         """When, in event time, something happens to the job by itself."""
         if job[0] == "pending":
-            return None
+            return job[8] + wait_us
         if job[0] == "processing" and not job[6]:
             return job[2] + limit_us
         return job[8] + keep_us
@@ -119,24 +131,24 @@ def job_lifecycle(
         wakes = []
         for job_id, job in list(jobs.items()):
             due = wakes_at(job)
-            if due is not None and due < now_us and job[0] == "processing" and not job[6]:
+            if due < now_us and job[0] == "processing" and not job[6]:
                 job = (*job[:6], True, *job[7:])
                 out[job_id] = jobs[job_id] = job
                 due = wakes_at(job)
-            if due is not None and due < now_us:
+            if due < now_us:
                 del jobs[job_id]
-            elif due is not None:
+            else:
                 wakes.append(due)
         if jobs:
             state.update(tuple(list(c) for c in zip(*[(k, *job) for k, job in jobs.items()])))
-            if wakes:
-                state.setTimeoutTimestamp(max(min(wakes), now_us) // 1000 + 1)
+            state.setTimeoutTimestamp(max(min(wakes), now_us) // 1000 + 1)
         else:
             state.remove()
         if out:
             yield pd.DataFrame([(k, *job[:8]) for k, job in out.items()], columns=_names(_JOB_OUTPUT))
 
-    timed = _sharded(event_time(events, "ts", delay), "job_id", shards).withColumn("us", micros("ts"))
+    known = events.filter(F.col("ts").isNotNull())
+    timed = _sharded(event_time(known, "ts", delay), "job_id", shards).withColumn("us", micros("ts"))
     changed = timed.groupBy("_shard").applyInPandasWithState(
         update, _JOB_OUTPUT, _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
@@ -166,7 +178,8 @@ def rate_limit_stream(
 ) -> DataFrame:
     """Decide each request as it arrives; at most ``limit`` instants per client.
 
-    A late request is judged at the newest accepted time of its client.
+    A late request is judged at the newest accepted time of its client.  A
+    request without a time is not allowed, as in the batch.
     """
     window_us = window_seconds * 1_000_000
 
@@ -216,10 +229,17 @@ def rate_limit_stream(
             )
 
     named = log.withColumn("client_id", F.coalesce("client_id", F.lit(UNKNOWN_CLIENT)))
-    timed = _sharded(event_time(named, "ts", delay), "client_id", shards).withColumn("us", micros("ts"))
-    return timed.groupBy("_shard").applyInPandasWithState(
+    known = named.filter(F.col("ts").isNotNull())
+    timed = _sharded(event_time(known, "ts", delay), "client_id", shards).withColumn("us", micros("ts"))
+    decided = timed.groupBy("_shard").applyInPandasWithState(
         decide, RATE_OUTPUT, _RATE_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+    nothing = F.lit(None).cast("long")
+    refused = without_time(named).select(
+        F.col("request_id").cast("long").alias("request_id"), "client_id", nothing.alias("ts_us"),
+        F.lit(False).alias("allowed"), F.lit(0).cast("long").alias("remaining"), nothing.alias("reset"),
+    )
+    return decided.unionByName(refused)
 
 
 ALERT_OUTPUT = "metric string, threshold double, action string, at_us long, since_us long, length long, peak double"
@@ -234,17 +254,22 @@ def step_means(points: DataFrame, delay: str, step_seconds: int = 60) -> DataFra
     return steps.select("metric", number.alias("step"), "mean")
 
 
-def alert_stream(steps: DataFrame, triggers: Sequence[Trigger], step_seconds: int = 60) -> DataFrame:
+def alert_stream(
+    steps: DataFrame, triggers: Sequence[Trigger], step_seconds: int = 60, silent_steps: int = SILENT_STEPS
+) -> DataFrame:
     """Open an alert when a breach has lasted long enough, resolve it at its end.
 
     ``steps`` is the stream of ``step_means`` rows, read back from the sink
     they were written to (an aggregation cannot feed a state function within
     one query).  A rule sees one row per step; a step without points ends a
-    breach.
+    breach: at the metric's next point, or once the others are ``silent_steps``
+    past it.
     """
     step_us = step_seconds * 1_000_000
+    ends = F.timestamp_seconds((F.col("step") + 1) * step_seconds)
+    timed = event_time(steps.withColumn("at", ends), "at", f"{silent_steps * step_seconds} seconds")
     rules = F.broadcast(trigger_table(steps.sparkSession, triggers))
-    judged = steps.join(rules, "metric").withColumn("breached", breached(F.col("mean")))
+    judged = timed.join(rules, "metric").withColumn("breached", breached(F.col("mean")))
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         metric, _, threshold, needed = key
@@ -254,6 +279,12 @@ def alert_stream(steps: DataFrame, triggers: Sequence[Trigger], step_seconds: in
         def report(action: str, first: int, last: int, length: int, peak: float) -> None:
             out.append((metric, threshold, action, (last + 1) * step_us, first * step_us, length, peak))
 
+        if state.hasTimedOut:
+            if run[2] >= needed:
+                report("resolve", *run)
+            state.remove()
+            yield pd.DataFrame(out, columns=_names(ALERT_OUTPUT))
+            return
         for row in _sorted(frames, ["step"]).itertuples(index=False):
             if run is not None and (not row.breached or row.step != run[1] + 1):
                 if run[2] >= needed:
@@ -271,8 +302,10 @@ def alert_stream(steps: DataFrame, triggers: Sequence[Trigger], step_seconds: in
             state.remove()
         else:
             state.update(run)
+            due = (run[1] + 2) * step_seconds * 1000  # the end of the next step
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=_names(ALERT_OUTPUT))
 
     return judged.groupBy("metric", "op", "threshold", "steps").applyInPandasWithState(
-        follow, ALERT_OUTPUT, _ALERT_STATE, "append", GroupStateTimeout.NoTimeout
+        follow, ALERT_OUTPUT, _ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -112,12 +113,20 @@ def test_late_rows_are_dropped_and_counted(spark):
     feed.put(requests(spark, [90]))
     feed.put(requests(spark, [2, 91]))  # minute 2 lies far behind the watermark
     base = shared_folder(spark, "s")
+    late = source.LateRows()
+    spark.streams.addListener(late)
     query = source.drain(
         ingest.file_writer(rollups.rolling_stream(feed.stream(), "1 minute", "10 minutes"), f"{base}/o", f"{base}/c")
     )
     starts = sorted(r.window_start for r in spark.read.parquet(f"{base}/o").collect())
     assert [(s - START).total_seconds() / 60 for s in starts] == [0, 1, 60]
-    assert source.dropped_late(query) == 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    for _ in range(100):
+        if late.of(query):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.of(query) == 1
 
 
 def test_tumbling_equals_batch_over_many_files(spark):
