@@ -133,6 +133,8 @@ def _typed(f: Field) -> Column:
         return F.from_json(text, f.type)
     if isinstance(f.type, T.StringType):
         return text
+    if isinstance(f.type, T.IntegralType):
+        text = F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")  # 3.0 is a whole number
     return text.try_cast(f.type)
 
 

@@ -20,8 +20,8 @@ from millrace.functions.scalars import time_bucket
 from millrace.operators.requests import cumulative_histogram
 from millrace.schemas import DURATION_BOUNDS
 
-# A rule table is written by hand; above this size it is data, not rules.
-MAX_RULES = 10_000
+# Up to this many rules, given as a list, are sent to every task; more are joined.
+BROADCAST_RULES = 10_000
 
 
 @dataclass(frozen=True)
@@ -47,15 +47,22 @@ DEFAULT_TRIGGERS = (
 _OPS = (">", ">=", "<", "<=", "=")
 
 
-def trigger_table(spark: SparkSession, triggers: Sequence[Trigger]) -> DataFrame:
-    """The rules as a table; small by construction."""
-    if len(triggers) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: join them as a table instead")
+def trigger_table(spark: SparkSession, triggers: Sequence[Trigger] | DataFrame) -> DataFrame:
+    """The rules as a table ``(metric, op, threshold, steps)``.
+
+    A list of checked size is marked for broadcast.  A table of rules may have
+    any size: how it is joined is left to adaptive execution.
+    """
+    if isinstance(triggers, DataFrame):
+        return triggers.select("metric", "op", F.col("threshold").cast("double"), F.col("steps").cast("int")).filter(
+            F.col("op").isin(*_OPS)
+        )
     for t in triggers:
         if t.op not in _OPS:
             raise ValueError(f"unknown comparison: {t.op}")
     rows = [(t.metric, t.op, float(t.threshold), t.steps) for t in triggers]
-    return spark.createDataFrame(rows, "metric string, op string, threshold double, steps int")
+    table = spark.createDataFrame(rows, "metric string, op string, threshold double, steps int")
+    return F.broadcast(table) if len(rows) <= BROADCAST_RULES else table
 
 
 def breached(value: Column) -> Column:
@@ -69,13 +76,13 @@ def breached(value: Column) -> Column:
     )
 
 
-def threshold_hits(points: DataFrame, triggers: Sequence[Trigger]) -> DataFrame:
+def threshold_hits(points: DataFrame, triggers: Sequence[Trigger] | DataFrame) -> DataFrame:
     """Metric points that breach a rule.
 
-    The rule table has at most ``MAX_RULES`` rows, so broadcasting it is safe
-    and the points are not moved at all.
+    A list of rules is broadcast, so the points are not moved at all; rules
+    whose comparison is unknown are refused in a list and ignored in a table.
     """
-    rules = F.broadcast(trigger_table(points.sparkSession, triggers))
+    rules = trigger_table(points.sparkSession, triggers)
     return (
         points.join(rules, points["name"] == rules["metric"])
         .filter(breached(F.col("value")))
@@ -83,7 +90,7 @@ def threshold_hits(points: DataFrame, triggers: Sequence[Trigger]) -> DataFrame:
     )
 
 
-def sustained_breach(points: DataFrame, triggers: Sequence[Trigger], step_seconds: int = 60) -> DataFrame:
+def sustained_breach(points: DataFrame, triggers: Sequence[Trigger] | DataFrame, step_seconds: int = 60) -> DataFrame:
     """Runs of consecutive steps whose mean value breaches a rule long enough.
 
     ``points`` is ``(metric, ts, value)``.  Points are averaged per metric and
@@ -95,7 +102,7 @@ def sustained_breach(points: DataFrame, triggers: Sequence[Trigger], step_second
         .groupBy("metric", "_step")
         .agg(F.avg("value").alias("_mean"))
     )
-    rules = F.broadcast(trigger_table(points.sparkSession, triggers))
+    rules = trigger_table(points.sparkSession, triggers)
     hits = steps.join(rules, "metric").filter(breached(F.col("_mean")))
     rule = ["metric", "op", "threshold", "steps"]
 
@@ -249,19 +256,35 @@ def system_rollup(samples: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     element-wise mean of the load averages.
     """
 
-    def stat(measure: str, item: Column, value: Column) -> Column:
-        return F.struct(F.lit(measure).alias("measure"), item.cast("string").alias("item"), value.alias("value"))
+    def entry(kind: str, item: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), item.cast("string").alias("item"), value.cast("double").alias("value")
+        )
+
+    def entries(values: Column) -> Column:
+        return F.coalesce(values, F.array().cast("array<struct<kind:string,item:string,value:double>>"))
 
+    # All measurements of a sample as one list: one scan and one shuffle for all of them.
     percents = ("cpu_usage_percent", "memory_usage_percent", "disk_usage_percent")
-    wide = samples.groupBy(*keys).agg(
-        *[F.avg(p).alias(f"_avg_{p}") for p in percents], *[F.max(p).alias(f"_max_{p}") for p in percents]
+    listed = [F.array(*[entry(p, F.lit(None), F.col(p)) for p in percents])]
+
+    def bytes_of(name: str) -> Column:
+        return entries(F.transform(F.map_entries(name), lambda e: entry(name, e["key"], e["value"])))
+
+    listed += [bytes_of("network_io_bytes"), bytes_of("disk_io_bytes")]
+    listed.append(entries(F.transform("load_average", lambda x, i: entry("load_average", i, x))))
+    sums = (
+        samples.select(*keys, F.inline(F.concat(*listed)))
+        .groupBy(*keys, "kind", "item")
+        .agg(F.avg("value").alias("avg"), F.max("value").alias("max"), F.sum("value").alias("sum"))
+    )
+
+    def measure(fn: str) -> Column:
+        return F.struct(F.concat(F.lit(f"{fn}_"), "kind").alias("measure"), F.col(fn).alias("value"))
+
+    chosen = (
+        F.when(F.col("kind").isin(*percents), F.array(measure("avg"), measure("max")))
+        .when(F.col("kind") == "load_average", F.array(measure("avg")))
+        .otherwise(F.array(measure("sum")))
     )
-    rows = [stat(f"{fn}_{p}", F.lit(None), F.col(f"_{fn}_{p}")) for p in percents for fn in ("avg", "max")]
-    out = wide.select(*keys, F.explode(F.array(*rows)).alias("_r")).select(*keys, "_r.*")
-    for name in ("network_io_bytes", "disk_io_bytes"):
-        entries = samples.select(*keys, F.explode(name).alias("item", "_bytes"))
-        sums = entries.groupBy(*keys, "item").agg(F.sum("_bytes").cast("double").alias("value"))
-        out = out.unionByName(sums.withColumn("measure", F.lit(f"sum_{name}")))
-    loads = samples.select(*keys, F.posexplode("load_average").alias("_i", "_load"))
-    means = loads.groupBy(*keys, F.col("_i").cast("string").alias("item")).agg(F.avg("_load").alias("value"))
-    return out.unionByName(means.withColumn("measure", F.lit("avg_load_average")))
+    return sums.select(*keys, "item", F.inline(chosen))

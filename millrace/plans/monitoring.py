@@ -302,6 +302,56 @@ def threshold_hits(spark, folder):
     return metric_ops.threshold_hits(records.metrics(spark, folder), _RULES)
 
 
+@query(
+    "threshold_table",
+    ctes("metrics")
+    + """,
+rules as (select 'events_' || event_type || '_value' as metric, '>' as op, 2 * avg(value) as threshold from events group by event_type)
+select m.id, m.name, op, round(threshold, 6) as threshold from metrics m join rules r on m.name = r.metric where m.value > threshold""",
+)
+def threshold_table(spark, folder):
+    """Rules from a table: twice the mean of each metric."""
+    events = load(spark, folder, "events")
+    rules = events.groupBy(F.format_string("events_%s_value", "event_type").alias("metric")).agg(
+        F.lit(">").alias("op"), (2 * F.avg("value")).alias("threshold"), F.lit(1).alias("steps")
+    )
+    hits = metric_ops.threshold_hits(records.metrics(spark, folder), rules)
+    return hits.select("id", "name", "op", F.round("threshold", 6).alias("threshold"))
+
+
+_CONDITIONS = (
+    ("click", "cpu_usage_percent", 1.0),
+    ("view", "memory_usage_percent", 1.0),
+    ("purchase", "queue_size", 12.0),
+    ("signup", "average_response_time_ms", 25.0),
+    ("error", "error_rate_percent", 0.1),
+)
+_CONDITION_VALUES = ", ".join(f"('{e}', '{m}', {f}e0)" for e, m, f in _CONDITIONS)
+
+
+@query(
+    "scaling_conditions",
+    f"""with kind(event_type, metric, factor) as (values {_CONDITION_VALUES}),
+rule(metric, threshold, need) as (values ('cpu_usage_percent', 70e0, 5), ('memory_usage_percent', 80e0, 5),
+  ('queue_size', 1000e0, 1), ('average_response_time_ms', 2000e0, 1), ('error_rate_percent', 5e0, 2)),
+step as (select metric, epoch_us(ts) // 21600000000 as step, avg(value * factor) as mean
+  from events join kind using (event_type) group by all),
+hit as (select *, step - row_number() over (partition by metric order by step) as island
+  from step join rule using (metric) where mean > threshold)
+select metric, threshold, make_timestamp(min(step) * 21600000000) as started_at, count(*) as length
+from hit group by metric, threshold, need, island having count(*) >= need""",
+)
+def scaling_conditions(spark, folder):
+    """The five stated conditions, over steps of six hours of values scaled to their ranges."""
+    kinds = F.create_map(*[x for e, m, f in _CONDITIONS for x in (F.lit(e), F.struct(F.lit(m), F.lit(f)))])
+    kind = kinds[F.col("event_type")]
+    points = load(spark, folder, "events").select(
+        kind["col1"].alias("metric"), "ts", (F.col("value") * kind["col2"]).alias("value")
+    )
+    out = metric_ops.sustained_breach(points, metric_ops.DEFAULT_TRIGGERS, step_seconds=21600)
+    return out.select("metric", "threshold", "started_at", "length")
+
+
 _SUSTAINED = (
     Trigger("average_response_time_ms", ">", 30.0, 3),
     Trigger("average_response_time_ms", ">", 60.0, 2),

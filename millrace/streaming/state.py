@@ -268,7 +268,7 @@ def alert_stream(
     step_us = step_seconds * 1_000_000
     ends = F.timestamp_seconds((F.col("step") + 1) * step_seconds)
     timed = event_time(steps.withColumn("at", ends), "at", f"{silent_steps * step_seconds} seconds")
-    rules = F.broadcast(trigger_table(steps.sparkSession, triggers))
+    rules = trigger_table(steps.sparkSession, triggers)
     judged = timed.join(rules, "metric").withColumn("breached", breached(F.col("mean")))
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -13,7 +13,7 @@ from millrace.functions.rules import id_rules, quarantine
 from millrace.operators import alerts, algorithms, health, mutations, reads
 from millrace.operators import metrics as metric_ops
 from millrace.operators import requests as request_ops
-from millrace.operators.metrics import MAX_RULES, Trigger
+from millrace.operators.metrics import BROADCAST_RULES, Trigger
 from millrace.sources import files, tables, unify
 from millrace.sources.workspace import shared_folder
 
@@ -233,9 +233,14 @@ def test_sustained_breach(spark):
     ]
 
 
-def test_trigger_table_is_bounded(spark):
-    with pytest.raises(ValueError):
-        metric_ops.trigger_table(spark, [Trigger("m", ">", 1.0)] * (MAX_RULES + 1))
+def test_trigger_table(spark):
+    def plan(n):
+        rules = metric_ops.trigger_table(spark, [Trigger(f"m{i}", ">", 1.0) for i in range(n)])
+        return rules._jdf.queryExecution().analyzed().toString()
+
+    assert "broadcast" in plan(3) and "broadcast" not in plan(BROADCAST_RULES + 1)  # any number of rules is taken
+    rules = metric_ops.trigger_table(spark, spark.createDataFrame([("m", ">", 1.0, 1), ("m", "~", 1.0, 1)], "metric string, op string, threshold double, steps long"))
+    assert [r.op for r in rules.collect()] == [">"]
     with pytest.raises(ValueError):
         metric_ops.trigger_table(spark, [Trigger("m", "~", 1.0)])
 
