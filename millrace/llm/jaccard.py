@@ -245,7 +245,8 @@ def _links(units: DataFrame, depth: int, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for _, unit in groupby(rows(batches), lambda r: (r["group"], r["low"], r["high"])):
-            out += _verify(list(unit), depth, threshold)
+            own = {r["key"]: r for r in unit}  # rows that occur several times bring their set as often
+            out += _verify(list(own.values()), depth, threshold)
             if len(out) >= 10_000:
                 yield _link_batch(out)
                 out = []

@@ -125,6 +125,13 @@ def test_threshold_itself_is_linked(spark):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
+def test_repeated_rows_count_once_each(spark):
+    base = prose(3, 100)
+    rows = [(1, base), (1, base), (2, changed(base, 1, 1)), (3, changed(base, 2, 1)), (3, changed(base, 2, 1)), (9, prose(8, 90))]
+    got = jaccard.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, 4), (1, 1, 1, 4), (2, 1, 2, 4), (3, 1, 3, 4), (3, 1, 3, 4), (9, 9, 9, 0)]
+
+
 def test_given_documents(spark):
     check(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
 
