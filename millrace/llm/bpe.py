@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 #: Bits of a bitmap word; two levels cover the square of it.
 WORD = 256
 #: Pieces a worker remembers between blocks; the memo is emptied when it holds more.
-MEMO = 300_000
+MEMO = 150_000
 #: Longer pieces are forgotten after their block.
 MEMO_CHARS = 40
 #: Characters of text, and bytes of new pre-tokens, worked on at once (or one text, one pre-token).
-BLOCK_CHARS = 5_000_000
-QUEUE_BYTES = 3_000_000
+BLOCK_CHARS = 2_500_000
+QUEUE_BYTES = 1_000_000
 
 NONE = -1
 

@@ -36,9 +36,9 @@ SCRIPT_SHARE = 0.01
 WORD_FLOOR = 6.0
 SWITCH = 9.0
 #: Characters of text labelled at once.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 #: Words a worker remembers.
-MEMO = 1_000_000
+MEMO = 250_000
 
 UNDETERMINED = "und"
 
