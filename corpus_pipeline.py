@@ -14,8 +14,8 @@ from millrace.llm import bpe, decontaminate, jaccard, language, substrings
 from millrace.llm.queries import token_digests
 from millrace.llm.store import staged
 
-#: A document stays if one language has this share of its letters.
-LEAST_SCORE = 0.5
+#: A document stays if one language has this share of its letters; texts of two or three languages do.
+LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
