@@ -27,6 +27,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.store import small_batches
+
 #: Bits of a bitmap word; two levels cover the square of it.
 WORD = 256
 #: Pieces a worker remembers between blocks; the memo is emptied when it holds more.
@@ -320,6 +322,7 @@ def encode(
     A column of the name ``ids`` is replaced; other columns pass.
     """
     name = _shipped(df.sparkSession, vocabulary)
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def encoded(column: pa.Array) -> pa.Array:
@@ -349,6 +352,7 @@ def encode(
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded binary``, the bytes of the tokens in ``ids``; null ids give no bytes, an unknown id is an error."""
     name = _shipped(df.sparkSession, vocabulary)
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("binary")
     def joined(column: pa.Array) -> pa.Array:

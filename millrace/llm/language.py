@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.store import small_batches
 from millrace.llm.words import mix
 
 #: Labelled texts of a language that are learned from, on average; a hash of the text picks them.
@@ -122,6 +123,7 @@ class Model:
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of the languages of the rows whose text and language are not null."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(labelled[text].alias("text"), labelled[lang].alias("lang")).dropna()
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     languages = [r.lang for r in sizes]
@@ -278,6 +280,7 @@ SPANS = "array<struct<first_word: bigint, n_words: bigint, lang: string>>"
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``language struct<lang_pred, score, spans>``; ``score`` is the share of the letters in its spans."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # MAX_LANGUAGES * BUCKETS floats at most
+    small_batches(df.sparkSession)
     key = uuid.uuid4().hex
     kind = pa.struct(
         [

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.workspace import SETTING, shared_folder
 
 
+#: Rows that Spark sends to a Python worker at once; whole texts are long.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size to ``BATCH_ROWS``, so that batches of texts fit beside the heap of an executor."""
+    now = int(spark.conf.get(_BATCH_SETTING))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder; a lost executor costs no recomputation."""
     spark = df.sparkSession
