@@ -6,12 +6,12 @@ import __spark_entry__ as entry
 import pytest
 
 from millrace.operators.ratelimit import rate_limit
-from millrace.plans import records
+from millrace.plans import catalog, records
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-# Python runs only here: decisions that depend on earlier decisions.
-PYTHON = {"rate_limit"}
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in catalog.QUERIES}
+# Python runs only here: decisions that depend on earlier decisions, and a handler of the user's.
+PYTHON = {"rate_limit", "consume_handler"}
 
 
 def plan_of(df) -> str:
