@@ -192,7 +192,8 @@ def thresholds(
     def choose(rule: str, at: dict[int, int]):
         cutoffs = CUTOFFS[rule]
         n = sum(at.values())
-        above = [sum(c for lv, c in at.items() if lv > i) for i in range(len(cutoffs))]
+        # A row exceeds its ``level`` strictest cutoffs, the last ones.
+        above = [sum(c for lv, c in at.items() if lv >= len(cutoffs) - i) for i in range(len(cutoffs))]
         passed = strictest(above, n, per_rule, level)
         if not passed:
             return None

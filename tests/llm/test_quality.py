@@ -113,6 +113,25 @@ def test_rules_reject_junk_and_keep_good(spark):
     assert judged[9999] == []  # a stratum without labels
 
 
+def test_cutoffs_count_as_brute_force(spark):
+    """Good texts spread over a rule's cutoffs: the lenient ones pass, and the counts are those of the cutoff."""
+    rows = [(i, " ".join(w.upper() if j < i % 13 else w for j, w in enumerate(prose(i, 60).split())), "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    limit, delta = 0.1, 0.05
+    got = {r.rule: r for r in quality.thresholds(quality.measures(docs), labels, ["lang"], limit=limit, delta=delta).collect()}
+    share = [sum(c.isupper() for c in t) / sum(not c.isspace() for c in t) for _, t, _ in rows]
+    rules = quality.rules()
+    above = [sum(x > c for x in share) for c in rules["capitals"][1]]
+    passed = 0
+    while quality.upper_bound(above[passed], len(rows), delta / len(rules)) <= limit / len(rules):
+        passed += 1
+    assert 0 < passed < len(above) and above[-1] > len(rows) / 2  # good texts exceed the strict end
+    found = got["capitals"]
+    assert (found.cutoff, found.n_good, found.n_rejected) == (rules["capitals"][1][passed - 1], 3000, above[passed - 1])
+    assert found.bound <= limit / len(rules)
+
+
 def test_without_labels_nothing_is_rejected(spark):
     docs = odd(spark).select("doc_id", "text", "lang")
     measured = quality.measures(docs)
