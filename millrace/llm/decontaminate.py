@@ -2,7 +2,10 @@
 
 Windows of the size of the items are embedded by the CGK random walk, which turns few word edits
 into few differing positions; several walks, each sampled at a few positions, are looked up among
-the items' (bit-sampling LSH); what matches is verified by exact edit distance over words.
+the items' (bit-sampling LSH); what matches is verified by exact edit distance over words.  A walk
+reads about the first ``REACH`` of an item, so items are walked from both ends and towards both:
+forwards from the first word and from ``REACH`` before the end, backwards from the last word and
+from ``REACH`` behind the beginning.  Wherever the edits lie, some of these begin among few.
 
 Windows are taken wherever an occurrence is possible at all: by the q-gram lemma, one within t
 edits of an item of n words holds at least n - q + 1 - q*t of its q-grams.  So a window with too
@@ -29,11 +32,13 @@ from millrace.llm.store import named
 
 #: Edited words that a match may have, as a share of the item's words.
 EDITS = 0.2
-#: Walks, and positions sampled of each; the measured recall at the limit of edits is above 0.95.
+#: Walks, half of them in each direction, and positions sampled of each; see the README for the measured recall.
 WALKS = 32
 SAMPLED = 3
 #: Steps of a walk for each word of the class's shortest item; a step advances by half a word on average.
 STEPS_PER_WORD = 1.2
+#: Share of the shortest item's words that a walk reads, with some slack.
+REACH = 0.67
 #: Items are indexed and broadcast in blocks of about so many words.
 BLOCK_WORDS = 2_000_000
 #: Windows embedded at once.
@@ -51,8 +56,9 @@ class Items:
     q: int
     need: int  # q-grams that an occurrence of any of them has at least
     grams: np.ndarray
-    keys: np.ndarray  # sorted; owner[i] is the item of keys[i]
+    keys: np.ndarray  # sorted; owner[i] is the item of keys[i], place[i] the word that its walk begins at
     owner: np.ndarray
+    place: np.ndarray
 
 
 @dataclass
@@ -73,22 +79,32 @@ def _gram_size(n: int) -> int:
     return next(q for q in (3, 2, 1) if n - q + 1 - q * budget(n) >= 1)
 
 
-def _walk(tokens: np.ndarray, start: np.ndarray, stop: np.ndarray, low: int) -> np.ndarray:
-    """Keys of ``WALKS`` sampled embeddings (rows) of the windows that begin at ``start``."""
+def _reach(low: int) -> int:
+    return max(1, int(REACH * low))
+
+
+def _walk(tokens: np.ndarray, start: np.ndarray, edge: np.ndarray, low: int, back: bool = False) -> np.ndarray:
+    """Keys of ``WALKS / 2`` sampled embeddings (rows) of the words from ``start`` on, up to the word before ``edge``.
+
+    ``back`` reads towards the beginning, down to the word ``edge``.
+    """
+    count = WALKS // 2
     steps = max(SAMPLED, int(STEPS_PER_WORD * low))
-    pick = np.random.default_rng([low, WALKS])
-    turn = pick.integers(1, 1 << 63, (WALKS, steps), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    taken = np.zeros((WALKS, steps), bool)
-    for w in range(WALKS):
+    pick = np.random.default_rng([low, WALKS, back])
+    turn = pick.integers(1, 1 << 63, (count, steps), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    taken = np.zeros((count, steps), bool)
+    for w in range(count):
         taken[w, pick.choice(steps, SAMPLED, replace=False)] = True
-    at = np.tile(start, (WALKS, 1))
-    keys = np.tile((np.arange(WALKS, dtype=np.uint64) + np.uint64(low << 8))[:, None], (1, len(start)))
+    at = np.tile(start, (count, 1))
+    keys = np.tile((np.arange(count, dtype=np.uint64) + np.uint64(low << 9 | back << 8))[:, None], (1, len(start)))
     last = len(tokens) - 1
     for j in range(steps):
-        token = np.where(at < stop, tokens[np.minimum(at, last)], _PAD)
+        inside = at >= edge if back else at < edge
+        token = np.where(inside, tokens[np.clip(at, 0, last)], _PAD)
         own = taken[:, j]
         keys[own] = W.mix(keys[own] * np.uint64(0x9E3779B97F4A7C15) + token[own])
-        at += ((token * turn[:, j, None]) >> np.uint64(63)).astype(np.int64)
+        moved = ((token * turn[:, j, None]) >> np.uint64(63)).astype(np.int64)
+        at += -moved if back else moved
     return keys
 
 
@@ -108,9 +124,15 @@ def build(ids: list, texts: list[str | None]) -> Index:
         sizes = [len(hashes[i]) for i in members]
         low = min(sizes)
         tokens = np.concatenate([hashes[i] for i in members])
-        stop = np.cumsum(sizes)
-        keys = _walk(tokens, stop - sizes, stop, low)
-        owner = np.tile(np.array(members), (WALKS, 1))
+        n = np.array(sizes)
+        stop = np.cumsum(n)
+        reach = _reach(low)
+        walks = [(np.zeros_like(n), False), (n - reach, False), (n - 1, True), (np.full_like(n, reach - 1), True)]
+        keys = np.concatenate(
+            [_walk(tokens, stop - n + place, stop - n if back else stop, low, back) for place, back in walks], axis=1
+        )
+        owner = np.tile(np.array(members), (WALKS // 2, len(walks)))
+        place = np.tile(np.concatenate([place for place, _ in walks]), (WALKS // 2, 1))
         order = np.argsort(keys, axis=None, kind="stable")
         classes.append(
             Items(
@@ -121,6 +143,7 @@ def build(ids: list, texts: list[str | None]) -> Index:
                 np.unique(np.concatenate([W.ngrams(hashes[i], q) for i in members])),
                 keys.ravel()[order],
                 owner.ravel()[order],
+                place.ravel()[order],
             )
         )
     maybe = {}
@@ -158,19 +181,28 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(origin[end]), end
 
 
-def _starts(index: Index, c: Items, at: np.ndarray, gram: np.ndarray, stop: np.ndarray, total: int, begin: np.ndarray) -> np.ndarray:
-    """Where a window that holds enough of the class's q-grams may begin."""
+def _starts(
+    c: Items, at: np.ndarray, gram: np.ndarray, stop: np.ndarray, total: int, begin: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The words from which a window that holds enough of the class's q-grams is walked, forwards and backwards."""
     place = np.minimum(np.searchsorted(c.grams, gram), len(c.grams) - 1)
     at = at[c.grams[place] == gram]
     if len(at) < c.need:
-        return at[:0]
+        return at[:0], at[:0]
     a, b = at[: len(at) - c.need + 1], at[c.need - 1 :]
     near = (b + c.q - a <= c.width) & (stop[a] == stop[b])
     a, b = a[near], b[near]
-    mark = np.zeros(total + 1, np.int64)
-    np.add.at(mark, np.maximum(begin[a], b + c.q - c.width), 1)
-    np.add.at(mark, a + 1, -1)
-    return np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+    first, end = np.maximum(begin[a], b + c.q - c.width), np.minimum(stop[a], a + c.width)
+    # Edits move the places of the walks by the budget at most.
+    inner = _reach(c.low) - 1 - budget(c.width)
+    ranges = (first, np.maximum(a + 1, end - inner)), (np.minimum(b + c.q - 1, first + max(0, inner)), end)
+    out = []
+    for low, high in ranges:
+        mark = np.zeros(total + 1, np.int64)
+        np.add.at(mark, low, 1)
+        np.add.at(mark, np.minimum(high, stop[a]), -1)
+        out.append(np.flatnonzero(np.cumsum(mark[:-1]) > 0))
+    return out[0], out[1]
 
 
 def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
@@ -189,14 +221,17 @@ def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int,
             hits[q] = at, gram[at]
         pairs = []
         for c in index.classes:
-            starts = _starts(index, c, *hits[c.q], stop, len(tokens), begin)
-            for i in range(0, len(starts), WINDOWS):
-                own = starts[i : i + WINDOWS]
-                keys = _walk(tokens, own, stop[own], c.low)
-                left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
-                walk, window = np.nonzero(right > left)
-                for w, n in zip(walk, window):
-                    pairs += [(c.owner[k], own[n]) for k in range(left[w, n], right[w, n])]
+            for back, starts in enumerate(_starts(c, *hits[c.q], stop, len(tokens), begin)):
+                for i in range(0, len(starts), WINDOWS):
+                    own = starts[i : i + WINDOWS]
+                    keys = _walk(tokens, own, (begin if back else stop)[own], c.low, bool(back))
+                    left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
+                    walk, window = np.nonzero(right > left)
+                    for w, n in zip(walk, window):
+                        at = own[n]
+                        pairs += [
+                            (c.owner[k], max(begin[at], at - c.place[k])) for k in range(left[w, n], right[w, n])
+                        ]
         if not pairs:
             continue
         done: dict[int, int] = {}
@@ -206,7 +241,7 @@ def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int,
             if done.get(item, -1) > start:
                 continue  # within the part last verified
             slack = budget(len(words))
-            low = max(int(begin[start]), start - slack)
+            low = max(int(begin[start]), start - 2 * slack)
             high = min(int(stop[start]), start + len(words) + 2 * slack + len(words) // 2)
             distance, b, e = align(words, tokens[low:high])
             if distance <= slack:

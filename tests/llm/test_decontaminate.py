@@ -80,6 +80,24 @@ def test_recall_and_exactness(spark):
     assert exact <= found.keys()
 
 
+def test_edits_at_the_limit_in_one_place():
+    """Wherever the edits lie: the first half, the last, both ends, a block lost near the beginning."""
+    for low, n in ((15, 18), (45, 50), (45, 55)):
+        bench = [prose(1000 * n + i, n, 10**6) for i in range(100)] + [prose(n, low, 10**6)]
+        index = decontaminate.build(list(range(101)), bench)
+        k, pick = decontaminate.budget(n), random.Random(n)
+        places = [range(n // 2), range(n - n // 2, n), [*range(n // 5), *range(n - n // 5, n)], range(2, 2 + k)]
+        for where in places:
+            texts = []
+            for i, item in enumerate(bench[:100]):
+                w = item.split()
+                for j in pick.sample(list(where), k):
+                    w[j] = "" if where is places[-1] else f"q{pick.randrange(10**6)}"
+                texts.append(" ".join([prose(5000 + i, 40, 10**6), *w, prose(7000 + i, 40, 10**6)]))
+            found = {row for row, item, *_ in decontaminate.search(index, pa.array(texts)) if row == item}
+            assert len(found) >= 98
+
+
 def test_positions(spark):
     item = prose(1, 30, 3000)
     rows = [(1, prose(2, 40, 3000) + " " + item + " " + prose(3, 40, 3000) + " " + item)]
