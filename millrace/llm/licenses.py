@@ -5,7 +5,8 @@ logistic regressions say whether it is a licence notice at all and which family
 are trained on varied templates, on corpus paragraphs that share words, but no phrase, with them,
 and on their words out of order.  A notice is given a family only if the family's probability passes a bound calibrated on
 families held out one at a time, and its phrases agree with a template of that family; otherwise
-it is ``unknown``.
+it is ``unknown``.  If the line as a whole does not agree, the span of a template's length that
+agrees best is judged by itself, so text around a notice does not hide it.
 
 Rules: null and empty texts have no notices; case and punctuation do not count; every line counts
 by itself, so a notice that occurs twice is found twice.
@@ -108,6 +109,7 @@ class Model:
     grams: np.ndarray  # sorted hashes of the templates' n-grams
     templates: np.ndarray  # templates x grams: which template has which
     family_of: np.ndarray  # family of each template
+    sizes: np.ndarray  # words of each template
     families: list[str]
     notice: tuple[np.ndarray, float]
     family: tuple[np.ndarray, np.ndarray]  # grams x families, bias of each
@@ -118,7 +120,8 @@ def _paragraphs(column: pa.Array, known: np.ndarray | None) -> Iterator[tuple[np
     """Of every block: text, line number, gram and n-gram counts of lines with a known gram.
 
     Yields ``(text, line, begin, gram, size)`` arrays: paragraph i has ``gram[begin[i]:begin[i+1]]``;
-    ``size`` is the number of its words.  Without ``known`` all grams are kept.
+    ``size`` is the number of its words.  Without ``known`` all grams are kept.  The last array has
+    the grams as they occur: rows of line (as paragraph i), gram, first word in the line and words.
     """
     newline = np.zeros(256, bool)
     newline[10] = True
@@ -128,7 +131,7 @@ def _paragraphs(column: pa.Array, known: np.ndarray | None) -> Iterator[tuple[np
             continue
         line = np.searchsorted(lines.starts, found.starts, "right") - 1
         hashes = found.hashes()
-        owner, grams = [], []
+        owner, grams, spots = [], [], []
         for size in SIZES:
             gram = W.ngrams(hashes, size, 1)
             at = np.arange(len(gram))
@@ -138,18 +141,24 @@ def _paragraphs(column: pa.Array, known: np.ndarray | None) -> Iterator[tuple[np
                 whole &= known[np.minimum(place, len(known) - 1)] == gram
             owner.append(line[at[whole]])
             grams.append(gram[whole])
+            spots.append(np.stack([at[whole], np.full(int(whole.sum()), size)]))
         owner, gram = np.concatenate(owner), np.concatenate(grams)
+        spots = np.concatenate(spots, axis=1)
+        spots = np.stack([owner.astype(np.uint64), gram, (spots[0] - np.searchsorted(line, owner)).astype(np.uint64), spots[1].astype(np.uint64)])
+        spots = spots[:, np.argsort(owner, kind="stable")]
         pairs = np.unique(np.stack([owner.astype(np.uint64), gram]), axis=1) if len(owner) else np.zeros((2, 0), np.uint64)
         owner, gram = pairs[0].astype(np.int64), pairs[1]
         ids, first = np.unique(owner, return_index=True)
         number = np.arange(len(lines.starts)) - np.repeat(lines.first[:-1], lines.counts)
-        yield lines.text[ids] + begin, number[ids], np.append(first, len(gram)), gram, np.bincount(line, minlength=len(lines.starts))[ids]
+        spots[0] = np.searchsorted(ids, spots[0].astype(np.int64))
+        sizes = np.bincount(line, minlength=len(lines.starts))[ids]
+        yield lines.text[ids] + begin, number[ids], np.append(first, len(gram)), gram, sizes, spots
 
 
 def _grams_of(texts: list[str], known: np.ndarray | None = None) -> list[np.ndarray]:
     """The grams of each of some one-line texts."""
     out = [np.zeros(0, np.uint64)] * len(texts)
-    for text, _, begin, gram, _ in _paragraphs(pa.array(texts, pa.string()), known):
+    for text, _, begin, gram, *_ in _paragraphs(pa.array(texts, pa.string()), known):
         for i, t in enumerate(text.tolist()):
             out[t] = gram[begin[i] : begin[i + 1]]
     return out
@@ -197,7 +206,7 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = []
-            for _, _, begin, gram, size in _paragraphs(batch.column(0), known):
+            for _, _, begin, gram, size, _ in _paragraphs(batch.column(0), known):
                 for i in range(len(size)):
                     grams = np.searchsorted(known, gram[begin[i] : begin[i + 1]])
                     if table[:, grams].sum(axis=1).max() < max(3, size[i]):  # shares words, not phrases
@@ -228,7 +237,31 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     wrong.sort()
     held = wrong[min(len(wrong) - 1, int(len(wrong) * (1 - WRONG_FAMILY)))] if wrong else 0.5
     bound = min(max(held, 0.5), 0.9)
-    return Model(known, table, family_of, families, notice, family, bound)
+    sizes = np.array([found.counts[0] for _, t in flat for *_, found in W.blocks(pa.array([t.lower()], pa.large_string()), W.NOT_ALNUM)])
+    return Model(known, table, family_of, sizes, families, notice, family, bound)
+
+
+def _span(m: Model, place: np.ndarray, word: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How well each template agrees with the best span of its length, and the grams of the best of all."""
+    agreement, best, most = np.zeros(len(m.sizes)), place[:0], (0.0, 0)
+    for t in np.flatnonzero(m.templates[:, place].any(axis=1)).tolist():
+        own, words = m.templates[t, place], int(m.sizes[t])
+        starts = np.unique(word[own])
+        held = np.zeros(len(starts), np.int64)
+        for size in SIZES:
+            mine = np.sort(word[own & (length == size)])
+            held += np.searchsorted(mine, starts + words - size, "right") - np.searchsorted(mine, starts)
+        phrases = max(1, 3 * words - 3)
+        for i in np.argsort(-held, kind="stable").tolist():
+            if held[i] / phrases <= agreement[t]:
+                break  # repeats only lower a span's count
+            within = (word >= starts[i]) & (word + length <= starts[i] + words)
+            grams = np.unique(place[within])
+            share = min(1.0, m.templates[t, grams].sum() / phrases)
+            agreement[t] = max(agreement[t], share)
+            if (share, words) > most:
+                best, most = grams, (share, words)
+    return agreement, best
 
 
 def scan(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -241,11 +274,21 @@ def scan(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
         m: Model = shared.value
         names = np.array([*m.families, UNKNOWN], object)
         for batch in batches:
-            for text_at, line, begin, gram, size in _paragraphs(batch.column(1), m.grams):
+            for text_at, line, begin, gram, size, spots in _paragraphs(batch.column(1), m.grams):
                 if not len(size):
                     continue
                 place = np.searchsorted(m.grams, gram)
                 p = sigmoid(np.add.reduceat(m.notice[0][place], begin[:-1]) + m.notice[1])
+                spot_at = np.searchsorted(spots[0], np.arange(len(size) + 1, dtype=np.uint64))
+                spot_place = np.searchsorted(m.grams, spots[1])
+                phrase = np.zeros(len(size), bool)
+                phrase[spots[0][spots[3] == max(SIZES)].astype(np.int64)] = True
+                spans = {}
+                for i in np.flatnonzero((p >= NOTICE) | phrase).tolist():
+                    own = slice(spot_at[i], spot_at[i + 1])
+                    spans[i] = _span(m, spot_place[own], *spots[2:, own].astype(np.int64))
+                    if p[i] < NOTICE and spans[i][0].max(initial=0) >= AGREEMENT:
+                        p[i] = max(p[i], sigmoid(m.notice[0][spans[i][1]].sum() + m.notice[1]))
                 some = np.flatnonzero(p >= NOTICE)
                 best, agreement = np.full(len(some), len(m.families)), np.zeros(len(some))
                 for j, i in enumerate(some.tolist()):
@@ -257,6 +300,12 @@ def scan(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
                     agreement[j] = min(1.0, m.templates[m.family_of == k][:, mine].sum(axis=1).max() / phrases)
                     if shares[k] >= m.bound and agreement[j] >= AGREEMENT:
                         best[j] = k
+                        continue
+                    of, mine = spans[i]
+                    shares = sigmoid(m.family[0][mine].sum(axis=0) + m.family[1])
+                    k = int(shares.argmax())
+                    if shares[k] >= m.bound and of[m.family_of == k].max() >= AGREEMENT:
+                        best[j], agreement[j] = k, of[m.family_of == k].max()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(text_at[some])),

@@ -93,6 +93,22 @@ def test_notices(spark):
     assert all(0 <= r.agreement <= 1 and r.probability >= licenses.NOTICE for r in rows)
 
 
+def test_notice_amid_other_text(spark):
+    """Text on the same line does not take a notice's family."""
+    model = licence_model(spark)
+    mit = next(t for t in licenses.TEMPLATES["MIT"] if t.startswith("Permission"))
+    texts = [
+        (1, "Copyright (c) 2023 Jane Doe. All rights reserved."),
+        (2, f"{prose(1, 400)} {mit} {prose(2, 400)}"),
+        (3, f"{prose(3, 30)} Licensed under the BSD 3-Clause License. {prose(4, 30)}"),
+        (4, prose(5, 400) + " the license of this work is in the file under terms"),
+    ]
+    rows = licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    got = {r.doc_id: r.family for r in rows}
+    assert (got[1], got[2], got[3]) == ("Reserved", "MIT", "BSD") and got.get(4, "unknown") == "unknown"
+    assert all(licenses.AGREEMENT <= r.agreement <= 1 for r in rows if r.family != "unknown")
+
+
 def test_every_template_is_its_family(spark):
     model = licence_model(spark)
     texts = [(k, f, t) for k, (f, t) in enumerate((f, t) for f, ts in licenses.TEMPLATES.items() for t in ts)]
