@@ -95,15 +95,33 @@ def _walk(tokens: np.ndarray, start: np.ndarray, edge: np.ndarray, low: int, bac
     taken = np.zeros((count, steps), bool)
     for w in range(count):
         taken[w, pick.choice(steps, SAMPLED, replace=False)] = True
+    ends = steps - taken[:, ::-1].argmax(axis=1)
+    order = np.argsort(-ends, kind="stable")
+    keys = np.empty((count, len(start)), np.uint64)
+    # Where no walk can reach the edge, its tests are spared.
+    far = (start - steps >= edge) if back else (start + steps < edge)
+    for own, free in ((np.flatnonzero(far), True), (np.flatnonzero(~far), False)):
+        if len(own):
+            keys[np.ix_(order, own)] = _steps(tokens, start[own], edge[own], low, back, turn[order], taken[order], ends[order], order, free)
+    return keys
+
+
+def _steps(tokens, start, edge, low, back, turn, taken, ends, names, free) -> np.ndarray:
+    """The keys of the walks ``names``, the longest first; each ends with its last sampled step."""
+    count = len(names)
     at = np.tile(start, (count, 1))
-    keys = np.tile((np.arange(count, dtype=np.uint64) + np.uint64(low << 9 | back << 8))[:, None], (1, len(start)))
+    keys = np.tile((names.astype(np.uint64) + np.uint64(low << 9 | back << 8))[:, None], (1, len(start)))
     last = len(tokens) - 1
-    for j in range(steps):
-        inside = at >= edge if back else at < edge
-        token = np.where(inside, tokens[np.clip(at, 0, last)], _PAD)
-        own = taken[:, j]
+    for j in range(ends[0]):
+        at = at[: np.count_nonzero(ends > j)]
+        if free:
+            token = tokens[at]
+        else:
+            inside = at >= edge if back else at < edge
+            token = np.where(inside, tokens[np.clip(at, 0, last)], _PAD)
+        own = np.flatnonzero(taken[: len(at), j])
         keys[own] = W.mix(keys[own] * np.uint64(0x9E3779B97F4A7C15) + token[own])
-        moved = ((token * turn[:, j, None]) >> np.uint64(63)).astype(np.int64)
+        moved = ((token * turn[: len(at), j, None]) >> np.uint64(63)).astype(np.int64)
         at += -moved if back else moved
     return keys
 
