@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    bpe, decontaminate, fixity, jaccard, language, licenses, quality, sharding, substrings, toxicity,
+    alignment, audit, bpe, decontaminate, fixity, jaccard, language, licenses, quality, sharding, substrings, toxicity, urls,
 )
 from millrace.llm.store import staged
 
@@ -156,3 +156,78 @@ def op2_jaccard(spark, folder):
 @_register
 def op10_substrings(spark, folder):
     return substrings.kept_words(table(spark, folder, "documents"))
+
+
+#: Rules of the query on pages (fixed values).
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
+
+
+@_register
+def op11_urls(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = urls.judge(pages, urls.rules_of(URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
+@_register
+def op12_alignment(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = staged(alignment.align(docs, *files, digest=True), "aligned")
+    return alignment.scored(aligned, staged(alignment.frequencies(aligned), "pair-counts"))
+
+
+@_register
+def op13_filters(spark, folder):
+    counts = audit.masks(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return audit.interactions(counts, "ABCDE")
+
+
+ORACLES["op13_filters"] = r"""
+with doc as (
+  select doc_id, coalesce(text, '') as body, coalesce(lang, '') as part,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents
+), label as (
+  select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic from labels group by doc_id
+), failing as (
+  select doc.doc_id, part, coalesce(good, 0) as good, coalesce(label.toxic, 0) as toxic,
+    map {
+      'A': len(words) < 200,
+      'B': 100 * len(list_distinct(words)) < 50 * len(words),
+      'C': 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 3 * length(body),
+      'D': regexp_matches(body, '[#$%&*|]'),
+      'E': coalesce(doc.doc_id > min(doc.doc_id) over (partition by body), false)
+    } as fails
+  from doc left join label on label.doc_id = doc.doc_id
+), letter(f) as (values ('A'), ('B'), ('C'), ('D'), ('E')
+), orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order
+  from letter a, letter b, letter c, letter d, letter e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), place as (
+  select filter_order, cast(step as int) as step, filter_order[step] as f, filter_order[:step - 1] as earlier
+  from orders, range(1, 6) as r(step)
+), kind as (
+  select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from failing group by all
+), at_step as (
+  select part, filter_order, step, f, n, good, toxic, fails[f] as failing,
+    len(list_filter(string_split(earlier, ''), lambda l: l <> '' and fails[l])) > 0 as gone,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda l: fails[l])) as n_fails
+  from kind, place
+), summed as (
+  select part, filter_order, step, f,
+    sum(case when not gone and not failing then n else 0 end) as kept,
+    sum(case when not gone and failing then n else 0 end) as removed,
+    sum(case when gone and failing then n else 0 end) as redundant,
+    sum(case when failing and n_fails = 1 then n else 0 end) as unique_fails,
+    sum(case when not gone and failing then good else 0 end) as good_lost,
+    sum(case when not gone and failing then toxic else 0 end) as toxic_lost
+  from at_step group by all
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from summed
+"""
