@@ -31,12 +31,14 @@ MOST_RULES = 1000
 SAMPLE = 100_000
 FOLDS = 5
 #: A suffix counts once it has so many labelled URLs, and is drawn to the common rate as by so many more.
-LEAST_LABELLED = 10
+LEAST_LABELLED = 2
 PRIOR = 5.0
 #: Partitions of the sample.
 TRAINERS = 4
 #: Trees, and levels of each.
 TREES, DEPTH = 20, 4
+#: Rows of the sample in each leaf.
+LEAST_ROWS = 5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -201,7 +203,7 @@ def learn(labelled: DataFrame, url: str = "url", label: str = "label", sample: i
         return Filter({}, rate, None)
     # A few sorted partitions: the trees take a job for each level, and the order of their sums is fixed.
     sampled = sampled.repartitionByRange(TRAINERS, "url").sortWithinPartitions("url")
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1).fit(sampled)
+    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAST_ROWS, seed=1).fit(sampled)
     return Filter(shares, rate, trees)
 
 
