@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.jobs import current_state
 from millrace.operators.metrics import Trigger, request_points
 from millrace.plans import records
 from millrace.plans.log import PAYLOAD, payload_rules
@@ -322,5 +321,4 @@ def stream_upsert(spark, folder):
     )
     base = shared_folder(spark, "upsert")
     source.drain(ingest.upsert_writer(events, ["user_id"], f"{base}/out", f"{base}/checkpoint"))
-    versions = spark.read.parquet(f"{base}/out").drop("batch_id")
-    return current_state(versions, ["user_id"]).drop("updated_at")
+    return spark.read.parquet(f"{base}/out").select("user_id", "id", "state", "created_at")

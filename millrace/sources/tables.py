@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.ordered import row_index
 from millrace.functions.scalars import col, minus, naive
+from millrace.operators.jobs import current_state
 from millrace.operators.mutations import delete_where, update_where
 from millrace.schemas import BATCH_SIZE, RETENTION_DAYS
 from millrace.sources.workspace import shared_folder
@@ -169,8 +170,8 @@ def extract(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of:
 
 
 def retained(df: DataFrame, ts: str, as_of: datetime, days: int = RETENTION_DAYS) -> DataFrame:
-    """Rows not older than ``days`` at ``as_of``."""
-    return df.filter(F.col(ts) >= minus(naive(as_of), days=days))
+    """Rows not older than ``days`` at ``as_of``; one without a time is not known to be old and stays, as its partition does."""
+    return df.filter((F.col(ts) >= minus(naive(as_of), days=days)) | F.col(ts).isNull())
 
 
 def purge_partitions(
@@ -270,6 +271,52 @@ def delete_from_table(spark: SparkSession, path: str, partition: str, pred: Colu
             _delete(spark, f"{path}/{folder}")
 
 
+# File groups of an upserted table; a group should stay below a few hundred megabytes.
+UPSERT_GROUPS = 64
+
+
+def merge_groups(fresh: DataFrame, keys: Sequence[str], path: str, groups: int, label: str) -> None:
+    """Merge versions into a table that keeps one row per key, the newest (see ``current_state``).
+
+    The table is plain Parquet in folders ``group_of_{groups}=n``, a key's
+    folder being its hash.  Only the folders that keys of ``fresh`` fall into
+    are read and replaced; the others keep their files.
+
+    The new content is written below ``_merging`` first, which readers do not
+    see, and then moved folder by folder.  ``label`` names the work: run again
+    after a failure, it goes on with the move where it stopped, or merges
+    again, which gives the same rows.
+    """
+    spark, name = fresh.sparkSession, f"group_of_{groups}"
+    aside = f"{path}/_merging/{label}"
+    root, fs = _filesystem(spark, path)
+    there = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    odd = [n for n in there if n.startswith("group_of_") and not n.startswith(f"{name}=")]
+    if odd:
+        raise ValueError(f"{path} has another number of groups: {odd[0]}")
+    if not fs.exists(_filesystem(spark, f"{aside}/_SUCCESS")[0]):
+        number = F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")
+        placed = fresh.withColumn(name, number).persist()
+        touched = [f"{name}={r[0]}" for r in placed.select(name).distinct().collect()]  # at most ``groups``
+        known = [t for t in touched if t in there]
+        rows = placed
+        if known:
+            stored = spark.read.schema(placed.schema).option("basePath", path)
+            rows = stored.parquet(*[f"{path}/{k}" for k in known]).unionByName(placed)
+        if touched:
+            newest = current_state(rows, [*keys, name]).select(*placed.columns)
+            newest.repartition(min(len(touched), groups), name).write.mode("overwrite").partitionBy(name).parquet(aside)
+        placed.unpersist()
+        if not touched:
+            return
+    for status in fs.listStatus(_filesystem(spark, aside)[0]):
+        folder = status.getPath().getName()
+        if folder.startswith(f"{name}="):
+            _delete(spark, f"{path}/{folder}")
+            fs.rename(status.getPath(), _filesystem(spark, f"{path}/{folder}")[0])
+    _delete(spark, aside)
+
+
 def compact(spark: SparkSession, path: str, target: str, partition: str, sort_by: Sequence[str]) -> DataFrame:
     """Rewrite a table into few, sorted files; the rows stay the same."""
     write_layout(spark.read.parquet(path), target, [partition], sort_by)

@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.rules import ERRORS, Rule
-from millrace.operators.jobs import current_state
-from millrace.sources.log import POSITION, judge
-from millrace.streaming.source import batch_folder, event_time
+from millrace.sources.log import POSITION, handled, judge
+from millrace.sources.tables import UPSERT_GROUPS, merge_groups
+from millrace.streaming.source import batch_folder, event_time, run_of
 
 
 def ingest_writer(
@@ -22,23 +22,29 @@ def ingest_writer(
     table: str,
     dead_letters: str,
     checkpoint: str,
+    handler: Callable[[dict], object] | None = None,
 ) -> DataStreamWriter:
     """Good messages to ``table``, the others to ``dead_letters`` with their errors.
 
-    A bad message never stops the stream.  Every row keeps its topic,
-    partition and offset.
+    A bad message never stops the stream, nor does one on which ``handler``
+    fails (see ``log.handled``): both are dead letters.  Every row keeps its
+    topic, partition and offset.  A query with a fresh checkpoint adds to what
+    earlier ones stored; it never overwrites it.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch)
         batch = batch.persist()
         ok = F.size(ERRORS) == 0
         good = batch.filter(ok).select(*POSITION, "key", "timestamp", "message.*")
         bad = batch.filter(~ok).select(*POSITION, "key", "timestamp", "value", ERRORS)
-        good.write.mode("overwrite").parquet(batch_folder(table, batch_id))
-        bad.write.mode("overwrite").parquet(batch_folder(dead_letters, batch_id))
+        good.write.mode("overwrite").parquet(batch_folder(table, batch_id, run))
+        bad.write.mode("overwrite").parquet(batch_folder(dead_letters, batch_id, run))
         batch.unpersist()
 
     judged = judge(envelope, schema, rules)
+    if handler:
+        judged = handled(judged, handler)
     return judged.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
 
@@ -56,7 +62,7 @@ def batch_writer(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     """One folder per micro-batch, for outputs that are updated over time."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        batch.write.mode("overwrite").parquet(batch_folder(path, batch_id, run_of(batch)))
 
     return df.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint)
 
@@ -73,14 +79,16 @@ def handle_writer(
     return df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
 
 
-def upsert_writer(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str) -> DataStreamWriter:
-    """Store the newest version per key of each micro-batch.
+def upsert_writer(
+    df: DataFrame, keys: Sequence[str], path: str, checkpoint: str, groups: int = UPSERT_GROUPS
+) -> DataStreamWriter:
+    """Keep one row per key, the newest version, in the Parquet table at ``path``.
 
-    Versions are folded again when read (``current_state``), so a batch costs
-    what it contains and not the size of the table.
+    Keys are dealt to ``groups`` folders by hash, and a micro-batch rewrites
+    the folders that its keys fall into; see ``tables.merge_groups``.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        current_state(batch, keys).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        merge_groups(batch, keys, path, groups, f"{run_of(batch)}-{batch_id}")
 
     return df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

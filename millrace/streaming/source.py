@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
+from millrace.conf import CLUSTER
 from millrace.schemas import CHECKPOINT_SECONDS
 
 # Files per micro-batch: bounds what one batch holds per key.
@@ -55,9 +56,24 @@ def paced(writer: DataStreamWriter, seconds: int = CHECKPOINT_SECONDS) -> DataSt
     return writer.trigger(processingTime=f"{seconds} seconds")
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def drain(writer: DataStreamWriter) -> StreamingQuery:
-    """Process everything that is there now, in batches, and stop."""
-    query = writer.trigger(availableNow=True).start()
+    """Process everything that is there now, in batches, and stop.
+
+    The query starts with the state store of ``conf.CLUSTER``; the session's own setting stays as it is.
+    """
+    spark = writer._spark
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, CLUSTER[_STORE])
+    try:
+        query = writer.trigger(availableNow=True).start()  # keeps the settings of this moment
+    finally:
+        if before is None:
+            spark.conf.unset(_STORE)
+        else:
+            spark.conf.set(_STORE, before)
     query.awaitTermination()
     return query
 
@@ -90,16 +106,23 @@ class LateRows(StreamingQueryListener):
         return self.dropped.get(str(query.id), 0)
 
 
-def batch_folder(path: str, batch_id: int) -> str:
+def run_of(batch: DataFrame) -> str:
+    """The id of the query that a micro-batch belongs to; it lives as long as the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def batch_folder(path: str, batch_id: int, run: str | None = None) -> str:
     """The folder of one micro-batch.
 
     A batch that is run again overwrites its own folder, which makes a sink
-    written through it exactly-once.
+    written through it exactly-once.  With ``run``, the id of the query, the
+    batches of another checkpoint, which count from 0 again, have folders of
+    their own.
     """
-    return f"{path}/batch_id={batch_id}"
+    return f"{path}/run={run}/batch_id={batch_id}" if run else f"{path}/batch_id={batch_id}"
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows of a batch-folder sink, with ``batch_id``."""
-    wide = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    """All rows of a batch-folder sink, with ``run`` and ``batch_id``."""
+    wide = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
     return spark.read.schema(wide).option("basePath", path).parquet(path)

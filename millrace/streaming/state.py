@@ -1,14 +1,14 @@
 """Keyed state: job life cycle, rate limit, alerts.
 
-A call of a state function costs milliseconds whatever it does, so keys are
-grouped into shards by hash and a call serves all keys of its shard.  A
-shard's state holds only keys that can still matter: what the watermark has
-passed for good is dropped.  More shards mean smaller states.
-
-Rows reach a state function unordered; each call sorts its rows by time.  A
-call holds one shard's rows of one micro-batch, which the trigger's size limit
-bounds.  A row that arrives in a later batch than a row of its key with a
-later time is late: it does not change decisions already made.
+Every key has a state of its own in the state store, and timers that end it:
+what the watermark has passed for good is dropped.  A batch reads and writes
+the states of the keys it touches and no others, so its cost does not grow
+with the number of live keys.  Stateful processors need the RocksDB store
+(``conf.CLUSTER``; ``source.drain`` sees to it).
+
+Rows reach a processor unordered and are put in order of time first.  A row
+that arrives in a later batch than a row of its key with a later time is late:
+it does not change decisions already made.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.scalars import micros
@@ -28,7 +29,6 @@ from millrace.schemas import JOB_TIMEOUT_SECONDS, RATE_LIMIT_PER_WINDOW, RATE_WI
 from millrace.streaming.source import event_time
 
 
-SHARDS = 256
 # How long a finished job is remembered for events that follow, and one that was never started.
 KEEP_FINISHED_SECONDS = 86_400
 KEEP_PENDING_SECONDS = 7 * 86_400
@@ -40,10 +40,6 @@ SILENT_STEPS = 2
 _NEVER = -(2**62)
 
 
-def _sharded(df: DataFrame, key: str, shards: int) -> DataFrame:
-    return df.withColumn("_shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
-
-
 def without_time(events: DataFrame, ts: str = "ts") -> DataFrame:
     """Rows that no stateful operator can place; for the dead letters."""
     return events.filter(F.col(ts).isNull())
@@ -62,12 +58,7 @@ _FACTS = (
     "duration_seconds double, error_message string, timed_out boolean, events long"
 )
 _JOB_OUTPUT = f"job_id string, {_FACTS}"
-_JOB_STATE = (
-    "job_id array<string>, status array<string>, progress_percentage array<double>, "
-    "started_us array<long>, completed_us array<long>, duration_seconds array<double>, "
-    "error_message array<string>, timed_out array<boolean>, events array<long>, "
-    "last_us array<long>, last_seq array<int>"
-)
+_JOB_STATE = f"{_FACTS}, last_us long, last_seq int"
 _NEW_JOB = ("pending", 0.0, _NEVER, _NEVER, -1.0, "", False, 0, _NEVER, -1)
 
 
@@ -90,12 +81,63 @@ def _apply_event(job: tuple, us: int, seq: int, event: str, error: str | None, l
     return status, progress, started, completed, duration, message, timed_out, n + 1, us, seq
 
 
+class JobLife(StatefulProcessor):
+    """One state per job, from its first event until a while after its last."""
+
+    def __init__(self, limit_us: int, keep_us: int, wait_us: int):
+        self.limit_us, self.keep_us, self.wait_us = limit_us, keep_us, wait_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.row = Row(*_names(_JOB_OUTPUT))
+        self.job = handle.getValueState("job", _JOB_STATE)
+
+    def _wakes_at(self, job: tuple) -> int:
+        """When, in event time, something happens to the job by itself."""
+        if job[0] == "pending":
+            return job[8] + self.wait_us
+        if job[0] == "processing" and not job[6]:
+            return job[2] + self.limit_us
+        return job[8] + self.keep_us
+
+    def _set(self, job: tuple, due: int | None) -> None:
+        """Store the job; its timer is moved by adding one, an old one finds the job not yet due."""
+        self.job.update(job)
+        wake = self._wakes_at(job)
+        if wake != due:
+            self.handle.registerTimer(wake // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.job.get()
+        job = tuple(known) if known else _NEW_JOB
+        due = self._wakes_at(job) if known else None
+        events = sorted((r.us, r.seq, r.event, r.error_message) for r in rows)
+        for us, seq, event, error in events:
+            job = _apply_event(job, us, seq, event, error, self.limit_us)
+        self._set(job, due)
+        yield self.row(*key, *job[:8])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.job.get()
+        if not known:
+            return
+        job, now_us = tuple(known), timerValues.getCurrentWatermarkInMs() * 1000
+        due = self._wakes_at(job)
+        if due >= now_us:
+            return
+        if job[0] == "processing" and not job[6]:
+            job = (*job[:6], True, *job[7:])
+            self._set(job, due)
+            yield self.row(*key, *job[:8])
+        else:
+            self.job.clear()
+
+
 def job_lifecycle(
     events: DataFrame,
     delay: str,
     limit_seconds: int = JOB_TIMEOUT_SECONDS,
     keep_seconds: int = KEEP_FINISHED_SECONDS,
-    shards: int = SHARDS,
     keep_pending_seconds: int = KEEP_PENDING_SECONDS,
 ) -> DataFrame:
     """State of each job after every batch that changed it.
@@ -108,50 +150,10 @@ def job_lifecycle(
     without a time have no place in a history: they are left out here, and
     ``without_time`` gives them to whoever keeps the dead letters.
     """
-    limit_us, keep_us, wait_us = (n * 1_000_000 for n in (limit_seconds, keep_seconds, keep_pending_seconds))
-
-    def wakes_at(job: tuple) -> int:
-        """When, in event time, something happens to the job by itself."""
-        if job[0] == "pending":
-            return job[8] + wait_us
-        if job[0] == "processing" and not job[6]:
-            return job[2] + limit_us
-        return job[8] + keep_us
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        jobs = {row[0]: row[1:] for row in zip(*state.get)} if state.exists else {}
-        changed = set()
-        if not state.hasTimedOut:
-            rows = _sorted(frames, ["us", "seq"])
-            for job_id, *event in zip(rows["job_id"], rows["us"], rows["seq"], rows["event"], rows["error_message"]):
-                jobs[job_id] = _apply_event(jobs.get(job_id, _NEW_JOB), *event, limit_us)
-                changed.add(job_id)
-        out = {job_id: jobs[job_id] for job_id in changed}
-        now_us = state.getCurrentWatermarkMs() * 1000
-        wakes = []
-        for job_id, job in list(jobs.items()):
-            due = wakes_at(job)
-            if due < now_us and job[0] == "processing" and not job[6]:
-                job = (*job[:6], True, *job[7:])
-                out[job_id] = jobs[job_id] = job
-                due = wakes_at(job)
-            if due < now_us:
-                del jobs[job_id]
-            else:
-                wakes.append(due)
-        if jobs:
-            state.update(tuple(list(c) for c in zip(*[(k, *job) for k, job in jobs.items()])))
-            state.setTimeoutTimestamp(max(min(wakes), now_us) // 1000 + 1)
-        else:
-            state.remove()
-        if out:
-            yield pd.DataFrame([(k, *job[:8]) for k, job in out.items()], columns=_names(_JOB_OUTPUT))
-
-    known = events.filter(F.col("ts").isNotNull())
-    timed = _sharded(event_time(known, "ts", delay), "job_id", shards).withColumn("us", micros("ts"))
-    changed = timed.groupBy("_shard").applyInPandasWithState(
-        update, _JOB_OUTPUT, _JOB_STATE, "update", GroupStateTimeout.EventTimeTimeout
-    )
+    life = JobLife(*(n * 1_000_000 for n in (limit_seconds, keep_seconds, keep_pending_seconds)))
+    known = events.filter(F.col("ts").isNotNull()).select("job_id", "ts", "event", "seq", "error_message")
+    timed = event_time(known, "ts", delay).withColumn("us", micros("ts"))
+    changed = timed.groupBy("job_id").transformWithState(life, _JOB_OUTPUT, "update", "EventTime")
 
     def moment(us: str) -> Column:
         return F.timestamp_micros(F.nullif(F.col(us), F.lit(_NEVER))).cast("timestamp_ntz")
@@ -166,74 +168,150 @@ def job_lifecycle(
 
 
 RATE_OUTPUT = "request_id long, client_id string, ts_us long, allowed boolean, remaining long, reset long"
-_RATE_STATE = "client array<string>, stamps array<array<long>>, sizes array<array<long>>"
 
+# Rows of a sorted run in one entry of the store, and runs merged at once.
+PIECE_ROWS = 1000
+FAN = 16
 
-def rate_limit_stream(
-    log: DataFrame,
-    delay: str,
-    limit: int = RATE_LIMIT_PER_WINDOW,
-    window_seconds: int = RATE_WINDOW_SECONDS,
-    shards: int = SHARDS,
-) -> DataFrame:
-    """Decide each request as it arrives; at most ``limit`` instants per client.
 
-    A late request is judged at the newest accepted time of its client.  A
-    request without a time is not allowed, as in the batch.
+class Sorted:
+    """Puts rows of any number in order while holding few: sorted runs go to the store in pieces and are merged from there.
+
+    A level holds fewer than ``FAN`` runs; more become one run of the next
+    level.  So there are ``FAN`` runs for each power of it, and a merge holds
+    one piece of each.
     """
-    window_us = window_seconds * 1_000_000
-
-    def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        clients = {}
-        if state.exists:
-            for client, stamps, sizes in zip(*state.get):
-                clients[client] = AcceptedWindow(limit, window_us, list(zip(stamps, sizes)))
-        rows = None
-        if not state.hasTimedOut:
-            rows = pd.concat(list(frames), ignore_index=True)
-            codes, names = pd.factorize(rows["client_id"])
-            order = np.lexsort((rows["request_id"], rows["us"], codes))
-            rows, codes = rows.iloc[order], codes[order]
-            at = rows["us"].to_numpy()
+
+    def __init__(self, store):
+        self.store, self.next, self.levels, self.held, self.most_held = store, 0, [], 0, 0
+
+    def add(self, us: np.ndarray, ids: np.ndarray, level: int = 0) -> None:
+        order = np.lexsort((ids, us))
+        self._place(iter([(us[order], ids[order])]), level)
+
+    def _place(self, sorted_parts: Iterator[tuple], level: int) -> None:
+        run, pieces = self.next, 0
+        self.next += 1
+        for us, ids in sorted_parts:
+            for at in range(0, len(us), PIECE_ROWS):
+                part = slice(at, at + PIECE_ROWS)
+                self.store.updateValue((run, pieces), (us[part].tolist(), ids[part].tolist()))
+                pieces += 1
+        while len(self.levels) <= level:
+            self.levels.append([])
+        self.levels[level].append((run, pieces))
+        if len(self.levels[level]) == FAN:
+            runs, self.levels[level] = self.levels[level], []
+            self._place(self._merged(runs), level + 1)
+
+    def _take(self, run: int, piece: int) -> tuple[np.ndarray, np.ndarray]:
+        us, ids = self.store.getValue((run, piece))
+        self.store.removeKey((run, piece))
+        return np.array(us, "int64"), np.array(ids, "int64")
+
+    def _merged(self, runs: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cursors = [[run, 1, pieces, *self._take(run, 0)] for run, pieces in runs if pieces]
+        while cursors:
+            self.held = sum(len(c[3]) for c in cursors)
+            self.most_held = max(self.most_held, self.held)
+            # Everything up to the least last row of the pieces at hand can go.
+            us, ids = min((c[3][-1], c[4][-1]) for c in cursors)
+            taken, left = [], []
+            for c in cursors:
+                first, last = (int(np.searchsorted(c[3], us, side)) for side in ("left", "right"))
+                end = first + int(np.searchsorted(c[4][first:last], ids, "right"))
+                taken.append((c[3][:end], c[4][:end]))
+                c[3], c[4] = c[3][end:], c[4][end:]
+                if not len(c[3]) and c[1] < c[2]:
+                    c[3], c[4] = self._take(c[0], c[1])
+                    c[1] += 1
+                if len(c[3]):
+                    left.append(c)
+            cursors = left
+            at, names = (np.concatenate(x) for x in zip(*taken))
+            order = np.lexsort((names, at))
+            yield at[order], names[order]
+
+    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield from self._merged([run for level in self.levels for run in level])
+        self.levels = []
+
+
+class Limiter(StatefulProcessor):
+    """One list of accepted instants per client, read once a batch and appended to."""
+
+    def __init__(self, limit: int, window_us: int):
+        self.limit, self.window_us = limit, window_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.accepted = handle.getListState("accepted", "at_us long, n long")
+        self.runs = handle.getMapState("runs", "run int, piece int", "us array<long>, ids array<long>")
+
+    def _in_order(self, frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Times and ids of the frames' rows in parts, in order; one frame is sorted as it is."""
+        first, many = None, None
+        for frame in frames:
+            arrays = frame["us"].to_numpy(), frame["request_id"].to_numpy()
+            if first is None:
+                first = arrays
+                continue
+            if many is None:
+                many = Sorted(self.runs)
+                many.add(*first)
+            many.add(*arrays)
+        if many is not None:
+            yield from many.rows()
+        elif first is not None:
+            order = np.lexsort((first[1], first[0]))
+            yield first[0][order], first[1][order]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        known = [tuple(x) for x in self.accepted.get()]
+        window = AcceptedWindow(self.limit, self.window_us, known)
+        for at, ids in self._in_order(rows):
             one, before, accepted = np.ones(len(at), "int64"), np.zeros(len(at), "int64"), np.zeros(len(at), "int64")
-            starts = [*np.searchsorted(codes, np.arange(len(names))).tolist(), len(at)]
-            for name, low, high in zip(names, starts, starts[1:]):
-                window = clients.setdefault(name, AcceptedWindow(limit, window_us))
-                part = slice(low, high)
-                decide_run(window, np.maximum(at[part], window.newest), one[part], before[part], accepted[part])
-        # Instants the watermark has left a window behind count for nobody.
-        oldest = state.getCurrentWatermarkMs() * 1000 - window_us
-        live = {c: w for c, w in clients.items() if w.newest >= oldest}
-        if live:
-            state.update(
-                (
-                    list(live),
-                    [[int(t) for t, _ in w.instants] for w in live.values()],
-                    [[int(n) for _, n in w.instants] for w in live.values()],
-                )
-            )
-            last = max(w.newest for w in live.values())
-            state.setTimeoutTimestamp((int(last) + window_us) // 1000 + 1)
-        else:
-            state.remove()
-        if rows is not None:
+            decide_run(window, np.maximum(at, window.newest), one, before, accepted)
             yield pd.DataFrame(
                 {
-                    "request_id": rows["request_id"],
-                    "client_id": rows["client_id"],
-                    "ts_us": rows["us"],
+                    "request_id": ids,
+                    "client_id": key[0],
+                    "ts_us": at,
                     "allowed": accepted > 0,
-                    "remaining": np.maximum(0, limit - before - accepted),
-                    "reset": rows["us"] // 1_000_000 + window_seconds,
+                    "remaining": np.maximum(0, self.limit - before - accepted),
+                    "reset": at // 1_000_000 + self.window_us // 1_000_000,
                 }
             )
+        now = [(int(t), int(n)) for t, n in window.instants]
+        if known and now[: len(known)] == known:
+            if len(now) > len(known):
+                self.accepted.appendList(now[len(known) :])
+        elif now:
+            self.accepted.put(now)
+        if now and (not known or now[-1][0] != known[-1][0]):
+            self.handle.registerTimer((now[-1][0] + self.window_us) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """Instants the watermark has left a window behind count for nobody."""
+        newest = max((t for t, _ in self.accepted.get()), default=_NEVER)
+        if newest < timerValues.getCurrentWatermarkInMs() * 1000 - self.window_us:
+            self.accepted.clear()
+        return iter(())
+
 
+def rate_limit_stream(
+    log: DataFrame, delay: str, limit: int = RATE_LIMIT_PER_WINDOW, window_seconds: int = RATE_WINDOW_SECONDS
+) -> DataFrame:
+    """Decide each request as it arrives; at most ``limit`` instants per client.
+
+    A late request is judged at the newest accepted time of its client.  A
+    request without a time is not allowed, as in the batch.
+    """
     named = log.withColumn("client_id", F.coalesce("client_id", F.lit(UNKNOWN_CLIENT)))
-    known = named.filter(F.col("ts").isNotNull())
-    timed = _sharded(event_time(known, "ts", delay), "client_id", shards).withColumn("us", micros("ts"))
-    decided = timed.groupBy("_shard").applyInPandasWithState(
-        decide, RATE_OUTPUT, _RATE_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    known = named.filter(F.col("ts").isNotNull()).withColumn("request_id", F.col("request_id").cast("long"))
+    timed = event_time(known.select("request_id", "client_id", "ts"), "ts", delay).withColumn("us", micros("ts"))
+    limiter = Limiter(limit, window_seconds * 1_000_000)
+    decided = timed.groupBy("client_id").transformWithStateInPandas(limiter, RATE_OUTPUT, "append", "EventTime")
     nothing = F.lit(None).cast("long")
     refused = without_time(named).select(
         F.col("request_id").cast("long").alias("request_id"), "client_id", nothing.alias("ts_us"),

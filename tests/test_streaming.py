@@ -6,17 +6,18 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.rules import Rule
 from millrace.operators import metrics as metric_ops
-from millrace.operators.jobs import current_state
 from millrace.operators.metrics import Trigger
 from millrace.operators.ratelimit import rate_limit
 from millrace.plans import records
 from millrace.plans.log import PAYLOAD
 from millrace.schemas import ENVELOPE
+from millrace.sources import tables
 from millrace.sources.workspace import shared_folder
 from millrace.streaming import ingest, rollups, source, state
 
@@ -152,7 +153,7 @@ def test_rate_limit_equals_batch(spark, files):
     for part in split(log, "ts", files):
         feed.put(part)
     base = shared_folder(spark, "s")
-    decided = state.rate_limit_stream(feed.stream(), "1 hour", limit=3, window_seconds=86400, shards=5)
+    decided = state.rate_limit_stream(feed.stream(), "1 hour", limit=3, window_seconds=86400)
     source.drain(ingest.file_writer(decided, f"{base}/o", f"{base}/c"))
     got = {r.request_id: (r.allowed, r.remaining, r.reset) for r in spark.read.parquet(f"{base}/o").collect()}
     want = {r.request_id: (r.allowed, r.remaining, r.reset) for r in rate_limit(log, 3, 86400).collect()}
@@ -172,7 +173,7 @@ def test_job_lifecycle_across_batches(spark):
     feed.put(job_rows(spark, [("d", 61, "started", 1, None), ("a", 2, "failed", 2, "stale")]))
     feed.put(job_rows(spark, [("d", 75, "failed", 2, "slow"), ("e", 90, "created", 0, None)]))
     base = shared_folder(spark, "s")
-    life = state.job_lifecycle(feed.stream(), "1 minute", limit_seconds=300, shards=3)
+    life = state.job_lifecycle(feed.stream(), "1 minute", limit_seconds=300)
     source.drain(ingest.batch_writer(life, f"{base}/o", f"{base}/c", "update"))
     versions = source.read_batches(spark, f"{base}/o", life.schema)
     last = {
@@ -228,10 +229,156 @@ def test_upsert_over_batches(spark):
     feed.put(rows((3, "a", "three"), (4, "a", "four")))
     base = shared_folder(spark, "s")
     source.drain(ingest.upsert_writer(feed.stream(), ["k"], f"{base}/o", f"{base}/c"))
-    versions = spark.read.parquet(f"{base}/o")
-    assert versions.count() == 3
-    newest = current_state(versions.drop("batch_id"), ["k"])
-    assert {r.k: r.v for r in newest.collect()} == {"a": "four", "b": "two"}
+    assert {r.k: r.v for r in spark.read.parquet(f"{base}/o").collect()} == {"a": "four", "b": "two"}
+    # A fresh checkpoint takes everything again and changes nothing.
+    source.drain(ingest.upsert_writer(feed.stream(), ["k"], f"{base}/o", f"{base}/c2"))
+    assert {r.k: r.v for r in spark.read.parquet(f"{base}/o").collect()} == {"a": "four", "b": "two"}
+
+
+VERSION = "id long, k string, v string, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+def versions(spark, *items):
+    return spark.createDataFrame([(i, k, v, START + timedelta(minutes=i), None) for i, k, v in items], VERSION)
+
+
+def files_of(path):
+    return {os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_upsert_leaves_untouched_groups_alone(spark):
+    path = f"{shared_folder(spark, 's')}/t"
+    tables.merge_groups(versions(spark, *[(i, f"k{i}", "old") for i in range(40)]), ["k"], path, 8, "a")
+    before = files_of(path)
+    assert len(before) == 8
+    tables.merge_groups(versions(spark, (50, "k3", "new"), (1, "k4", "older"), (51, None, "null")), ["k"], path, 8, "b")
+    rows = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert rows == {**{f"k{i}": "old" for i in range(40)}, "k3": "new", None: "null"}
+    assert spark.read.parquet(path).count() == 41
+    assert 5 <= len(before & files_of(path)) < 8
+    with pytest.raises(ValueError):
+        tables.merge_groups(versions(spark, (60, "k3", "x")), ["k"], path, 16, "c")
+
+
+def test_upsert_goes_on_after_a_failure(spark, monkeypatch):
+    path = f"{shared_folder(spark, 's')}/t"
+    tables.merge_groups(versions(spark, *[(i, f"k{i}", "old") for i in range(20)]), ["k"], path, 4, "a")
+    fresh = versions(spark, *[(100 + i, f"k{i}", "new") for i in range(20)])
+    remove, calls = tables._delete, []
+
+    def fail(session, folder):
+        calls.append(folder)
+        remove(session, folder)
+        if len(calls) == 2:  # the old content is gone, the new one not yet there
+            raise OSError("lost")
+
+    monkeypatch.setattr(tables, "_delete", fail)
+    with pytest.raises(OSError):
+        tables.merge_groups(fresh, ["k"], path, 4, "b")
+    monkeypatch.setattr(tables, "_delete", remove)
+    tables.merge_groups(fresh, ["k"], path, 4, "b")
+    assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {f"k{i}": "new" for i in range(20)}
+
+
+def test_ingest_with_a_fresh_checkpoint_keeps_what_is_stored(spark):
+    base = shared_folder(spark, "s")
+
+    def run(feed, checkpoint):
+        source.drain(ingest.ingest_writer(feed.stream(), PAYLOAD, rules(), f"{base}/t", f"{base}/d", checkpoint))
+
+    for offset in (1, 2):
+        feed = Feed(spark, ENVELOPE)
+        feed.put(messages(spark, [(0, offset, 0, '{"k":1}'), (0, offset + 10, 0, "broken")]))
+        run(feed, f"{base}/c{offset}")
+    assert sorted(r.offset for r in spark.read.parquet(f"{base}/t").collect()) == [1, 2]
+    assert sorted(r.offset for r in spark.read.parquet(f"{base}/d").collect()) == [11, 12]
+
+
+def test_ingest_sets_aside_what_the_handler_fails_on(spark):
+    feed, base = Feed(spark, ENVELOPE), shared_folder(spark, "s")
+    feed.put(messages(spark, [(0, 0, 0, '{"k":1}'), (0, 1, 0, '{"k":7}'), (0, 2, 0, "broken")]))
+
+    def handler(message):
+        if message["k"] == 7:
+            raise KeyError("seven")
+
+    source.drain(
+        ingest.ingest_writer(feed.stream(), PAYLOAD, rules(), f"{base}/t", f"{base}/d", f"{base}/c", handler)
+    )
+    assert [r.offset for r in spark.read.parquet(f"{base}/t").collect()] == [0]
+    bad = {r.offset: r.validation_errors for r in spark.read.parquet(f"{base}/d").collect()}
+    assert bad[1] == ["handler: KeyError: 'seven'"] and bad[2] == ["value:json", "k:range"]
+
+
+def test_job_states_end_and_outlive_a_restart(spark):
+    feed, base = Feed(spark, job_rows(spark, []).schema), shared_folder(spark, "s")
+
+    def run():
+        life = state.job_lifecycle(feed.stream(), "1 minute", limit_seconds=300, keep_seconds=3600, keep_pending_seconds=7200)
+        query = source.drain(ingest.batch_writer(life, f"{base}/o", f"{base}/c", "update"))
+        states = [op.numRowsTotal for p in query.recentProgress for op in p.stateOperators]
+        versions = source.read_batches(spark, f"{base}/o", life.schema)
+        newest = versions.groupBy("job_id").agg(F.max_by(F.struct(*life.columns), "batch_id").alias("v"))
+        return {r.job_id: r.v for r in newest.collect()}, states[-1]
+
+    feed.put(job_rows(spark, [("a", 0, "created", 0, None), ("b", 0, "created", 0, None), ("a", 1, "started", 1, None)]))
+    run()
+    feed.put(job_rows(spark, [("a", 4, "completed", 2, None), ("c", 10, "started", 1, None)]))
+    last, states = run()
+    assert (last["a"].status, last["a"].duration_seconds, last["a"].events) == ("completed", 180.0, 3)
+    assert last["b"].status == "pending" and not last["c"].timed_out
+    feed.put(job_rows(spark, [("d", 200, "created", 0, None)]))
+    last, states = run()
+    assert last["c"].timed_out  # by its timer, without an event
+    feed.put(job_rows(spark, [("d", 201, "started", 1, None)]))
+    last, states = run()
+    assert (last["d"].status, last["d"].events) == ("processing", 2)
+    # a, b and c are forgotten: an event of a begins a history of its own.
+    feed.put(job_rows(spark, [("a", 202, "started", 0, None)]))
+    last, states = run()
+    assert (last["a"].status, last["a"].events) == ("processing", 1)
+
+
+class Held(dict):
+    """The store's map, as a dictionary."""
+
+    updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
+
+
+@pytest.mark.parametrize("frames", [2, 15, 16, 40, 300])
+def test_runs_are_merged_with_few_rows_held(frames):
+    draw = np.random.default_rng(frames)
+    store, rows = Held(), []
+    runs = state.Sorted(store)
+    for i in range(frames):
+        us, ids = draw.integers(0, 50, 2500), draw.permutation(2500) + 2500 * i
+        rows += zip(us.tolist(), ids.tolist())
+        runs.add(us, ids)
+    out = [pair for us, ids in runs.rows() for pair in zip(us.tolist(), ids.tolist())]
+    assert out == sorted(rows) and not store
+    assert runs.most_held <= 3 * state.FAN * state.PIECE_ROWS
+
+
+def test_a_hot_client_is_decided_piecewise(spark):
+    """One client has more rows in a batch than a frame holds; the answers are those of the batch operator."""
+    n = 1500
+    log = spark.range(n).select(
+        F.col("id").alias("request_id"), F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.lit("hot")).alias("client_id"),
+        F.timestamp_seconds(1_700_000_000 + (F.col("id") * 7919) % n).cast("timestamp_ntz").alias("ts"),
+    )
+    feed, base = Feed(spark, log.schema), shared_folder(spark, "s")
+    feed.put(log)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 100)
+    try:
+        decided = state.rate_limit_stream(feed.stream(), "1 hour", limit=5, window_seconds=60)
+        source.drain(ingest.file_writer(decided, f"{base}/o", f"{base}/c"))
+    finally:
+        spark.conf.set(setting, before)
+    got = {r.request_id: (r.allowed, r.remaining, r.reset) for r in spark.read.parquet(f"{base}/o").collect()}
+    want = {r.request_id: (r.allowed, r.remaining, r.reset) for r in rate_limit(log, 5, 60).collect()}
+    assert got == want and len(want) == n
 
 
 def test_stream_join_respects_the_bound(spark):
