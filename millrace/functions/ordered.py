@@ -11,8 +11,8 @@ Buckets come in two kinds:
 
 * time buckets cost nothing extra and suit data whose times are spread out;
 * ``range_parts`` cuts by row count along the full order, so that even a group
-  of rows with one key and one instant is split.  It writes the rows once to
-  the shared folder, because a cut must not move when a lost task is repeated.
+  of rows with one key and one instant is split.  The bounds are drawn once and
+  are literals, because a cut must not move when a lost task is repeated.
 
 Where only instants matter (as-of joins, time frames), rows of one key and
 instant are combined before they are moved, so copies cannot fill a bucket.
@@ -20,6 +20,7 @@ instant are combined before they are moved, so copies cannot fill a bucket.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 from itertools import count
@@ -50,17 +51,66 @@ def _attach(rows: DataFrame, summary: DataFrame, names: Sequence[str], how: str
     return rows.join(renamed, condition, how).drop(*[f"_s_{n}" for n in names])
 
 
+# Rows of a part, about, and parts at most: their bounds are literals of the plan.
+PART_ROWS = 500_000
+MOST_PARTS = 4096
+# Keys drawn for each bound.
+DRAWN = 20
+
+
+def _plain_order(df: DataFrame, order: Sequence[Column]) -> list[str] | None:
+    """The names of ``order`` if it is ascending columns and nothing else."""
+    names = [re.fullmatch(r"Column<'(\w+)'>", str(c)) for c in order]
+    if not all(n and n[1] in df.columns for n in names):
+        return None
+    return [n[1] for n in names]
+
+
+def _as_literal(df: DataFrame, column: str, value) -> Column:
+    plain = naive(value) if isinstance(value, datetime) else F.lit(value)
+    return plain.cast(df.schema[column].dataType)
+
+
+def _below(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """How many of the ascending ``bounds`` are not above the row's ``columns``, nulls lowest: a binary search by steps of halves."""
+    if not bounds:
+        return F.lit(0)
+    key = F.struct(*[F.col(c) for c in columns])
+    table = F.array(*[F.struct(*[_as_literal(df, c, v).alias(c) for c, v in zip(columns, b)]) for b in bounds])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def step(found: Column, width: Column) -> Column:
+        further = found + width
+        return F.when((further <= len(bounds)) & (F.get(table, further - 1) <= key), further).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
 def range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "_part") -> DataFrame:
     """Add ``name``: a number that rises along ``(keys, order)`` and splits the
     table into parts of similar size, whatever the keys and times look like.
 
-    ``order`` should be total.  The rows are staged as a table, so all later
-    readers see the same cut.
+    ``order`` should be total.  The cut is made once, at keys of a bounded
+    sample, and is part of the plan, so all readers and repeated tasks see the
+    same; rows are neither moved nor stored for it.  Only where ``order`` is
+    more than ascending columns are the rows staged as a table instead.
     """
-    path = shared_folder(df.sparkSession, "range")
-    placed = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    placed.withColumn(name, F.spark_partition_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, columns = df.sparkSession, _plain_order(df, order)
+    if columns is None:
+        path = shared_folder(spark, "range")
+        placed = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+        placed.withColumn(name, F.spark_partition_id()).write.parquet(path)
+        return spark.read.parquet(path)
+    columns = list(dict.fromkeys([*keys, *columns]))
+    n = df.count()
+    parts = min(MOST_PARTS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PART_ROWS), n)
+    if parts < 2:
+        return df.withColumn(name, F.lit(0))
+    unit = F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / float(1 << 30)
+    drawn = df.select(*columns).filter(unit < DRAWN * parts / n).distinct().orderBy(*columns)
+    found = [tuple(r) for r in drawn.limit(4 * DRAWN * parts).collect()]
+    bounds = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
+    return df.withColumn(name, _below(df, columns, list(dict.fromkeys(bounds))))
 
 
 def row_index(
@@ -114,8 +164,7 @@ class KeyRange:
         return F.struct(*[self.value(c, v).alias(c) for c, v in zip((self.first, self.second), bound)])
 
     def value(self, column: str, value) -> Column:
-        plain = naive(value) if isinstance(value, datetime) else F.lit(value)
-        return plain.cast(self.df.schema[column].dataType)
+        return _as_literal(self.df, column, value)
 
     def rows(self) -> DataFrame:
         """The first column's bounds are plain comparisons with literals, so they reach the file scan."""
@@ -131,13 +180,64 @@ class KeyRange:
         return out
 
 
+# Shares of the rows at which a time is looked up at once, and the sketch's rank error as a share.
+GRID = 1024
+SKETCH = 10_000
+
+
+def _seek_time(df: DataFrame, first: str, skip: int, take: int, enough: int) -> tuple[DataFrame, int]:
+    """``seek_key`` by ``first`` alone, a time: what is left holds ``enough`` rows before the wanted ones or is one instant.
+
+    A sketch of fixed size tells times near the place, one count tells what
+    lies above, and the times bound the scans that follow.
+    """
+    at = F.col(first)
+    rows, rest, low, high = df, skip, None, None
+    shares = [i / GRID for i in range(GRID + 1)]
+    pad = 1 + -(-2 * GRID // SKETCH)
+
+    def between(low, high) -> DataFrame:
+        out = df
+        if high is not None:
+            out = out.filter(at <= naive(high) if low is not None else (at <= naive(high)) | at.isNull())
+        return out if low is None else out.filter(at >= naive(low))
+
+    while rest > enough:
+        known, grid = rows.agg(F.count(first), F.percentile_approx(first, shares, SKETCH)).first()
+        if rest >= known:  # among the rows without a time
+            return (df.filter(at.isNull()), rest - known) if low is None else (rows, rest)
+        top = grid[min(GRID, int((known - rest) / known * GRID) + pad)]
+        below = int((known - rest - take) / known * GRID) - pad
+        bottom = grid[below] if below >= 0 else low
+        near = rows.filter(at >= naive(bottom)) if bottom is not None else rows
+        above, held = near.agg(F.count_if(at > naive(top)), F.count_if(at <= naive(top))).first()
+        if above > rest:  # not within the sketch's error
+            break
+        if held < rest - above + take:
+            bottom = low
+        rest, stuck = rest - above, (bottom, top) == (low, high)
+        low, high = bottom, top
+        rows = between(low, high)
+        if stuck or low == high:
+            break
+    return rows, rest
+
+
 def seek_key(df: DataFrame, first: str, second: str, skip: int, take: int, enough: int) -> tuple[DataFrame, int]:
     """Rows among which the wanted ones, ``skip`` to ``skip + take`` in descending order, are a small top-k.
 
     Returns ``(rows, rest)``: the wanted rows follow after ``rest`` others, which are at most
-    ``enough`` unless that many rows share one key.  While there are more, a bounded sample of keys
-    cuts the range into pieces, the pieces are counted, and the one that holds the place is cut
-    again.  Keys may be of any type that has an order.
+    ``enough`` unless that many rows share one key.  Where ``first`` is a time, the place is first
+    narrowed down by it.  Keys may be of any type that has an order.
+    """
+    if skip > enough and df.schema[first].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        df, skip = _seek_time(df, first, skip, take, enough)
+    return _seek_pair(df, first, second, skip, take, enough)
+
+
+def _seek_pair(df: DataFrame, first: str, second: str, skip: int, take: int, enough: int) -> tuple[DataFrame, int]:
+    """``seek_key`` by both: while more than ``enough`` rows lie before, a bounded sample of keys
+    cuts the range into pieces, the pieces are counted, and the one that holds the place is cut again.
     """
 
     def order(key: tuple) -> tuple:
@@ -340,24 +440,33 @@ def runs(
     )
 
 
+def quantile_bracket(value: Column, probs: Sequence[float], accuracy: int = 10_000) -> list[Column]:
+    """Aggregates from which ``exact_quantiles`` starts: the brackets of the quantiles, and the number of values."""
+    slack = 2.0 / accuracy
+    edges = []
+    for p in probs:
+        edges += [max(0.0, p - slack), min(1.0, p + slack)]
+    return [F.percentile_approx(value, edges, accuracy).alias("_edges"), F.count(value).alias("_total")]
+
+
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = 10_000
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    accuracy: int = 10_000,
+    brackets: DataFrame | None = None,
 ) -> DataFrame:
     """Exact discrete quantiles: the smallest value whose share reaches ``p``.
 
     ``percentile`` keeps every distinct value of a group in one task.  Here a
     sketch of fixed size first brackets each quantile (its rank error is at
     most ``n / accuracy``); then only the distinct values inside the brackets
-    are moved and ranked, with everything below them counted.
+    are moved and ranked, with everything below them counted.  ``brackets``
+    are the rows of ``quantile_bracket`` by ``keys``, if they are known.
     """
-    slack = 2.0 / accuracy
-    edges = []
-    for p in probs:
-        edges += [max(0.0, p - slack), min(1.0, p + slack)]
-    brackets = df.groupBy(*keys).agg(
-        F.percentile_approx(value, edges, accuracy).alias("_edges"),
-        F.count(value).alias("_total"),
-    )
+    if brackets is None:
+        brackets = df.groupBy(*keys).agg(*quantile_bracket(F.col(value), probs, accuracy))
     slots = brackets.select(
         *keys, "_total",
         F.explode(

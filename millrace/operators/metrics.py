@@ -12,13 +12,15 @@ from millrace.functions.ordered import (
     BUCKET_SECONDS,
     exact_quantiles,
     latest_before,
+    quantile_bracket,
     runs,
     trailing_mean,
     trailing_rows,
 )
 from millrace.functions.scalars import time_bucket
-from millrace.operators.requests import cumulative_histogram
+from millrace.operators.requests import cumulative_histogram, histogram_columns
 from millrace.schemas import DURATION_BOUNDS
+from millrace.sources.workspace import shared_folder
 
 # Up to this many rules, given as a list, are sent to every task; more are joined.
 BROADCAST_RULES = 10_000
@@ -224,29 +226,49 @@ def metric_rollup(
     """All metric types in one long table ``(keys, stat, value)``.
 
     Counters are summed, gauges keep their last value, histograms become
-    cumulative buckets and summaries exact quantiles.
+    cumulative buckets and summaries exact quantiles.  One aggregate serves all
+    types; it is kept as a table of one row per group, and only the values of
+    summaries are read again, to be ranked inside the brackets found.
     """
-
-    def shaped(df: DataFrame, stat: Column, value: Column) -> DataFrame:
-        return df.select(*keys, stat.alias("stat"), value.cast("double").alias("value"))
-
-    le = F.when(F.col("le") == float("inf"), F.lit("le_inf")).otherwise(
-        F.concat(F.lit("le_"), F.col("le").cast("string"))
+    kind = F.col("type")
+
+    def of(name: str, value: Column | str = "value") -> Column:
+        return F.when(kind == name, F.col(value) if isinstance(value, str) else value)
+
+    counts = [*histogram_columns(of("histogram"), bounds), F.count(of("histogram"))]
+    grouped = metrics.groupBy(*keys).agg(
+        *[F.count_if(kind == name).alias(f"_n_{name}") for name in ("counter", "gauge", "histogram")],
+        F.sum(of("counter")).alias("_sum"),
+        F.max_by(of("gauge"), of("gauge", F.struct("created_at", "id"))).alias("_last"),
+        *[c.alias(f"_le{i}") for i, c in enumerate(counts)],
+        *quantile_bracket(of("summary"), probs),
+    )
+    path = shared_folder(metrics.sparkSession, "rollup")
+    grouped.write.parquet(path)
+    grouped = metrics.sparkSession.read.schema(grouped.schema).parquet(path)
+
+    def entry(stat: Column, value: str) -> Column:
+        return F.struct(stat.alias("stat"), F.col(value).cast("double").alias("value"))
+
+    def when(name: str, *entries: Column) -> Column:
+        return F.when(F.col(f"_n_{name}") > 0, F.array(*entries))
+
+    named = [*[F.concat(F.lit("le_"), F.lit(float(b)).cast("string")) for b in bounds], F.lit("le_inf")]
+    found = F.concat(
+        *[
+            F.coalesce(part, F.array().cast("array<struct<stat: string, value: double>>"))
+            for part in (
+                when("counter", entry(F.lit("total"), "_sum")),
+                when("gauge", entry(F.lit("last"), "_last")),
+                when("histogram", *[entry(name, f"_le{i}") for i, name in enumerate(named)]),
+            )
+        ]
     )
-    parts = [
-        shaped(counter_totals(metrics, keys), F.lit("total"), F.col("value")),
-        shaped(gauge_latest(metrics, keys), F.lit("last"), F.col("value")),
-        shaped(histogram_buckets(metrics, keys, bounds), le, F.col("n")),
-        shaped(
-            summary_quantiles(metrics, keys, probs),
-            F.concat(F.lit("q_"), F.col("p").cast("string")),
-            F.col("quantile"),
-        ),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    plain = grouped.select(*keys, F.inline(found))
+    brackets = grouped.filter(F.col("_total") > 0).select(*keys, "_edges", "_total")
+    ranked = exact_quantiles(metrics.filter(kind == "summary"), keys, "value", probs, brackets=brackets)
+    quantiles = ranked.select(*keys, F.concat(F.lit("q_"), F.col("p").cast("string")).alias("stat"), F.col("quantile").cast("double").alias("value"))
+    return plain.unionByName(quantiles)
 
 
 def system_rollup(samples: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

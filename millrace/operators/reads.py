@@ -107,19 +107,23 @@ def page_after(
     ts: str = "created_at",
     tie: str = "id",
 ) -> DataFrame:
-    """Keyset page: the rows after the ``(ts, tie)`` of the last row seen.
+    """Keyset page: the rows after the ``(ts, tie)`` of the last row seen, in the order of ``page``.
 
-    The bound on ``ts`` reaches the file scan, so a deep page costs no more
-    than the first.
+    Rows without a time come last; after one of them, its ``ts`` is None.  The
+    bound on ``ts`` reaches the file scan, so a deep page costs no more than
+    the first.
     """
     check_page(1, size)
     rows = where(df, pred)
     if last is not None:
-        seen_ts, seen_tie = naive(last[0]), F.lit(last[1])
-        rows = rows.filter(F.col(ts) <= seen_ts).filter(
-            (F.col(ts) < seen_ts) | (F.col(tie) < seen_tie)
-        )
-    return rows.orderBy(F.desc(ts), F.desc(tie)).limit(size)
+        at = F.col(ts)
+        behind = F.lit(False) if last[1] is None else (F.col(tie) < F.lit(last[1])) | F.col(tie).isNull()
+        if last[0] is None:
+            rows = rows.filter(at.isNull() & behind)
+        else:
+            seen = naive(last[0])
+            rows = rows.filter((at <= seen) | at.isNull()).filter((at < seen) | at.isNull() | behind)
+    return rows.orderBy(F.desc_nulls_last(ts), F.desc_nulls_last(tie)).limit(size)
 
 
 def page_info(

@@ -247,6 +247,28 @@ def page_keyset(spark, folder):
     return reads.page_after(rows, (datetime(2024, 1, 15), 5000), 20)
 
 
+_HALF_TIMED = "case when id % 4 = 0 then null else created_at end"
+
+
+@query(
+    "page_keyset_null_ts",
+    ctes("ingestion")
+    + f"""select id, {_HALF_TIMED} as created_at from ingestion
+order by created_at desc nulls last, id desc nulls last limit 300 offset (select count(*) - 150 from ingestion where id % 4 <> 0)""",
+)
+def page_keyset_null_ts(spark, folder):
+    """Three pages over the border between rows with and without a time, each from the last row of the one before."""
+    rows = records.ingestion(spark, folder).select("id", F.expr(_HALF_TIMED).alias("created_at"))
+    timed = rows.filter("created_at is not null")
+    newest = timed.orderBy("created_at", "id").limit(151).orderBy(F.desc("created_at"), F.desc("id")).limit(1)
+    last, out = tuple(newest.select("created_at", "id").first()), None
+    for _ in range(3):
+        page = reads.page_after(rows, last, 100)
+        end = page.orderBy(F.desc_nulls_last("created_at"), F.desc_nulls_last("id")).tail(1)[0]
+        last, out = (end.created_at, end.id), page if out is None else out.unionByName(page)
+    return out
+
+
 @query(
     "page_info",
     ctes("ingestion")

@@ -232,7 +232,7 @@ def extract_chain(spark, folder):
     "retention",
     ctes("ingestion")
     + """select id, topic, part_id, created_at from ingestion
-where created_at >= timestamp '2024-01-31 00:00:00' - interval 7 day""",
+where created_at >= timestamp '2024-01-31 00:00:00' - interval 7 day or created_at is null""",
 )
 def retention(spark, folder):
     rows = records.ingestion(spark, folder).select("id", "topic", "part_id", "created_at")
