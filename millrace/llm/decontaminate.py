@@ -41,8 +41,12 @@ STEPS_PER_WORD = 1.2
 REACH = 0.67
 #: Items are indexed and broadcast in blocks of about so many words.
 BLOCK_WORDS = 2_000_000
-#: Windows embedded at once.
+#: Windows embedded, and cells of alignments computed, at once.
 WINDOWS = 20_000
+CELLS = 1 << 15
+#: A cell's lower bits hold the place at which its alignment begins.
+_BITS = 32
+_COST = np.int64(1 << _BITS)
 
 _PAD = np.uint64(0)
 
@@ -65,6 +69,7 @@ class Items:
 class Index:
     ids: list
     words: list[np.ndarray]  # hashes of each item's words
+    grams: list[np.ndarray]  # each item's q-grams, sorted, of the q that it has in its class
     classes: list[Items]
     maybe: dict[int, np.ndarray]  # by q: bit table of the grams of all classes
 
@@ -168,35 +173,91 @@ def build(ids: list, texts: list[str | None]) -> Index:
     for c in classes:
         table = maybe.setdefault(c.q, np.zeros(1 << 20, bool))
         table[(c.grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    return Index(ids, hashes, classes, maybe)
+    grams = [np.unique(W.ngrams(x, _gram_size(len(x)))) if len(x) else x for x in hashes]
+    return Index(ids, hashes, grams, classes, maybe)
 
 
 def _lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column.cast(pa.large_string()))
 
 
+def _last_rows(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each ``(item, words)`` its number, and by end the least distance of the item to words that end there, and where they begin.
+
+    Of equally good beginnings the first.  Pairs of similar size are worked on together; a cell
+    holds the distance and, below it, the beginning, so one minimum finds both.
+    """
+    order = sorted(range(len(pairs)), key=lambda i: (len(pairs[i][0]), len(pairs[i][1])))
+    at = 0
+    while at < len(order):
+        end, widest = at, 0
+        while end < len(order):
+            widest = max(widest, len(pairs[order[end]][1]))
+            if end > at and (end + 1 - at) * widest > CELLS:
+                break
+            end += 1
+        chunk = order[at:end]
+        at = end
+        width = max(len(pairs[i][1]) for i in chunk)
+        text = np.zeros((len(chunk), width), np.uint64)
+        item = np.zeros((len(chunk), len(pairs[chunk[-1]][0])), np.uint64)
+        for row, i in enumerate(chunk):
+            item[row, : len(pairs[i][0])], text[row, : len(pairs[i][1])] = pairs[i]
+        place = np.arange(width + 1, dtype=np.int64)
+        cell, done = np.tile(place, (len(chunk), 1)), 0
+        for step in range(item.shape[1]):
+            replaced = cell[:, :-1] + (text[done:] != item[done:, step, None]) * _COST
+            fresh = np.empty_like(cell)
+            fresh[:, 0] = cell[:, 0] + _COST
+            np.minimum(replaced, cell[:, 1:] + _COST, out=fresh[:, 1:])
+            # An extra word of the text costs one for each step to the right.
+            fresh -= place * _COST
+            cell = np.minimum.accumulate(fresh, axis=1)
+            cell += place * _COST
+            while done < len(chunk) and len(pairs[chunk[done]][0]) == step + 1:
+                ends = cell[0, : len(pairs[chunk[done]][1]) + 1]
+                yield chunk[done], ends >> _BITS, ends & (_COST - 1)
+                cell, done = cell[1:], done + 1
+
+
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
-    """``(distance, begin, end)`` of the part of ``words`` nearest to ``item``; ties go to the first end."""
-    m = len(words)
-    place = np.arange(m + 1)
-    cost = np.zeros(m + 1, np.int64)
-    origin = place.copy()
-    for i, token in enumerate(item, 1):
-        replace = np.empty(m + 1, np.int64)
-        replace[0] = cost[0] + 1
-        from_left = np.empty(m + 1, np.int64)
-        from_left[0] = origin[0]
-        diagonal = cost[:-1] + (words != token)
-        above = cost[1:] + 1
-        replace[1:] = np.minimum(diagonal, above)
-        from_left[1:] = np.where(diagonal <= above, origin[:-1], origin[1:])
-        # An extra word of the text costs one for each step to the right.
-        slack = replace - place
-        best = np.minimum.accumulate(slack)
-        source = np.maximum.accumulate(np.where(slack == best, place, 0))
-        cost, origin = best + place, from_left[source]
+    """``(distance, begin, end)`` of the part of ``words`` nearest to ``item``; ties go to the first end, then the first begin."""
+    _, cost, begin = next(_last_rows([(item, words)]))
     end = int(cost.argmin())
-    return int(cost[end]), int(origin[end]), end
+    return int(cost[end]), int(begin[end]), end
+
+
+def _disjoint(cost: np.ndarray, origin: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """``(distance, begin, end)`` of parts within ``most`` edits that do not overlap, the nearest first."""
+    ends = np.flatnonzero(cost <= most)
+    taken, out = np.zeros(len(cost), bool), []
+    for end in ends[np.lexsort((ends, cost[ends]))].tolist():
+        begin = int(origin[end])
+        if not (taken[begin] or taken[end - 1] or taken[begin:end].any()):
+            taken[begin:end] = True
+            out.append((int(cost[end]), begin, end))
+    return out
+
+
+def _occurrences(index: Index, tokens: np.ndarray, regions: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """``(item, distance, begin, end)`` of the occurrences in ``(item, low, high)`` regions of the words.
+
+    What is left on both sides of one found, if an occurrence fits there, is looked at again.
+    """
+    while regions:
+        left = []
+        pairs = [(index.words[item], tokens[low:high]) for item, low, high in regions]
+        for i, cost, origin in _last_rows(pairs):
+            item, low, high = regions[i]
+            most, edge = budget(len(index.words[item])), 0
+            found = sorted(_disjoint(cost, origin, most), key=lambda f: f[1])
+            for distance, begin, end in found:
+                yield item, distance, low + begin, low + end
+            for begin, end in [*[f[1:] for f in found], (high - low, high - low)] if found else ():
+                if begin - edge >= len(index.words[item]) - most:
+                    left.append((item, low + edge, low + begin))
+                edge = end
+        regions = left
 
 
 def _starts(
@@ -224,7 +285,10 @@ def _starts(
 
 
 def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(row, item, distance, first word, words)`` of every match; the best of overlapping ones."""
+    """``(row, item, distance, first word, words)`` of every match, the best of overlapping ones.
+
+    What adjoins a match is searched by itself, so another occurrence right before or behind it is found too.
+    """
     for offset, _, found in W.blocks(_lowered(column), W.NOT_ALNUM):
         tokens = found.hashes()
         if not len(tokens):
@@ -237,7 +301,7 @@ def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int,
             at = np.flatnonzero(table[(gram & np.uint64((1 << 20) - 1)).astype(np.int64)])
             at = at[at + q <= stop[at]]
             hits[q] = at, gram[at]
-        pairs = []
+        items, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for c in index.classes:
             for back, starts in enumerate(_starts(c, *hits[c.q], stop, len(tokens), begin)):
                 for i in range(0, len(starts), WINDOWS):
@@ -245,36 +309,49 @@ def search(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int,
                     keys = _walk(tokens, own, (begin if back else stop)[own], c.low, bool(back))
                     left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
                     walk, window = np.nonzero(right > left)
-                    for w, n in zip(walk, window):
-                        at = own[n]
-                        pairs += [
-                            (c.owner[k], max(begin[at], at - c.place[k])) for k in range(left[w, n], right[w, n])
-                        ]
-        if not pairs:
-            continue
-        done: dict[int, int] = {}
-        matches: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for item, start in sorted(set((int(i), int(s)) for i, s in pairs)):
-            words = index.words[item]
-            if done.get(item, -1) > start:
-                continue  # within the part last verified
-            slack = budget(len(words))
-            low = max(int(begin[start]), start - 2 * slack)
-            high = min(int(stop[start]), start + len(words) + 2 * slack + len(words) // 2)
-            distance, b, e = align(words, tokens[low:high])
-            if distance <= slack:
-                matches.setdefault((item, int(text[start])), []).append((distance, low + b, low + e))
-                done[item] = low + e - slack
-        for (item, t), spans in matches.items():
-            spans.sort(key=lambda s: s[1])
-            kept: list[tuple[int, int, int]] = []
-            for span in spans:
-                if kept and span[1] < kept[-1][2]:
-                    kept[-1] = min(kept[-1], span)
-                else:
-                    kept.append(span)
-            for distance, b, e in kept:
-                yield offset + t, item, distance, b - int(found.first[t]), e - b
+                    left, count = left[walk, window], (right - left)[walk, window]
+                    entry = np.repeat(left - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                    at = np.repeat(own[window], count)
+                    items.append(c.owner[entry])
+                    places.append(np.maximum(begin[at], at - c.place[entry]))
+        regions = _regions(index, tokens, np.concatenate(items), np.concatenate(places), begin, stop)
+        for item, distance, b, e in _occurrences(index, tokens, regions):
+            t = int(text[b])
+            yield offset + t, item, distance, b - int(found.first[t]), e - b
+
+
+def _regions(
+    index: Index, tokens: np.ndarray, items: np.ndarray, places: np.ndarray, begin: np.ndarray, stop: np.ndarray
+) -> list[tuple[int, int, int]]:
+    """``(item, low, high)``: the words around places near which items may begin, as far as they hold enough of the item's q-grams.
+
+    Places of one item whose surroundings overlap share a region; each lies within one text.
+    """
+    if not len(items):
+        return []
+    key = np.unique(items * len(tokens) + places)
+    items, places = key // len(tokens), key % len(tokens)
+    size = np.array([len(w) for w in index.words])[items]
+    slack = (EDITS * size + 1e-9).astype(np.int64)
+    lows = np.maximum(begin[places], places - 2 * slack)
+    highs = np.minimum(stop[places], places + size + 2 * slack + size // 2)
+    merged: list[tuple[int, int, int]] = []
+    for item, low, high in zip(items.tolist(), lows.tolist(), highs.tolist()):
+        if merged and merged[-1][0] == item and low < merged[-1][2]:
+            merged[-1] = item, merged[-1][1], max(high, merged[-1][2])
+        else:
+            merged.append((item, low, high))
+    out, grams = [], {}
+    for item, low, high in merged:
+        n = len(index.words[item])
+        q = _gram_size(n)
+        if q not in grams:
+            grams[q] = W.ngrams(tokens, q)
+        mine, here = index.grams[item], grams[q][low : high - q + 1]
+        at = np.minimum(np.searchsorted(mine, here), len(mine) - 1)
+        if np.count_nonzero(mine[at] == here) >= n - q + 1 - q * budget(n):
+            out.append((item, low, high))
+    return out
 
 
 def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[Index]:

@@ -106,6 +106,30 @@ def test_positions(spark):
     assert sorted((r.first_word, r.n_words, r.distance) for r in got) == [(40, 30, 0), (110, 30, 0)]
 
 
+def test_occurrences_side_by_side(spark):
+    """An occurrence at the limit of edits, next to an exact one on either side, and many in a row."""
+    items = [prose(50 + i, 50, 3000) for i in range(10)]
+    rows = []
+    for i, item in enumerate(items):
+        w = item.split()
+        for j in random.Random(i).sample(range(50), 10):
+            w[j] = f"q{j}"
+        near = " ".join(w)
+        rows.append((i, f"{prose(2, 30)} {near} {item} {prose(3, 30)}"))
+        rows.append((100 + i, f"{item} {near}"))
+        rows.append((200 + i, " ".join([item] * 30)))
+    index = decontaminate.build(list(range(10)), items)
+    found = {}
+    for row, item, d, first, n in decontaminate.search(index, pa.array([t for _, t in rows])):
+        assert item == rows[row][0] % 100
+        found.setdefault(rows[row][0], []).append((first, n, d))
+    for i in range(10):
+        exact = [f for f in found[i] if f[1:] == (50, 0)]
+        assert exact == [(80, 50, 0)] and len(found[i]) == 2
+        assert sorted(found[100 + i])[0] == (0, 50, 0) and len(found[100 + i]) == 2
+        assert sorted(found[200 + i]) == [(50 * k, 50, 0) for k in range(30)]
+
+
 def test_blocks_of_items(spark, monkeypatch):
     bench = spark.createDataFrame(items(), "item_id long, text string")
     docs = spark.createDataFrame(documents(0), "doc_id long, text string")
