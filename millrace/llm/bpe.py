@@ -23,7 +23,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ from millrace.llm.store import small_batches
 
 #: Bits of a bitmap word; two levels cover the square of it.
 WORD = 256
-#: Pieces a worker remembers between blocks; the memo is emptied when it holds more.
+#: Pieces a worker remembers between blocks, about.
 MEMO = 150_000
 #: Longer pieces are forgotten after their block.
 MEMO_CHARS = 40
@@ -39,6 +38,12 @@ MEMO_CHARS = 40
 BLOCK_CHARS = 2_500_000
 QUEUE_BYTES = 1_000_000
 
+#: So few positions of a rank are joined one by one, more as arrays; the result is the same.
+FEW = 64
+
+#: Larger vocabulary files are refused.
+FILE_CHARS = 64 << 20
+
 NONE = -1
 
 
@@ -67,6 +72,7 @@ class PairTable:
         order = np.argsort(key)
         self.keys = np.append(key[order], np.iinfo(np.int64).max)
         self.ranks = np.append(rank[order], NONE).astype(np.int32)
+        self.known = dict(zip(key.tolist(), rank.tolist()))  # for one pair at a time
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         # A rank is plain if every pair with its token ranks higher: joining it makes no lower pair.
         lowest = np.full(self.size, self.size, np.int64)
@@ -87,6 +93,11 @@ class RankQueue:
         self.low = [0] * (ranks // WORD + 1)
         self.high = 0
         self.buckets: dict[int, list[np.ndarray]] = {}
+        self.single: dict[int, list[int]] = {}  # positions added one at a time
+
+    def _mark(self, rank: int) -> None:
+        self.low[rank // WORD] |= 1 << rank % WORD
+        self.high |= 1 << rank // WORD
 
     def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
         if not len(ranks):
@@ -96,26 +107,38 @@ class RankQueue:
         cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
         begins = [0, *cuts.tolist()]
         for rank, begin, end in zip(ranks[begins].tolist(), begins, [*begins[1:], len(ranks)]):
-            bucket = self.buckets.get(rank)
-            if bucket is None:
-                self.buckets[rank] = [positions[begin:end]]
-                self.low[rank // WORD] |= 1 << rank % WORD
-                self.high |= 1 << rank // WORD
-            else:
-                bucket.append(positions[begin:end])
-
-    def pop(self) -> tuple[int, np.ndarray]:
-        """The lowest rank and its positions in ascending order; the rank is -1 when nothing waits."""
+            self.buckets.setdefault(rank, []).append(positions[begin:end])
+            self._mark(rank)
+
+    def add(self, rank: int, position: int) -> None:
+        found = self.single.get(rank)
+        if found is None:
+            self.single[rank] = [position]
+            self._mark(rank)
+        else:
+            found.append(position)
+
+    def take(self) -> tuple[int, list[int] | np.ndarray]:
+        """The lowest rank and its positions in ascending order, few of them as a list; the rank is -1 when nothing waits."""
         if not self.high:
-            return NONE, np.zeros(0, np.int32)
+            return NONE, []
         word = (self.high & -self.high).bit_length() - 1
         bits = self.low[word]
         rank = word * WORD + (bits & -bits).bit_length() - 1
         self.low[word] = bits = bits & (bits - 1)
         if not bits:
             self.high &= self.high - 1
-        bucket = self.buckets.pop(rank)
-        return rank, bucket[0] if len(bucket) == 1 else np.unique(np.concatenate(bucket))
+        bucket, single = self.buckets.pop(rank, []), self.single.pop(rank, [])
+        if len(single) + sum(map(len, bucket)) <= FEW:
+            return rank, sorted({*single, *(p for part in bucket for p in part.tolist())})
+        if single:
+            bucket.append(np.array(single, np.int32))
+        return rank, bucket[0] if len(bucket) == 1 and not single else np.unique(np.concatenate(bucket))
+
+    def pop(self) -> tuple[int, np.ndarray]:
+        """As ``take``, the positions always as an array."""
+        rank, at = self.take()
+        return rank, np.asarray(at, np.int32)
 
 
 def _alternate(positions: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -140,6 +163,50 @@ def _lowers(at, rank, table, token, owner, after, before) -> np.ndarray:
     return low | (NONE < twice < rank)
 
 
+def _joiner(table: PairTable, queue: RankQueue, *arrays: np.ndarray):
+    """A function that joins the pairs at given positions, in order, on the arrays of ``merge_all``.
+
+    It does nothing and says so where a join would make a pair of a lower rank.
+    """
+    token, owner, after, before, waits = map(memoryview, arrays)
+    known, size = table.known.get, table.size
+
+    def lowers(rank: int, at: int) -> bool:
+        left, right = before[at], after[after[at]]
+        if owner[right] == owner[at] and known(rank * size + token[right], rank) < rank:
+            return True
+        return left >= 0 and owner[left] == owner[at] and known(token[left] * size + rank, rank) < rank
+
+    def join(rank: int, positions: list[int]) -> bool:
+        if not table.plain[rank]:
+            positions = [at for at in positions if waits[at] == rank]
+            if known(rank * size + rank, rank) < rank or any(lowers(rank, at) for at in positions):
+                return False
+        for at in positions:
+            if waits[at] != rank:
+                continue  # stale
+            gone = after[at]
+            right = after[gone]
+            waits[gone] = token[gone] = NONE
+            token[at] = rank
+            after[at] = right
+            before[right] = at
+            mine = owner[at]
+            fresh = known(rank * size + token[right], NONE) if owner[right] == mine else NONE
+            waits[at] = fresh
+            if fresh != NONE:
+                queue.add(fresh, at)
+            left = before[at]
+            if left >= 0 and owner[left] == mine:
+                fresh = known(token[left] * size + rank, NONE)
+                waits[left] = fresh
+                if fresh != NONE:
+                    queue.add(fresh, left)
+        return True
+
+    return join
+
+
 def merge_all(pieces: list[bytes], table: PairTable) -> list[bytes]:
     """Token ids of every pre-token, as the bytes of 32-bit integers."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -154,10 +221,15 @@ def merge_all(pieces: list[bytes], table: PairTable) -> list[bytes]:
     inner = inner[waits[inner] != NONE]
     queue = RankQueue(table.size)
     queue.push(waits[inner], inner)
+    one_by_one = _joiner(table, queue, token, owner, after, before, waits)
     while True:
-        rank, at = queue.pop()
+        rank, at = queue.take()
         if rank == NONE:
             break
+        if isinstance(at, list):
+            if one_by_one(rank, at):
+                continue
+            at = np.array(at, np.int32)
         at = at[waits[at] == rank]  # the rest is stale
         if not len(at):
             continue
@@ -197,14 +269,32 @@ def merge_all(pieces: list[bytes], table: PairTable) -> list[bytes]:
     return [ids[b:e] for b, e in zip([0, *ends[:-1]], ends)]
 
 
-def _trim(memo: dict, keys: Iterable[str]) -> None:
-    """Forget the long ones of ``keys``, or everything when there is too much."""
-    if len(memo) > MEMO:
-        memo.clear()
-    else:
+class Memo(dict):
+    """Remembers what was used of late: a full one becomes the older half, from which used entries come back."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self[key] = self.older[key]
+        return found
+
+    def without(self, keys: Iterable[str]) -> set[str]:
+        """Those of ``keys`` that are not known."""
+        unknown = set(keys)
+        unknown.difference_update(self)
+        unknown.difference_update(self.older)
+        return unknown
+
+    def trim(self, keys: Iterable[str]) -> None:
+        """Forget the long ones of ``keys``, and what was not used for long."""
         for key in keys:
             if len(key) > MEMO_CHARS:
-                del memo[key]
+                self.pop(key, None)
+        if len(self) > MEMO // 2:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -222,12 +312,12 @@ class Encoder:
         self.table = PairTable(ranks)
         self.match = regex.compile(pattern).findall
         self.spaced = spaced
-        self.known: dict[str, bytes] = {}  # ids by pre-token, as bytes of 32-bit integers
-        self.cuts: dict[str, bytes] = {}  # ids by cut
+        self.known = Memo()  # ids by pre-token, as bytes of 32-bit integers
+        self.cuts = Memo()  # ids by cut
 
-    def _learn(self, pieces: Iterable[str]) -> list[str]:
+    def _learn(self, pieces: Iterable[str]) -> set[str]:
         """Encode the pre-tokens not yet known; which ones those were."""
-        new = [p for p in pieces if p not in self.known]
+        new = self.known.without(pieces)
         todo: list[str] = []
         held = 0
         for piece in new:
@@ -268,7 +358,7 @@ class Encoder:
         fresh: set[str] = set()
         for parts in cuts:
             fresh.update(parts or ())
-        fresh.difference_update(self.cuts)
+        fresh = self.cuts.without(fresh)
         bad = {cut for cut in fresh if self._bad(cut)}
         if bad:
             cuts = [None if parts is None or not bad.isdisjoint(parts) else parts for parts in cuts]
@@ -286,30 +376,34 @@ class Encoder:
             b"".join(map(known, whole[i])) if parts is None else b"".join(map(found, parts))
             for i, parts in enumerate(cuts)
         ]
-        _trim(self.cuts, fresh)
-        _trim(self.known, new)
+        self.cuts.trim(fresh)
+        self.known.trim(new)
         return out
 
 
 @lru_cache(maxsize=2)
-def _encoder(name: str, pattern: str, spaced: bool) -> Encoder:
-    with open(SparkFiles.get(name), encoding="ascii") as lines:
-        return Encoder(parse_ranks(lines.read()), pattern, spaced)
+def _encoder(content: str, pattern: str, spaced: bool) -> Encoder:
+    return Encoder(parse_ranks(content), pattern, spaced)
 
 
 @lru_cache(maxsize=2)
-def _tokens(name: str) -> dict[int, bytes]:
-    with open(SparkFiles.get(name), encoding="ascii") as lines:
-        return {rank: token for token, rank in parse_ranks(lines.read()).items()}
+def _tokens(content: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens by rank, one after another, and where each begins; unused ranks have none."""
+    ranks = parse_ranks(content)
+    sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    by_rank = sorted(ranks, key=ranks.__getitem__)
+    return np.frombuffer(b"".join(by_rank), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _shipped(spark: SparkSession, vocabulary: str) -> str:
-    """Send the vocabulary file to every executor once; the name it has there."""
-    context = spark.sparkContext
-    name = vocabulary.rsplit("/", 1)[-1]
-    if not any(str(f).rsplit("/", 1)[-1] == name for f in context.listFiles):
-        context.addFile(vocabulary)
-    return name
+def _shipped(spark: SparkSession, vocabulary: str):
+    """The vocabulary file's text, broadcast; it is a few megabytes, larger ones are refused."""
+    with open(vocabulary, encoding="ascii") as lines:
+        content = lines.read(FILE_CHARS + 1)
+    if len(content) > FILE_CHARS:
+        raise ValueError(f"more than {FILE_CHARS} characters: {vocabulary}")
+    return spark.sparkContext.broadcast(content)
 
 
 def encode(
@@ -321,12 +415,12 @@ def encode(
     ``pattern`` matches pre-tokens; ``spaced`` says that it has the property ``Encoder`` names.
     A column of the name ``ids`` is replaced; other columns pass.
     """
-    name = _shipped(df.sparkSession, vocabulary)
+    shared = _shipped(df.sparkSession, vocabulary)
     small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def encoded(column: pa.Array) -> pa.Array:
-        encoder = _encoder(name, pattern, spaced)
+        encoder = _encoder(shared.value, pattern, spaced)
         values, ends, block, held = [], [0], [], 0
 
         def flush():
@@ -351,17 +445,28 @@ def encode(
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded binary``, the bytes of the tokens in ``ids``; null ids give no bytes, an unknown id is an error."""
-    name = _shipped(df.sparkSession, vocabulary)
+    shared = _shipped(df.sparkSession, vocabulary)
     small_batches(df.sparkSession)
 
     @F.arrow_udf("binary")
     def joined(column: pa.Array) -> pa.Array:
-        token = _tokens(name).__getitem__
-        values = column.flatten().to_numpy(zero_copy_only=False)
-        out, at = [], 0
-        for n in column.value_lengths().fill_null(0).to_pylist():
-            out.append(b"".join(map(token, values[at : at + n].tolist())))
-            at += n
-        return pa.array(out, pa.binary())
+        data, begins = _tokens(shared.value)
+        sizes = np.diff(begins)
+        lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        values, at, row, out = column.flatten().to_numpy(zero_copy_only=False), 0, 0, []
+        while row < len(lengths):
+            # Rows of about BLOCK_CHARS tokens at once.
+            stop = row + max(1, int(np.searchsorted(np.cumsum(lengths[row:]), BLOCK_CHARS, "right")))
+            ends = np.cumsum(lengths[row:stop])
+            ids = values[at : at + ends[-1]]
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or not sizes[ids].all()):
+                raise KeyError("an id without a token")
+            width = sizes[ids]
+            upto = np.concatenate([[0], np.cumsum(width)])
+            text = data[np.repeat(begins[ids] - upto[:-1], width) + np.arange(upto[-1])]
+            offsets = upto[np.concatenate([[0], ends])].astype(np.int32)
+            out.append(pa.Array.from_buffers(pa.binary(), stop - row, [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
+            at, row = at + int(ends[-1]), stop
+        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
     return df.withColumn(decoded, joined(df[ids]))

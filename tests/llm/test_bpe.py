@@ -118,3 +118,24 @@ def test_encoded_once(spark):
     done = bpe.decode(bpe.encode(odd(spark), VOCABULARY, public_tokenizers.PATTERN), VOCABULARY).select("ids", "decoded")
     plan = done._jdf.queryExecution().executedPlan().toString()
     assert plan.count("encoded(") == 1
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path, ranks):
+    """The content of a vocabulary counts, not its file's name."""
+    import base64
+
+    docs = spark.createDataFrame([("the the",)], "text string")
+    found = []
+    for folder, most in (("a", 300), ("b", 60_000)):
+        (tmp_path / folder).mkdir()
+        path = tmp_path / folder / "ranks"
+        path.write_text("".join(f"{base64.b64encode(t).decode()} {r}\n" for t, r in ranks.items() if len(t) == 1 or r < most))
+        done = bpe.decode(bpe.encode(docs, str(path), public_tokenizers.PATTERN), str(path)).first()
+        assert bytes(done.decoded) == b"the the"
+        found.append(len(done.ids))
+    assert found[0] > found[1] == 2
+
+
+def test_unknown_ids_are_an_error(spark):
+    with pytest.raises(Exception, match="an id without a token"):
+        bpe.decode(spark.createDataFrame([([1, 60_000],)], "ids array<int>"), VOCABULARY).collect()
