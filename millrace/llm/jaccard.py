@@ -23,7 +23,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as W
@@ -39,6 +39,7 @@ TARGET_RECALL = 0.998
 #: Sets verified against each other at once, and columns of their product.
 BLOCK = 512
 COLUMNS = 4096
+_WORD = r"[^\x20\x09-\x0D]"
 #: Shingles hashed at once by all functions.
 SLICE = 1 << 17
 
@@ -91,9 +92,14 @@ def _key(grams: np.ndarray) -> bytes | None:
     return int(one).to_bytes(8, "big") + int(two).to_bytes(8, "big")
 
 
+def _digest(text: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.unhex(F.md5(F.col(text)))
+
+
 def sketches(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``id, key`` and the prefix hashes of each depth, ``p<depth> array<bigint>``, one for each tree."""
-    rows = named(df, doc_id, text).toDF("id", "text")
+    """``id, key, digest`` and the prefix hashes of each depth, ``p<depth> array<bigint>``, one for each tree."""
+    rows = named(df, doc_id, text).toDF("id", "text").withColumn("digest", _digest("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +114,14 @@ def sketches(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                     chain = W.mix(chain * np.uint64(0x9E3779B97F4A7C15) + values[:, :, d])
                     if d + 1 in prefixes:
                         prefixes[d + 1].append(chain.astype(np.int64))
-            columns = [batch.column(0), pa.array(keys, pa.binary())]
+            columns = [batch.column(0), pa.array(keys, pa.binary()), batch.column(2)]
             for d in DEPTHS:
                 flat = np.concatenate(prefixes[d]).ravel() if prefixes[d] else np.zeros(0, np.int64)
                 ends = pa.array(np.arange(0, len(flat) + 1, TREES), pa.int32())
                 columns.append(pa.ListArray.from_arrays(ends, pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, ["id", "key", *(f"p{d}" for d in DEPTHS)])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "digest", *(f"p{d}" for d in DEPTHS)])
 
-    return rows.mapInArrow(run, f"id {kind}, key binary, " + ", ".join(f"p{d} array<bigint>" for d in DEPTHS))
+    return rows.mapInArrow(run, f"id {kind}, key binary, digest binary, " + ", ".join(f"p{d} array<bigint>" for d in DEPTHS))
 
 
 def _groups(classes: DataFrame, depth: int) -> DataFrame:
@@ -264,19 +270,14 @@ def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def similar(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, threshold: float = THRESHOLD,
-    target: float = TARGET_RECALL,
-) -> DataFrame:
-    """``doc_id, class_id, copy_id, n_links`` for every row.
-
-    ``class_id`` is the least id of the documents reached by links, ``copy_id`` the least id with the
-    same set of n-grams, ``n_links`` the number of other rows that are similar, copies included.
-    """
+def _classes(df: DataFrame, doc_id: str, text: str, size: int, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and for each set ``key, rep, head, n``: its least id, the least ``(id, digest)`` of its class, and its links."""
     ids = staged(sketches(df, doc_id, text, size), "sketches")
     firsts = [F.first(f"p{d}").alias(f"p{d}") for d in DEPTHS]  # equal for equal keys
     classes = staged(
-        ids.filter("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *firsts),
+        ids.filter("key is not null and id is not null").groupBy("key").agg(
+            F.min("id").alias("rep"), F.min(F.struct("id", "digest")).alias("least"), F.count("*").alias("copies"), *firsts
+        ),
         "classes",
     )
     texts = named(df, doc_id, text).toDF("id", "text")
@@ -299,21 +300,33 @@ def similar(
         deeper = depth
     linked = staged(total.groupBy("key").agg(F.sum("links").alias("links")), "linked")
     roots = components(total.select("key", "root"), "key", "root")
-    reps = classes.select("key", "rep", "copies")
+    reps = classes.select("key", "rep", "least", "copies")
     located = reps.join(linked, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    least = located.filter("root is not null").groupBy("root").agg(F.min("rep").alias("least"))
-    placed = located.join(least, "root", "left").select(
+    heads = located.filter("root is not null").groupBy("root").agg(F.min("least").alias("head"))
+    return ids, located.join(heads, "root", "left").select(
         "key",
         "rep",
-        F.coalesce("least", "rep").alias("class"),
+        F.coalesce("head", "least").alias("head"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
     )
+
+
+def similar(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, threshold: float = THRESHOLD,
+    target: float = TARGET_RECALL,
+) -> DataFrame:
+    """``doc_id, class_id, copy_id, n_links`` for every row.
+
+    ``class_id`` is the least id of the documents reached by links, ``copy_id`` the least id with the
+    same set of n-grams, ``n_links`` the number of other rows that are similar, copies included.
+    """
+    ids, placed = _classes(df, doc_id, text, size, threshold, target)
     return (
         ids.select("id", F.when(F.col("id").isNotNull(), F.col("key")).alias("key"))
         .join(placed, "key", "left")
         .select(
             F.col("id").alias(doc_id),
-            F.coalesce("class", "id").alias("class_id"),
+            F.coalesce("head.id", "id").alias("class_id"),
             F.coalesce("rep", "id").alias("copy_id"),
             F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         )
@@ -321,8 +334,19 @@ def similar(
 
 
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one row of each class, the one of the least id; rows without an id stay."""
-    found = similar(df, doc_id, text).filter(F.col(doc_id) > F.col("class_id")).select(F.col(doc_id).alias("__id")).distinct()
-    left = df.join(found, df[doc_id] == found["__id"], "left_anti")
-    # Equal rows of one id.
-    return left.filter(left[doc_id].isNotNull()).dropDuplicates([doc_id, text]).unionByName(left.filter(left[doc_id].isNull()))
+    """``df`` with one row of each class: the one of the least id, of several texts of that id the one of the least digest.
+
+    Rows without an id, and rows without words, stay.  Of rows that are equal in id and text one stays.
+    """
+    ids, placed = _classes(df, doc_id, text, SIZE, THRESHOLD, TARGET_RECALL)
+    rows = ids.filter("key is not null and id is not null").select("key", "id", "digest")
+    gone = (
+        rows.join(placed.select("key", "head"), "key")
+        .filter(F.struct("id", "digest") != F.col("head"))
+        .select(F.col("id").alias("__id"), F.col("digest").alias("__gone"))
+        .distinct()
+    )
+    marked = df.withColumn("__digest", _digest(text))
+    left = marked.join(gone, (marked[doc_id] == gone["__id"]) & (marked["__digest"] == gone["__gone"]), "left_anti")
+    known = left[doc_id].isNotNull() & F.coalesce(left[text].rlike(_WORD), F.lit(False))
+    return left.filter(known).dropDuplicates([doc_id, text]).unionByName(left.filter(~known)).drop("__digest")

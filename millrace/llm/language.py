@@ -12,6 +12,7 @@ ties go to the more frequent language, then by name; without any labelled text a
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from millrace.llm.words import mix
 
 #: Labelled texts of a language that are learned from, on average; a hash of the text picks them.
 TRAIN_TEXTS = 4000
-#: Languages that are learned: the most frequent.
+#: Languages that can be learned; labels with more are refused, none is left out.
 MAX_LANGUAGES = 256
 #: Buckets of hashed n-grams, and their lengths with the word's edges.
 BUCKETS = 1 << 16
@@ -58,7 +59,15 @@ SCRIPTS = (
 )
 _BEGINS = [b for b, _ in SCRIPTS]
 
-_WORD = re.compile(r"[^\W\d_]+")
+def _marks() -> str:
+    """Combining marks, which belong to the word they stand in, as ranges of a character class."""
+    found = [c for c in (*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(c))[0] == "M"]
+    begins = [c for c, before in zip(found, [0, *found]) if c != before + 1]
+    ends = [c for c, behind in zip(found, [*found[1:], 0]) if c != behind - 1]
+    return "".join(f"{chr(b)}-{chr(e)}" for b, e in zip(begins, ends))
+
+
+_WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 
 
 def script_of(word: str) -> str:
@@ -125,7 +134,9 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of the languages of the rows whose text and language are not null."""
     small_batches(labelled.sparkSession)
     rows = labelled.select(labelled[text].alias("text"), labelled[lang].alias("lang")).dropna()
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = [r.lang for r in sizes]
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), {})
@@ -277,8 +288,11 @@ def _labeller(key: str, shared) -> Labeller:
 SPANS = "array<struct<first_word: bigint, n_words: bigint, lang: string>>"
 
 
-def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``language struct<lang_pred, score, spans>``; ``score`` is the share of the letters in its spans."""
+def identify(df: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
+    """Add ``out struct<lang_pred, score, spans>``; ``score`` is the share of the letters in its spans.
+
+    A column of the name ``out`` is replaced; other columns pass.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)  # MAX_LANGUAGES * BUCKETS floats at most
     small_batches(df.sparkSession)
     key = uuid.uuid4().hex
@@ -317,4 +331,4 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             flush()
         return pa.concat_arrays(out)
 
-    return df.withColumn("language", label(df[text].cast("binary")))
+    return df.withColumn(out, label(df[text].cast("binary")))

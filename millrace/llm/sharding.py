@@ -8,7 +8,11 @@ bytes decide the shard: a row belongs to the shard that holds the middle of its
 differ by about one row.
 
 Rules: null text counts as empty; null ids come first; equal ``(text, id)`` pairs are told apart
-by nothing and keep one range, each with its own slot.
+by nothing and keep one range, each with its own slot.  A text of any length is one row of its bytes.
+
+The ranges spread the sort over tasks; which shard a row belongs to follows from exact running
+bytes, not from the sample.  The driver holds one boundary for each range, about one for
+``RANGE_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -32,7 +36,6 @@ OVERFULL = 2.0
 #: Times that overfull ranges are subdivided at most; what is left then is one key.
 ROUNDS = 6
 
-_KEY = "struct<digest:string,id:bigint>"
 
 
 def _unit(*columns: Column) -> Column:
@@ -51,11 +54,11 @@ def _splitters(rows: DataFrame, ranges: int, total: int, salt: int) -> list[dict
     return [r.bound.asDict() for r in bounds.select("bound").distinct().orderBy("bound").collect()]
 
 
-def _place(key: Column, bounds: list[dict]) -> Column:
+def _place(key: Column, bounds: list[dict], kind: str = "bigint") -> Column:
     """How many of the sorted ``bounds`` lie below ``key``: a branch-free binary search."""
     if not bounds:
         return F.lit(0)
-    table = F.from_json(F.lit(json.dumps(bounds)), F.lit(f"array<{_KEY}>"))
+    table = F.from_json(F.lit(json.dumps(bounds, default=str)), F.lit(f"array<struct<digest:string,id:{kind}>>"))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
 
     def take(found: Column, step: Column) -> Column:
@@ -66,7 +69,7 @@ def _place(key: Column, bounds: list[dict]) -> Column:
 
 
 def shard_by_bytes(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot`` for every row of ``df``.
+    """``doc_id, size, text_crc32, shard, slot`` for every row of ``df``; ids may be of any type that has an order and a JSON form.
 
     ``size`` is the bytes of the text and one; slots of a shard count from 0 without gaps in key order.
     """
@@ -85,11 +88,11 @@ def shard_by_bytes(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str
     seen = keyed.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
     total = seen.bytes or 0
     ranges = max(shards * RANGES_PER_SHARD, -(-seen["rows"] // RANGE_ROWS))
-    key = F.struct("digest", "id")
+    key, kind = F.struct("digest", "id"), keyed.schema["id"].dataType.simpleString()
     limit = OVERFULL * total / ranges
     bounds = _splitters(keyed, ranges, total, 0) if total else []
     for salt in range(1, ROUNDS):
-        sums = keyed.groupBy(_place(key, bounds).alias("range")).agg(
+        sums = keyed.groupBy(_place(key, bounds, kind).alias("range")).agg(
             F.sum("size").alias("bytes"), F.min(key) != F.max(key)
         )
         over = [r for r in sums.filter(F.col("bytes") > limit).collect() if r[2]]
@@ -97,13 +100,13 @@ def shard_by_bytes(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str
             break
         finer: list[dict] = []
         for r in over:
-            inside = keyed.filter(_place(key, bounds) == r["range"])
+            inside = keyed.filter(_place(key, bounds, kind) == r["range"])
             finer += _splitters(inside, max(2, round(2 * r.bytes / limit)), r.bytes, salt)
         bounds = sorted(
-            {(b["digest"], b["id"]) for b in [*bounds, *finer]}, key=lambda b: (b[0], b[1] is not None, b[1] or 0)
+            {(b["digest"], b["id"]) for b in [*bounds, *finer]}, key=lambda b: (b[0], b[1] is not None, 0 if b[1] is None else b[1])
         )
         bounds = [{"digest": d, "id": i} for d, i in bounds]
-    ranged = keyed.withColumn("range", _place(key, bounds))
+    ranged = keyed.withColumn("range", _place(key, bounds, kind))
     # A row for each range: their number is bounded by rows / RANGE_ROWS and the subdivisions.
     sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

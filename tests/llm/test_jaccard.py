@@ -152,6 +152,16 @@ def test_odd_documents(spark):
     assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5, 6, 7, 8, 9, 10, 10] and ids.count(None) == 2
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    a, b, c = prose(1, 90), prose(2, 90), prose(3, 90)
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (2, b, "x"), (3, c, "x"), (3, changed(c, 1, 1), "x"), (4, None, "x"), (4, None, "y"), (4, " ", "x")]
+    left = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = sorted(((r.doc_id, r.text, r.lang) for r in left.collect()), key=str)
+    of_three = [r for r in got if r[0] == 3]
+    assert len(of_three) == 1 and of_three[0] in rows
+    assert [r for r in got if r[0] != 3] == sorted([(1, a, "x"), (2, b, "x"), (4, None, "x"), (4, None, "y"), (4, " ", "x")], key=str)
+
+
 def test_empty_table(spark):
     assert jaccard.similar(empty(spark)).collect() == []
 

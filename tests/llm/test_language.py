@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pytest
 from cases import empty, odd
 from pyspark.sql import functions as F
 
@@ -85,3 +86,21 @@ def test_languages_of_a_script_only(spark):
     scores, _ = model.words(["собаку", "fox"])
     en, ru = model.languages.index("en"), model.languages.index("ru")
     assert scores[0, ru] == 0 and scores[0, en] == -language.WORD_FLOOR and scores[1, en] == 0
+
+
+def test_combining_marks_belong_to_their_word():
+    assert language._lower_words("हिन्दी में e\u0301te\u0301 1a2 x_y") == ["हिन्दी", "में", "e\u0301te\u0301", "a", "x", "y"]
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    df = spark.createDataFrame([("one text", k) for k in ("a", "b")], "text string, lang string")
+    assert language.learn(df).languages == ["a", "b"]
+    with pytest.raises(ValueError):
+        language.learn(df.union(spark.createDataFrame([("text", "c")], df.schema)))
+
+
+def test_a_column_keeps_its_name(spark):
+    df = spark.createDataFrame([(1, "some text", "mine")], "doc_id long, text string, language string")
+    row = language.identify(df, language.Model([], np.zeros((language.BUCKETS, 0), np.float32), {}), out="found").first()
+    assert row.language == "mine" and row.found.lang_pred == language.UNDETERMINED

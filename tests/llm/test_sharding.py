@@ -53,6 +53,18 @@ def test_hot_text_is_divided(spark, monkeypatch):
     assert len(sums) == 8 and max(sums) - min(sums) <= 2 * 400
 
 
+def test_text_ids(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SAMPLES_PER_RANGE", 4)
+    rows = [(f'id "{i % 700}"', "copy " * 20 if i % 3 == 0 else prose(i, 20 + i % 40)) for i in range(1000)] + [(None, "copy " * 20), ("", None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r for r in sharding.shard_by_bytes(df, 8).collect()}
+    assert set(got) == {r[0] for r in rows}
+    sums = [r[1] for r in sharding.shard_by_bytes(df, 8).groupBy("shard").agg({"size": "sum"}).collect()]
+    assert len(sums) == 8 and max(sums) - min(sums) <= 2 * 400
+    slots = sharding.shard_by_bytes(df, 8).groupBy("shard").agg({"slot": "max", "*": "count"}).collect()
+    assert all(r["max(slot)"] + 1 == r["count(1)"] for r in slots)
+
+
 def test_no_python_in_the_plan(spark):
     plan = sharding.shard_by_bytes(odd(spark), 8)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
