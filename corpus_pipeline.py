@@ -1,7 +1,9 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
-Every stage but the last returns the columns of ``documents`` and works on all that the stage
-before it kept.  Rows without an id pass the stages that compare documents.
+Every stage but the last returns the columns of ``documents``, whatever they are called besides the
+known ones, and works on all that the stage before it kept.  Rows without an id pass the stages that
+compare documents.  Null, empty and letterless texts go with the first stage; repeated rows, and copies,
+near or exact, with the second, which keeps the least id and of one id's texts the least digest.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ LEAST_SCORE = 0.25
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; those without letters, or without a main language, go."""
-    found = language.identify(docs, language.learn(docs))
-    sure = (F.col("language.lang_pred") != language.UNDETERMINED) & (F.col("language.score") >= LEAST_SCORE)
+    found = language.identify(docs, language.learn(docs), out="__language")
+    sure = (F.col("__language.lang_pred") != language.UNDETERMINED) & (F.col("__language.score") >= LEAST_SCORE)
     return found.filter(sure).select(*docs.columns)
 
 
