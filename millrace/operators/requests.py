@@ -104,3 +104,30 @@ def rolling_counts(log: DataFrame, window: str, slide: str | None = None) -> Dat
         .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                 "requests", "errors", "error_rate_percent", "mean_ms")
     )
+
+
+def rolling_clients(
+    log: DataFrame, window: str, slide: str, approximate: bool = False, client: str = "client_id", ts: str = "ts"
+) -> DataFrame:
+    """Distinct clients of each sliding window: ``window_start, window_end, clients``.
+
+    Exactly, a client is kept once per step of ``slide`` and then counted in
+    every window that holds the step.  ``approximate`` keeps one sketch per
+    step instead and unites those of a window: memory and rows moved do not
+    grow with the clients, and the count is within about 5 % (three standard
+    errors of the sketch).  The sketch form also serves streams with a
+    watermark; the window must be a whole number of steps.
+    """
+    step = F.window(ts, slide).alias("_step")
+    if approximate:
+        steps = log.groupBy(step).agg(F.hll_sketch_agg(F.coalesce(F.col(client), F.lit("")), F.lit(SKETCH_BITS)).alias("_seen"))
+        count = F.hll_sketch_estimate(F.hll_union_agg("_seen"))
+    else:
+        steps = log.select(step, F.coalesce(F.col(client), F.lit("")).alias("_client")).distinct()
+        count = F.count_distinct("_client")
+    frames = steps.groupBy(F.window(F.window_time("_step"), window, slide).alias("_w")).agg(count.alias("clients"))
+    return frames.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "clients")
+
+
+# Registers of a sketch as a power of two: a standard error of 1.04 / 2^6.
+SKETCH_BITS = 12

@@ -99,6 +99,21 @@ def app_metrics(spark, folder):
     )
 
 
+@query(
+    "rolling_clients",
+    ctes("request_log")
+    + """,
+steps as (select distinct time_bucket(interval 6 hour, ts, timestamp '1970-01-01') as step, client_id from request_log),
+frames as (select step - to_hours(6 * k) as window_start, client_id from steps, range(4) as r(k))
+select window_start, window_start + interval 24 hour as window_end, count(distinct client_id) as clients
+from frames group by window_start""",
+)
+def rolling_clients(spark, folder):
+    """Distinct clients of the last day, every six hours."""
+    out = request_ops.rolling_clients(records.request_log(spark, folder), "24 hours", "6 hours")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 _ROLLUP_BOUNDS = (5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 250.0, 500.0)
 
 

@@ -228,6 +228,29 @@ def extract_chain(spark, folder):
     return parts[0].unionByName(parts[1]).drop("created_at")
 
 
+@query(
+    "extract_restored",
+    ctes("jobs")
+    + """select id, case when id % 5 = 1 then 'changed' else status end as status, created_at from jobs
+where created_at <= timestamp '1997-06-01 00:00:00' and id % 7 <> 3""",
+)
+def extract_restored(spark, folder):
+    """Rows deleted and changed between two extracts are so in the table that the chain gives back."""
+    rows = records.jobs(spark, folder).select("id", "status", "created_at", F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    rows = rows.filter("created_at <= timestamp_ntz'1997-06-01 00:00:00'")
+    changed = F.col("id") % 5 == 1
+    later = rows.filter("id % 7 <> 3").withColumns(
+        {
+            "status": F.when(changed, "changed").otherwise(F.col("status")),
+            "updated_at": F.when(changed, F.lit("1997-07-01").cast("timestamp_ntz")),
+        }
+    )
+    root = shared_folder(spark, "extract")
+    tables.extract(spark, {"jobs": rows}, root, datetime(1997, 6, 15), {"jobs": "id"})
+    tables.extract(spark, {"jobs": later}, root, datetime(1997, 9, 1), {"jobs": "id"})
+    return tables.restore_chain(spark, root, "jobs", "id").drop("updated_at")
+
+
 @query(
     "retention",
     ctes("ingestion")

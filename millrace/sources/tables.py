@@ -92,18 +92,52 @@ def restore(spark: SparkSession, folder: str, name: str, target: str) -> DataFra
     return spark.read.parquet(target)
 
 
-def reconcile(source: DataFrame, copy: DataFrame) -> DataFrame:
+# Buckets of rows whose checksums are compared before any row is moved.
+CHECK_BUCKETS = 4096
+
+
+def _weighted(source: DataFrame, copy: DataFrame) -> DataFrame:
+    """Rows of both tables with ``_weight`` 1 and -1."""
+    columns = source.columns
+    return source.withColumn("_weight", F.lit(1)).unionByName(copy.select(*columns).withColumn("_weight", F.lit(-1)))
+
+
+def _checksums(both: DataFrame, columns: Sequence[str], buckets: int) -> tuple[DataFrame, Column]:
+    """``_bucket, source_rows, copy_rows, _differs`` for each bucket of rows, and the bucket of a row.
+
+    A bucket's checksum is the sum of its rows' hashes, whatever their order:
+    128 bits of hash in four sums, which are equal for different rows by
+    chance only.
+    """
+    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    bucket = F.pmod(one, F.lit(buckets)).cast("int")
+    halves = [h for x in (one, two) for h in (x.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(x, 32))]
+    rows = both.select(bucket.alias("_bucket"), "_weight", *[h.alias(f"_h{i}") for i, h in enumerate(halves)])
+    sums = rows.groupBy("_bucket").agg(
+        F.count_if(F.col("_weight") > 0).alias("source_rows"),
+        F.count_if(F.col("_weight") < 0).alias("copy_rows"),
+        *[F.sum(F.col(f"_h{i}") * F.col("_weight")).alias(f"_s{i}") for i in range(len(halves))],
+    )
+    differs = F.col("source_rows") != F.col("copy_rows")
+    for i in range(len(halves)):
+        differs = differs | (F.col(f"_s{i}") != 0)
+    return sums.withColumn("_differs", differs), bucket
+
+
+def reconcile(source: DataFrame, copy: DataFrame, buckets: int = CHECK_BUCKETS) -> DataFrame:
     """Rows whose number differs between two tables, with the difference.
 
-    One pass over each side and one shuffle: copies of a row are counted
-    before they are moved.
+    Checksums of buckets of rows are compared first; only rows of buckets that
+    differ are moved, and copies of a row are counted before that.
     """
     columns = source.columns
-    both = source.withColumn("_weight", F.lit(1)).unionByName(
-        copy.select(*columns).withColumn("_weight", F.lit(-1))
-    )
+    both = _weighted(source, copy)
+    sums, bucket = _checksums(both, columns, buckets)
+    differing = F.broadcast(sums.filter("_differs").select("_bucket"))  # ``buckets`` numbers at most
     return (
-        both.groupBy(*columns)
+        both.withColumn("_bucket", bucket)
+        .join(differing, "_bucket", "left_semi")
+        .groupBy(*columns)
         .agg(F.sum("_weight").alias("_surplus"))
         .filter("_surplus <> 0")
         .withColumn("side", F.when(F.col("_surplus") > 0, "source_only").otherwise("copy_only"))
@@ -112,27 +146,15 @@ def reconcile(source: DataFrame, copy: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
+def reconcile_counts(source: DataFrame, copy: DataFrame, buckets: int = CHECK_BUCKETS) -> DataFrame:
     """One row: row counts of both sides and rows found on one side only."""
-    columns = source.columns
-    both = source.withColumn("_weight", F.lit(1)).unionByName(
-        copy.select(*columns).withColumn("_weight", F.lit(-1))
-    )
-    grouped = both.groupBy(*columns).agg(
-        F.sum("_weight").alias("_surplus"),
-        F.count_if(F.col("_weight") > 0).alias("_source"),
-        F.count_if(F.col("_weight") < 0).alias("_copy"),
-    )
-
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
-
-    return grouped.agg(
-        total(F.col("_source")).alias("source_rows"),
-        total(F.col("_copy")).alias("copy_rows"),
-        total(F.greatest(F.col("_surplus"), F.lit(0))).alias("source_only"),
-        total(F.greatest(-F.col("_surplus"), F.lit(0))).alias("copy_only"),
+    names = ("source_rows", "copy_rows", "source_only", "copy_only")
+    sums, _ = _checksums(_weighted(source, copy), source.columns, buckets)
+    found = reconcile(source, copy, buckets).select(
+        *[F.when(F.col("side") == side, F.col("n_rows")).alias(side) for side in ("source_only", "copy_only")]
     )
+    both = sums.select("source_rows", "copy_rows").unionByName(found, allowMissingColumns=True)
+    return both.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
 
 
 def changed_since(df: DataFrame, last_mark: datetime, as_of: datetime) -> DataFrame:
@@ -152,23 +174,65 @@ def last_mark(spark: SparkSession, root: str) -> datetime | None:
     return spark.read.parquet(f"{root}/{MARKS}").agg(F.max("mark")).collect()[0][0]
 
 
-def extract(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of: datetime) -> str:
+def extract(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of: datetime, keys: dict[str, str] | None = None
+) -> str:
     """Dump what changed since the last extract, everything the first time.
 
-    The mark is written after the data, so a failed extract is simply run again.
+    For a table named in ``keys``, by its key column, the keys it has now are
+    kept, and those that the last extract had and that are gone become
+    tombstones, so that ``restore_chain`` gives the table as it was.  The mark
+    is written after the data, so a failed extract is simply run again.
     """
-    mark = last_mark(spark, root)
+    mark, keys, whole = last_mark(spark, root), keys or {}, tables
     if mark is not None:
         tables = {name: changed_since(df, mark, as_of) for name, df in tables.items()}
     else:
         made = F.coalesce(F.col("created_at"), F.col("updated_at"))  # without either, in no later extract
         tables = {name: df.filter((made <= naive(as_of)) | made.isNull()) for name, df in tables.items()}
     folder = snapshot(tables, root, as_of)
+    for name, key in keys.items():
+        made = F.coalesce(F.col("created_at"), F.col("updated_at"))
+        known = whole[name].filter((made <= naive(as_of)) | made.isNull()).select(F.col(key).alias("key")).distinct()
+        known.write.mode("overwrite").parquet(f"{folder}/{name}{KEYS}")
+        before = f"{root}/{mark:%Y%m%d_%H%M%S}/{name}{KEYS}" if mark is not None else None
+        if before is not None and _filesystem(spark, before)[1].exists(_filesystem(spark, before)[0]):
+            now = spark.read.parquet(f"{folder}/{name}{KEYS}")
+            gone = spark.read.parquet(before).join(now, "key", "left_anti")
+            gone.write.mode("overwrite").parquet(f"{folder}/{name}{GONE}")
     marks = spark.range(1).select(naive(as_of).alias("mark"))
     marks.coalesce(1).write.mode("append").parquet(f"{root}/{MARKS}")
     return folder
 
 
+# Beside an extract's table: the keys that the table had, and those gone since the last extract.
+KEYS, GONE = "__keys", "__gone"
+
+
+def restore_chain(spark: SparkSession, root: str, name: str, key: str) -> DataFrame:
+    """The table as of the last extract: of each key the row of the last extract that has one, unless a later one buried it.
+
+    Extracts that were not finished, and so have no mark, do not count.
+    """
+    marks = [r[0] for r in spark.read.parquet(f"{root}/{MARKS}").distinct().collect()]
+    folders = sorted(f"{root}/{m:%Y%m%d_%H%M%S}" for m in marks)
+
+    def rows(suffix: str) -> DataFrame | None:
+        paths = [p for p in (f"{f}/{name}{suffix}" for f in folders) if _filesystem(spark, p)[1].exists(_filesystem(spark, p)[0])]
+        if not paths:
+            return None
+        at = F.regexp_extract("_metadata.file_path", r"/(\d{8}_\d{6})/[^/]+/[^/]+$", 1).alias("_at")
+        return spark.read.parquet(*paths).select("*", at)
+
+    stored, gone = rows(""), rows(GONE)
+    columns = [c for c in stored.columns if c != "_at"]
+    versions = stored.select(F.col(key).alias("_key"), "_at", F.struct(*columns).alias("_row"))
+    if gone is not None:
+        versions = versions.unionByName(gone.select(F.col("key").alias("_key"), "_at"), allowMissingColumns=True)
+    newest = versions.groupBy("_key").agg(F.max_by("_row", "_at").alias("_row"))
+    return newest.filter("_row is not null").select("_row.*")
+
+
 def retained(df: DataFrame, ts: str, as_of: datetime, days: int = RETENTION_DAYS) -> DataFrame:
     """Rows not older than ``days`` at ``as_of``; one without a time is not known to be old and stays, as its partition does."""
     return df.filter((F.col(ts) >= minus(naive(as_of), days=days)) | F.col(ts).isNull())

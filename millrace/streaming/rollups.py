@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import micros
-from millrace.operators.requests import rolling_counts
+from millrace.operators.requests import rolling_clients, rolling_counts
 from millrace.streaming.source import event_time
 
 
@@ -18,6 +18,11 @@ def rolling_stream(log: DataFrame, window: str, delay: str, slide: str | None =
     return rolling_counts(event_time(log, "ts", delay), window, slide)
 
 
+def rolling_clients_stream(log: DataFrame, window: str, delay: str, slide: str) -> DataFrame:
+    """Distinct clients per sliding window, from one sketch for each step; see ``rolling_clients``."""
+    return rolling_clients(event_time(log, "ts", delay), window, slide, approximate=True)
+
+
 def outputs_of_jobs(jobs: DataFrame, outputs: DataFrame, delay: str, within_seconds: int) -> DataFrame:
     """Match outputs with the start of their job, at most ``within_seconds`` later.
 

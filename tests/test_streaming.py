@@ -14,6 +14,7 @@ from millrace.functions.rules import Rule
 from millrace.operators import metrics as metric_ops
 from millrace.operators.metrics import Trigger
 from millrace.operators.ratelimit import rate_limit
+from millrace.operators.requests import rolling_clients
 from millrace.plans import records
 from millrace.plans.log import PAYLOAD
 from millrace.schemas import ENVELOPE
@@ -414,3 +415,16 @@ def test_pacing(spark):
         assert query.isActive
     finally:
         query.stop()
+
+
+def test_sketched_clients_of_a_stream(spark):
+    log = records.request_log(spark, FOLDER).select("ts", "client_id")
+    feed = Feed(spark, log.schema)
+    for part in split(log, "ts", 4):
+        feed.put(part)
+    base = shared_folder(spark, "s")
+    stream = rollups.rolling_clients_stream(feed.stream(), "1 day", "1 hour", "6 hours")
+    source.drain(ingest.file_writer(stream, f"{base}/o", f"{base}/c"))
+    got = {r.window_start: r.clients for r in spark.read.parquet(f"{base}/o").collect()}
+    exact = {r.window_start: r.clients for r in rolling_clients(log.withColumn("ts", F.col("ts").cast("timestamp")), "1 day", "6 hours").collect()}
+    assert len(got) > 10 and all(abs(n - exact[w]) <= max(2, 0.05 * exact[w]) for w, n in got.items())

@@ -295,3 +295,46 @@ def test_id_rules(spark):
     df = spark.createDataFrame([("0" * 24,), ("nope",), (None,)], "alert_id string")
     good, bad = quarantine(df, id_rules("alert_id"))
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_extracts_bury_deleted_rows(spark):
+    schema = "id long, v string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    day = lambda d: datetime(2024, 1, d)
+    root = shared_folder(spark, "x")
+
+    def run(rows, as_of):
+        tables.extract(spark, {"t": spark.createDataFrame(rows, schema)}, root, as_of, {"t": "id"})
+        return sorted((r.id, r.v) for r in tables.restore_chain(spark, root, "t", "id").collect())
+
+    assert run([(1, "a", day(1), None), (2, "b", day(1), None)], day(2)) == [(1, "a"), (2, "b")]
+    assert run([(2, "b2", day(1), day(3)), (3, "c", day(3), None)], day(4)) == [(2, "b2"), (3, "c")]
+    assert run([(1, "back", day(5), None), (2, "b2", day(1), day(3))], day(6)) == [(1, "back"), (2, "b2")]
+    assert run([], day(7)) == []
+
+
+def test_reconcile_moves_only_rows_of_differing_buckets(spark):
+    rows = spark.range(5000).select("id", (F.col("id") % 7).cast("string").alias("v"))
+    copy = rows.filter("id <> 17").union(rows.filter("id = 400")).withColumn("v", F.when(F.col("id") == 9, None).otherwise(F.col("v")))
+    got = {(r.id, r.v, r.side, r.n_rows) for r in tables.reconcile(rows, copy).collect()}
+    assert got == {(17, "3", "source_only", 1), (9, "2", "source_only", 1), (9, None, "copy_only", 1), (400, "1", "copy_only", 1)}
+    assert tables.reconcile_counts(rows, copy).first() == (5000, 5000, 2, 2)
+    assert tables.reconcile(rows, rows).count() == 0
+    found = tables.reconcile(rows, copy)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    # What the semi join lets through is all that the last shuffle gets.
+    moved = rows.withColumn("_b", F.pmod(F.xxhash64("id", "v"), F.lit(tables.CHECK_BUCKETS)))
+    gone = [r._b for r in moved.filter("id in (9, 17, 400)").collect()]
+    assert moved.filter(F.col("_b").isin(gone)).count() < 20
+
+
+@pytest.mark.parametrize("slide,window", [("1 minute", "5 minutes"), ("2 minutes", "2 minutes")])
+def test_sketched_clients_are_near_the_exact_ones(spark, slide, window):
+    log = spark.range(60_000).select(
+        F.timestamp_seconds(1_700_000_000 + F.col("id") % 1200).cast("timestamp_ntz").alias("ts"),
+        (F.pmod(F.xxhash64("id"), F.lit(9000))).cast("string").alias("client_id"),
+    )
+    exact = {r.window_start: r.clients for r in request_ops.rolling_clients(log, window, slide).collect()}
+    near = {r.window_start: r.clients for r in request_ops.rolling_clients(log, window, slide, approximate=True).collect()}
+    assert exact.keys() == near.keys() and max(exact.values()) > 3000
+    assert all(abs(near[w] - n) <= max(2, 0.05 * n) for w, n in exact.items())
