@@ -3,7 +3,8 @@
 Every tree of the forest orders the documents by a sequence of MinHash values; documents with the
 same first values share a prefix of its trie.  Prefixes of a depth are matched in all trees and the
 pairs verified exactly; from the similarities found follows how many pairs a depth misses
-(Horvitz-Thompson), and the prefixes are shortened until the estimated recall reaches the target.
+(Horvitz-Thompson), and the prefixes are shortened until the estimated recall reaches the target in
+every band of similarity, so that many near-equal pairs do not hide what is missed at the threshold.
 
 Equal sets are one class from the start.  A group of documents that share a prefix in several
 trees is verified once; a pair that meets in several groups counts in the first.  A group larger
@@ -36,6 +37,8 @@ TREES = 16
 #: Depths that are matched, from the deepest on.
 DEPTHS = (6, 5, 4)
 TARGET_RECALL = 0.998
+#: Recall is estimated by itself where similarity passes these shares of the way from the threshold to 1.
+BANDS = (0.0, 0.125, 0.25, 0.5)
 #: Sets verified against each other at once, and columns of their product.
 BLOCK = 512
 COLUMNS = 4096
@@ -124,13 +127,19 @@ def sketches(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     return rows.mapInArrow(run, f"id {kind}, key binary, digest binary, " + ", ".join(f"p{d} array<bigint>" for d in DEPTHS))
 
 
-def _groups(classes: DataFrame, depth: int) -> DataFrame:
-    """``key, groups``: the sets of documents that a document shares a prefix with, as (tree, group, size)."""
-    places = classes.select("key", F.posexplode(f"p{depth}").alias("tree", "prefix"))
+def _groups(classes: DataFrame, depth: int, deeper: int | None) -> DataFrame:
+    """``key, groups``: the sets of documents that a document shares a prefix with, as (tree, group, size).
+
+    A group that all shares a prefix of the depth ``deeper``, done before, as well has no new pair and is left out.
+    """
+    longer = F.col(f"p{deeper}") if deeper else F.col(f"p{depth}")
+    both = F.posexplode(F.arrays_zip(F.col(f"p{depth}").alias("prefix"), longer.alias("longer"))).alias("tree", "at")
+    places = classes.select("key", both).select("key", "tree", "at.prefix", "at.longer")
+    fresh = (F.min("longer") != F.max("longer")) if deeper else F.lit(True)
     shared = (
         places.groupBy("tree", "prefix")
-        .agg(F.count("*").alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"))
-        .filter("size > 1")
+        .agg(F.count("*").alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"), fresh.alias("fresh"))
+        .filter("size > 1 and fresh")
         .select("tree", "prefix", "size", F.xxhash64("sum", "size").alias("group"))
     )
     return (
@@ -203,8 +212,11 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _verify(unit: list[dict], depth: int, threshold: float) -> list[tuple[bytes, int, bytes, float]]:
-    """``(key, links, root, found)`` of the documents of a unit that have links there."""
+def _verify(unit: list[dict], threshold: float) -> list[tuple[bytes, int, bytes, list[float], list[int]]]:
+    """``(key, links, root, found, pairs)`` of the documents of a unit that have links there.
+
+    ``pairs`` counts the links by ``BANDS``, ``found`` by band and depth the links they stand for.
+    """
     sets = [np.frombuffer(r["grams"], np.uint64) for r in unit]
     size = np.array([len(s) for s in sets], np.float64)
     common = _common(sets)
@@ -226,7 +238,15 @@ def _verify(unit: list[dict], depth: int, threshold: float) -> list[tuple[bytes,
         return []
     copies = np.array([r["copies"] for r in unit], np.float64)
     links = linked @ copies
-    found = np.where(linked, 1 / recall(np.clip(common / np.maximum(either, 1), threshold, 1), depth), 0).sum(axis=1)
+    # For each band and depth, how many pairs those found stand for.
+    one, other = np.nonzero(linked)
+    alike = np.clip(common[one, other] / np.maximum(either[one, other], 1), threshold, 1)
+    band = np.searchsorted([threshold + (1 - threshold) * b for b in BANDS], alike, "right") - 1
+    cell = one * len(BANDS) + band
+    pairs = np.bincount(cell, minlength=len(unit) * len(BANDS)).reshape(len(unit), -1)
+    found = np.stack(
+        [np.bincount(cell, 1 / recall(alike, d), len(unit) * len(BANDS)).reshape(len(unit), -1) for d in DEPTHS], axis=2
+    )
     # Within the unit, every document points at the least key that it reaches.
     rank = np.argsort(np.argsort([r["key"] for r in unit]))
     label = rank.copy()
@@ -236,11 +256,12 @@ def _verify(unit: list[dict], depth: int, threshold: float) -> list[tuple[bytes,
             break
         label = least
     by_rank = sorted(r["key"] for r in unit)
-    pairs = linked.sum(axis=1)
-    return [(unit[i]["key"], int(links[i]), by_rank[label[i]], float(found[i]), int(pairs[i])) for i in some.tolist()]
+    return [
+        (unit[i]["key"], int(links[i]), by_rank[label[i]], found[i].ravel().tolist(), pairs[i].tolist()) for i in some.tolist()
+    ]
 
 
-def _links(units: DataFrame, depth: int, threshold: float) -> DataFrame:
+def _links(units: DataFrame, threshold: float) -> DataFrame:
     """``key, links, root, found, pairs`` of every unit; rows of a unit lie in one partition, one unit is held at a time."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -252,7 +273,7 @@ def _links(units: DataFrame, depth: int, threshold: float) -> DataFrame:
         out = []
         for _, unit in groupby(rows(batches), lambda r: (r["group"], r["low"], r["high"])):
             own = {r["key"]: r for r in unit}  # rows that occur several times bring their set as often
-            out += _verify(list(own.values()), depth, threshold)
+            out += _verify(list(own.values()), threshold)
             if len(out) >= 10_000:
                 yield _link_batch(out)
                 out = []
@@ -260,11 +281,11 @@ def _links(units: DataFrame, depth: int, threshold: float) -> DataFrame:
             yield _link_batch(out)
 
     dealt = units.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
-    return dealt.mapInArrow(run, "key binary, links bigint, root binary, found double, pairs bigint")
+    return dealt.mapInArrow(run, "key binary, links bigint, root binary, found array<double>, pairs array<bigint>")
 
 
 def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int64(), pa.binary(), pa.float64(), pa.int64())
+    kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "links", "root", "found", "pairs"]
     )
@@ -286,16 +307,18 @@ def _classes(df: DataFrame, doc_id: str, text: str, size: int, threshold: float,
     for depth in DEPTHS:
         before = F.col(f"p{deeper}") if deeper else F.lit(None).cast("array<bigint>")
         members = classes.select("key", "rep", "copies", F.col(f"p{depth}").alias("now"), before.alias("before")).join(
-            _groups(classes, depth), "key"
+            _groups(classes, depth, deeper), "key"
         )
         rows = texts.join(members, texts["id"] == members["rep"])
-        part = staged(_links(_units(rows, size), depth, threshold), "links")
+        part = staged(_links(_units(rows, size), threshold), "links")
         parts.append(part)
         total = parts[0]
         for other in parts[1:]:
             total = total.unionByName(other)
-        seen = total.agg(F.sum("pairs"), F.sum("found")).first()
-        if not seen[0] or seen[0] / seen[1] >= target:
+        at = DEPTHS.index(depth)
+        sums = [F.sum(F.col(name)[i]) for b in range(len(BANDS)) for name, i in (("pairs", b), ("found", b * len(DEPTHS) + at))]
+        seen = total.agg(*sums).first()
+        if all(not n or n >= target * stands for n, stands in zip(seen[::2], seen[1::2])):
             break
         deeper = depth
     linked = staged(total.groupBy("key").agg(F.sum("links").alias("links")), "linked")
