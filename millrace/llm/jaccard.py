@@ -35,7 +35,7 @@ SIZE = 5
 THRESHOLD = 0.8
 TREES = 16
 #: Depths that are matched, from the deepest on.
-DEPTHS = (6, 5, 4)
+DEPTHS = (5, 4, 3)
 TARGET_RECALL = 0.998
 #: Recall is estimated by itself where similarity passes these shares of the way from the threshold to 1.
 BANDS = (0.0, 0.125, 0.25, 0.5)

@@ -158,6 +158,59 @@ def op10_substrings(spark, folder):
     return substrings.kept_words(table(spark, folder, "documents"))
 
 
+ORACLES["op2_jaccard"] = r"""
+with recursive doc as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), gram as (
+  select distinct doc_id, unnest(case when len(words) between 1 and 4 then [array_to_string(words, ' ')]
+    else [array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)] end) as gram
+  from doc
+), size as (
+  select doc_id, count(*) as n from gram group by doc_id
+), shared as (
+  select a.doc_id as one, b.doc_id as other, count(*) as common
+  from gram a join gram b on a.gram = b.gram and a.doc_id <> b.doc_id group by all
+), link as (
+  select one, other, common = s.n and common = t.n as same
+  from shared join size s on s.doc_id = one join size t on t.doc_id = other
+  where common >= 0.8 * (s.n + t.n - common) - 1e-9
+), reach(doc_id, root) as (
+  select doc_id, doc_id from documents
+  union
+  select link.other, reach.root from reach join link on link.one = reach.doc_id where reach.root < link.other
+), class as (
+  select doc_id, min(root) as class_id from reach group by doc_id
+), links as (
+  select one as doc_id, count(*) as n_links, min(case when same then other end) as copy from link group by one
+)
+select class.doc_id, class_id, least(class.doc_id, coalesce(copy, class.doc_id)) as copy_id, coalesce(n_links, 0) as n_links
+from class left join links on links.doc_id = class.doc_id
+"""
+
+ORACLES["op10_substrings"] = r"""
+with doc as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), windows as (
+  select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos,
+    unnest(list_transform(range(1, len(words) + 1), lambda i: case when i + 49 <= len(words)
+      then md5(array_to_string(words[i:i + 49], ' ')) end)) as window_hash
+  from doc
+), least as (
+  select window_hash, min(doc_id) as first_doc from windows where window_hash is not null group by window_hash
+), covered as (
+  select w.doc_id, w.word, w.pos,
+    coalesce(bool_or(l.first_doc < w.doc_id) over (partition by w.doc_id order by w.pos rows between 49 preceding and current row), false) as gone
+  from windows w left join least l using (window_hash)
+), kept as (
+  select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed,
+    coalesce(string_agg(word, ' ' order by pos) filter (where not gone), '') as kept
+  from covered group by doc_id
+)
+select doc.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from doc left join kept on kept.doc_id = doc.doc_id
+"""
+
+
 #: Rules of the query on pages (fixed values).
 URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
 
