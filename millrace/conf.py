@@ -14,6 +14,8 @@ CLUSTER = {
     # An upper bound for the merge above: partitions of about 128 MB for shuffles of 2.5 TB.
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Instants with statistics, by which row groups are skipped; the default type has none.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # Streaming state on local disk with change logs, not on the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -104,13 +104,42 @@ def range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
     columns = list(dict.fromkeys([*keys, *columns]))
     n = df.count()
     parts = min(MOST_PARTS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PART_ROWS), n)
+    return df.withColumn(name, _below(df, columns, key_bounds(df, columns, parts, n)))
+
+
+def key_bounds(
+    df: DataFrame, columns: Sequence[str], parts: int, n: int, by: Sequence[str] | None = None
+) -> list[tuple]:
+    """Ascending keys that cut the ``n`` rows into about equal ``parts``, from a bounded sample; fewer where keys repeat.
+
+    ``by`` are the columns whose hash draws a row: the keys, unless few keys make up all rows.
+    """
     if parts < 2:
-        return df.withColumn(name, F.lit(0))
-    unit = F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / float(1 << 30)
+        return []
+    unit = F.pmod(F.xxhash64(*(by or columns)), F.lit(1 << 30)) / float(1 << 30)
     drawn = df.select(*columns).filter(unit < DRAWN * parts / n).distinct().orderBy(*columns)
     found = [tuple(r) for r in drawn.limit(4 * DRAWN * parts).collect()]
     bounds = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
-    return df.withColumn(name, _below(df, columns, list(dict.fromkeys(bounds))))
+    return list(dict.fromkeys(bounds))
+
+
+def interleaved_ranks(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """A number whose bits are those of each column's rank in turn (Z-order): rows near in it are near in every column.
+
+    A rank is the row's place among up to ``2 ** bits`` sampled values of the
+    column, so any type with an order serves, and values need not be spread evenly.
+    """
+    n = df.count()
+    total = F.lit(0).cast("long")
+    whole = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    for i, c in enumerate(columns):
+        bounds = key_bounds(df, [c], min(1 << bits, n), n, whole)
+        # Few values are spread over all ranks, so that their highest bits tell them apart.
+        rank = F.floor(_below(df, [c], bounds) * F.lit((1 << bits) / (len(bounds) + 1))).cast("long")
+        for bit in range(bits):
+            taken = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long"))
+            total = total.bitwiseOR(F.shiftleft(taken, bit * len(columns) + i))
+    return total
 
 
 def row_index(

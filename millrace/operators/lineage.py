@@ -80,14 +80,14 @@ def lineage(ingestion: DataFrame, jobs: DataFrame, outputs: DataFrame) -> DataFr
         F.col("id").alias("output_id"), F.col("job_id").alias("_job_id"), F.col("created_at").alias("output_at")
     )
 
-    started = job.join(record, job["input_data_id"] == record["input_id"]).drop("input_data_id")
-    idle = unprocessed(ingestion, jobs).select(*named)
-
-    finished = output.join(started, output["_job_id"] == started["job_id"]).drop("_job_id")
+    # Every job with its outputs first, so that the records are read once for all of them.
     made = _keys(outputs, "job_id", "_job_id")
-    unfinished = started.join(made, started["job_id"] == made["_job_id"], "left_anti")
-
-    rows = finished.unionByName(unfinished, allowMissingColumns=True).unionByName(idle, allowMissingColumns=True)
+    finished = output.join(job, output["_job_id"] == job["job_id"]).drop("_job_id")
+    unfinished = job.join(made, job["job_id"] == made["_job_id"], "left_anti")
+    done = finished.unionByName(unfinished, allowMissingColumns=True)
+    started = done.join(record, done["input_data_id"] == record["input_id"]).drop("input_data_id")
+    idle = unprocessed(ingestion, jobs).select(*named)
+    rows = started.unionByName(idle, allowMissingColumns=True)
     return rows.select(
         "input_id", "source_type", "ingested_at", "job_id", "status", "output_id",
         seconds_between("ingested_at", "job_created_at").alias("queue_seconds"),

@@ -228,6 +228,24 @@ def extract_chain(spark, folder):
     return parts[0].unionByName(parts[1]).drop("created_at")
 
 
+@query(
+    "layout_zorder_scan",
+    ctes("jobs")
+    + """select id, status, created_at from jobs
+where status = 'completed' and created_at >= timestamp '1996-01-01 00:00:00' and created_at < timestamp '1996-04-01 00:00:00'""",
+)
+def layout_zorder_scan(spark, folder):
+    """A table clustered by status and time, read by both."""
+    path = shared_folder(spark, "zorder")
+    rows = records.jobs(spark, folder).select("id", "job_id", "status", F.col("created_at").cast("timestamp").alias("created_at"))
+    tables.write_zordered(rows, path, ["status", "created_at"], {"job_id": 100_000})
+    begin, end = (F.lit(day).cast("timestamp") for day in ("1996-01-01", "1996-04-01"))
+    found = spark.read.parquet(path).filter(
+        (F.col("status") == "completed") & (F.col("created_at") >= begin) & (F.col("created_at") < end)
+    )
+    return found.select("id", "status", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
 @query(
     "extract_restored",
     ctes("jobs")

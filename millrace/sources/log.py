@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -175,59 +176,87 @@ def consume(
     return good.filter(before).unionByName(good.filter(at).limit(copies)), bad.filter(before)
 
 
+# Slices of a stretch that are counted at once, and offsets that are looked at one by one.
+SLICES = 256
+FEW_OFFSETS = 10_000
+
+
+class Stretch(NamedTuple):
+    """Offsets ``low`` to ``high`` of a log partition."""
+
+    topic: str | None
+    partition: int | None
+    low: int
+    high: int
+
+    @property
+    def width(self) -> int:
+        """Offsets in a slice."""
+        return -(-(self.high - self.low + 1) // SLICES)
+
+    def holds(self) -> Column:
+        mine = F.col("topic").eqNullSafe(self.topic) & F.col("partition").eqNullSafe(self.partition)
+        return mine & (F.col("offset") >= self.low) & (F.col("offset") <= self.high)
+
+    def slice(self, i: int) -> Stretch:
+        low = self.low + i * self.width
+        return self._replace(low=low, high=min(self.high, low + self.width - 1))
+
+
+def _slices(good: DataFrame, stretches: Sequence[Stretch], n: int) -> tuple[Stretch | None, int]:
+    """The slice that holds the ``n``-th good message of the stretches, and its number there; or None and how many are missing.
+
+    One job counts the good messages of all slices.
+    """
+    anywhere, at = F.lit(False), F.lit(None).cast("struct<stretch: int, slice: bigint>")
+    for i, s in enumerate(stretches):
+        anywhere = anywhere | s.holds()
+        place = F.struct(F.lit(i).alias("stretch"), F.floor((F.col("offset") - s.low) / F.lit(s.width)).alias("slice"))
+        at = F.when(s.holds(), place).otherwise(at)
+    found = good.filter(anywhere).groupBy(at.alias("at")).agg(F.count("offset").alias("n")).collect()
+    for (i, part), held in sorted((tuple(r["at"]), r["n"]) for r in found):
+        if held >= n:
+            return stretches[i].slice(part), n
+        n -= held
+    return None, n
+
+
 def _position_of(envelope: DataFrame, good: DataFrame, n: int) -> tuple[tuple, int] | None:
     """Position of the ``n``-th good message and how many of its copies belong to the first ``n``; None if there are fewer.
 
-    Messages are counted without parsing them.  Log partitions that cannot hold
-    the end are judged together; the others in stretches of as many messages as
-    are still missing, so nothing far behind the end is parsed.
+    Messages are counted without parsing them.  As many as are missing, and
+    as many again for bad ones among them, are judged by one job, which tells
+    the slice of offsets that holds the end; the rest of the log is not parsed.
     """
     sizes = envelope.groupBy("topic", "partition").agg(
         F.count("offset").alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high")
     ).collect()  # one row for each log partition
+    sizes = [r for r in sizes if r.n]
     sizes.sort(key=lambda r: (r.topic is not None, r.topic or "", r.partition is not None, r.partition or 0))
-
-    i = 0
+    i, low, hurry = 0, None, 1
     while i < len(sizes):
-        whole = None
-        held, begin = 0, i
-        while i < len(sizes) and held + sizes[i].n < n:
-            held += sizes[i].n
-            mine = F.col("topic").eqNullSafe(sizes[i].topic) & F.col("partition").eqNullSafe(sizes[i].partition)
-            whole = mine if whole is None else whole | mine
-            i += 1
-        if i > begin:
-            n -= good.filter(whole).count()
-            continue
-        part = sizes[i]
-        mine = F.col("topic").eqNullSafe(part.topic) & F.col("partition").eqNullSafe(part.partition)
-        found, n = _offset_of(good.filter(mine), part.low, part.high, n)
-        if found is not None:
-            return (part.topic, part.partition, found), n
-        i += 1
+        stretches, room = [], max(2 * n, STRETCH) * hurry
+        while i < len(sizes) and room > 0:
+            part = sizes[i]
+            low = part.low if low is None else low
+            high = part.high if part.n <= room else min(part.high, low + room - 1)
+            stretches.append(Stretch(part.topic, part.partition, low, high))
+            room -= min(part.n, high - low + 1)
+            i, low = (i + 1, None) if high == part.high else (i, high + 1)
+        place, missing = _slices(good, stretches, n)
+        hurry, n = 2 * hurry if missing == n else 1, missing  # over a gap
+        while place is not None:
+            if place.high - place.low < FEW_OFFSETS:
+                held = good.filter(place.holds()).groupBy("offset").agg(F.count(F.lit(1)).alias("n")).collect()
+                for offset, copies in sorted(map(tuple, held)):
+                    if copies >= n:
+                        return (place.topic, place.partition, offset), n
+                    n -= copies
+                return None  # the log has changed meanwhile
+            place, n = _slices(good, [place], n)
     return None
 
 
-def _offset_of(good: DataFrame, low: int, high: int, n: int) -> tuple[int | None, int]:
-    """Offset of the ``n``-th good message of a log partition and its rank among the copies there; or None and what is missing."""
-    offset, width = F.col("offset"), max(n, STRETCH)
-    while low <= high:
-        stretch = good.filter((offset >= low) & (offset < low + width))
-        held = stretch.agg(F.count("offset").alias("n")).first().n
-        if held >= n:
-            # About as many as are missing: the end lies few messages from one side, or they are few.
-            if held - n < n:
-                ends = stretch.select("offset").orderBy(F.desc("offset")).limit(held - n + 1).agg(F.min("offset"))
-            else:
-                ends = stretch.select("offset").orderBy("offset").limit(n).agg(F.max("offset"))
-            found = ends.first()[0]
-            return found, n - stretch.filter(offset < found).count()
-        n -= held
-        low += width
-        width = max(n, STRETCH, 2 * width if not held else 0)  # hurry over a gap
-    return None, n
-
-
 def consume_counts(judged: DataFrame) -> DataFrame:
     """Processed and failed messages per topic and partition."""
     ok = F.size(ERRORS) == 0

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.conf import CLUSTER
 from millrace.functions.rules import id_rules, quarantine
 from millrace.operators import alerts, algorithms, health, mutations, reads
 from millrace.operators import metrics as metric_ops
@@ -338,3 +339,46 @@ def test_sketched_clients_are_near_the_exact_ones(spark, slide, window):
     near = {r.window_start: r.clients for r in request_ops.rolling_clients(log, window, slide, approximate=True).collect()}
     assert exact.keys() == near.keys() and max(exact.values()) > 3000
     assert all(abs(near[w] - n) <= max(2, 0.05 * n) for w, n in exact.items())
+
+
+def rows_scanned(df):
+    """Rows that the file scan gave out, after row groups were skipped."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = leaves.apply(0).metrics()
+    return metrics.get("numOutputRows").get().value()
+
+
+def test_zorder_skips_row_groups_on_every_column(spark):
+    n = 40_000
+    rows = spark.range(n).select(
+        "id", F.concat(F.lit("job"), F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("string")).alias("job_id"),
+        F.element_at(F.split(F.lit("completed,failed,pending,processing"), ","), (F.pmod(F.xxhash64("id"), F.lit(4)) + 1).cast("int")).alias("status"),
+        F.timestamp_seconds(1_700_000_000 + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000))).alias("at"),
+    )
+    path = shared_folder(spark, "z")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", CLUSTER["spark.sql.parquet.outputTimestampType"])
+    try:
+        tables.write_zordered(rows, path, ["status", "at"], {"job_id": 1000}, max_records=1000)
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    table = spark.read.parquet(path)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, rows.collect()))
+    begin, end = (F.lit(day).cast("timestamp") for day in ("2023-11-20", "2023-11-21"))
+    some_time = (F.col("at") >= begin) & (F.col("at") < end)
+    by_status, by_time = table.filter("status = 'failed'"), table.filter(some_time)
+    both = table.filter(some_time & (F.col("status") == "failed"))
+    assert by_status.count() > 9000 and rows_scanned(by_status) < n / 2
+    assert by_time.count() > 3000 and rows_scanned(by_time) < n / 2
+    assert both.count() > 800 and rows_scanned(both) < n / 8
+    one = rows.filter("id = 777").first().job_id
+    found = table.filter(F.col("job_id") == one)
+    assert found.count() == 1 and rows_scanned(found) < n / 4  # by the Bloom filters: ids are spread over all files
+
+
+def test_zorder_of_odd_tables(spark):
+    rows = spark.createDataFrame([(1, None, 2.0), (2, "a", None), (3, "a", float("nan"))], "id long, k string, v double")
+    for df in (rows, rows.limit(0)):
+        path = shared_folder(spark, "z")
+        tables.write_zordered(df, path, ["k", "v"])
+        assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == sorted(r.id for r in df.collect())
