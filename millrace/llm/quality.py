@@ -113,6 +113,11 @@ def rules() -> dict[str, tuple[Column, list[float]]]:
     }
 
 
+#: Labels that the joint sequence is learned from: a share of all, and at most so many.
+LEARN_SHARE = 0.25
+LEARN_ROWS = 20_000
+
+
 def binomial_cdf(k: int, n: int, p: float) -> float:
     """P(X <= k) of a binomial count, exact to rounding."""
     if k >= n or p <= 0:
@@ -205,6 +210,101 @@ def thresholds(
     return chosen.select(*[F.col(n).alias(c) for c, n in zip(strata, names)], "rule", "found.*")
 
 
+def tightenings(levels: np.ndarray, good: np.ndarray, steps: list[int], most: float) -> list[list[int]]:
+    """A sequence of settings of all rules, ever stricter: ``settings[t][r]`` cutoffs of rule r are in force at step t.
+
+    ``levels`` has for each row and rule the first cutoff that the row exceeds, ``steps`` the number
+    of cutoffs of each rule.  The next step tightens the rule that rejects most bad rows for each
+    good one, until more than the share ``most`` of the good rows is rejected or no bad row is left.
+    """
+    now, out = [0] * len(steps), []
+    hit = np.zeros(len(good), bool)
+    while True:
+        best = None
+        for r in range(len(steps)):
+            open_bad = levels[~hit & ~good, r]
+            next_bad = open_bad[open_bad < steps[r]]
+            if len(next_bad):
+                to = int(next_bad.min()) + 1
+                fresh = ~hit & (levels[:, r] < to)
+                price = (np.count_nonzero(fresh & ~good) / (np.count_nonzero(fresh & good) + 0.5), -r)
+                if best is None or price > best[0]:
+                    best = price, r, to, fresh
+        if best is None:
+            return out
+        _, r, to, fresh = best
+        hit |= fresh
+        if np.count_nonzero(hit & good) > most * max(1, np.count_nonzero(good)):
+            return out
+        now = [*now[:r], to, *now[r + 1 :]]
+        out.append(now)
+
+
+def joint_thresholds(
+    measured: DataFrame, labels: DataFrame, strata: list[str], key: str = "doc_id", label: str = "quality",
+    limit: float = LIMIT, delta: float = DELTA,
+) -> DataFrame:
+    """As ``thresholds``, for all rules at once: ``limit`` holds for what any of them rejects.
+
+    A part of the labels, ``LEARN_ROWS`` at most, gives the sequence in which the rules are
+    tightened; the others, which had no say in it, decide for each stratum how far to go, by exact
+    bounds in a fixed sequence.  The error ``delta`` is divided by the strata only, so a stratum
+    needs far fewer labels than if each rule were judged by itself.
+    """
+    tried = rules()
+    known = (
+        labels.filter(labels[key].isNotNull() & labels[label].isNotNull())
+        .groupBy(labels[key].alias("__key"))
+        .agg((F.min(label) == 1).alias("__good"))
+        .withColumn("__unit", F.pmod(F.xxhash64("__key", F.lit(41)), F.lit(1 << 30)) / float(1 << 30))
+    )
+    names = [f"__s{i}" for i in range(len(strata))]
+    # The first cutoff that a row exceeds; the number of cutoffs if none.
+    first = [
+        (F.lit(len(cutoffs)) - sum((value > c).cast("int") for c in cutoffs)).alias(f"__r{i}")
+        for i, (value, cutoffs) in enumerate(tried.values())
+    ]
+    rows = measured.join(known, measured[key] == known["__key"]).select(
+        *[measured[c].alias(n) for c, n in zip(strata, names)], "__good", "__unit", "__key", *first
+    )
+    rows = staged(rows, "labelled-levels")
+    levels = [f"__r{i}" for i in range(len(tried))]
+    steps = [len(cutoffs) for _, cutoffs in tried.values()]
+    total = rows.count()
+    share = min(LEARN_SHARE, LEARN_ROWS / max(total, 1))
+    sample = rows.filter(F.col("__unit") < share).select("__good", *levels).toPandas()  # LEARN_ROWS, about
+    path = tightenings(sample[levels].to_numpy(int), sample["__good"].to_numpy(bool), steps, 2 * limit)
+    kinds = [measured.schema[c].dataType.simpleString() for c in strata]
+    schema = ", ".join([*(f"`{c}` {k}" for c, k in zip(strata, kinds)), "rule string, cutoff double, n_good bigint, n_rejected bigint, bound double"])
+    if not path:
+        return measured.sparkSession.createDataFrame([], schema)
+    # The first step of the path at which a row's level of a rule is rejected.
+    never = len(path)
+    reached = [
+        F.element_at(F.array(*[F.lit(next((t for t, s in enumerate(path) if s[r] > i), never)) for i in range(steps[r] + 1)]), F.col(f"__r{r}") + 1)
+        for r in range(len(steps))
+    ]
+    held = rows.filter((F.col("__unit") >= share) & F.col("__good")).groupBy(*names, F.least(*reached).alias("step")).count()
+    # At most one entry for each step of the path.
+    grouped = staged(held.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("step", "count"))).alias("at")), "holdout-steps")
+    level = delta / max(1, grouped.count())
+    cuts = [cutoffs for _, cutoffs in tried.values()]
+
+    @F.udf("array<struct<rule: string, cutoff: double, n_good: bigint, n_rejected: bigint, bound: double>>")
+    def choose(at: dict[int, int]):
+        n = sum(at.values())
+        above = np.cumsum([at.get(t, 0) for t in range(len(path))]).tolist()
+        passed = strictest(above, n, limit, level)
+        if not passed:
+            return []
+        k = above[passed - 1]
+        bound = upper_bound(k, n, level)
+        return [(rule, float(cuts[r][s - 1]), n, k, bound) for r, (rule, s) in enumerate(zip(names_of_rules, path[passed - 1])) if s]
+
+    names_of_rules = list(tried)
+    return grouped.select(*[F.col(n).alias(c) for c, n in zip(strata, names)], F.inline(choose("at")))
+
+
 def verdicts(measured: DataFrame, cutoffs: DataFrame, strata: list[str]) -> DataFrame:
     """``measured`` with ``rejected_by array<string>``: the rules whose cutoff the row exceeds."""
     names = [f"__s{i}" for i in range(len(strata))]

@@ -70,7 +70,7 @@ def op4_language(spark, folder):
 def op8_quality(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     measured = staged(quality.measures(docs), "measures")
-    cutoffs = quality.thresholds(measured, table(spark, folder, "labels"), ["lang"])
+    cutoffs = quality.joint_thresholds(measured, table(spark, folder, "labels"), ["lang"])
     judged = quality.verdicts(measured, cutoffs, ["lang"])
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select(

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from cases import empty, odd, prose
 
 from millrace.llm import quality
@@ -132,6 +133,46 @@ def test_cutoffs_count_as_brute_force(spark):
     assert found.bound <= limit / len(rules)
 
 
+def test_joint_cutoffs_hold_the_limit_with_few_labels(spark):
+    docs, labels = labelled(spark)
+    few = labels.filter("doc_id < 1400")
+    measured = quality.measures(docs)
+    assert quality.thresholds(measured, few, ["lang"]).count() == 0  # each rule by itself: too few labels
+    cutoffs = quality.joint_thresholds(measured, few, ["lang"])
+    found = cutoffs.collect()
+    assert {r.lang for r in found} == {"en", "de"} and all(r.bound <= quality.LIMIT for r in found)
+    judged = {r.doc_id: r.rejected_by for r in quality.verdicts(measured, cutoffs, ["lang"]).collect()}
+    assert sum("symbols" in judged[i] for i in range(0, 4000, 4)) >= 990
+    assert sum(bool(judged[i]) for i in range(4000) if i % 4) <= quality.LIMIT * 3000
+    for lang in ("en", "de"):
+        mine = [r for r in found if r.lang == lang]
+        assert len({(r.n_good, r.n_rejected, r.bound) for r in mine}) == 1
+
+
+def test_tightenings_prefer_what_rejects_bad_rows_only():
+    pick = np.random.default_rng(1)
+    good = pick.random(2000) < 0.7
+    clear = np.where(good, 40, pick.integers(0, 41, 2000))  # rejects no good row at any step
+    vague = pick.integers(0, 41, 2000)  # says nothing
+    path = quality.tightenings(np.column_stack([vague, clear]), good, [40, 40], 0.04)
+    assert all(a[r] <= b[r] for a, b in zip(path, path[1:]) for r in (0, 1))
+    assert path[-1][1] == 40
+    first_vague = next((t for t, s in enumerate(path) if s[0]), len(path))
+    assert path[first_vague - 1][1] >= 38
+    hit = (vague < path[-1][0]) | (clear < path[-1][1])
+    assert (hit & good).sum() <= 0.04 * good.sum()
+    assert quality.tightenings(np.zeros((0, 2), int), np.zeros(0, bool), [40, 40], 0.04) == []
+
+
+def test_joint_cutoffs_of_odd_tables(spark):
+    docs = odd(spark).select("doc_id", "text", "lang")
+    measured = quality.measures(docs)
+    for labels in ([], [(1, None), (None, 1), (7, 1), (7, 0)], [(1, 1), (2, 1), (3, 0)]):
+        table = spark.createDataFrame(labels, "doc_id long, quality int")
+        judged = quality.verdicts(measured, quality.joint_thresholds(measured, table, ["lang"]), ["lang"])
+        assert [r.rejected_by for r in judged.collect()] == [[]] * docs.count()
+
+
 def test_without_labels_nothing_is_rejected(spark):
     docs = odd(spark).select("doc_id", "text", "lang")
     measured = quality.measures(docs)
