@@ -1,7 +1,8 @@
 """Toxicity categories by a chain of linear classifiers.
 
 The categories are predicted one after the other.  Every model sees the words that tell its
-category apart and the probabilities of the categories before it; for training, those come from
+category apart, a few measures of the text (what is wrong with junk shows in those, not in words),
+and the probabilities of the categories before it; for training, those come from
 models that did not see the document (out of fold), so later models learn from predictions as
 good as the ones they will get.
 
@@ -14,6 +15,7 @@ equal texts get equal scores.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,10 +40,32 @@ FOLDS = 4
 PENALTY = 1e-4
 
 _WORD = re.compile(r"\w+")
+_CAPITAL = re.compile(r"[A-Z]")
 
 
-def _words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+#: Measures of a text.
+MEASURES = 7
+#: Marks and digits whose share of the characters is a measure.
+_SYMBOLS, _DIGITS = "#*$%&|<>{}=_~^\\", "0123456789"
+
+
+def _words(text: str | None) -> list[str]:
+    return _WORD.findall(text.lower()) if text else []
+
+
+def _measures(text: str | None, words: list[str]) -> list[float]:
+    """Shares of symbols, digits, capitals, repeated words and repeated lines, mean length and number of words; each about 0 to 1."""
+    text = text or ""
+    chars, n, lines = max(1, len(text)), max(1, len(words)), [x for x in text.split("\n") if x.strip()]
+    return [
+        min(1.0, 10 * sum(map(text.count, _SYMBOLS)) / chars),
+        min(1.0, 5 * sum(map(text.count, _DIGITS)) / chars),
+        sum(1 for _ in _CAPITAL.finditer(text)) / chars,
+        1 - len(set(words)) / n,
+        1 - len(set(lines)) / max(1, len(lines)),
+        min(1.0, sum(map(len, words)) / n / 16),
+        min(1.0, math.log1p(len(words)) / 10),
+    ]
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -51,10 +75,11 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Link:
-    """One category's model: weights of words, weights of earlier categories, bias."""
+    """One category's model: weights of words, of measures and earlier categories, and the bias."""
 
     category: str
     words: dict[str, float]
+    measures: np.ndarray
     earlier: np.ndarray
     bias: float
 
@@ -97,15 +122,15 @@ def _telling(bags: DataFrame, categories: list[str]) -> pd.DataFrame:
 def _fit_link(category: str, vocabulary: list[str], bags: list[set[str]], before: np.ndarray, target: np.ndarray) -> Link:
     number = {w: i for i, w in enumerate(vocabulary)}
     rows = Rows([np.array(sorted(number[w] for w in bag if w in number), np.int64) for bag in bags])
-    weights, earlier, bias = fit(rows, before, target, len(vocabulary), PENALTY)
-    return Link(category, dict(zip(vocabulary, weights.tolist())), earlier, bias)
+    weights, dense, bias = fit(rows, before, target, len(vocabulary), PENALTY)
+    return Link(category, dict(zip(vocabulary, weights.tolist())), dense[:MEASURES], dense[MEASURES:], bias)
 
 
 def _apply(link: Link, bags: list[set[str]], before: np.ndarray) -> np.ndarray:
     keys, get = link.words.keys(), link.words.__getitem__
     # In sorted order: a set's order differs between workers, and so would the last bits of the sum.
     sums = np.array([sum(map(get, sorted(keys & bag))) for bag in bags])
-    return sigmoid(sums + before @ link.earlier + link.bias)
+    return sigmoid(sums + before[:, :MEASURES] @ link.measures + before[:, MEASURES:] @ link.earlier + link.bias)
 
 
 def learn(labelled: DataFrame, categories: list[str], doc_id: str = "doc_id", text: str = "text") -> list[Link]:
@@ -121,20 +146,22 @@ def learn(labelled: DataFrame, categories: list[str], doc_id: str = "doc_id", te
     def bags(only: frozenset[str] | None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                words = [_words(t) for t in batch.column(0).to_pylist()]
-                words = [sorted(w if only is None else w & only) for w in words]
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), *batch.columns[1:]], names)
+                texts = batch.column(0).to_pylist()
+                words = [_words(t) for t in texts]
+                measures = pa.array([_measures(t, w) for t, w in zip(texts, words)], pa.list_(pa.float64()))
+                words = [sorted(set(w) if only is None else only.intersection(w)) for w in words]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), measures, *batch.columns[1:]], names)
 
-        names = ["words", "fold", *categories]
-        return sample.mapInArrow(run, "words array<string>, fold int, " + ", ".join(f"`{c}` int" for c in categories))
+        names = ["words", "measures", "fold", *categories]
+        return sample.mapInArrow(run, "words array<string>, measures array<double>, fold int, " + ", ".join(f"`{c}` int" for c in categories))
 
     telling = _telling(bags(None), categories)
     kept = bags(frozenset(telling.word)).toPandas()  # a few words of each sampled document
-    kept["words"] = [tuple(w) for w in kept.words]
-    kept = kept.sort_values(["words", "fold", *categories], kind="stable").reset_index(drop=True)
+    kept["words"], kept["measures"] = [tuple(w) for w in kept.words], [tuple(m) for m in kept.measures]
+    kept = kept.sort_values(["words", "measures", "fold", *categories], kind="stable").reset_index(drop=True)
     sets = [set(w) for w in kept.words]
     folds = kept.fold.to_numpy()
-    before = np.zeros((len(sets), 0))
+    before = np.array(kept.measures.tolist(), float).reshape(len(sets), MEASURES)
     chain: list[Link] = []
     for i, category in enumerate(categories):
 
@@ -163,8 +190,12 @@ def score(df: DataFrame, chain: list[Link], doc_id: str = "doc_id", text: str =
     def probabilities(column: pa.Array) -> pa.Array:
         links = shared.value
         used = set().union(*(link.words for link in links)) if links else set()
-        bags = [used.intersection(_WORD.findall(t.lower())) if t else set() for t in map(_text, column)]
-        before = np.zeros((len(bags), 0))
+        bags, measures = [], []
+        for text in map(_text, column):
+            words = _words(text)
+            bags.append(used.intersection(words))
+            measures.append(_measures(text, words))
+        before = np.array(measures, float).reshape(len(bags), MEASURES)
         out = []
         for link in links:
             p = _apply(link, bags, before)
