@@ -4,8 +4,9 @@ A paragraph is a line.  Its features are the word n-grams (1 to 3) that occur in
 logistic regressions say whether it is a licence notice at all and which family it names.  They
 are trained on varied templates, on corpus paragraphs that share words, but no phrase, with them,
 and on their words out of order.  A notice is given a family only if the family's probability passes a bound calibrated on
-families held out one at a time, and its phrases agree with a template of that family; otherwise
-it is ``unknown``.  If the line as a whole does not agree, the span of a template's length that
+families held out one at a time, its phrases agree with a template of that family, and phrases that
+no other family has speak for it; otherwise it is ``unknown``.  The bound is calibrated on what decides, all three together.
+Lines of a wrapped notice are pieces of a template and count each; they are trained on too.  If the line as a whole does not agree, the span of a template's length that
 agrees best is judged by itself, so text around a notice does not hide it.
 
 Rules: null and empty texts have no notices; case and punctuation do not count; every line counts
@@ -38,10 +39,12 @@ NEGATIVES = 6_000
 VARIANTS = 24
 PENALTY = 1e-3
 #: Least probability of being a notice, least share of a paragraph's phrases that its template has,
-#: and share of held-out families' notices that may be given a wrong family.
+#: and share of the notices of families held out (with their relatives) that may be given a wrong family.
 NOTICE = 0.5
 AGREEMENT = 0.5
-WRONG_FAMILY = 0.01
+WRONG_FAMILY = 0.025
+#: Words of a line of a wrapped notice.
+LINE_WORDS = 11
 
 # Common notices by family.
 TEMPLATES = {
@@ -53,6 +56,8 @@ TEMPLATES = {
     ),
     "MIT": (
         "Released under the MIT License.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "SPDX-License-Identifier: MIT",
@@ -63,6 +68,12 @@ TEMPLATES = {
         "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
+    "AGPL": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
@@ -74,6 +85,16 @@ TEMPLATES = {
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -83,6 +104,18 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-ND": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -114,6 +147,8 @@ class Model:
     notice: tuple[np.ndarray, float]
     family: tuple[np.ndarray, np.ndarray]  # grams x families, bias of each
     bound: float  # least probability of a family
+    held_out: float  # share of held-out families' notices that would pass as another family
+    only: np.ndarray  # the family that alone has a gram, -1 if several have it
 
 
 def _paragraphs(column: pa.Array, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, ...]]:
@@ -164,6 +199,19 @@ def _grams_of(texts: list[str], known: np.ndarray | None = None) -> list[np.ndar
     return out
 
 
+def _piece(text: str, pick: random.Random) -> str:
+    """A line's worth of the text, as wrapped notices have it."""
+    words = text.split()
+    begin = pick.randrange(max(1, len(words) - LINE_WORDS + 1))
+    return " ".join(words[begin : begin + LINE_WORDS])
+
+
+def _names(only: np.ndarray, mine: np.ndarray, family: int) -> bool:
+    """Whether grams that one family alone has speak for this one."""
+    counts = np.bincount(only[mine][only[mine] >= 0], minlength=family + 1)
+    return counts[family] > 0 and counts[family] == counts.max()
+
+
 def _varied(text: str, noise: list[str], pick: random.Random) -> str:
     """The text with a few words lost, changed or put around it."""
     words = [w for w in text.split() if pick.random() > 0.08]
@@ -218,6 +266,7 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     pick = random.Random(11)
     noise = [f"word{i}" for i in range(50)] + [w for _, t in flat for w in t.split()]
     varied = [(k, _varied(t, noise, pick)) for k, t in flat for _ in range(VARIANTS)] + flat
+    varied += [(k, _piece(t, pick)) for k, t in flat if len(t.split()) > 1.5 * LINE_WORDS for _ in range(VARIANTS)]
     # The templates' words out of order: words alone are no notice.
     bare = [w for _, t in flat for w in t.split()]
     mixed = [" ".join(pick.sample(bare, pick.randrange(1, 16))) for _ in range(len(flat) * VARIANTS)]
@@ -227,18 +276,47 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     target = np.array([-1] * negatives + [k for k, _ in varied])
     notice, family = _fit_all(lists, target, len(families), len(known))
 
+    by_family = np.stack([table[family_of == k].any(axis=0) for k in range(len(families))]) if families else table
+    only = np.where(by_family.sum(axis=0) == 1, by_family.argmax(axis=0), -1)
     # How sure the others are of a family that they were not shown: each is held out in turn.
     wrong: list[float] = []
+    counts = _word_counts([t for _, t in varied])
+
+    def alone_in(held: np.ndarray) -> np.ndarray:
+        """The family that alone has a gram when those of ``held`` are not shown."""
+        shown = by_family & ~held[:, None]
+        return np.where(shown.sum(axis=0) == 1, shown.argmax(axis=0), -1)
+
+    def agrees(grams: np.ndarray, words: int, k: int, alone: np.ndarray) -> bool:
+        phrases = AGREEMENT * max(1, 3 * words - 3)
+        return table[family_of == k][:, grams].sum(axis=1).max() >= phrases and _names(alone, grams, k)
+
     for k in range(len(families)):
-        rest = [i for i in range(len(lists)) if target[i] != k]
-        _, (weights, bias) = _fit_all([lists[i] for i in rest], target[rest], len(families), len(known))
+        # Relatives, whose templates this family's own agree with, are held out with it.
+        out = np.arange(len(families)) == k
+        alone = alone_in(out)
+        for t in np.flatnonzero(family_of == k):
+            grams, words = np.flatnonzero(table[t]), _word_counts([flat[t][1]])[0]
+            out |= np.array([j != k and agrees(grams, words, j, alone) for j in range(len(families))])
+        out[k], alone = True, alone_in(out)
+        shown = [i for i in range(len(lists)) if target[i] < 0 or not out[target[i]]]
+        _, (weights, bias) = _fit_all([lists[i] for i in shown], target[shown], len(families), len(known))
         for i in np.flatnonzero(target == k):
-            wrong.append(float(sigmoid(weights[lists[i]].sum(axis=0) + bias).max()))
+            shares = sigmoid(weights[lists[i]].sum(axis=0) + bias)
+            named_as = int(shares.argmax())
+            passes = not out[named_as] and agrees(lists[i], counts[i - negatives], named_as, alone)
+            wrong.append(float(shares[named_as]) if passes else 0.0)
     wrong.sort()
-    held = wrong[min(len(wrong) - 1, int(len(wrong) * (1 - WRONG_FAMILY)))] if wrong else 0.5
-    bound = min(max(held, 0.5), 0.9)
+    # The least bound that WRONG_FAMILY of them pass at most.
+    held = wrong[max(0, len(wrong) - 1 - int(len(wrong) * WRONG_FAMILY))] if wrong else 0.0
+    bound = max(0.5, float(np.nextafter(held, 2.0)))
+    held_out = sum(x >= bound for x in wrong) / max(1, len(wrong))
     sizes = np.array([found.counts[0] for _, t in flat for *_, found in W.blocks(pa.array([t.lower()], pa.large_string()), W.NOT_ALNUM)])
-    return Model(known, table, family_of, sizes, families, notice, family, bound)
+    return Model(known, table, family_of, sizes, families, notice, family, bound, held_out, only)
+
+
+def _word_counts(texts: list[str]) -> list[int]:
+    return [int(n) for *_, found in W.blocks(pa.array([t.lower() for t in texts], pa.large_string()), W.NOT_ALNUM) for n in found.counts]
 
 
 def _span(m: Model, place: np.ndarray, word: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,13 +376,13 @@ def scan(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
                     # n words have 3n - 3 distinct grams at most.
                     phrases = max(1, 3 * int(size[i]) - 3)
                     agreement[j] = min(1.0, m.templates[m.family_of == k][:, mine].sum(axis=1).max() / phrases)
-                    if shares[k] >= m.bound and agreement[j] >= AGREEMENT:
+                    if shares[k] >= m.bound and agreement[j] >= AGREEMENT and _names(m.only, mine, k):
                         best[j] = k
                         continue
                     of, mine = spans[i]
                     shares = sigmoid(m.family[0][mine].sum(axis=0) + m.family[1])
                     k = int(shares.argmax())
-                    if shares[k] >= m.bound and of[m.family_of == k].max() >= AGREEMENT:
+                    if shares[k] >= m.bound and of[m.family_of == k].max() >= AGREEMENT and _names(m.only, mine, k):
                         best[j], agreement[j] = k, of[m.family_of == k].max()
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -123,6 +123,37 @@ def test_notice_amid_other_text(spark):
     assert all(licenses.AGREEMENT <= r.agreement <= 1 for r in rows if r.family != "unknown")
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_wrapped_notices_and_near_families(spark):
+    model = licence_model(spark)
+    agpl = next(t for t in licenses.TEMPLATES["AGPL"] if t.startswith("This program"))
+    texts = [
+        (1, "MIT", MIT),
+        (2, "ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above"),
+        (3, "AGPL", agpl),
+        (4, "CC-BY-NC-ND", "Licensed under CC BY-NC-ND 4.0."),
+        (5, "CC-BY-NC", "Licensed under CC BY-NC 4.0."),
+        (6, "GPL", agpl.replace("Affero ", "")),
+    ]
+    rows = licenses.scan(spark.createDataFrame(texts, "doc_id long, family string, text string"), model).collect()
+    for doc, family, text in texts:
+        found = [r.family for r in rows if r.doc_id == doc]
+        assert found.count(family) >= 0.5 * len(text.split("\n")) and set(found) <= {family, "unknown"}, (family, found)
+
+
+def test_the_bound_is_the_calibrated_one(spark):
+    """No more than the stated share of the notices of families held out would pass as another family."""
+    model = licence_model(spark)
+    assert 0.5 <= model.bound <= 1 and model.held_out <= licenses.WRONG_FAMILY
+
+
 def test_every_template_is_its_family(spark):
     model = licence_model(spark)
     texts = [(k, f, t) for k, (f, t) in enumerate((f, t) for f, ts in licenses.TEMPLATES.items() for t in ts)]
