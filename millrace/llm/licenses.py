@@ -220,20 +220,20 @@ def _varied(text: str, noise: list[str], pick: random.Random) -> str:
     return " ".join(words + [pick.choice(noise) for _ in range(pick.choice((0, 0, 0, 2, 5)))])
 
 
-def _fit_all(lists: list[np.ndarray], families: np.ndarray, count: int, width: int):
-    """A model of being a notice (family >= 0), and one for each family among the notices."""
-    none = np.zeros((len(lists), 0))
-    rows = Rows(lists)
-    w, _, b = fit(rows, none, (families >= 0).astype(float), width, PENALTY, 150)
+def _fit_notice(lists: list[np.ndarray], families: np.ndarray, width: int) -> tuple[np.ndarray, float]:
+    """A model of being a notice at all (family >= 0)."""
+    weights, _, bias = fit(Rows(lists), np.zeros((len(lists), 0)), (families >= 0).astype(float), width, PENALTY, 150)
+    return weights, bias
+
+
+def _fit_families(lists: list[np.ndarray], families: np.ndarray, count: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A model for each family among the notices; one without notices says no."""
     notices = np.flatnonzero(families >= 0)
-    rows, own = Rows([lists[i] for i in notices]), families[notices]
-    weights, bias = np.zeros((width, count)), np.zeros(count)
-    for k in range(count):
-        if (own == k).any():
-            weights[:, k], _, bias[k] = fit(rows, none[notices], (own == k).astype(float), width, PENALTY, 150)
-        else:
-            bias[k] = -30.0
-    return (w, b), (weights, bias)
+    rows, own, none = Rows([lists[i] for i in notices]), families[notices], np.zeros((len(notices), 0))
+    weights, bias = np.zeros((width, count)), np.full(count, -30.0)
+    for k in np.unique(own).tolist():
+        weights[:, k], _, bias[k] = fit(rows, none, (own == k).astype(float), width, PENALTY, 150)
+    return weights, bias
 
 
 def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...]] = TEMPLATES) -> Model:
@@ -274,7 +274,8 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
     negatives = len(lists)
     lists += [np.searchsorted(known, g) for g in _grams_of([t for _, t in varied], known)]
     target = np.array([-1] * negatives + [k for k, _ in varied])
-    notice, family = _fit_all(lists, target, len(families), len(known))
+    notice = _fit_notice(lists, target, len(known))
+    family = _fit_families(lists, target, len(families), len(known))
 
     by_family = np.stack([table[family_of == k].any(axis=0) for k in range(len(families))]) if families else table
     only = np.where(by_family.sum(axis=0) == 1, by_family.argmax(axis=0), -1)
@@ -299,8 +300,8 @@ def learn(df: DataFrame, text: str = "text", templates: dict[str, tuple[str, ...
             grams, words = np.flatnonzero(table[t]), _word_counts([flat[t][1]])[0]
             out |= np.array([j != k and agrees(grams, words, j, alone) for j in range(len(families))])
         out[k], alone = True, alone_in(out)
-        shown = [i for i in range(len(lists)) if target[i] < 0 or not out[target[i]]]
-        _, (weights, bias) = _fit_all([lists[i] for i in shown], target[shown], len(families), len(known))
+        shown = [i for i in range(negatives, len(lists)) if not out[target[i]]]
+        weights, bias = _fit_families([lists[i] for i in shown], target[shown], len(families), len(known))
         for i in np.flatnonzero(target == k):
             shares = sigmoid(weights[lists[i]].sum(axis=0) + bias)
             named_as = int(shares.argmax())
