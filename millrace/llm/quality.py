@@ -5,7 +5,9 @@ the most lenient to the strictest on labelled good documents: a cutoff passes if
 (Clopper-Pearson) upper bound of its share of falsely rejected good documents stays within the
 rule's part of the limit.  The first that fails ends the sequence, which keeps the error of the
 whole sequence at that of one test; the error is divided over all strata and rules (Bonferroni).
-So with probability ``1 - delta`` no stratum loses more than ``limit`` of its good documents.  A
+So with probability ``1 - delta`` no stratum loses more than ``limit`` of its good documents.
+``joint_thresholds`` tightens all rules in one sequence, learned from labels that have no part in the
+test, and divides the error by the strata alone; it makes the same claim with far fewer labels.  A
 rule without a passing cutoff, or a stratum without enough labels, rejects nothing.
 
 Rules: null text has no words; a null stratum is a stratum; a document is a good one if it has
