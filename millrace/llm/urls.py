@@ -136,7 +136,7 @@ def suffixes() -> dict[str, Column]:
         "top": F.substring_index(host, ".", -1),
         "domain": domain,
         "site": F.substring_index(host, ".", -3),
-        "folder": F.concat_ws("/", domain, F.element_at(F.split(path, "/"), 2)),
+        "folder": F.concat_ws("/", domain, F.get(F.split(path, "/"), F.lit(1))),
         "file": F.regexp_extract(path, r"\.[A-Za-z0-9]+$", 0),
     }
 

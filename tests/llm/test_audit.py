@@ -6,6 +6,7 @@ from itertools import permutations
 
 import pytest
 from cases import empty, odd
+from pyspark.sql import functions as F
 
 from millrace.llm import audit
 
@@ -85,8 +86,9 @@ def test_odd_and_empty_tables(spark):
 def test_text_ids_and_other_filters(spark):
     docs = spark.createDataFrame([("b", "same", "x"), ("a", "same", "x"), ("c", "Other", "x")], "doc_id string, text string, lang string")
     labels = spark.createDataFrame([("a", 1, 0)], "doc_id string, quality int, toxic int")
-    counts = {(r.part, r.mask): (r.n, r.good) for r in audit.masks(docs, labels).groupBy("part", "mask").agg({"n": "sum", "good": "sum"}).toDF("part", "mask", "n", "good").collect()}
-    assert counts == {("x", 1): (1, 1), ("x", 1 | 16): (1, 0), ("x", 1 | 4): (1, 0)} or counts[("x", 17)][0] == 1
+    summed = audit.masks(docs, labels).groupBy("part", "mask").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    counts = {(r.part, r.mask): (r.n, r.good) for r in summed.filter("n > 0").collect()}
+    assert counts == {("x", 1): (1, 1), ("x", 1 | 16): (1, 0), ("x", 1 | 4): (1, 0)}
     table = spark.createDataFrame([("p", 3, 5), ("p", 2, 1), ("p", 0, 7)], "part string, mask int, n long")
     rows = {(r.filter_order, r.step): (r.kept, r.removed) for r in audit.interactions(table, "xy", ["n"]).collect()}
     assert rows == {("xy", 1): (8, 5), ("xy", 2): (7, 1), ("yx", 1): (7, 6), ("yx", 2): (7, 0)}
