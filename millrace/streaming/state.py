@@ -3,7 +3,8 @@
 Every key has a state of its own in the state store, and timers that end it:
 what the watermark has passed for good is dropped.  A batch reads and writes
 the states of the keys it touches and no others, so its cost does not grow
-with the number of live keys.  Stateful processors need the RocksDB store
+with the number of live keys.  Jobs, of which there are many with few events
+each, share keys (``JobLife``).  Stateful processors need the RocksDB store
 (``conf.CLUSTER``; ``source.drain`` sees to it).
 
 Rows reach a processor unordered and are put in order of time first.  A row
@@ -17,7 +18,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -36,8 +37,14 @@ KEEP_PENDING_SECONDS = 7 * 86_400
 # Steps by which the other metrics must be ahead before one without points counts as silent.
 SILENT_STEPS = 2
 
+# Keys that the jobs are dealt to, and jobs in one entry of the store; the first is fixed for a checkpoint's life.
+BUCKETS = 512
+PIECE_JOBS = 256
+
 # Absent numbers travel as sentinels: null-free columns are cheap in pandas.
 _NEVER = -(2**62)
+# Where no job is, nothing wakes.
+_ASLEEP = 2**62
 
 
 def without_time(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -58,7 +65,11 @@ _FACTS = (
     "duration_seconds double, error_message string, timed_out boolean, events long"
 )
 _JOB_OUTPUT = f"job_id string, {_FACTS}"
-_JOB_STATE = f"{_FACTS}, last_us long, last_seq int"
+# The jobs of a piece, column by column.
+_PIECE = ", ".join(
+    f"{name} array<{kind}>"
+    for name, kind in (f.split() for f in f"job_id string, spot int, {_FACTS}, last_us long, last_seq int".split(", "))
+)
 _NEW_JOB = ("pending", 0.0, _NEVER, _NEVER, -1.0, "", False, 0, _NEVER, -1)
 
 
@@ -82,15 +93,22 @@ def _apply_event(job: tuple, us: int, seq: int, event: str, error: str | None, l
 
 
 class JobLife(StatefulProcessor):
-    """One state per job, from its first event until a while after its last."""
+    """Jobs from their first event until a while after their last, many of them to a key.
+
+    A call, and each access to the store, costs about a millisecond whatever it
+    moves, so jobs are dealt to buckets by hash, and a bucket's jobs to pieces
+    that double in number as it grows.  A batch reads and writes the pieces of
+    the jobs it touches, ``PIECE_JOBS`` jobs each on average at most; the one
+    timer of a bucket wakes the pieces in which something is due.
+    """
 
     def __init__(self, limit_us: int, keep_us: int, wait_us: int):
         self.limit_us, self.keep_us, self.wait_us = limit_us, keep_us, wait_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.row = Row(*_names(_JOB_OUTPUT))
-        self.job = handle.getValueState("job", _JOB_STATE)
+        self.head = handle.getValueState("head", "jobs long, timer long, wakes array<long>")
+        self.pieces = handle.getMapState("pieces", "piece int", _PIECE)
 
     def _wakes_at(self, job: tuple) -> int:
         """When, in event time, something happens to the job by itself."""
@@ -100,37 +118,101 @@ class JobLife(StatefulProcessor):
             return job[2] + self.limit_us
         return job[8] + self.keep_us
 
-    def _set(self, job: tuple, due: int | None) -> None:
-        """Store the job; its timer is moved by adding one, an old one finds the job not yet due."""
-        self.job.update(job)
-        wake = self._wakes_at(job)
-        if wake != due:
-            self.handle.registerTimer(wake // 1000 + 1)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        known = self.job.get()
-        job = tuple(known) if known else _NEW_JOB
-        due = self._wakes_at(job) if known else None
-        events = sorted((r.us, r.seq, r.event, r.error_message) for r in rows)
-        for us, seq, event, error in events:
-            job = _apply_event(job, us, seq, event, error, self.limit_us)
-        self._set(job, due)
-        yield self.row(*key, *job[:8])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        known = self.job.get()
-        if not known:
-            return
-        job, now_us = tuple(known), timerValues.getCurrentWatermarkInMs() * 1000
-        due = self._wakes_at(job)
-        if due >= now_us:
-            return
-        if job[0] == "processing" and not job[6]:
-            job = (*job[:6], True, *job[7:])
-            self._set(job, due)
-            yield self.row(*key, *job[:8])
+    def _opened(self) -> tuple[int, int, list[int]]:
+        """The jobs of the bucket, its timer and when each of its pieces wakes."""
+        known = self.head.get()
+        return (known[0], known[1], list(known[2])) if known else (0, _NEVER, [_ASLEEP])
+
+    def _read(self, piece: int, wakes: list[int]) -> dict:
+        """The piece's jobs, each with its place: ``{job_id: (spot, job)}``."""
+        if wakes[piece] == _ASLEEP:  # a job always wakes some time, so there is none
+            return {}
+        names, spots, *facts = self.pieces.getValue((piece,))
+        return dict(zip(names, zip(spots, zip(*facts))))
+
+    def _write(self, piece: int, jobs: dict, wakes: list[int]) -> None:
+        if jobs:
+            spots, facts = zip(*jobs.values())
+            self.pieces.updateValue((piece,), (list(jobs), list(spots), *map(list, zip(*facts))))
+        elif wakes[piece] != _ASLEEP:
+            self.pieces.removeKey((piece,))
+        wakes[piece] = min((self._wakes_at(job) for _, job in jobs.values()), default=_ASLEEP)
+
+    def _close(self, count: int, timer: int, wakes: list[int], fired: int | None = None) -> None:
+        """Store the head and see that the timer is that of the first to wake; Spark ends the one that ``fired``."""
+        first = min(wakes)
+        due = _NEVER if first == _ASLEEP else max(first // 1000, fired or _NEVER) + 1
+        if due != timer:
+            if timer not in (_NEVER, fired):
+                self.handle.deleteTimer(timer)
+            if due != _NEVER:
+                self.handle.registerTimer(due)
+        if due == _NEVER:
+            self.head.clear()
         else:
-            self.job.clear()
+            self.head.update((count, due, wakes))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        events = {}
+        for f in rows:
+            columns = (f[c].tolist() for c in ("job_id", "spot", "us", "seq", "event", "error_message"))
+            for job_id, spot, *event in zip(*columns):
+                events.setdefault((job_id, spot), []).append(event)
+        count, timer, wakes = self._opened()
+        read, out = {}, {}
+        for (job_id, spot), its in events.items():
+            piece = spot % len(wakes)
+            if piece not in read:
+                read[piece] = self._read(piece, wakes)
+            jobs = read[piece]
+            count += job_id not in jobs
+            _, job = jobs.get(job_id, (spot, _NEW_JOB))
+            for us, seq, event, error in sorted(its, key=lambda e: (e[0], e[1], e[2] or "", e[3] or "")):
+                job = _apply_event(job, us, seq, event, error, self.limit_us)
+            jobs[job_id], out[job_id] = (spot, job), job
+        if count > len(wakes) * PIECE_JOBS:
+            read = self._split(count, read, wakes)
+        for piece, jobs in read.items():
+            self._write(piece, jobs, wakes)
+        self._close(count, timer, wakes)
+        yield _job_rows(out)
+
+    def _split(self, count: int, read: dict[int, dict], wakes: list[int]) -> dict[int, dict]:
+        """All jobs of the bucket in twice as many pieces or more; those ``read`` are newer than the store's."""
+        old = [read[piece] if piece in read else self._read(piece, wakes) for piece in range(len(wakes))]
+        while count > len(wakes) * PIECE_JOBS:
+            wakes += [_ASLEEP] * len(wakes)
+        out = {piece: {} for piece in range(len(wakes))}
+        for jobs in old:
+            for job_id, (spot, job) in jobs.items():
+                out[spot % len(wakes)][job_id] = spot, job
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now_us, fired = timerValues.getCurrentWatermarkInMs() * 1000, expiredTimerInfo.getExpiryTimeInMs()
+        count, timer, wakes = self._opened()
+        if timer != fired:
+            return
+        out = {}
+        for piece in [i for i, wake in enumerate(wakes) if wake < now_us]:
+            jobs = self._read(piece, wakes)
+            for job_id, (spot, job) in list(jobs.items()):
+                if self._wakes_at(job) >= now_us:
+                    continue
+                if job[0] == "processing" and not job[6]:
+                    out[job_id] = job = (*job[:6], True, *job[7:])
+                    jobs[job_id] = spot, job
+                else:
+                    del jobs[job_id]
+                    count -= 1
+            self._write(piece, jobs, wakes)
+        self._close(count, timer, wakes, fired)
+        if out:
+            yield _job_rows(out)
+
+
+def _job_rows(jobs: dict) -> pd.DataFrame:
+    return pd.DataFrame([(job_id, *job[:8]) for job_id, job in jobs.items()], columns=_names(_JOB_OUTPUT))
 
 
 def job_lifecycle(
@@ -139,6 +221,7 @@ def job_lifecycle(
     limit_seconds: int = JOB_TIMEOUT_SECONDS,
     keep_seconds: int = KEEP_FINISHED_SECONDS,
     keep_pending_seconds: int = KEEP_PENDING_SECONDS,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """State of each job after every batch that changed it.
 
@@ -148,12 +231,15 @@ def job_lifecycle(
     ``keep_seconds`` after its last event, a pending one ``keep_pending_seconds``
     after it; events that come later still start a history of their own.  Events
     without a time have no place in a history: they are left out here, and
-    ``without_time`` gives them to whoever keeps the dead letters.
+    ``without_time`` gives them to whoever keeps the dead letters.  Jobs are dealt
+    to ``buckets`` keys, the most tasks that can share a batch.
     """
     life = JobLife(*(n * 1_000_000 for n in (limit_seconds, keep_seconds, keep_pending_seconds)))
     known = events.filter(F.col("ts").isNotNull()).select("job_id", "ts", "event", "seq", "error_message")
-    timed = event_time(known, "ts", delay).withColumn("us", micros("ts"))
-    changed = timed.groupBy("job_id").transformWithState(life, _JOB_OUTPUT, "update", "EventTime")
+    spot = F.pmod(F.xxhash64("job_id", F.lit(1)), F.lit(2**31)).cast("int")
+    bucket = F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int")
+    timed = event_time(known, "ts", delay).withColumns({"us": micros("ts"), "spot": spot, "bucket": bucket})
+    changed = timed.groupBy("bucket").transformWithStateInPandas(life, _JOB_OUTPUT, "update", "EventTime")
 
     def moment(us: str) -> Column:
         return F.timestamp_micros(F.nullif(F.col(us), F.lit(_NEVER))).cast("timestamp_ntz")

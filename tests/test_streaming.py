@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import time
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,6 +342,109 @@ def test_job_states_end_and_outlive_a_restart(spark):
     assert (last["a"].status, last["a"].events) == ("processing", 1)
 
 
+class Bucket:
+    """One key's state and timers, as the state store keeps them; counts the accesses."""
+
+    def __init__(self):
+        self.head, self.pieces, self.timers, self.accesses = None, {}, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    getMapState = lambda self, name, key, schema: Pieces(self)  # noqa: E731, N815
+
+    def get(self):
+        self.accesses += 1
+        return self.head
+
+    def update(self, value):
+        self.accesses, self.head = self.accesses + 1, value
+
+    def clear(self):
+        self.accesses, self.head = self.accesses + 1, None
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.accesses += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):  # noqa: N802
+        self.accesses += 1
+        self.timers.remove(ms)
+
+
+class Pieces:
+    def __init__(self, bucket):
+        self.bucket, self.held = bucket, bucket.pieces
+
+    def getValue(self, piece):  # noqa: N802
+        self.bucket.accesses += 1
+        return self.held[piece]
+
+    def updateValue(self, piece, value):  # noqa: N802
+        self.bucket.accesses, self.held[piece] = self.bucket.accesses + 1, value
+
+    def removeKey(self, piece):  # noqa: N802
+        self.bucket.accesses += 1
+        del self.held[piece]
+
+
+def test_jobs_of_a_bucket_are_those_one_by_one():
+    """Many jobs share a key: every batch and timer leaves each as if it were alone, in few accesses to the store."""
+    limit, keep, wait, most = 300 * 10**6, 3600 * 10**6, 7200 * 10**6, state.PIECE_JOBS
+    bucket, life, alone, sizes = Bucket(), state.JobLife(limit, keep, wait), {}, []
+    life.init(bucket)
+    draw, columns = np.random.default_rng(1), ["job_id", "spot", "us", "seq", "event", "error_message"]
+    for batch in range(12):
+        now, n = batch * 900 * 10**6, (6 * most, most, 3, 0)[batch % 4]
+        rows = []
+        for job in draw.integers(0, 8 * most, n).tolist():
+            event = ("created", "started", "completed", "failed")[draw.integers(4)]
+            error = "e" if event == "failed" else None
+            rows.append((f"j{job}" if job else None, job * 7919, int(now + draw.integers(0, 900) * 10**6), 0, event, error))
+        want = {}
+        for r in sorted(rows, key=lambda r: (r[2], r[4])):
+            want[r[0]] = alone[r[0]] = state._apply_event(alone.get(r[0], state._NEW_JOB), *r[2:], limit)
+        before, got = bucket.accesses, {}
+        clock = SimpleNamespace(getCurrentWatermarkInMs=lambda now=now: now // 1000)
+        if rows:
+            frames = [pd.DataFrame(part, columns=columns) for part in (rows[: n // 2], rows[n // 2 :])]
+            for out in life.handleInputRows((0,), iter(frames), clock):
+                got |= {j: tuple(facts) for j, *facts in out.itertuples(index=False)}
+        assert got == {j: job[:8] for j, job in want.items()}
+        want, got = {}, {}
+        for j, job in list(alone.items()):
+            if life._wakes_at(job) < now:
+                if job[0] == "processing" and not job[6]:
+                    want[j] = alone[j] = (*job[:6], True, *job[7:])
+                else:
+                    del alone[j]
+        for ms in [t for t in sorted(bucket.timers) if t <= now // 1000]:
+            for out in life.handleExpiredTimer((0,), clock, SimpleNamespace(getExpiryTimeInMs=lambda ms=ms: ms)):
+                got |= {j: tuple(facts) for j, *facts in out.itertuples(index=False)}
+            bucket.timers.discard(ms)
+        assert got == {j: job[:8] for j, job in want.items()}
+        held = {j: tuple(f) for names, _, *facts in bucket.pieces.values() for j, *f in zip(names, *facts)}
+        assert held == alone and len(bucket.timers) == bool(alone)
+        sizes.append(len(bucket.pieces))
+        if n == 3:  # few pieces are touched by the rows; the timer may wake all
+            assert bucket.accesses - before <= 2 * (3 + sizes[-2]) + 8
+        assert bucket.accesses - before <= 4 * max(sizes) + 8 < most
+    assert max(sizes) >= 4
+
+
+def test_jobs_share_keys_of_the_store(spark):
+    """Three thousand jobs cost a few calls and entries, not one each; they time out all the same."""
+    rows = [(f"j{i}", i % 7, "started", 1, None) for i in range(3000)]
+    feed, base = Feed(spark, job_rows(spark, []).schema), shared_folder(spark, "s")
+    feed.put(job_rows(spark, [*rows, ("late", 30, "created", 0, None)]))
+    life = state.job_lifecycle(feed.stream(), "1 minute", limit_seconds=300)
+    query = source.drain(ingest.batch_writer(life, f"{base}/o", f"{base}/c", "update"))
+    assert max(op.numRowsUpdated for p in query.recentProgress for op in p.stateOperators) <= 2 * state.BUCKETS
+    versions = source.read_batches(spark, f"{base}/o", life.schema)
+    last = versions.groupBy("job_id").agg(F.max_by("timed_out", "batch_id").alias("t")).collect()
+    assert len(last) == 3001 and sum(r.t for r in last) == 3000
+
+
 class Held(dict):
     """The store's map, as a dictionary."""
 
