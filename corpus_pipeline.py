@@ -45,8 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts, and digests of the ids and of the text they decode to."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
-    return token_digests(bpe.decode(encoded, vocabulary))
+    return token_digests(bpe.round_trip(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN))
 
 
 STAGES = [

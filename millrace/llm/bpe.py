@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.memory import lean_column
 from millrace.llm.store import small_batches
 
 #: Bits of a bitmap word; two levels cover the square of it.
@@ -419,25 +420,9 @@ def encode(
     small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
+    @lean_column
     def encoded(column: pa.Array) -> pa.Array:
-        encoder = _encoder(shared.value, pattern, spaced)
-        values, ends, block, held = [], [0], [], 0
-
-        def flush():
-            found = encoder.encode(block)
-            ends.extend((ends[-1] + np.cumsum([len(x) // 4 for x in found])).tolist())
-            values.append(pa.array(np.frombuffer(b"".join(found), np.int32)))
-            block.clear()
-
-        for item in column:
-            block.append(str(item.as_buffer() or b"", "utf-8", "replace"))
-            held += len(block[-1])
-            if held >= BLOCK_CHARS:
-                flush()
-                held = 0
-        if block:
-            flush()
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(values or [pa.array([], pa.int32())]))
+        return _ids(column, _encoder(shared.value, pattern, spaced))
 
     # Marked so that Spark does not encode once more for each use of the result.
     return df.withColumn(ids, encoded.asNondeterministic()(df[text].cast("binary")))
@@ -449,24 +434,74 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "dec
     small_batches(df.sparkSession)
 
     @F.arrow_udf("binary")
+    @lean_column
     def joined(column: pa.Array) -> pa.Array:
-        data, begins = _tokens(shared.value)
-        sizes = np.diff(begins)
-        lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        values, at, row, out = column.flatten().to_numpy(zero_copy_only=False), 0, 0, []
-        while row < len(lengths):
-            # Rows of about BLOCK_CHARS tokens at once.
-            stop = row + max(1, int(np.searchsorted(np.cumsum(lengths[row:]), BLOCK_CHARS, "right")))
-            ends = np.cumsum(lengths[row:stop])
-            ids = values[at : at + ends[-1]]
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or not sizes[ids].all()):
-                raise KeyError("an id without a token")
-            width = sizes[ids]
-            upto = np.concatenate([[0], np.cumsum(width)])
-            text = data[np.repeat(begins[ids] - upto[:-1], width) + np.arange(upto[-1])]
-            offsets = upto[np.concatenate([[0], ends])].astype(np.int32)
-            out.append(pa.Array.from_buffers(pa.binary(), stop - row, [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
-            at, row = at + int(ends[-1]), stop
-        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+        return _bytes(column, *_tokens(shared.value))
 
     return df.withColumn(decoded, joined(df[ids]))
+
+
+def round_trip(
+    df: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    spaced: bool = True,
+) -> DataFrame:
+    """``encode`` and then ``decode`` by the same worker: two of each task's would hold the tables and memos twice."""
+    shared = _shipped(df.sparkSession, vocabulary)
+    small_batches(df.sparkSession)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    @lean_column
+    def both(column: pa.Array) -> pa.Array:
+        found = _ids(column, _encoder(shared.value, pattern, spaced))
+        return pa.StructArray.from_arrays([found, _bytes(found, *_tokens(shared.value))], ["ids", "decoded"])
+
+    done = both.asNondeterministic()(df[text].cast("binary"))
+    parts = df.withColumn("__tokens", done)
+    return parts.withColumns({ids: F.col("__tokens.ids"), decoded: F.col("__tokens.decoded")}).drop("__tokens")
+
+
+def _ids(column: pa.Array, encoder: Encoder) -> pa.Array:
+    """The tokens of each text, given as UTF-8."""
+    values, ends, block, held = [], [0], [], 0
+
+    def flush():
+        found = encoder.encode(block)
+        ends.extend((ends[-1] + np.cumsum([len(x) // 4 for x in found])).tolist())
+        values.append(pa.array(np.frombuffer(b"".join(found), np.int32)))
+        block.clear()
+
+    for item in column:
+        block.append(str(item.as_buffer() or b"", "utf-8", "replace"))
+        held += len(block[-1])
+        if held >= BLOCK_CHARS:
+            flush()
+            held = 0
+    if block:
+        flush()
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(values or [pa.array([], pa.int32())]))
+
+
+def _bytes(column: pa.Array, data: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """The bytes of each list of ids, by the table ``_tokens`` makes."""
+    sizes = np.diff(begins)
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values, at, row, out = column.flatten().to_numpy(zero_copy_only=False), 0, 0, []
+    while row < len(lengths):
+        # Rows of about BLOCK_CHARS tokens at once.
+        stop = row + max(1, int(np.searchsorted(np.cumsum(lengths[row:]), BLOCK_CHARS, "right")))
+        ends = np.cumsum(lengths[row:stop])
+        ids = values[at : at + ends[-1]]
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or not sizes[ids].all()):
+            raise KeyError("an id without a token")
+        width = sizes[ids]
+        upto = np.concatenate([[0], np.cumsum(width)])
+        text = data[np.repeat(begins[ids] - upto[:-1], width) + np.arange(upto[-1])]
+        offsets = upto[np.concatenate([[0], ends])].astype(np.int32)
+        out.append(pa.Array.from_buffers(pa.binary(), stop - row, [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
+        at, row = at + int(ends[-1]), stop
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())

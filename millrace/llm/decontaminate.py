@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as W
+from millrace.llm.memory import lean, lean_column
 from millrace.llm.store import named
 
 #: Edited words that a match may have, as a share of the item's words.
@@ -381,6 +382,7 @@ def matches(
     for index in _blocks(benchmark, item_id, item_text):
         shared = df.sparkSession.sparkContext.broadcast(index)
 
+        @lean
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index: Index = shared.value
             for batch in batches:
@@ -413,6 +415,7 @@ def _clean(shared):
     """A function that tells the texts in which no item of the broadcast index occurs."""
 
     @F.arrow_udf("boolean")
+    @lean_column
     def clean(column: pa.Array) -> pa.Array:
         out = np.ones(len(column), bool)
         for row, *_ in search(shared.value, column):

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import words as W
 from millrace.llm.components import components
+from millrace.llm.memory import lean
 from millrace.llm.store import named, staged
 
 SIZE = 5
@@ -105,6 +106,7 @@ def sketches(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     rows = named(df, doc_id, text).toDF("id", "text").withColumn("digest", _digest("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, prefixes = [], {d: [] for d in DEPTHS}
@@ -155,6 +157,7 @@ _UNITS = "group bigint, low int, high int, block int, tree int, key binary, copi
 def _units(rows: DataFrame, size: int) -> DataFrame:
     """A row for every block pair that a document's set is needed in."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, copies = batch.column(1).to_pylist(), batch.column(2).to_pylist()
@@ -269,6 +272,7 @@ def _links(units: DataFrame, threshold: float) -> DataFrame:
             for begin in range(0, batch.num_rows, 256):
                 yield from batch.slice(begin, 256).to_pylist()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for _, unit in groupby(rows(batches), lambda r: (r["group"], r["low"], r["high"])):

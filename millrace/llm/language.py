@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.memory import lean, lean_column
 from millrace.llm.store import small_batches
 from millrace.llm.words import mix
 
@@ -145,6 +146,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     unit = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
     sample = rows.filter(unit < F.coalesce(share[F.col("lang")], F.lit(0.0)))
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)
         used: dict[tuple[int, str], int] = {}
@@ -305,6 +307,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", out: str = "langua
     )
 
     @F.arrow_udf(f"struct<lang_pred: string, score: double, spans: {SPANS}>")
+    @lean_column
     def label(column: pa.Array) -> pa.Array:
         labeller = _labeller(key, shared)
         out: list[pa.Array] = []

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import words as W
 from millrace.llm.fmindex import FMIndex, covered_intervals
+from millrace.llm.memory import lean, lean_column
 from millrace.llm.store import named, staged
 
 WINDOW = 50
@@ -70,6 +71,7 @@ def scan(df: DataFrame, window: int) -> DataFrame:
     """``id, digest, n_words, sha256`` of the words of every row, and the distinct ``anchors`` of its windows."""
     kind = df.schema["id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, counts, hashes, anchors = [], [], [], []
@@ -131,6 +133,7 @@ def _segments(docs: DataFrame, window: int, shards: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
     names = ["shard", "id", "digest", "first", "symbols"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, wanted = batch.column(1).to_pylist(), batch.column(3).to_pylist()
@@ -188,6 +191,7 @@ def _repeats(segments: DataFrame, window: int) -> DataFrame:
             for start in range(0, batch.num_rows, 1000):
                 yield from zip(*(c.to_pylist() for c in batch.slice(start, 1000).columns))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = None
         for _, shard in groupby(rows(batches), lambda r: r[0]):
@@ -206,6 +210,7 @@ def _hot_repeats(docs: DataFrame, window: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
     names = ["id", "digest", "begin", "high", "low"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, wanted = batch.column(1).to_pylist(), batch.column(3).to_pylist()
@@ -288,6 +293,7 @@ def kept_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window
     kind = docs.schema["id"].dataType.simpleString()
     names = ["id", "digest", "n_removed", "kept"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, digests = batch.column(3).to_pylist(), batch.column(1).to_pylist()
@@ -335,6 +341,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     marked = df.join(marks, df[doc_id] == marks["__id"], "left").drop("__id")
 
     @F.arrow_udf("string")
+    @lean_column
     def left(column: pa.Array, marks: pa.Array) -> pa.Array:
         out: list[str | None] = column.to_pylist()
         todo = [i for i, m in enumerate(marks) if m.is_valid]

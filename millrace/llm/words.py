@@ -70,8 +70,11 @@ class Words:
         powers[0] = 1
         np.cumprod(powers, out=powers)
         sums = np.zeros(n + 1, U64)
-        np.cumsum((self.data.astype(U64) + U64(1)) * powers, out=sums[1:])
-        powers = np.full(n, pow(base, -1, 1 << 64), U64)
+        own = sums[1:]  # in place: arrays of eight bytes for each byte of text are what a worker's memory goes to
+        np.add(self.data, U64(1), out=own, dtype=U64)
+        own *= powers
+        np.cumsum(own, out=own)
+        powers[:] = pow(base, -1, 1 << 64)
         powers[0] = 1
         np.cumprod(powers, out=powers)
         value = (sums[self.ends] - sums[self.starts]) * powers[self.starts]

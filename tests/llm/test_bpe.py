@@ -139,3 +139,15 @@ def test_files_of_one_name_are_told_apart(spark, tmp_path, ranks):
 def test_unknown_ids_are_an_error(spark):
     with pytest.raises(Exception, match="an id without a token"):
         bpe.decode(spark.createDataFrame([([1, 60_000],)], "ids array<int>"), VOCABULARY).collect()
+
+
+def test_one_worker_encodes_and_decodes(spark):
+    """The same columns as by two functions, in one evaluation by Python."""
+    docs = odd(spark)
+    apart = bpe.decode(bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY)
+    both = bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN)
+    assert both.schema.simpleString() == apart.schema.simpleString()
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+    plan = both.select("ids", "decoded")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert bpe.round_trip(empty(spark), VOCABULARY, public_tokenizers.PATTERN).collect() == []
