@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import sys
 from collections.abc import Iterable
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.memory import lean_column
+from millrace.llm.memory import kept, lean_column
 from millrace.llm.store import small_batches
 
 #: Bits of a bitmap word; two levels cover the square of it.
@@ -382,13 +381,15 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def _encoder(content: str, pattern: str, spaced: bool) -> Encoder:
-    return Encoder(parse_ranks(content), pattern, spaced)
+    return kept((Encoder, content, pattern, spaced), lambda: Encoder(parse_ranks(content), pattern, spaced))
 
 
-@lru_cache(maxsize=2)
 def _tokens(content: str) -> tuple[np.ndarray, np.ndarray]:
+    return kept((_token_bytes, content), lambda: _token_bytes(content))
+
+
+def _token_bytes(content: str) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all tokens by rank, one after another, and where each begins; unused ranks have none."""
     ranks = parse_ranks(content)
     sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)

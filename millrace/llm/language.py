@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.memory import lean, lean_column
+from millrace.llm.memory import kept, lean, lean_column
 from millrace.llm.store import small_batches
 from millrace.llm.words import mix
 
@@ -276,17 +276,6 @@ class Labeller:
         return names, np.where(total > 0, score, 0.0).tolist(), spans
 
 
-_LABELLERS: dict[str, Labeller] = {}
-
-
-def _labeller(key: str, shared) -> Labeller:
-    """The worker's labeller of a broadcast model; one is kept."""
-    if key not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[key] = Labeller(shared.value)
-    return _LABELLERS[key]
-
-
 SPANS = "array<struct<first_word: bigint, n_words: bigint, lang: string>>"
 
 
@@ -309,7 +298,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", out: str = "langua
     @F.arrow_udf(f"struct<lang_pred: string, score: double, spans: {SPANS}>")
     @lean_column
     def label(column: pa.Array) -> pa.Array:
-        labeller = _labeller(key, shared)
+        labeller = kept((Labeller, key), lambda: Labeller(shared.value))
         out: list[pa.Array] = []
         block: list[str] = []
         held = 0

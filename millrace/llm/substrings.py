@@ -355,7 +355,9 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         return pa.array(out, pa.string())
 
     gone = F.col("__marks").isNotNull() & F.col("__left").isNull()
-    cuts = marked.withColumn("__left", F.when(F.col("__marks").isNull(), F.col(text)).otherwise(left(F.col(text), F.col("__marks"))))
+    # Marked so that Spark does not cut once more, in workers of its own, for the filter.
+    uncovered = left.asNondeterministic()(F.col(text), F.col("__marks"))
+    cuts = marked.withColumn("__left", F.when(F.col("__marks").isNull(), F.col(text)).otherwise(uncovered))
     return cuts.filter(~gone).withColumn(text, F.col("__left")).select(*df.columns)
 
 

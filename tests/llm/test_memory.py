@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from millrace.llm import bpe, language, memory
 from millrace.llm import words as W
-from millrace.llm.memory import lean, lean_column
+from millrace.llm.memory import kept, lean, lean_column
 
 
 def held() -> int:
@@ -45,6 +48,45 @@ def test_freed_memory_is_given_back():
     assert held() - before < 60
 
 
+def test_workers_forget_what_earlier_stages_kept(spark):
+    texts = spark.createDataFrame([(i, f"some text {i}") for i in range(8)], "doc_id long, text string")
+    model = language.Model(["a", "b"], np.zeros((language.BUCKETS, 2), np.float32), {})
+
+    @lean
+    def left_over(batches):
+        for _ in batches:
+            found = [type(o).__name__ for o in gc.get_objects() if isinstance(o, (bpe.Encoder, language.Labeller))]
+            yield pa.RecordBatch.from_pydict({"found": found})
+
+    for stage in (
+        bpe.round_trip(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
+        language.identify(texts, model),
+    ):
+        stage.collect()
+        assert not texts.mapInArrow(left_over, "found string").collect()
+
+
+def test_what_is_kept_lasts_while_stages_use_it(monkeypatch):
+    at = [1]
+    monkeypatch.setattr(memory, "_stage", lambda: at[0])
+    monkeypatch.setattr(memory, "_KEPT", {})
+    made = []
+
+    def use(key):
+        return kept(key, lambda: made.append(key) or object())
+
+    first, other = use("a"), use("b")  # two of one stage, by turns
+    memory.give_back()
+    assert use("a") is first and use("b") is other and made == ["a", "b"]
+    at[0] = 2
+    assert use("a") is first  # the next stage uses it, too
+    memory.give_back()
+    assert list(memory._KEPT) == ["a"]
+    at[0] = 3
+    use("c")
+    assert list(memory._KEPT) == ["c"] and made == ["a", "b", "c"]
+
+
 def test_word_hashes_are_those_of_the_bytes():
     texts = ["one two  one", "", None, "\xffä two", "x"]
     (_, _, found), *more = W.blocks(pa.array(texts))

@@ -121,6 +121,11 @@ def test_removal_of_odd_documents(spark):
     assert sorted(i for i in ids if i) == [1, 3, 4, 5, 6, 7, 8, 9, 10, 10] and ids.count(None) == 2
 
 
+def test_removal_cuts_each_text_once(spark, capsys):
+    substrings.remove_repeats(spark.createDataFrame(passages(), "doc_id long, text string")).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_bits_and_wavelets():
     pick = np.random.default_rng(1)
     for n in (0, 1, 63, 64, 65, 500):
